@@ -147,7 +147,7 @@ def derive_metrics(names: list[str] | None = None, th: Thresholds = DEFAULT_THRE
                    digits: int | None = None) -> list[Column]:
     """Metric columns (optionally a subset, optionally rounded) over base statistics."""
     cols = metric_columns(th)
-    names = names or list(cols)
+    names = list(cols) if names is None else names
     out = []
     for name in names:
         col = cols[name].cast(metric_type(name))

@@ -83,7 +83,7 @@ def metric_select(name: str, digits: int = 6) -> str:
     body = f"CAST({body} AS {_SQL_TYPES[typ]})"
     if typ == "double":
         body = f"round({body}, {digits})"
-    return f"{body} AS {name}"
+    return f"CASE WHEN n > 0 THEN {body} END AS {name}"
 
 
 def stats_ctes(runs_sql: str) -> str:
@@ -126,7 +126,7 @@ agg AS (
 
 def features_sql(runs_sql: str, key_sql: str, metrics: list[str] | None = None,
                  with_total_runs: bool = True) -> str:
-    metrics = metrics or ALL_METRICS
+    metrics = ALL_METRICS if metrics is None else metrics
     cols = [f"{key_sql} AS session_key"]
     if with_total_runs:
         cols.append("CAST(n AS BIGINT) AS total_runs")
@@ -159,3 +159,195 @@ CONVERSATION_RUNS_SQL = """
     0 AS e,
     false AS w
   FROM conversations"""
+
+
+# --- B2 events: one run per event, session = (user, day) -----------------------
+EVENT_BASE = """
+  SELECT CAST(user_id AS VARCHAR) || '|' || strftime(ts, '%Y-%m-%d') AS session_key,
+         event_id AS pos, event_type, value,
+         CAST(json_extract_string(props, '$.k') AS BIGINT) AS kk
+  FROM events"""
+
+EVENT_RUNS_SELECT = f"""
+SELECT session_key, pos,
+  CAST(floor(value * 100) AS DOUBLE) AS total_tokens,
+  CAST(kk AS DOUBLE) AS input_tokens,
+  CASE WHEN kk % 2 = 1 THEN 0.0 ELSE CAST(kk * 3 AS DOUBLE) END AS output_tokens,
+  CASE WHEN kk % 5 = 0 THEN 0.0 ELSE value / 4 END AS execution_time,
+  event_type IN ('view', 'purchase') AS success,
+  CAST(CASE WHEN event_type = 'click' THEN kk % 4 + 1 ELSE 0 END AS BIGINT) AS tool_calls_count,
+  CAST(CASE WHEN event_type = 'error' THEN 2 ELSE 0 END AS BIGINT) AS error_count,
+  event_type = 'signup' AS has_timeout
+FROM ({EVENT_BASE}) WHERE kk % 31 <> 0"""
+
+EVENT_RUNS_SQL = f"""
+  SELECT session_key AS k, row_number() OVER (PARTITION BY session_key ORDER BY pos) AS pos,
+    total_tokens AS t, output_tokens AS o, execution_time AS x, tool_calls_count AS kc,
+    success AS s, error_count AS e, has_timeout AS w
+  FROM ({EVENT_RUNS_SELECT})"""
+
+
+# --- B5 documents: one session document per row, runs = lines of the text ------
+DOC_BASE = """
+  SELECT doc_id AS d, 'doc-' || CAST(doc_id AS VARCHAR) AS doc_key,
+    'sess-' || CAST(doc_id % 97 AS VARCHAR) AS session_id,
+    CAST(1704067200 + (doc_id * 7919) % 7776000 AS BIGINT) AS created_at,
+    'u' || CAST(doc_id % 13 AS VARCHAR) AS user_id,
+    source AS agent_name, lang AS model_provider, 'm-' || lang AS model_id,
+    doc_id % 53 = 7 AS agent_null,
+    NOT (doc_id % 41 = 5 OR doc_id % 43 = 9) AS has_runs_list,
+    text
+  FROM documents"""
+
+DOC_LINES = f"""
+  SELECT d, doc_key, i, length(line) AS L, length(line) - length(replace(line, ' ', '')) AS spaces
+  FROM (SELECT d, doc_key, unnest(string_split(text, chr(10))) AS line,
+               generate_subscripts(string_split(text, chr(10)), 1) AS i
+        FROM ({DOC_BASE}) WHERE has_runs_list)"""
+
+DOC_RUNS = f"""
+  SELECT d, doc_key, i,
+    CASE WHEN L % 17 = 5 THEN 0.0 ELSE CAST(L AS DOUBLE) END AS total_tokens,
+    CAST(L % 10 AS DOUBLE) AS input_tokens,
+    CAST(spaces AS DOUBLE) AS output_tokens,
+    CASE WHEN d % 37 = 3 AND i = 1 THEN NULL ELSE (L % 7) * 0.5 END AS execution_time,
+    (L % 3 = 0) OR (L % 5 = 1) AS success,
+    CAST(L % 13 AS BIGINT) AS tool_calls_count,
+    CAST(CASE WHEN L % 4 = 3 THEN 2 ELSE 0 END AS BIGINT) AS error_count,
+    L % 11 = 2 AS has_timeout
+  FROM ({DOC_LINES}) WHERE (d + i) % 29 <> 0"""
+
+DOC_CTES = f"""
+base AS ({DOC_BASE}),
+doc_runs AS ({DOC_RUNS}),
+quar AS (SELECT doc_key, bool_or(execution_time IS NULL) AS null_metric FROM doc_runs GROUP BY doc_key),
+good AS (
+  SELECT b.* FROM base b LEFT JOIN quar q ON q.doc_key = b.doc_key
+  WHERE NOT b.agent_null AND NOT coalesce(q.null_metric, false))"""
+
+DOC_STAT_RUNS = """
+  SELECT doc_key AS k, row_number() OVER (PARTITION BY doc_key ORDER BY i) AS pos,
+    total_tokens AS t, output_tokens AS o, execution_time AS x, tool_calls_count AS kc,
+    success AS s, error_count AS e, has_timeout AS w
+  FROM doc_runs"""
+
+
+def _ts(col: str, fmt: str) -> str:
+    return f"strftime(make_timestamp(CAST({col} AS BIGINT) * 1000000), '{fmt}')"
+
+
+def document_features_sql(lo: int | None = None, hi: int | None = None) -> str:
+    where = "" if lo is None else f"WHERE g.created_at BETWEEN {lo} AND {hi}"
+    metrics = ", ".join(metric_select(m) for m in ALL_METRICS)
+    return f"""WITH {DOC_CTES},
+{stats_ctes(DOC_STAT_RUNS)}
+SELECT g.doc_key, g.session_id, g.agent_name, g.model_provider, g.model_id, g.user_id, g.created_at,
+  CAST(coalesce(n, 0) AS BIGINT) AS total_runs, {metrics},
+  CASE WHEN n > 0 THEN {_ts('g.created_at', '%Y-%m-%d')} END AS date,
+  CASE WHEN n > 0 THEN {_ts('g.created_at', '%Y-%m-%dT%H:%M:%S')} END AS timestamp
+FROM good g LEFT JOIN agg ON agg.k = g.doc_key {where}"""
+
+
+DOCUMENT_RUNS_SELECT = f"""WITH {DOC_CTES}
+SELECT r.doc_key, CAST(row_number() OVER (PARTITION BY r.doc_key ORDER BY r.i) - 1 AS BIGINT) AS pos,
+  r.total_tokens, r.input_tokens, r.output_tokens, r.execution_time, r.success,
+  r.tool_calls_count, r.error_count, r.has_timeout
+FROM doc_runs r JOIN good g ON g.doc_key = r.doc_key"""
+
+QUARANTINE_SQL = f"""WITH {DOC_CTES}
+SELECT b.doc_key, b.session_id,
+  CASE WHEN b.agent_null THEN 'agent_data_null' WHEN coalesce(q.null_metric, false) THEN 'null_metric' END
+    AS quarantine_reason
+FROM base b LEFT JOIN quar q ON q.doc_key = b.doc_key
+WHERE b.agent_null OR coalesce(q.null_metric, false)"""
+
+
+def scan_sessions_sql(lo: int, hi: int) -> str:
+    return f"WITH {DOC_CTES}\nSELECT doc_key, created_at FROM base WHERE created_at BETWEEN {lo} AND {hi}"
+
+
+PROJECT_SESSIONS_SQL = f"""WITH {DOC_CTES}
+SELECT doc_key AS session_id,
+  CASE WHEN agent_null THEN '' ELSE agent_name END AS agent_name,
+  CASE WHEN agent_null THEN '' ELSE model_provider END AS model_provider,
+  CASE WHEN agent_null THEN '' ELSE model_id END AS model_id,
+  created_at,
+  CAST(CASE WHEN has_runs_list THEN len(string_split(text, chr(10))) ELSE 0 END AS BIGINT) AS run_count
+FROM base"""
+
+BASIC_FEATURES_SQL = f"""WITH {DOC_CTES}
+SELECT doc_key, session_id, agent_name, model_provider, model_id, user_id, created_at FROM good"""
+
+FORMAT_TIMESTAMPS_SQL = """
+SELECT CAST(o_orderkey AS VARCHAR) AS session_id, CAST(epoch(o_orderdate) AS BIGINT) AS created_at,
+  CASE WHEN epoch(o_orderdate) <> 0 THEN strftime(o_orderdate, '%Y-%m-%d') END AS date,
+  CASE WHEN epoch(o_orderdate) <> 0 THEN strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') END AS timestamp
+FROM orders"""
+
+
+def order_range_sql(lo: int, hi: int) -> str:
+    return f"""
+SELECT CAST(o_orderkey AS VARCHAR) AS session_id, CAST(epoch(o_orderdate) AS BIGINT) AS created_at
+FROM orders WHERE epoch(o_orderdate) BETWEEN {lo} AND {hi}"""
+
+
+def default_range_sql(as_of: str) -> str:
+    return f"""
+WITH r AS (SELECT CAST(DATE '{as_of}' - INTERVAL 1 MONTH AS DATE) AS s, DATE '{as_of}' - 1 AS e)
+SELECT CAST(o_orderkey AS VARCHAR) AS session_id, CAST(epoch(o_orderdate) AS BIGINT) AS created_at,
+  strftime(r.s, '%Y-%m-%d') AS start_date, strftime(r.e, '%Y-%m-%d') AS end_date
+FROM orders, r
+WHERE epoch(o_orderdate) BETWEEN epoch(CAST(r.s AS TIMESTAMP)) AND epoch(CAST(r.e AS TIMESTAMP)) + 86399"""
+
+
+VALIDATE_REQUESTS_SQL = r"""
+WITH r AS (
+  SELECT o_orderkey AS request_id,
+    CASE WHEN o_orderkey % 23 = 1 THEN NULL
+         WHEN o_orderkey % 23 = 3 THEN ''
+         WHEN o_orderkey % 23 = 4 THEN strftime(o_orderdate, '%Y-%-m-%-d')
+         WHEN o_orderkey % 23 = 5 THEN CAST(year(o_orderdate) AS VARCHAR) || '-02-30'
+         ELSE strftime(o_orderdate, '%Y-%m-%d') END AS start_date,
+    CASE WHEN o_orderkey % 23 = 2 THEN NULL
+         WHEN o_orderkey % 23 = 6
+           THEN strftime(CAST(o_orderdate AS DATE) + CAST(o_orderkey % 40 - 10 AS INTEGER), '%Y/%m/%d')
+         ELSE strftime(CAST(o_orderdate AS DATE) + CAST(o_orderkey % 40 - 10 AS INTEGER), '%Y-%m-%d')
+    END AS end_date
+  FROM orders),
+v AS (
+  SELECT *,
+    coalesce(regexp_full_match(start_date, '\d{4}-\d{2}-\d{2}')
+             AND try_strptime(start_date, '%Y-%m-%d') IS NOT NULL, false) AS start_ok,
+    coalesce(regexp_full_match(end_date, '\d{4}-\d{2}-\d{2}')
+             AND try_strptime(end_date, '%Y-%m-%d') IS NOT NULL, false) AS end_ok
+  FROM r)
+SELECT request_id, start_date, end_date,
+  CASE WHEN start_date IS NULL OR start_date = '' THEN 'start_required'
+       WHEN end_date IS NULL OR end_date = '' THEN 'end_required'
+       WHEN NOT start_ok THEN 'start_invalid'
+       WHEN NOT end_ok THEN 'end_invalid'
+       WHEN try_strptime(start_date, '%Y-%m-%d') > try_strptime(end_date, '%Y-%m-%d') THEN 'start_after_end'
+  END AS error
+FROM v"""
+
+
+def training_export_sql(lo: int, hi: int) -> str:
+    from runlens.config import EXPORT_COLUMNS, TEXT_COLUMNS
+    cols = []
+    for c in EXPORT_COLUMNS:
+        cols.append(f"coalesce({c}, '') AS {c}" if c in TEXT_COLUMNS else f"coalesce({c}, 0) AS {c}")
+    return f"SELECT {', '.join(cols)} FROM ({document_features_sql(lo, hi)})"
+
+
+def empty_export_sql(lo: int, hi: int, session_id: str, message: str) -> str:
+    return f"""WITH {DOC_CTES}
+SELECT '{session_id}' AS session_id, '{message}' AS message
+WHERE NOT EXISTS (SELECT 1 FROM good WHERE created_at BETWEEN {lo} AND {hi})"""
+
+
+def extraction_summary_sql(start: str, end: str, lo: int, hi: int) -> str:
+    return f"""WITH {DOC_CTES}
+SELECT '{start}' AS start_date, '{end}' AS end_date, count(*) AS total_conversations,
+  min(created_at) AS first_created_at, max(created_at) AS last_created_at,
+  CAST(NULL AS VARCHAR) AS location
+FROM good WHERE created_at BETWEEN {lo} AND {hi}"""
