@@ -56,12 +56,7 @@ def run_struct(r: Column) -> Column:
     events_text = F.coalesce(_sub(r, "$.events").cast("string"), F.lit(""))
     tools = F.try_variant_get(r, "$.tools", "array<variant>")
     status = F.try_variant_get(r, "$.status", "string")
-    valid = ~(
-        _explicit_null(r)
-        | _explicit_null(_sub(r, "$.metrics"))
-        | _explicit_null(_sub(r, "$.tools"))
-        | _explicit_null(_sub(r, "$.events"))
-    )
+    valid = _run_valid(r)
     return F.struct(
         metric_value(_sub(r, "$.metrics.total_tokens")).alias("total_tokens"),
         metric_value(_sub(r, "$.metrics.input_tokens")).alias("input_tokens"),
@@ -76,8 +71,23 @@ def run_struct(r: Column) -> Column:
     )
 
 
-def has_null_metric(run: Column) -> Column:
-    return run["total_tokens"].isNull() | run["output_tokens"].isNull() | run["execution_time"].isNull()
+def _run_valid(r: Column) -> Column:
+    return ~(
+        _explicit_null(r)
+        | _explicit_null(_sub(r, "$.metrics"))
+        | _explicit_null(_sub(r, "$.tools"))
+        | _explicit_null(_sub(r, "$.events"))
+    )
+
+
+def null_metric_in(runs_variant: Column) -> Column:
+    """Some valid run has a total_tokens, output_tokens or time that reads as
+    NULL (``[null]`` or not a number)."""
+    return F.coalesce(F.exists(runs_variant, lambda r: _run_valid(r) & (
+        metric_value(_sub(r, "$.metrics.total_tokens")).isNull()
+        | metric_value(_sub(r, "$.metrics.output_tokens")).isNull()
+        | metric_value(_sub(r, "$.metrics.time")).isNull()
+    )), F.lit(False))
 
 
 def valid_runs(runs_variant: Column) -> Column:

@@ -122,7 +122,12 @@ def flat_run_statistics(
     )
 
     # -- step 3: ordered pass inside each chunk (join salted by the chunk)
-    seq = r.select(K, C, *ords, "total_tokens", "execution_time", "success").join(totals, [K, C])
+    # Shuffled hash join on (session, chunk), building on the chunk-level
+    # totals: runs are never broadcast and never sorted for the join, and the
+    # window below inherits (session, chunk) partitioning — a hot session is
+    # spread over as many tasks as it has chunks.
+    ordered = r.select(K, C, *ords, "total_tokens", "execution_time", "success")
+    seq = ordered.join(totals.hint("shuffle_hash"), [K, C])
     w = Window.partitionBy(K, C).orderBy(*ords)
     t, x, s = F.col("total_tokens"), F.col("execution_time"), F.col("success")
     seq = (

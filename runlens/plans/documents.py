@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 
 from runlens.config import DEFAULT_THRESHOLDS, Thresholds
 from runlens.functions.dates import rendered_dates
-from runlens.functions.runs import RUN_FIELDS, has_null_metric, run_struct, valid_runs
+from runlens.functions.runs import RUN_FIELDS, null_metric_in, run_struct, valid_runs
 from runlens.operators.derive import derive_metrics
-from runlens.operators.nested_kernel import nested_run_statistics
+from runlens.operators.nested_kernel import nested_statistics
 
 BASIC_COLUMNS = ["doc_key", "session_id", "created_at", "agent_name", "model_provider", "model_id", "user_id"]
 
@@ -45,13 +45,17 @@ def raw_runs(doc: Column) -> Column:
     return F.coalesce(_get(doc, "$.memory.runs", "array<variant>"), _get(doc, "$.runs", "array<variant>"))
 
 
-def quarantine_reason(doc: Column, runs: Column) -> Column:
-    """Why a document cannot be processed, NULL when it can."""
+def quarantine_reason(doc: Column, raw: Column) -> Column:
+    """Why a document cannot be processed, NULL when it can.
+
+    Reads the raw runs with light checks only (validity and the three
+    metrics), so a filter on the reason stays cheap wherever Catalyst
+    pushes it."""
     return (
         F.when(_null_at(doc, "$.agent_data"), F.lit("agent_data_null"))
         .when(_null_at(doc, "$.agent_data.model"), F.lit("model_null"))
         .when(_null_at(doc, "$.memory"), F.lit("memory_null"))
-        .when(F.exists(runs, has_null_metric), F.lit("null_metric"))
+        .when(null_metric_in(raw), F.lit("null_metric"))
     )
 
 
@@ -59,16 +63,13 @@ def normalize_documents(docs: DataFrame, doc_col: str = "doc") -> DataFrame:
     """Basic fields, ``runs`` (typed valid runs in order), ``raw_run_count``
     and ``quarantine_reason`` per document."""
     doc = F.col(doc_col)
-    raw = raw_runs(doc)
-    out = docs.select(
-        *basic_fields(doc),
-        F.coalesce(F.size(raw), F.lit(0)).cast("long").alias("raw_run_count"),
-        valid_runs(raw).alias("runs"),
-        doc.alias("_doc"),
-    )
-    return out.select(
-        *BASIC_COLUMNS, "raw_run_count", "runs",
-        quarantine_reason(F.col("_doc"), F.col("runs")).alias("quarantine_reason"),
+    staged = docs.select(*basic_fields(doc), raw_runs(doc).alias("_raw"),
+                         quarantine_reason(doc, raw_runs(doc)).alias("quarantine_reason"))
+    return staged.select(
+        *BASIC_COLUMNS,
+        F.coalesce(F.size("_raw"), F.lit(0)).cast("long").alias("raw_run_count"),
+        valid_runs(F.col("_raw")).alias("runs"),
+        "quarantine_reason",
     )
 
 
@@ -86,8 +87,7 @@ def document_features(norm: DataFrame, th: Thresholds = DEFAULT_THRESHOLDS, digi
     """Feature table of good documents: basic fields, ``total_runs``, metrics
     (NULL for a session without valid runs), ``date`` and ``timestamp``
     (present only when the session has runs and a non-zero ``created_at``)."""
-    good = good_documents(norm)
-    stats = good.select(*BASIC_COLUMNS, *nested_run_statistics(F.col("runs"), th))
+    stats = nested_statistics(good_documents(norm), "runs", BASIC_COLUMNS, th)
     date, stamp = rendered_dates(F.col("created_at"))
     has_runs = F.coalesce(F.col("n_runs"), F.lit(0)) > 0
     return stats.select(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from runlens.config import DEFAULT_THRESHOLDS, Thresholds
 from runlens.operators.derive import derive_metrics
 from runlens.operators.flat_kernel import flat_run_statistics
-from runlens.operators.nested_kernel import nested_run_statistics
+from runlens.operators.nested_kernel import nested_statistics
 
 
 def features_from_runs(
@@ -45,7 +45,7 @@ def features_from_nested(
     th: Thresholds = DEFAULT_THRESHOLDS,
 ) -> DataFrame:
     """Nested layout: each row carries its (valid, ordered) runs; row-local."""
-    stats = sessions.select(*keep, *nested_run_statistics(F.col(runs_col), th))
+    stats = nested_statistics(sessions, runs_col, keep, th)
     return stats.select(
         *keep,
         F.coalesce(F.col("n_runs"), F.lit(0)).cast("long").alias("total_runs"),

@@ -12,7 +12,8 @@ the read — a typed JSON schema would silently turn a scalar metric into NULL.
   * any other format name (a document-store connector, when it is on the
     class path), with options passed through; handled like ``parquet``
 
-Test bindings (derived row by row from the driver tables, no grouping):
+Test bindings (derived row by row from the driver tables, no grouping; landed
+once as JSON lines under the shared folder, see ``landing``):
   B5 ``documents`` -> one session document per row; runs are the text's lines
   B2 ``events``    -> one run record per event; session = (user, day)
 """
@@ -23,6 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from runlens.functions.dates import range_bounds
+from runlens.sources.landing import land_json_lines
 from runlens.sources.tables import table
 
 
@@ -127,9 +129,12 @@ def document_sessions_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def document_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """B5 session documents as VARIANT (column ``doc``)."""
-    return document_sessions_json(spark, sf_dir).select(F.parse_json("json").alias("doc"))
+def document_sessions(spark: SparkSession, sf_dir: str, start: str | None = None,
+                      end: str | None = None) -> DataFrame:
+    """B5 session documents, landed as JSON lines and read back as VARIANT (``doc``)."""
+    path = land_json_lines(spark, "documents-sessions", document_sessions_json(spark, sf_dir),
+                           [f"{sf_dir.rstrip('/')}/documents.parquet"])
+    return read_sessions(spark, path, "json", start, end)
 
 
 # --- B2: events -> run records --------------------------------------------------
@@ -168,8 +173,15 @@ def event_run_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(',"input_tokens":'), _num(k), F.lit(',"output_tokens":'), output,
         F.lit(',"time":['), time, F.lit(']},"tools":'), tools, F.lit(',"events":'), events, F.lit("}"),
     )
-    return ev.select(
-        F.concat(_num(F.col("user_id")), F.lit("|"), F.date_format("ts", "yyyy-MM-dd")).alias("session_key"),
-        F.col("event_id").alias("pos"),
-        F.parse_json(text).alias("run"),
+    key = F.concat(_num(F.col("user_id")), F.lit("|"), F.date_format("ts", "yyyy-MM-dd"))
+    records = ev.select(F.concat(
+        F.lit('{"session_key":"'), key, F.lit('","pos":'), _num(F.col("event_id")),
+        F.lit(',"run":'), text, F.lit("}"),
+    ).alias("json"))
+    path = land_json_lines(spark, "events-runs", records, [f"{sf_dir.rstrip('/')}/events.parquet"])
+    landed = spark.read.option("singleVariantColumn", "rec").json(path)
+    return landed.select(
+        F.try_variant_get("rec", "$.session_key", "string").alias("session_key"),
+        F.try_variant_get("rec", "$.pos", "bigint").alias("pos"),
+        F.try_variant_get("rec", "$.run", "variant").alias("run"),
     )
