@@ -139,7 +139,6 @@ def flat_run_statistics(
         "_run_last_s", F.max(F.when(s, F.col("_rn"))).over(w.rowsBetween(Window.unboundedPreceding, 0))
     )
     growth = F.when(F.col("_prev_t") > 0, F.try_divide(t, F.col("_prev_t")))
-    order_struct = F.struct(*ords)
     carried = [F.max(c).alias(c) for c in _SUMMED + _MAXED + _MINNED]
     chunks = seq.groupBy(K, C).agg(
         *carried,
@@ -151,8 +150,8 @@ def flat_run_statistics(
         _count_if(growth > th.explosive_growth).alias("_g_explosive"),
         _count_if(F.col("_prev_x").isNotNull() & (x > F.col("_prev_x") * th.time_jump_multiplier)).alias("_x_jumps"),
         F.count(F.lit(1)).alias("_n"),
-        F.min_by(t, order_struct).alias("_first_t"), F.max_by(t, order_struct).alias("_last_t"),
-        F.min_by(x, order_struct).alias("_first_x"), F.max_by(x, order_struct).alias("_last_x"),
+        F.min_by(t, "_rn").alias("_first_t"), F.max_by(t, "_rn").alias("_last_t"),
+        F.min_by(x, "_rn").alias("_first_x"), F.max_by(x, "_rn").alias("_last_x"),
         F.min(F.when(s, F.col("_rn"))).alias("_first_s"),
         F.max(F.when(s, F.col("_rn"))).alias("_last_s"),
         F.max(F.when(~s, F.col("_rn") - F.coalesce(F.col("_run_last_s"), F.lit(0)))).alias("_streak"),
