@@ -1,0 +1 @@
+"""Column builders: run normalisation, dates, request checks."""

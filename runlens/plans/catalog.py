@@ -20,6 +20,7 @@ from runlens.plans.documents import (basic_fields, document_features, normalize_
                                      raw_runs, run_table, typed_runs)
 from runlens.plans.export import export_frame, export_manifest, extraction_summary, training_rows, \
     write_training_export
+from runlens.operators.restrict import restrict_to_keys
 from runlens.plans.features import features_from_runs
 from runlens.session import shared_dir
 from runlens.sources.documents import document_sessions, event_run_records, read_sessions
@@ -130,6 +131,11 @@ def format_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.select("session_id", "created_at", date.alias("date"), stamp.alias("timestamp"))
 
 
+def document_features_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Same table as ``document_features`` through the flat (chunked) kernel."""
+    return document_features(_norm(spark, sf_dir), kernel="flat")
+
+
 def document_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_table(_norm(spark, sf_dir))
 
@@ -160,14 +166,13 @@ def export_manifest_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------------ B4 orders
 def date_range_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = order_sessions(spark, sf_dir)
-    return filter_date_range(s, *ORDER_RANGE).select("session_id", "created_at")
+    return order_sessions(spark, sf_dir, *ORDER_RANGE).select("session_id", "created_at")
 
 
 def default_date_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     start, end = default_range(AS_OF)
-    s = order_sessions(spark, sf_dir)
-    return filter_date_range(s, start, end).select(
+    s = order_sessions(spark, sf_dir, start, end)
+    return s.select(
         "session_id", "created_at", F.lit(start).alias("start_date"), F.lit(end).alias("end_date"))
 
 
@@ -198,6 +203,17 @@ def validate_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
                     request_error(F.col("start_date"), F.col("end_date")).alias("error"))
 
 
+def order_training_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions of a date range (orders) with features of their runs
+    (line items), as the 48 export columns. Runs are cut to the sessions of
+    the range before the kernel's shuffle."""
+    sessions = order_sessions(spark, sf_dir, *ORDER_RANGE)
+    runs = restrict_to_keys(lineitem_runs(spark, sf_dir), sessions, "session_key", "_id_key")
+    feats = features_from_runs(runs, "session_key", LINEITEM_ORDER, chunk=lineitem_chunk())
+    joined = sessions.join(feats, sessions["_id_key"] == feats["session_key"], "left")
+    return training_rows(joined)
+
+
 # ---------------------------------------------------------------- registries
 def queries() -> dict[str, Query]:
     return {
@@ -219,6 +235,7 @@ def queries() -> dict[str, Query]:
         "run_errors": run_errors,
         "event_features": event_features,
         "document_features": document_features_q,
+        "document_features_flat": document_features_flat,
         "document_runs": document_runs,
         "quarantine_documents": quarantine_documents,
         "scan_sessions": scan_sessions,
@@ -229,6 +246,7 @@ def queries() -> dict[str, Query]:
         "default_date_range": default_date_range,
         "validate_requests": validate_requests,
         "training_export": training_export,
+        "order_training_export": order_training_export,
         "empty_export": empty_export,
         "extraction_summary": extraction_summary_q,
         "export_manifest": export_manifest_q,
@@ -255,6 +273,7 @@ def oracle_sql() -> dict[str, str]:
         "run_errors": f"SELECT session_key, pos, error_count FROM ({O.EVENT_RUNS_SELECT})",
         "event_features": O.features_sql(O.EVENT_RUNS_SQL, "k"),
         "document_features": O.document_features_sql(),
+        "document_features_flat": O.document_features_sql(),
         "document_runs": O.DOCUMENT_RUNS_SELECT,
         "quarantine_documents": O.QUARANTINE_SQL,
         "scan_sessions": O.scan_sessions_sql(*range_bounds(*DOC_RANGE)),
@@ -265,6 +284,7 @@ def oracle_sql() -> dict[str, str]:
         "default_date_range": O.default_range_sql(AS_OF.isoformat()),
         "validate_requests": O.VALIDATE_REQUESTS_SQL,
         "training_export": O.training_export_sql(*range_bounds(*DOC_RANGE)),
+        "order_training_export": O.order_training_export_sql(*range_bounds(*ORDER_RANGE)),
         "empty_export": O.empty_export_sql(*range_bounds(*EMPTY_RANGE), *EMPTY_EXPORT_ROW),
         "extraction_summary": O.extraction_summary_sql(*DOC_RANGE, *range_bounds(*DOC_RANGE)),
     }

@@ -13,6 +13,7 @@ from runlens.config import DEFAULT_THRESHOLDS, Thresholds
 from runlens.functions.dates import rendered_dates
 from runlens.functions.runs import RUN_FIELDS, null_metric_in, run_struct, valid_runs
 from runlens.operators.derive import derive_metrics
+from runlens.operators.flat_kernel import flat_run_statistics
 from runlens.operators.nested_kernel import nested_statistics
 
 BASIC_COLUMNS = ["doc_key", "session_id", "created_at", "agent_name", "model_provider", "model_id", "user_id"]
@@ -83,11 +84,26 @@ def quarantined_documents(norm: DataFrame) -> DataFrame:
 
 
 def document_features(norm: DataFrame, th: Thresholds = DEFAULT_THRESHOLDS, digits: int | None = 6,
-                      metrics: list[str] | None = None) -> DataFrame:
+                      metrics: list[str] | None = None, kernel: str = "nested",
+                      chunk_bits: int = 16) -> DataFrame:
     """Feature table of good documents: basic fields, ``total_runs``, metrics
     (NULL for a session without valid runs), ``date`` and ``timestamp``
-    (present only when the session has runs and a non-zero ``created_at``)."""
-    stats = nested_statistics(good_documents(norm), "runs", BASIC_COLUMNS, th)
+    (present only when the session has runs and a non-zero ``created_at``).
+
+    ``kernel="nested"`` (default) computes each document in its own row, no
+    shuffle. ``kernel="flat"`` explodes the runs with their position and uses
+    the chunked flat kernel, then joins the statistics back to the documents
+    (one row per document on both sides) — for sessions too long to be
+    handled as one row.
+    """
+    good = good_documents(norm)
+    if kernel == "nested":
+        stats = nested_statistics(good, "runs", BASIC_COLUMNS, th)
+    elif kernel == "flat":
+        flat = flat_run_statistics(run_table(norm), "doc_key", "pos", th=th, chunk_bits=chunk_bits)
+        stats = good.select(*BASIC_COLUMNS).join(flat, "doc_key", "left")
+    else:
+        raise ValueError(f"unknown kernel {kernel!r}")
     date, stamp = rendered_dates(F.col("created_at"))
     has_runs = F.coalesce(F.col("n_runs"), F.lit(0)) > 0
     return stats.select(

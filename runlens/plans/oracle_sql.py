@@ -351,3 +351,19 @@ SELECT '{start}' AS start_date, '{end}' AS end_date, count(*) AS total_conversat
   min(created_at) AS first_created_at, max(created_at) AS last_created_at,
   CAST(NULL AS VARCHAR) AS location
 FROM good WHERE created_at BETWEEN {lo} AND {hi}"""
+
+
+def order_training_export_sql(lo: int, hi: int) -> str:
+    from runlens.config import EXPORT_COLUMNS
+    runs = LINEITEM_RUNS_SQL + " WHERE l_orderkey IN (SELECT o_orderkey FROM sess)"
+    metrics = ", ".join(metric_select(m) for m in ALL_METRICS)
+    cols = ", ".join(f"coalesce({c}, 0) AS {c}" for c in EXPORT_COLUMNS[4:])
+    return f"""WITH sess AS (
+  SELECT o_orderkey, CAST(o_orderkey AS VARCHAR) AS session_id, o_orderpriority AS agent_name,
+         o_orderstatus AS model_provider, 'm' || CAST(o_custkey % 10 AS VARCHAR) AS model_id
+  FROM orders WHERE epoch(o_orderdate) BETWEEN {lo} AND {hi}),
+{stats_ctes(runs)},
+feats AS (SELECT k, CAST(n AS BIGINT) AS total_runs, {metrics} FROM agg)
+SELECT session_id, coalesce(agent_name, '') AS agent_name, coalesce(model_provider, '') AS model_provider,
+       coalesce(model_id, '') AS model_id, {cols}
+FROM sess LEFT JOIN feats ON feats.k = sess.o_orderkey"""

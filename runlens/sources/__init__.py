@@ -1,0 +1 @@
+"""Session-document and run-table sources."""

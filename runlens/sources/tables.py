@@ -72,10 +72,22 @@ def conversation_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --- B4 orders --------------------------------------------------------------
-def order_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Session table (documents without runs) from orders."""
+def order_sessions(spark: SparkSession, sf_dir: str, start: str | None = None,
+                   end: str | None = None) -> DataFrame:
+    """Session table (documents without runs) from orders.
+
+    With a range, the filter compares ``o_orderdate`` itself with literal
+    bounds (``start 00:00:00`` .. ``end 23:59:59``, session time zone), so it
+    reaches the Parquet scan as a pushed filter.
+    """
     o = table(spark, sf_dir, "orders")
+    if start is not None:
+        typ = dict(o.dtypes)["o_orderdate"]
+        lo = F.lit(f"{start} 00:00:00").cast(typ)
+        hi = F.lit(f"{end} 23:59:59").cast(typ)
+        o = o.filter((F.col("o_orderdate") >= lo) & (F.col("o_orderdate") <= hi))
     return o.select(
+        F.col("o_orderkey").alias("_id_key"),
         F.col("o_orderkey").cast("string").alias("_id"),
         F.col("o_orderkey").cast("string").alias("session_id"),
         F.col("o_custkey").cast("string").alias("user_id"),

@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The reference job has no streaming path — it is re-run per date range with
+bookmarks off — so there is no stream source, watermark or state to rebuild.
+A date range is processed as one batch by ``runlens.plans.job``.
+"""
