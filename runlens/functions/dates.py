@@ -53,12 +53,28 @@ def default_range_columns(as_of: Column) -> tuple[Column, Column]:
     return F.add_months(as_of, -1), F.date_sub(as_of, 1)
 
 
-def rendered_dates(created_at: Column) -> tuple[Column, Column]:
-    """(``date``, ``timestamp``) text of an epoch, NULL when it is 0 or missing."""
-    ts = F.timestamp_seconds(created_at)
+def rendered_dates(created_at: Column, tz: str = "UTC") -> tuple[Column, Column]:
+    """(``date``, ``timestamp``) text of an epoch in zone ``tz``, NULL when the
+    epoch is 0 or missing. Built from day numbers and seconds of the day, so
+    the result does not depend on the session time zone."""
+    secs = F.floor(created_at).cast("long")
+    day = F.date_add(F.lit("1970-01-01").cast("date"), F.floor(secs / 86400).cast("int"))
+    sod = secs - F.floor(secs / 86400).cast("long") * 86400
+    wall = F.make_timestamp_ntz(F.year(day), F.month(day), F.dayofmonth(day),
+                                (sod / 3600).cast("int"), ((sod % 3600) / 60).cast("int"), (sod % 60).cast("int"))
+    if tz != "UTC":
+        wall = F.convert_timezone(F.lit("UTC"), F.lit(tz), wall)
     present = F.coalesce(created_at, F.lit(0)) != 0
-    return (F.when(present, F.date_format(ts, DATE_FORMAT)),
-            F.when(present, F.date_format(ts, ISO_FORMAT)))
+    return (F.when(present, F.date_format(wall, DATE_FORMAT)),
+            F.when(present, F.date_format(wall, ISO_FORMAT)))
+
+
+def epoch_seconds(ts: Column, dtype: str) -> Column:
+    """Epoch seconds of a timestamp column; a TIMESTAMP_NTZ value is read as
+    UTC wall-clock time whatever the session time zone."""
+    if dtype == "timestamp_ntz":
+        return F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts)
+    return F.unix_seconds(ts)
 
 
 def is_valid_date_text(text: Column) -> Column:

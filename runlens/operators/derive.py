@@ -11,10 +11,12 @@ the export turns them into 0 (see ``plans.export``).
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from runlens.config import DEFAULT_THRESHOLDS, Thresholds
+from runlens.functions.arith import safe_div
+
 
 
 def _flag(cond: Column) -> Column:
@@ -27,86 +29,109 @@ def _guard(ok: Column, value: Column, empty) -> Column:
     return F.when(ok.isNull(), F.lit(None)).when(ok, value).otherwise(F.lit(empty))
 
 
-def metric_columns(th: Thresholds = DEFAULT_THRESHOLDS) -> dict[str, Column]:
+def ratio_columns(th: Thresholds = DEFAULT_THRESHOLDS) -> list[Column]:
+    """Means, ratios and guards shared by several metrics, computed once.
+
+    Deriving the metrics in two projections keeps each generated method
+    small: inlining these into all 43 metric expressions produced one huge
+    method that the JVM would not compile."""
     c = F.col
     n = c("n_runs")
+    t_mean = safe_div(c("t_sum"), n)
+    o_mean = safe_div(c("o_sum"), n)
+    x_mean = safe_div(c("x_sum"), n)
+    k_mean = safe_div(c("k_sum"), n)
+    r_min = c("r_min")
+    return [
+        t_mean.alias("_t_mean"),
+        o_mean.alias("_o_mean"),
+        x_mean.alias("_x_mean"),
+        k_mean.alias("_k_mean"),
+        (c("t_nonzero") > 0).alias("_tok_ok"),
+        (c("x_nonzero") > 0).alias("_time_ok"),
+        (c("k_nonzero") > 0).alias("_tool_ok"),
+        (c("r_count") > 0).alias("_speed_ok"),
+        safe_div(c("w_count"), n).alias("_timeout_freq"),
+        safe_div(c("x_long"), n).alias("_long_freq"),
+        safe_div(c("k_excess"), n).alias("_excess_freq"),
+        F.when(k_mean > 0, safe_div(c("k_max"), k_mean)).otherwise(F.lit(1.0)).alias("_tool_explosion"),
+        F.when(r_min > 0, safe_div(c("r_max"), r_min)).otherwise(F.lit(0.0)).alias("_inconsistency"),
+        safe_div(c("r_slow") + c("r_fast"), c("r_count")).alias("_odd_speed"),
+        safe_div(c("s_count"), n).alias("_success_rate"),
+    ]
+
+
+def with_ratios(stats: DataFrame, th: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:
+    """Base statistics plus the shared ratios (the input of ``derive_metrics``)."""
+    return stats.select("*", *ratio_columns(th))
+
 
-    def ratio(num, den):
-        return F.try_divide(num, den)
+def metric_columns(th: Thresholds = DEFAULT_THRESHOLDS) -> dict[str, Column]:
+    """Metric expressions over base statistics and ``ratio_columns``."""
+    c = F.col
+    n = c("n_runs")
+    t_mean, o_mean, x_mean, k_mean = c("_t_mean"), c("_o_mean"), c("_x_mean"), c("_k_mean")
 
     # tokens
-    tok_ok = c("t_nonzero") > 0
-    t_mean = ratio(c("t_sum"), n)
-    o_mean = ratio(c("o_sum"), n)
-    token_explosion = F.when(t_mean > 0, ratio(c("t_max"), t_mean)).otherwise(F.lit(1.0))
-    growth_max = F.when(c("g_count") > 0, c("g_max")).otherwise(F.lit(1.0))
     tokens = {
         "avg_total_tokens": (t_mean, 0.0),
         "max_total_tokens": (c("t_max").cast("double"), 0.0),
-        "token_explosion_ratio": (token_explosion, 0.0),
-        "output_explosion_ratio": (F.when(o_mean > 0, ratio(c("o_max"), o_mean)).otherwise(F.lit(1.0)), 0.0),
+        "token_explosion_ratio": (
+            F.when(t_mean > 0, safe_div(c("t_max"), t_mean)).otherwise(F.lit(1.0)), 0.0),
+        "output_explosion_ratio": (
+            F.when(o_mean > 0, safe_div(c("o_max"), o_mean)).otherwise(F.lit(1.0)), 0.0),
         "token_coefficient_variation": (
-            F.when(t_mean > 0, ratio(F.sqrt(ratio(c("t_m2"), n)), t_mean)).otherwise(F.lit(0.0)), 0.0),
-        "token_spike_frequency": (ratio(c("t_spikes"), n), 0.0),
-        "max_token_growth_rate": (growth_max, 1.0),
+            F.when(t_mean > 0, safe_div(F.sqrt(safe_div(c("t_m2"), n)), t_mean)).otherwise(F.lit(0.0)), 0.0),
+        "token_spike_frequency": (safe_div(c("t_spikes"), n), 0.0),
+        "max_token_growth_rate": (F.when(c("g_count") > 0, c("g_max")).otherwise(F.lit(1.0)), 1.0),
         "explosive_growth_events": (c("g_explosive").cast("long"), 0),
         "extreme_token_flag": (_flag(c("t_max") > th.extreme_token_limit), 0),
         "mega_explosion_flag": (_flag(c("t_max") > th.mega_explosion_limit), 0),
     }
     # time
-    time_ok = c("x_nonzero") > 0
-    x_mean = ratio(c("x_sum"), n)
-    timeout_freq = ratio(c("w_count"), n)
-    long_freq = ratio(c("x_long"), n)
     time = {
         "avg_execution_time": (x_mean, 0.0),
         "max_execution_time": (c("x_max").cast("double"), 0.0),
-        "timeout_frequency": (timeout_freq, 0.0),
-        "extreme_time_frequency": (long_freq, 0.0),
+        "timeout_frequency": (c("_timeout_freq"), 0.0),
+        "extreme_time_frequency": (c("_long_freq"), 0.0),
         "execution_time_cv": (
-            F.when(x_mean > 0, ratio(F.sqrt(ratio(c("x_m2"), n)), x_mean)).otherwise(F.lit(0.0)), 0.0),
+            F.when(x_mean > 0, safe_div(F.sqrt(safe_div(c("x_m2"), n)), x_mean)).otherwise(F.lit(0.0)), 0.0),
         "time_explosion_events": (c("x_jumps").cast("long"), 0),
-        "infinite_loop_risk_score": (timeout_freq + long_freq, 0.0),
+        "infinite_loop_risk_score": (c("_timeout_freq") + c("_long_freq"), 0.0),
         "timeout_flag": (_flag(c("w_count") > 0), 0),
         "extreme_duration_flag": (_flag(c("x_max") > th.long_duration_limit), 0),
     }
     # tools
-    tool_ok = c("k_nonzero") > 0
-    k_mean = ratio(c("k_sum"), n)
-    tool_explosion = F.when(k_mean > 0, ratio(c("k_max"), k_mean)).otherwise(F.lit(1.0))
-    excess_freq = ratio(c("k_excess"), n)
+    tool_explosion = c("_tool_explosion")
     tools = {
         "avg_tool_calls": (k_mean, 0.0),
         "max_tool_calls": (c("k_max").cast("long"), 0),
         "total_tool_calls": (c("k_sum").cast("long"), 0),
         "tool_explosion_ratio": (tool_explosion, 0.0),
-        "excessive_tools_frequency": (excess_freq, 0.0),
+        "excessive_tools_frequency": (c("_excess_freq"), 0.0),
         "duplicate_tools_score": (F.lit(0.0), 0.0),
-        "tool_chaos_score": (excess_freq + tool_explosion / th.tool_chaos_divisor, 0.0),
+        "tool_chaos_score": (c("_excess_freq") + tool_explosion / th.tool_chaos_divisor, 0.0),
         "tool_overuse_flag": (_flag(c("k_max") > th.tool_overuse_limit), 0),
         "tool_explosion_flag": (_flag(tool_explosion > th.explosive_growth), 0),
     }
     # speed (tokens per second over runs with execution_time > 0)
-    speed_ok = c("r_count") > 0
-    inconsistency = F.when(c("r_min") > 0, ratio(c("r_max"), c("r_min"))).otherwise(F.lit(0.0))
-    odd_speed = ratio(c("r_slow") + c("r_fast"), c("r_count"))
     speed = {
-        "avg_tokens_per_second": (ratio(c("r_sum"), c("r_count")), 0.0),
+        "avg_tokens_per_second": (safe_div(c("r_sum"), c("r_count")), 0.0),
         "min_tokens_per_second": (c("r_min"), 0.0),
         "max_tokens_per_second": (c("r_max"), 0.0),
-        "speed_inconsistency_ratio": (inconsistency, 0.0),
-        "inconsistent_speed_frequency": (odd_speed, 0.0),
-        "temporal_chaos_score": (odd_speed, 0.0),
-        "speed_anomaly_flag": (_flag(inconsistency > th.speed_anomaly_ratio), 0),
+        "speed_inconsistency_ratio": (c("_inconsistency"), 0.0),
+        "inconsistent_speed_frequency": (c("_odd_speed"), 0.0),
+        "temporal_chaos_score": (c("_odd_speed"), 0.0),
+        "speed_anomaly_flag": (_flag(c("_inconsistency") > th.speed_anomaly_ratio), 0),
     }
     # failures (no guard beyond "has runs")
-    success_rate = ratio(c("s_count"), n)
+    success_rate = c("_success_rate")
     failure_rate = 1.0 - success_rate
     failure = {
         "success_rate": success_rate,
         "failure_rate": failure_rate,
         "max_consecutive_failures": c("fail_streak").cast("long"),
-        "avg_errors_per_run": ratio(c("e_sum"), n),
+        "avg_errors_per_run": safe_div(c("e_sum"), n),
         "total_errors": c("e_sum").cast("long"),
         "degradation_score": F.lit(0.0),
         "systematic_failure_flag": _flag(failure_rate > th.systematic_failure_rate),
@@ -114,7 +139,8 @@ def metric_columns(th: Thresholds = DEFAULT_THRESHOLDS) -> dict[str, Column]:
     }
 
     out: dict[str, Column] = {}
-    for ok, group in ((tok_ok, tokens), (time_ok, time), (tool_ok, tools), (speed_ok, speed)):
+    for ok, group in ((c("_tok_ok"), tokens), (c("_time_ok"), time), (c("_tool_ok"), tools),
+                      (c("_speed_ok"), speed)):
         for name, (value, empty) in group.items():
             out[name] = _guard(ok, value, empty)
     has_runs = n > 0
@@ -145,7 +171,8 @@ def metric_type(name: str) -> str:
 
 def derive_metrics(names: list[str] | None = None, th: Thresholds = DEFAULT_THRESHOLDS,
                    digits: int | None = None) -> list[Column]:
-    """Metric columns (optionally a subset, optionally rounded) over base statistics."""
+    """Metric columns (optionally a subset, optionally rounded) over the output
+    of ``with_ratios``."""
     cols = metric_columns(th)
     names = list(cols) if names is None else names
     out = []

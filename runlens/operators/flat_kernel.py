@@ -12,20 +12,21 @@ Plan shape (skew-safe — a single session may hold a large share of all runs):
      never decreases along the run order (default: ``pos >> chunk_bits`` for
      a single numeric position). A chunk holds at most ``2**chunk_bits``
      runs when positions are dense, so no task ever holds a whole session.
-  2. Order-free statistics: ``groupBy(key, chunk)`` with map-side partial
-     aggregation (tiny shuffle), then session totals with a window over the
-     chunk rows of each session (chunk-level data only).
-  3. Ordered pass: runs are joined to their chunk's session totals on
-     ``(key, chunk)`` — the join is salted by the chunk, so a hot session is
-     spread over many tasks. Within a chunk a window gives the previous run
-     (growth rate, time jump) and the failure streak; spikes and squared
-     deviations use the session mean from step 2 (exact two-pass variance).
+  2. Session means: run count and sums per (session, chunk) with map-side
+     partial aggregation, then a window over the chunk rows of each session.
+     Three numbers per chunk — the only work before the ordered pass.
+  3. Ordered pass: runs are joined to their chunk's session means on
+     ``(session, chunk)`` — the join is salted by the chunk, so a hot session
+     is spread over many tasks. Within a chunk a window gives the previous
+     run (growth rate, time jump) and the failure streak; one aggregation per
+     chunk gives every order-free statistic plus spikes and squared
+     deviations against the session mean (exact two-pass variance).
   4. Chunk summaries are stitched per session in chunk order: boundary
      pairs (last run of one chunk, first run of the next) and failure
-     streaks that cross chunk borders.
+     streaks that cross chunk borders; sums, maxima and minima combine.
 
-Only step 3 moves whole runs through a shuffle, and only the five columns it
-needs. Every other exchange carries one row per (session, chunk).
+Step 3 moves whole runs through one shuffle on (session, chunk); every other
+exchange carries one row per (session, chunk) or less.
 """
 
 from __future__ import annotations
@@ -36,6 +37,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from runlens.config import DEFAULT_THRESHOLDS, Thresholds
+from runlens.functions.arith import safe_div
+
 
 K = "_key"
 C = "_chunk"
@@ -65,7 +68,7 @@ def order_free_aggs(th: Thresholds) -> list[Column]:
     """Aggregates that do not depend on run order (partial-aggregation friendly)."""
     t, o, x = F.col("total_tokens"), F.col("output_tokens"), F.col("execution_time")
     k = F.col("tool_calls_count")
-    rate = F.when(x > 0, F.try_divide(t, x))
+    rate = F.when(x > 0, safe_div(t, x))
     return [
         F.count(F.lit(1)).alias("n_runs"),
         F.sum(t).alias("t_sum"), F.max(t).alias("t_max"), _count_if(t != 0).alias("t_nonzero"),
@@ -107,27 +110,22 @@ def flat_run_statistics(
         *[F.col(c) for c in roles],
     )
 
-    # -- step 2: order-free statistics per (session, chunk), then session totals
-    per_chunk = r.groupBy(K, C).agg(*order_free_aggs(th))
+    # -- step 2: session means from per-(session, chunk) sums (narrow, partial aggregation)
+    sums = r.groupBy(K, C).agg(
+        F.count(F.lit(1)).alias("_cn"), F.sum("total_tokens").alias("_cts"), F.sum("execution_time").alias("_cxs"))
     wk = Window.partitionBy(K)
-    totals = per_chunk.select(
+    means = sums.select(
         K, C,
-        *[F.sum(c).over(wk).alias(c) for c in _SUMMED],
-        *[F.max(c).over(wk).alias(c) for c in _MAXED],
-        *[F.min(c).over(wk).alias(c) for c in _MINNED],
-    ).select(
-        "*",
-        (F.col("t_sum") / F.col("n_runs")).alias("_t_mean"),
-        (F.col("x_sum") / F.col("n_runs")).alias("_x_mean"),
+        (F.sum("_cts").over(wk) / F.sum("_cn").over(wk)).alias("_t_mean"),
+        (F.sum("_cxs").over(wk) / F.sum("_cn").over(wk)).alias("_x_mean"),
     )
 
-    # -- step 3: ordered pass inside each chunk (join salted by the chunk)
-    # Shuffled hash join on (session, chunk), building on the chunk-level
-    # totals: runs are never broadcast and never sorted for the join, and the
-    # window below inherits (session, chunk) partitioning — a hot session is
-    # spread over as many tasks as it has chunks.
-    ordered = r.select(K, C, *ords, "total_tokens", "execution_time", "success")
-    seq = ordered.join(totals.hint("shuffle_hash"), [K, C])
+    # -- step 3: ordered pass inside each chunk. Shuffled hash join on
+    # (session, chunk), building on the chunk-level means: runs are never
+    # broadcast and never sorted for the join, and the window below inherits
+    # (session, chunk) partitioning — a hot session is spread over as many
+    # tasks as it has chunks.
+    seq = r.join(means.hint("shuffle_hash"), [K, C])
     w = Window.partitionBy(K, C).orderBy(*ords)
     t, x, s = F.col("total_tokens"), F.col("execution_time"), F.col("success")
     seq = (
@@ -138,10 +136,9 @@ def flat_run_statistics(
     seq = seq.withColumn(
         "_run_last_s", F.max(F.when(s, F.col("_rn"))).over(w.rowsBetween(Window.unboundedPreceding, 0))
     )
-    growth = F.when(F.col("_prev_t") > 0, F.try_divide(t, F.col("_prev_t")))
-    carried = [F.max(c).alias(c) for c in _SUMMED + _MAXED + _MINNED]
+    growth = F.when(F.col("_prev_t") > 0, safe_div(t, F.col("_prev_t")))
     chunks = seq.groupBy(K, C).agg(
-        *carried,
+        *order_free_aggs(th),
         _count_if(t > F.col("_t_mean") * th.token_spike_multiplier).alias("t_spikes"),
         F.sum((t - F.col("_t_mean")) * (t - F.col("_t_mean"))).alias("t_m2"),
         F.sum((x - F.col("_x_mean")) * (x - F.col("_x_mean"))).alias("x_m2"),
@@ -149,7 +146,6 @@ def flat_run_statistics(
         F.max(growth).alias("_g_max"),
         _count_if(growth > th.explosive_growth).alias("_g_explosive"),
         _count_if(F.col("_prev_x").isNotNull() & (x > F.col("_prev_x") * th.time_jump_multiplier)).alias("_x_jumps"),
-        F.count(F.lit(1)).alias("_n"),
         F.min_by(t, "_rn").alias("_first_t"), F.max_by(t, "_rn").alias("_last_t"),
         F.min_by(x, "_rn").alias("_first_x"), F.max_by(x, "_rn").alias("_last_x"),
         F.min(F.when(s, F.col("_rn"))).alias("_first_s"),
@@ -163,11 +159,11 @@ def flat_run_statistics(
     chunks = (
         chunks.withColumn("_prev_last_t", F.lag("_last_t").over(wc))
         .withColumn("_prev_last_x", F.lag("_last_x").over(wc))
-        .withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+        .withColumn("_offset", F.coalesce(F.sum("n_runs").over(before), F.lit(0)))
     )
     chunks = chunks.withColumn("_succ_abs", F.col("_offset") + F.col("_last_s"))
     chunks = chunks.withColumn("_prev_succ", F.max("_succ_abs").over(before))
-    border_growth = F.when(F.col("_prev_last_t") > 0, F.try_divide(F.col("_first_t"), F.col("_prev_last_t")))
+    border_growth = F.when(F.col("_prev_last_t") > 0, safe_div(F.col("_first_t"), F.col("_prev_last_t")))
     border_jump = F.col("_prev_last_x").isNotNull() & (
         F.col("_first_x") > F.col("_prev_last_x") * th.time_jump_multiplier
     )
@@ -176,7 +172,9 @@ def flat_run_statistics(
         F.col("_offset") + F.col("_first_s") - 1 - F.coalesce(F.col("_prev_succ"), F.lit(0)),
     )
     out = chunks.groupBy(K).agg(
-        *[F.max(c).alias(c) for c in _SUMMED + _MAXED + _MINNED],
+        *[F.sum(c).alias(c) for c in _SUMMED],
+        *[F.max(c).alias(c) for c in _MAXED],
+        *[F.min(c).alias(c) for c in _MINNED],
         F.sum("t_spikes").alias("t_spikes"),
         F.sum("t_m2").alias("t_m2"),
         F.sum("x_m2").alias("x_m2"),
@@ -187,7 +185,7 @@ def flat_run_statistics(
         F.greatest(
             F.coalesce(F.max("_streak"), F.lit(0)),
             F.coalesce(F.max(lead_streak), F.lit(0)),
-            F.max("n_runs") - F.coalesce(F.max("_succ_abs"), F.lit(0)),
+            F.sum("n_runs") - F.coalesce(F.max("_succ_abs"), F.lit(0)),
         ).cast("long").alias("fail_streak"),
     )
     return out.select(F.col(K).alias(key), *BASE_STATS)

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from runlens.config import DEFAULT_THRESHOLDS, Thresholds
+from runlens.functions.arith import safe_div
 from runlens.operators.flat_kernel import BASE_STATS
 
 
@@ -67,7 +68,7 @@ def nested_statistics(df: DataFrame, runs_col: str = "runs", keep: Sequence[str]
         field("error_count").alias("_e"),
         field("has_timeout").alias("_w"),
         F.transform(F.filter(runs, lambda r: r["execution_time"] > 0),
-                    lambda r: F.try_divide(r["total_tokens"], r["execution_time"])).alias("_r"),
+                    lambda r: safe_div(r["total_tokens"], r["execution_time"])).alias("_r"),
     )
     c = F.col
     n = c("_n")
@@ -75,12 +76,12 @@ def nested_statistics(df: DataFrame, runs_col: str = "runs", keep: Sequence[str]
         *keep, "_n", "_t", "_o", "_x", "_k", "_s", "_e", "_w", "_r",
         _sum(c("_t")).alias("_t_sum"),
         _sum(c("_x")).alias("_x_sum"),
-        F.filter(_pairs(c("_t"), n, lambda a, b: F.when(a > 0, F.try_divide(b, a))),
+        F.filter(_pairs(c("_t"), n, lambda a, b: F.when(a > 0, safe_div(b, a))),
                  lambda g: g.isNotNull()).alias("_g"),
         _pairs(c("_x"), n, lambda a, b: b > a * th.time_jump_multiplier).alias("_j"),
     )
-    t_mean = F.try_divide(c("_t_sum"), n)
-    x_mean = F.try_divide(c("_x_sum"), n)
+    t_mean = safe_div(c("_t_sum"), n)
+    x_mean = safe_div(c("_x_sum"), n)
     sq_dev = lambda arr, mean: F.aggregate(
         arr, F.lit(0.0).cast("double"), lambda acc, v: acc + (v - mean) * (v - mean))
     stats = {

@@ -22,7 +22,7 @@ from runlens.plans.export import export_frame, export_manifest, extraction_summa
     write_training_export
 from runlens.operators.restrict import restrict_to_keys
 from runlens.plans.features import features_from_runs
-from runlens.session import shared_dir
+from runlens.session import shared_dir, tune_session
 from runlens.sources.documents import document_sessions, event_run_records, read_sessions
 from runlens.sources.tables import (LINEITEM_ORDER, conversation_runs, lineitem_chunk, lineitem_runs,
                                     order_sessions, table)
@@ -215,7 +215,20 @@ def order_training_export(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- registries
+def _tuned(fn: Query) -> Query:
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        tune_session(spark)
+        return fn(spark, sf_dir)
+    q.__name__ = getattr(fn, "__name__", "query")
+    q.__doc__ = fn.__doc__
+    return q
+
+
 def queries() -> dict[str, Query]:
+    return {name: _tuned(fn) for name, fn in _queries().items()}
+
+
+def _queries() -> dict[str, Query]:
     return {
         "session_features": _lineitem_features(),
         "token_metrics": _lineitem_features(TOKEN_METRICS, with_runs=False),

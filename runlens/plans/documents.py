@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from runlens.config import DEFAULT_THRESHOLDS, Thresholds
 from runlens.functions.dates import rendered_dates
 from runlens.functions.runs import RUN_FIELDS, null_metric_in, run_struct, valid_runs
-from runlens.operators.derive import derive_metrics
+from runlens.operators.derive import derive_metrics, with_ratios
 from runlens.operators.flat_kernel import flat_run_statistics
 from runlens.operators.nested_kernel import nested_statistics
 
@@ -104,6 +104,7 @@ def document_features(norm: DataFrame, th: Thresholds = DEFAULT_THRESHOLDS, digi
         stats = good.select(*BASIC_COLUMNS).join(flat, "doc_key", "left")
     else:
         raise ValueError(f"unknown kernel {kernel!r}")
+    stats = with_ratios(stats, th)
     date, stamp = rendered_dates(F.col("created_at"))
     has_runs = F.coalesce(F.col("n_runs"), F.lit(0)) > 0
     return stats.select(

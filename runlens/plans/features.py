@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from runlens.config import DEFAULT_THRESHOLDS, Thresholds
-from runlens.operators.derive import derive_metrics
+from runlens.operators.derive import derive_metrics, with_ratios
 from runlens.operators.flat_kernel import flat_run_statistics
 from runlens.operators.nested_kernel import nested_statistics
 
@@ -28,7 +28,7 @@ def features_from_runs(
     Sessions appear only if they have at least one run; join the result to a
     session table (left) to keep sessions without runs.
     """
-    stats = flat_run_statistics(runs, key, order, chunk=chunk, th=th, chunk_bits=chunk_bits)
+    stats = with_ratios(flat_run_statistics(runs, key, order, chunk=chunk, th=th, chunk_bits=chunk_bits), th)
     return stats.select(
         F.col(key).alias("session_key"),
         F.col("n_runs").cast("long").alias("total_runs"),
@@ -45,7 +45,7 @@ def features_from_nested(
     th: Thresholds = DEFAULT_THRESHOLDS,
 ) -> DataFrame:
     """Nested layout: each row carries its (valid, ordered) runs; row-local."""
-    stats = nested_statistics(sessions, runs_col, keep, th)
+    stats = with_ratios(nested_statistics(sessions, runs_col, keep, th), th)
     return stats.select(
         *keep,
         F.coalesce(F.col("n_runs"), F.lit(0)).cast("long").alias("total_runs"),

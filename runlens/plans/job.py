@@ -30,6 +30,7 @@ from runlens.config import DEFAULT_THRESHOLDS, Thresholds
 from runlens.functions.dates import default_range, request_error
 from runlens.plans.documents import document_features, normalize_documents, quarantined_documents
 from runlens.plans.export import export_manifest, write_training_export
+from runlens.session import tune_session
 from runlens.sources.documents import read_sessions
 
 
@@ -69,6 +70,7 @@ def run_extraction(
     reason next to the export — a second pass over the source, so off by
     default.
     """
+    tune_session(spark)
     start, end = check_request(spark, start, end, as_of)
     docs = read_sessions(spark, source, fmt, start, end, **source_options)
     norm = normalize_documents(docs)

@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from runlens.functions.dates import epoch_seconds
+
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
@@ -91,7 +93,7 @@ def order_sessions(spark: SparkSession, sf_dir: str, start: str | None = None,
         F.col("o_orderkey").cast("string").alias("_id"),
         F.col("o_orderkey").cast("string").alias("session_id"),
         F.col("o_custkey").cast("string").alias("user_id"),
-        F.unix_timestamp("o_orderdate").alias("created_at"),
+        epoch_seconds(F.col("o_orderdate"), dict(o.dtypes)["o_orderdate"]).alias("created_at"),
         F.col("o_orderpriority").alias("agent_name"),
         F.col("o_orderstatus").alias("model_provider"),
         F.concat(F.lit("m"), (F.col("o_custkey") % 10).cast("string")).alias("model_id"),
