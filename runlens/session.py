@@ -56,15 +56,23 @@ def shared_dir(spark: SparkSession) -> str:
     Only when it is unset (a local test run) a fresh folder is created and
     registered as the checkpoint directory.
     """
-    sc = spark.sparkContext
-    path = sc.getConf().get("spark.checkpoint.dir", None)
-    if not path:
-        try:
-            path = sc.getCheckpointDir()
-        except Exception:  # older API surface
-            path = None
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext on the client
+        sc = None
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    if not path and sc is not None:
+        path = sc.getConf().get("spark.checkpoint.dir", None)
+        if not path:
+            try:
+                path = sc.getCheckpointDir()
+            except Exception:  # older API surface
+                path = None
     if not path:
         path = tempfile.mkdtemp(prefix="runlens-ckpt-")
-        sc.setCheckpointDir(path)
-        path = sc.getCheckpointDir() or path
+        if sc is not None:
+            sc.setCheckpointDir(path)
+            path = sc.getCheckpointDir() or path
+        else:
+            spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")

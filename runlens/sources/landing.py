@@ -15,6 +15,7 @@ concurrent callers never see a half-written copy.
 from __future__ import annotations
 
 import hashlib
+import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,33 +23,64 @@ from pyspark.sql import DataFrame, SparkSession
 from runlens.session import shared_dir
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
+class _Files:
+    """Existence and rename through Hadoop's FileSystem (any scheme the
+    cluster supports), or through ``os`` for local paths when no JVM gateway
+    is available on the client (Spark Connect)."""
 
+    def __init__(self, spark: SparkSession):
+        try:
+            sc = spark.sparkContext
+            self._jvm = sc._jvm
+            self._conf = sc._jsc.hadoopConfiguration()
+        except Exception:
+            self._jvm = None
 
-def _fingerprint(spark: SparkSession, sources: list[str]) -> str:
-    h = hashlib.sha1()
-    for src in sources:
-        fs, p, _ = _fs(spark, src)
+    def _path(self, path: str):
+        p = self._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self._conf), p
+
+    def exists(self, path: str) -> bool:
+        if self._jvm is None:
+            return os.path.exists(_local(path))
+        fs, p = self._path(path)
+        return fs.exists(p)
+
+    def stamp(self, path: str) -> str:
+        if self._jvm is None:
+            st = os.stat(_local(path))
+            return f"{st.st_size}|{int(st.st_mtime * 1000)}"
+        fs, p = self._path(path)
         st = fs.getFileStatus(p)
-        h.update(f"{src}|{st.getLen()}|{st.getModificationTime()}".encode())
-    return h.hexdigest()[:16]
+        return f"{st.getLen()}|{st.getModificationTime()}"
+
+    def rename(self, src: str, dst: str) -> bool:
+        if self._jvm is None:
+            try:
+                os.rename(_local(src), _local(dst))
+                return True
+            except OSError:
+                return False
+        fs, s = self._path(src)
+        _, d = self._path(dst)
+        return fs.rename(s, d)
+
+
+def _local(path: str) -> str:
+    return path[len("file:"):] if path.startswith("file:") else path
 
 
 def land_json_lines(spark: SparkSession, name: str, text: DataFrame, sources: list[str]) -> str:
     """Write a one-column DataFrame of JSON text as JSON lines (once) and
     return the folder."""
-    root = f"{shared_dir(spark)}/landing"
-    path = f"{root}/{name}-{_fingerprint(spark, sources)}"
-    fs, target, jvm = _fs(spark, path)
-    if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")):
+    files = _Files(spark)
+    digest = hashlib.sha1("".join(f"{src}|{files.stamp(src)}" for src in sources).encode()).hexdigest()[:16]
+    path = f"{shared_dir(spark)}/landing/{name}-{digest}"
+    if files.exists(f"{path}/_SUCCESS"):
         return path
     tmp = f"{path}.tmp-{uuid.uuid4().hex}"
     text.write.mode("overwrite").option("compression", "none").text(tmp)
-    _, tmp_path, _ = _fs(spark, tmp)
-    if fs.exists(target) or not fs.rename(tmp_path, target):
+    if files.exists(path) or not files.rename(tmp, path):
         # another caller landed it meanwhile (or left a partial copy): use ours
         return tmp
     return path

@@ -94,7 +94,7 @@ def main():
     spark = (SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "32")
              .config("spark.ui.enabled", "false").config("spark.sql.session.timeZone", "UTC")
              .config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", log_dir)
-             .config("spark.driver.memory", "16g").getOrCreate())
+             .config("spark.driver.memory", "16g").config("spark.sql.codegen.hugeMethodLimit", "8000").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     plans = {
         "window_per_session": lambda: window_plan(skewed_runs(spark, sf_dir, copies)),

@@ -190,3 +190,16 @@ def test_edge_metric_rules(edge):
     assert f["e16"]["success_rate"] == 0.5
     assert f["e17"]["total_errors"] == 2
     assert f["e18"]["session_id"] == "s0" and f["e0"]["session_id"] == "s0"
+
+
+def test_flat_layout_documents(spark, tmp_path):
+    """The job's flat layout: _id as the session, agent fields and runs at top level."""
+    docs = [{"_id": "f1", "agent_name": "agent", "model_provider": "p", "model_id": "m", "created_at": DAY,
+             "runs": [_run(10, x=1, status="RUNNING"), _run(40, x=2)]},
+            {"_id": "f2", "created_at": DAY}]
+    df = read_sessions(spark, str(_write(tmp_path, docs, "flat.jsonl")), "json")
+    rows = {r["doc_key"]: r.asDict() for r in document_features(normalize_documents(df)).collect()}
+    f1 = rows["f1"]
+    assert (f1["session_id"], f1["agent_name"], f1["model_provider"], f1["model_id"]) == ("f1", "agent", "p", "m")
+    assert f1["total_runs"] == 2 and f1["max_token_growth_rate"] == 4.0 and f1["success_rate"] == 0.5
+    assert rows["f2"]["total_runs"] == 0 and rows["f2"]["agent_name"] == ""
