@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 
 from runlens.config import DEFAULT_THRESHOLDS, Thresholds
 from runlens.functions.arith import safe_div
+from runlens.session import shared_dir
 
 
 K = "_key"
@@ -87,57 +88,25 @@ def order_free_aggs(th: Thresholds) -> list[Column]:
     ]
 
 
-def flat_run_statistics(
-    runs: DataFrame,
-    key: str,
-    order: Sequence[str] | str,
-    chunk: Column | None = None,
-    th: Thresholds = DEFAULT_THRESHOLDS,
-    chunk_bits: int = 16,
-) -> DataFrame:
-    """One row per session key with the columns of ``BASE_STATS`` (key kept under its name)."""
-    order = [order] if isinstance(order, str) else list(order)
-    if chunk is None:
-        if len(order) != 1:
-            raise ValueError("pass `chunk` when the run order has several columns")
-        chunk = F.shiftright(F.col(order[0]).cast("long"), chunk_bits)
-    ords = [f"_o{i}" for i in range(len(order))]
-    roles = ["total_tokens", "output_tokens", "execution_time", "tool_calls_count",
-             "error_count", "success", "has_timeout"]
-    r = runs.select(
-        F.col(key).alias(K), chunk.alias(C),
-        *[F.col(c).alias(a) for c, a in zip(order, ords)],
-        *[F.col(c) for c in roles],
-    )
-
-    # -- step 2: session means from per-(session, chunk) sums (narrow, partial aggregation)
-    sums = r.groupBy(K, C).agg(
-        F.count(F.lit(1)).alias("_cn"), F.sum("total_tokens").alias("_cts"), F.sum("execution_time").alias("_cxs"))
-    wk = Window.partitionBy(K)
-    means = sums.select(
-        K, C,
-        (F.sum("_cts").over(wk) / F.sum("_cn").over(wk)).alias("_t_mean"),
-        (F.sum("_cxs").over(wk) / F.sum("_cn").over(wk)).alias("_x_mean"),
-    )
-
-    # -- step 3: ordered pass inside each chunk. Shuffled hash join on
-    # (session, chunk), building on the chunk-level means: runs are never
-    # broadcast and never sorted for the join, and the window below inherits
-    # (session, chunk) partitioning — a hot session is spread over as many
-    # tasks as it has chunks.
-    seq = r.join(means.hint("shuffle_hash"), [K, C])
-    w = Window.partitionBy(K, C).orderBy(*ords)
+def _ordered_pass(seq: DataFrame, w, th: Thresholds) -> DataFrame:
+    """Previous run, row number and running last success over window ``w``."""
     t, x, s = F.col("total_tokens"), F.col("execution_time"), F.col("success")
     seq = (
         seq.withColumn("_prev_t", F.lag(t).over(w))
         .withColumn("_prev_x", F.lag(x).over(w))
         .withColumn("_rn", F.row_number().over(w))
     )
-    seq = seq.withColumn(
-        "_run_last_s", F.max(F.when(s, F.col("_rn"))).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    )
+    return seq.withColumn(
+        "_run_last_s", F.max(F.when(s, F.col("_rn"))).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+
+
+def _group_aggs(th: Thresholds) -> list[Column]:
+    """Per-group statistics over the output of ``_ordered_pass`` with the
+    session means in ``_t_mean`` / ``_x_mean`` (a group is a whole session on
+    the plain path, one chunk of a session on the chunked path)."""
+    t, x, s = F.col("total_tokens"), F.col("execution_time"), F.col("success")
     growth = F.when(F.col("_prev_t") > 0, safe_div(t, F.col("_prev_t")))
-    chunks = seq.groupBy(K, C).agg(
+    return [
         *order_free_aggs(th),
         _count_if(t > F.col("_t_mean") * th.token_spike_multiplier).alias("t_spikes"),
         F.sum((t - F.col("_t_mean")) * (t - F.col("_t_mean"))).alias("t_m2"),
@@ -151,8 +120,46 @@ def flat_run_statistics(
         F.min(F.when(s, F.col("_rn"))).alias("_first_s"),
         F.max(F.when(s, F.col("_rn"))).alias("_last_s"),
         F.max(F.when(~s, F.col("_rn") - F.coalesce(F.col("_run_last_s"), F.lit(0)))).alias("_streak"),
+    ]
+
+
+def plain_statistics(r: DataFrame, ords: list[str], th: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:
+    """Sessions processed whole: one shuffle on the session, windows, one
+    aggregation. Used for sessions no longer than one chunk, so a window
+    partition never exceeds ``2**chunk_bits`` runs."""
+    w = Window.partitionBy(K).orderBy(*ords)
+    whole = Window.partitionBy(K)
+    seq = r.withColumn("_t_mean", F.avg("total_tokens").over(whole)) \
+           .withColumn("_x_mean", F.avg("execution_time").over(whole))
+    g = _ordered_pass(seq, w, th).groupBy(K).agg(*_group_aggs(th))
+    return g.select(
+        K, *_SUMMED, *_MAXED, *_MINNED, "t_spikes", "t_m2", "x_m2",
+        F.col("_g_count").alias("g_count"), F.col("_g_max").alias("g_max"),
+        F.col("_g_explosive").alias("g_explosive"), F.col("_x_jumps").alias("x_jumps"),
+        F.coalesce(F.col("_streak"), F.lit(0)).cast("long").alias("fail_streak"),
+    )
+
+
+def chunked_statistics(r: DataFrame, ords: list[str], th: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:
+    """Sessions cut into chunks (steps 2-4 of the module docstring)."""
+    # -- step 2: session means from per-(session, chunk) sums (narrow, partial aggregation)
+    sums = r.groupBy(K, C).agg(
+        F.count(F.lit(1)).alias("_cn"), F.sum("total_tokens").alias("_cts"), F.sum("execution_time").alias("_cxs"))
+    wk = Window.partitionBy(K)
+    means = sums.select(
+        K, C,
+        (F.sum("_cts").over(wk) / F.sum("_cn").over(wk)).alias("_t_mean"),
+        (F.sum("_cxs").over(wk) / F.sum("_cn").over(wk)).alias("_x_mean"),
     )
 
+    # -- step 3: ordered pass inside each chunk. Shuffled hash join on
+    # (session, chunk), building on the chunk-level means: runs are never
+    # broadcast and never sorted for the join, and the window below inherits
+    # (session, chunk) partitioning — a hot session is spread over as many
+    # tasks as it has chunks.
+    seq = r.join(means.hint("shuffle_hash"), [K, C])
+    chunks = _ordered_pass(seq, Window.partitionBy(K, C).orderBy(*ords), th).groupBy(K, C).agg(*_group_aggs(th))
+
     # -- step 4: stitch chunks of a session in order
     wc = Window.partitionBy(K).orderBy(C)
     before = wc.rowsBetween(Window.unboundedPreceding, -1)
@@ -171,7 +178,7 @@ def flat_run_statistics(
         F.col("_first_s").isNotNull(),
         F.col("_offset") + F.col("_first_s") - 1 - F.coalesce(F.col("_prev_succ"), F.lit(0)),
     )
-    out = chunks.groupBy(K).agg(
+    return chunks.groupBy(K).agg(
         *[F.sum(c).alias(c) for c in _SUMMED],
         *[F.max(c).alias(c) for c in _MAXED],
         *[F.min(c).alias(c) for c in _MINNED],
@@ -188,4 +195,68 @@ def flat_run_statistics(
             F.sum("n_runs") - F.coalesce(F.max("_succ_abs"), F.lit(0)),
         ).cast("long").alias("fail_streak"),
     )
-    return out.select(F.col(K).alias(key), *BASE_STATS)
+
+
+DEFAULT_MAX_HOT_SESSIONS = 1_000_000  # keys broadcast to split hot from plain sessions
+
+
+def flat_run_statistics(
+    runs: DataFrame,
+    key: str,
+    order: Sequence[str] | str,
+    chunk: Column | None = None,
+    th: Thresholds = DEFAULT_THRESHOLDS,
+    chunk_bits: int = 16,
+    strategy: str = "auto",
+    max_hot_sessions: int = DEFAULT_MAX_HOT_SESSIONS,
+) -> DataFrame:
+    """One row per session key with the columns of ``BASE_STATS`` (key kept under its name).
+
+    ``strategy="auto"`` first counts runs per session (partial aggregation,
+    one small shuffle; this runs a job). Sessions with more than
+    ``2**chunk_bits`` runs are *hot*; there can be at most
+    ``total runs / 2**chunk_bits`` of them, and their keys are broadcast only
+    when the counted number is at most ``max_hot_sessions``. Hot sessions go
+    through the chunked plan, all others through the plain plan (whose
+    window partitions then hold at most ``2**chunk_bits`` runs each), and the
+    two results are unioned. With more hot sessions than the bound, every
+    session takes the chunked plan. ``"chunked"`` and ``"plain"`` force one
+    plan (``"plain"`` only for data known to have no long session).
+    """
+    order = [order] if isinstance(order, str) else list(order)
+    if chunk is None:
+        if len(order) != 1:
+            raise ValueError("pass `chunk` when the run order has several columns")
+        chunk = F.shiftright(F.col(order[0]).cast("long"), chunk_bits)
+    ords = [f"_o{i}" for i in range(len(order))]
+    roles = ["total_tokens", "output_tokens", "execution_time", "tool_calls_count",
+             "error_count", "success", "has_timeout"]
+    r = runs.select(
+        F.col(key).alias(K), chunk.alias(C),
+        *[F.col(c).alias(a) for c, a in zip(order, ords)],
+        *[F.col(c) for c in roles],
+    )
+    if strategy == "auto":
+        # hot-session keys: counted once and checkpointed to the shared folder
+        # (a small table), so the broadcast below reads it instead of
+        # recounting the runs
+        shared_dir(runs.sparkSession)
+        hot = (r.groupBy(K).agg(F.count(F.lit(1)).alias("_cnt"))
+               .filter(F.col("_cnt") > (1 << chunk_bits)).select(K).checkpoint(eager=True))
+        n_hot = hot.count()
+        if n_hot == 0:
+            strategy = "plain"
+        elif n_hot <= max_hot_sessions:
+            keys = F.broadcast(hot)
+            stats = plain_statistics(r.join(keys, K, "left_anti"), ords, th).unionByName(
+                chunked_statistics(r.join(keys, K, "left_semi"), ords, th))
+            return stats.select(F.col(K).alias(key), *BASE_STATS)
+        else:
+            strategy = "chunked"
+    if strategy == "plain":
+        stats = plain_statistics(r, ords, th)
+    elif strategy == "chunked":
+        stats = chunked_statistics(r, ords, th)
+    else:
+        raise ValueError(f"unknown strategy {strategy!r}")
+    return stats.select(F.col(K).alias(key), *BASE_STATS)

@@ -22,13 +22,17 @@ def features_from_runs(
     digits: int | None = 6,
     th: Thresholds = DEFAULT_THRESHOLDS,
     chunk_bits: int = 16,
+    strategy: str = "auto",
+    max_hot_sessions: int | None = None,
 ) -> DataFrame:
     """Flat layout: one row per session with ``total_runs`` and the metrics.
 
     Sessions appear only if they have at least one run; join the result to a
     session table (left) to keep sessions without runs.
     """
-    stats = with_ratios(flat_run_statistics(runs, key, order, chunk=chunk, th=th, chunk_bits=chunk_bits), th)
+    extra = {} if max_hot_sessions is None else {"max_hot_sessions": max_hot_sessions}
+    stats = with_ratios(flat_run_statistics(runs, key, order, chunk=chunk, th=th, chunk_bits=chunk_bits,
+                                            strategy=strategy, **extra), th)
     return stats.select(
         F.col(key).alias("session_key"),
         F.col("n_runs").cast("long").alias("total_runs"),

@@ -4,10 +4,11 @@ Derives a run table from lineitem (sf0.1 by default, replicated ``copies``
 times): every line item of an order with ``l_orderkey % 3 = 0`` is moved into
 one hot session, all others keep their order (and copy) as session.
 
-Compares the chunked flat kernel with a plain per-session window plan (the
-textbook shape: partition by session, lag, running max, group by session)
-and prints wall time and the longest task of each job, read from Spark's
-event log in a scratch folder.
+Runs the same 43-metric computation with the flat kernel's three
+strategies — ``plain`` (every session in one window partition, the textbook
+plan), ``auto`` (sessions longer than one chunk are chunked, the rest plain)
+and ``chunked`` (every session chunked) — and prints wall time and task
+times of each, read from Spark's event log in a scratch folder.
 
 Usage: python scripts/skew_demo.py [sf_dir] [chunk_bits] [copies]
 """
@@ -25,7 +26,7 @@ import zstandard
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from pyspark.sql import SparkSession, Window  # noqa: E402
+from pyspark.sql import SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from runlens.plans.features import features_from_runs  # noqa: E402
@@ -49,21 +50,6 @@ def skewed_runs(spark, sf_dir, copies):
     )
 
 
-def window_plan(runs):
-    w = Window.partitionBy("session_key").orderBy("pos")
-    seq = (runs.withColumn("prev_t", F.lag("total_tokens").over(w))
-           .withColumn("rn", F.row_number().over(w))
-           .withColumn("mean_t", F.avg("total_tokens").over(Window.partitionBy("session_key"))))
-    seq = seq.withColumn("last_s", F.max(F.when(F.col("success"), F.col("rn"))).over(
-        w.rowsBetween(Window.unboundedPreceding, 0)))
-    return seq.groupBy("session_key").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.max(F.when(F.col("prev_t") > 0, F.try_divide(F.col("total_tokens"), F.col("prev_t")))).alias("g"),
-        F.count(F.when(F.col("total_tokens") > 2 * F.col("mean_t"), 1)).alias("spikes"),
-        F.max(F.when(~F.col("success"), F.col("rn") - F.coalesce(F.col("last_s"), F.lit(0)))).alias("streak"),
-    )
-
-
 def task_times(log_dir):
     """(job group -> list of task durations in ms) from the event log."""
     out = {}
@@ -96,10 +82,14 @@ def main():
              .config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", log_dir)
              .config("spark.driver.memory", "16g").config("spark.sql.codegen.hugeMethodLimit", "8000").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
+    def kernel(strategy):
+        return lambda: features_from_runs(skewed_runs(spark, sf_dir, copies), "session_key", "pos",
+                                          chunk_bits=chunk_bits, strategy=strategy)
+
     plans = {
-        "window_per_session": lambda: window_plan(skewed_runs(spark, sf_dir, copies)),
-        "chunked_kernel": lambda: features_from_runs(skewed_runs(spark, sf_dir, copies), "session_key", "pos",
-                                                     chunk_bits=chunk_bits),
+        "plain": kernel("plain"),      # every session in one window partition
+        "auto": kernel("auto"),        # hot sessions chunked, the rest plain
+        "chunked": kernel("chunked"),  # every session chunked
     }
     wall = {}
     for rep in range(2):

@@ -79,6 +79,22 @@ def test_flat_kernel_matches_oracle(spark, chunk_bits):
     check({r["session_key"]: r.asDict() for r in df.collect()}, sessions)
 
 
+@pytest.mark.parametrize("strategy", ["plain", "chunked"])
+def test_flat_kernel_forced_strategy(spark, strategy):
+    sessions = random_sessions(13, 120, 30)
+    df = features_from_runs(flat_frame(spark, sessions), "sid", "pos", digits=None, chunk_bits=2,
+                            strategy=strategy)
+    check({r["session_key"]: r.asDict() for r in df.collect()}, sessions)
+
+
+def test_flat_kernel_hot_bound_falls_back_to_chunked(spark):
+    """More hot sessions than the broadcast bound: all sessions take the chunked plan."""
+    sessions = random_sessions(17, 80, 30)
+    df = features_from_runs(flat_frame(spark, sessions), "sid", "pos", digits=None, chunk_bits=2,
+                            max_hot_sessions=3)
+    check({r["session_key"]: r.asDict() for r in df.collect()}, sessions)
+
+
 def test_flat_kernel_sparse_positions(spark):
     """Positions need only be ordered, not dense (gaps leave chunks empty)."""
     sessions = random_sessions(3, 60, 30)

@@ -16,24 +16,50 @@ def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_flat_kernel_shuffles_runs_once_by_session_and_chunk(spark):
+def test_flat_kernel_without_hot_sessions_is_one_shuffle(spark):
+    """No session longer than a chunk: the plain plan, one exchange on the session."""
     df = catalog.queries()["session_features"](spark, SF_SMALL)
     plan = plan_of(df)
+    assert "BroadcastExchange" not in plan and "Join" not in plan
+    exchanges = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
+    assert len(exchanges) == 1 and exchanges[0].startswith("_key")
+
+
+def test_chunked_plan_shuffles_runs_once_by_session_and_chunk(spark):
+    from runlens.sources.tables import LINEITEM_ORDER, lineitem_chunk, lineitem_runs
+    from runlens.operators.flat_kernel import flat_run_statistics
+    df = flat_run_statistics(lineitem_runs(spark, SF_SMALL), "session_key", LINEITEM_ORDER,
+                             chunk=lineitem_chunk(), strategy="chunked")
+    plan = plan_of(df)
     assert "ShuffledHashJoin" in plan
     assert "BroadcastExchange" not in plan  # nothing whose size grows with the data is broadcast
     exchanges = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
     # runs: (key, chunk); per-chunk partial aggregate: (key, chunk); chunk-level
-    # totals to the join: (key, chunk); chunk-level windows: key
+    # means to the join: (key, chunk); chunk-level windows: key (twice)
     assert all(e.startswith("_key") for e in exchanges)
     assert sum("_chunk" in e for e in exchanges) == 3 and len(exchanges) == 5
 
 
+def test_hot_sessions_take_the_chunked_plan(spark):
+    from pyspark.sql import functions as F
+    from runlens.operators.flat_kernel import flat_run_statistics
+    runs = spark.range(0, 5000).select(
+        F.when(F.col("id") < 3000, F.lit(0)).otherwise(F.col("id") % 500).alias("sid"), F.col("id").alias("pos"),
+        (F.col("id") % 7).cast("double").alias("total_tokens"), F.lit(1.0).alias("output_tokens"),
+        (F.col("id") % 3).cast("double").alias("execution_time"), F.lit(1).cast("long").alias("tool_calls_count"),
+        F.lit(0).cast("long").alias("error_count"), (F.col("id") % 4 == 0).alias("success"),
+        F.lit(False).alias("has_timeout"))
+    df = flat_run_statistics(runs, "sid", "pos", chunk_bits=8)
+    plan = plan_of(df)
+    assert "Union" in plan and "ShuffledHashJoin" in plan and "BroadcastExchange" in plan
+    assert df.filter("sid = 0").first()["n_runs"] == 3000 + 4  # ids 3000, 3500, 4000, 4500 also map to 0
+
+
 def test_lineitem_scan_is_pruned(spark):
     df = catalog.queries()["session_features"](spark, SF_SMALL)
     scans = re.findall(r"FileScan parquet \[([^\]]*)\]", plan_of(df))
-    assert len(scans) == 2  # two passes over the runs, each pruned
+    assert len(scans) == 1  # plain plan: one pass over the runs (the hot-session count ran before)
     assert all("l_tax" not in s and "l_linestatus" not in s and "l_orderkey" in s for s in scans)
-    assert "l_suppkey" not in scans[1]  # the order-free pass needs no run order
 
 
 def test_nested_kernel_has_no_exchange(spark):
