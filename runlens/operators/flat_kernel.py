@@ -6,27 +6,37 @@ Input columns (after normalisation, invalid runs already removed):
   total_tokens, output_tokens, execution_time (double), tool_calls_count,
   error_count (bigint), success, has_timeout (boolean)
 
-Plan shape (skew-safe — a single session may hold a large share of all runs):
+Two plans, chosen per session (skew-safe — one session may hold a large
+share of all runs):
 
+  0. Runs per session are counted first (partial aggregation, one small
+     shuffle). A session with more than ``2**chunk_bits`` runs is *hot*.
+     There are at most ``total runs / 2**chunk_bits`` hot sessions; their
+     keys are checkpointed to the shared folder, counted, and broadcast only
+     up to a fixed bound (above it, every session takes the chunked plan).
+
+  Plain plan (all other sessions): one shuffle on the session, a window in
+  run order (previous run, row number, running last success) and one
+  aggregation. A window partition holds at most ``2**chunk_bits`` runs.
+
+  Chunked plan (hot sessions):
   1. Runs are cut into *chunks*: ``chunk`` is a caller-supplied column that
      never decreases along the run order (default: ``pos >> chunk_bits`` for
      a single numeric position). A chunk holds at most ``2**chunk_bits``
      runs when positions are dense, so no task ever holds a whole session.
   2. Session means: run count and sums per (session, chunk) with map-side
      partial aggregation, then a window over the chunk rows of each session.
-     Three numbers per chunk — the only work before the ordered pass.
   3. Ordered pass: runs are joined to their chunk's session means on
      ``(session, chunk)`` — the join is salted by the chunk, so a hot session
-     is spread over many tasks. Within a chunk a window gives the previous
-     run (growth rate, time jump) and the failure streak; one aggregation per
-     chunk gives every order-free statistic plus spikes and squared
-     deviations against the session mean (exact two-pass variance).
+     is spread over many tasks. Within a chunk the same window and
+     aggregation as the plain plan run, against the session mean (spikes,
+     exact two-pass variance).
   4. Chunk summaries are stitched per session in chunk order: boundary
      pairs (last run of one chunk, first run of the next) and failure
      streaks that cross chunk borders; sums, maxima and minima combine.
 
-Step 3 moves whole runs through one shuffle on (session, chunk); every other
-exchange carries one row per (session, chunk) or less.
+Both plans share the per-group aggregation, so they cannot drift apart; the
+tests run both, and their union, against a plain-Python oracle.
 """
 
 from __future__ import annotations
