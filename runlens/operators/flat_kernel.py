@@ -138,7 +138,9 @@ def plain_statistics(r: DataFrame, ords: list[str], th: Thresholds = DEFAULT_THR
     aggregation. Used for sessions no longer than one chunk, so a window
     partition never exceeds ``2**chunk_bits`` runs."""
     w = Window.partitionBy(K).orderBy(*ords)
-    whole = Window.partitionBy(K)
+    # the session mean over the whole partition, with the same ordering as
+    # the other window functions: one sort and one window operator for all
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     seq = r.withColumn("_t_mean", F.avg("total_tokens").over(whole)) \
            .withColumn("_x_mean", F.avg("execution_time").over(whole))
     g = _ordered_pass(seq, w, th).groupBy(K).agg(*_group_aggs(th))

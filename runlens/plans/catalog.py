@@ -23,7 +23,7 @@ from runlens.plans.export import export_frame, export_manifest, extraction_summa
 from runlens.operators.restrict import restrict_to_keys
 from runlens.plans.features import features_from_runs
 from runlens.session import shared_dir, tune_session
-from runlens.sources.documents import document_sessions, event_run_records, read_sessions
+from runlens.sources.documents import document_sessions, event_run_records
 from runlens.sources.tables import (LINEITEM_ORDER, conversation_runs, lineitem_chunk, lineitem_runs,
                                     order_sessions, table)
 
@@ -304,4 +304,3 @@ def oracle_sql() -> dict[str, str]:
 
 
 FLAGSHIP = "session_features"
-EXPORT_COLUMNS_CHECK = EXPORT_COLUMNS
