@@ -97,8 +97,7 @@ def quarantine_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _docs_in_range(spark: SparkSession, sf_dir: str, start: str, end: str) -> DataFrame:
-    docs = document_sessions(spark, sf_dir)
-    return filter_date_range(docs, start, end, F.try_variant_get("doc", "$.created_at", "double"))
+    return document_sessions(spark, sf_dir, start, end)
 
 
 def scan_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:

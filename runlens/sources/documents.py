@@ -5,8 +5,11 @@ per session, runs nested under ``memory.runs``). Documents are read into one
 VARIANT column ``doc`` so that "scalar or list" and "null or missing" survive
 the read — a typed JSON schema would silently turn a scalar metric into NULL.
 
-``read_sessions`` handles three kinds of source:
+``read_sessions`` handles four kinds of source:
   * ``json``     JSON lines, read with ``singleVariantColumn``
+  * ``landed``   VARIANT documents in Parquet partitioned by day
+                 (``landing.land_sessions``): a range prunes partitions and
+                 pushes its epoch bounds into the scan
   * ``parquet``  documents landed with a typed schema; the date filter runs on
                  the typed ``created_at`` column first, so it reaches the scan
   * any other format name (a document-store connector, when it is on the
@@ -24,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from runlens.functions.dates import range_bounds
-from runlens.sources.landing import land_json_lines
+from runlens.sources.landing import land_json_lines, land_sessions
 from runlens.sources.tables import table
 
 
@@ -39,6 +42,16 @@ def read_sessions(
 ) -> DataFrame:
     """Session documents as one VARIANT column ``doc``, optionally cut to a date range."""
     reader = spark.read.options(**options)
+    if fmt == "landed":
+        df = reader.parquet(path)
+        if start is not None:
+            lo, hi = range_bounds(start, end, tz)
+            pad = 0 if tz == "UTC" else 1  # partitions are UTC days
+            first = F.date_sub(F.lit(start).cast("date"), pad)
+            last = F.date_add(F.lit(end).cast("date"), pad)
+            df = df.filter((F.col("date") >= first) & (F.col("date") <= last)
+                           & (F.col("created_at") >= lo) & (F.col("created_at") <= hi))
+        return df.select("doc")
     if fmt == "json":
         df = reader.option("singleVariantColumn", "doc").json(path)
         if start is not None:
@@ -53,6 +66,14 @@ def read_sessions(
     return df.select(F.to_variant_object(F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias("doc"))
 
 
+def landed_layout(docs: DataFrame, doc_col: str = "doc") -> DataFrame:
+    """``created_at`` (double, as in the document), ``date`` (its UTC day,
+    the partition column) and the document itself."""
+    created = F.try_variant_get(F.col(doc_col), "$.created_at", "double")
+    day = F.date_add(F.lit("1970-01-01").cast("date"), F.floor(created / 86400).cast("int"))
+    return docs.select(created.alias("created_at"), day.alias("date"), F.col(doc_col).alias("doc"))
+
+
 # --- B5: documents -> session documents ----------------------------------------
 EPOCH_2024 = 1704067200  # 2024-01-01 00:00:00 UTC
 
@@ -131,10 +152,11 @@ def document_sessions_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def document_sessions(spark: SparkSession, sf_dir: str, start: str | None = None,
                       end: str | None = None) -> DataFrame:
-    """B5 session documents, landed as JSON lines and read back as VARIANT (``doc``)."""
-    path = land_json_lines(spark, "documents-sessions", document_sessions_json(spark, sf_dir),
-                           [f"{sf_dir.rstrip('/')}/documents.parquet"])
-    return read_sessions(spark, path, "json", start, end)
+    """B5 session documents as VARIANT (``doc``), landed once as Parquet
+    partitioned by day; a date range prunes partitions."""
+    docs = document_sessions_json(spark, sf_dir).select(F.parse_json("json").alias("doc"))
+    path = land_sessions(spark, "documents-sessions-bydate-v1", docs, [f"{sf_dir.rstrip('/')}/documents.parquet"])
+    return read_sessions(spark, path, "landed", start, end)
 
 
 # --- B2: events -> run records --------------------------------------------------
@@ -178,7 +200,7 @@ def event_run_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit('{"session_key":"'), key, F.lit('","pos":'), _num(F.col("event_id")),
         F.lit(',"run":'), text, F.lit("}"),
     ).alias("json"))
-    path = land_json_lines(spark, "events-runs", records, [f"{sf_dir.rstrip('/')}/events.parquet"])
+    path = land_json_lines(spark, "events-runs-v1", records, [f"{sf_dir.rstrip('/')}/events.parquet"])
     landed = spark.read.option("singleVariantColumn", "rec").json(path)
     return landed.select(
         F.try_variant_get("rec", "$.session_key", "string").alias("session_key"),

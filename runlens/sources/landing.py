@@ -1,11 +1,11 @@
 """Landing: write derived JSON documents once to the shared folder.
 
 The test bindings derive session documents from the driver tables. Landing
-them as JSON lines and reading them back through ``read_sessions`` means the
-queries exercise the same reader as production input (documents exported by
-the store), and the JSON is parsed once, in the scan — a computed
+them once and reading them back through ``read_sessions`` means the queries
+exercise a real reader, and the JSON is parsed once — a computed
 ``parse_json`` column would be re-evaluated by every predicate that filter
-pushdown copies it into.
+pushdown copies it into. Session documents land as Parquet partitioned by
+day (``land_sessions``), run records as JSON lines.
 
 A landed folder is keyed by the source files' path, size and modification
 time; it is written to a unique temporary folder and renamed into place, so
@@ -70,17 +70,34 @@ def _local(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-def land_json_lines(spark: SparkSession, name: str, text: DataFrame, sources: list[str]) -> str:
-    """Write a one-column DataFrame of JSON text as JSON lines (once) and
-    return the folder."""
+def _land(spark: SparkSession, name: str, sources: list[str], write) -> str:
+    """Run ``write(tmp_folder)`` once per source fingerprint; rename into place."""
     files = _Files(spark)
     digest = hashlib.sha1("".join(f"{src}|{files.stamp(src)}" for src in sources).encode()).hexdigest()[:16]
     path = f"{shared_dir(spark)}/landing/{name}-{digest}"
     if files.exists(f"{path}/_SUCCESS"):
         return path
     tmp = f"{path}.tmp-{uuid.uuid4().hex}"
-    text.write.mode("overwrite").option("compression", "none").text(tmp)
+    write(tmp)
     if files.exists(path) or not files.rename(tmp, path):
         # another caller landed it meanwhile (or left a partial copy): use ours
         return tmp
     return path
+
+
+def land_json_lines(spark: SparkSession, name: str, text: DataFrame, sources: list[str]) -> str:
+    """Write a one-column DataFrame of JSON text as JSON lines (once) and
+    return the folder."""
+    return _land(spark, name, sources,
+                 lambda tmp: text.write.mode("overwrite").option("compression", "none").text(tmp))
+
+
+def land_sessions(spark: SparkSession, name: str, docs: DataFrame, sources: list[str],
+                  doc_col: str = "doc") -> str:
+    """Write VARIANT session documents (once) as Parquet partitioned by the
+    UTC day of ``created_at``, with ``created_at`` as a typed column: a date
+    range then prunes partitions and pushes its bounds into the scan.
+    Read back with ``read_sessions(fmt="landed")``."""
+    from runlens.sources.documents import landed_layout
+    return _land(spark, name, sources,
+                 lambda tmp: landed_layout(docs, doc_col).write.mode("overwrite").partitionBy("date").parquet(tmp))

@@ -84,3 +84,12 @@ def test_typed_session_source_pushes_date_filter(spark, tmp_path):
     feats = document_features(normalize_documents(df)).collect()
     assert sorted(r["doc_key"] for r in feats) == ["d1", "d2"]
     assert all(r["total_runs"] == 1 and r["success_rate"] == 1.0 for r in feats)
+
+
+def test_landed_documents_prune_partitions(spark):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    df = catalog.queries()["scan_sessions"](spark, SF_SMALL)
+    plan = plan_of(df)
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert re.search(r"PartitionFilters: \[[^\]]*date", plan)
+    assert "GreaterThanOrEqual(created_at," in plan and "LessThanOrEqual(created_at," in plan
