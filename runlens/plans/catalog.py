@@ -12,9 +12,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runlens.config import (ALL_METRICS, EMPTY_EXPORT_ROW, EXPORT_COLUMNS, FAILURE_METRICS, SPEED_METRICS,
-                            TIME_METRICS, TOKEN_METRICS, TOOL_METRICS)
-from runlens.functions.dates import default_range, filter_date_range, range_bounds, rendered_dates, request_error
+from runlens.config import (ALL_METRICS, EMPTY_EXPORT_ROW, FAILURE_METRICS, SPEED_METRICS, TIME_METRICS,
+                            TOKEN_METRICS, TOOL_METRICS)
+from runlens.functions.dates import default_range, range_bounds, rendered_dates, request_error
 from runlens.plans import oracle_sql as O
 from runlens.plans.documents import (basic_fields, document_features, normalize_documents, quarantined_documents,
                                      raw_runs, run_table, typed_runs)

@@ -2,6 +2,8 @@
 
     python -m runlens.plans.job --source s3a://bucket/sessions/ --format json \\
         --start 2024-12-20 --end 2024-12-25 --output s3a://bucket/exports
+    python -m runlens.plans.job --source s3a://bucket/sessions/ --land-to s3a://bucket/landed
+    python -m runlens.plans.job --source s3a://bucket/landed --format landed --start ... --end ... --output ...
 
 Steps (one lazy plan up to the sink, then two small reads of what was
 written):
@@ -31,7 +33,7 @@ from runlens.functions.dates import default_range, request_error
 from runlens.plans.documents import document_features, normalize_documents, quarantined_documents
 from runlens.plans.export import export_manifest, write_training_export
 from runlens.session import tune_session
-from runlens.sources.documents import read_sessions
+from runlens.sources.documents import landed_layout, read_sessions
 
 
 class InvalidRequest(ValueError):
@@ -94,6 +96,15 @@ def run_extraction(
     return summary
 
 
+def land_documents(spark: SparkSession, source: str, target: str, fmt: str = "json", **options: str) -> str:
+    """Copy session documents into the landed layout (VARIANT in Parquet,
+    partitioned by day), so later extractions read only the days of their
+    range: ``run_extraction(..., fmt="landed", source=target)``."""
+    docs = read_sessions(spark, source, fmt, **options)
+    landed_layout(docs).write.mode("overwrite").partitionBy("date").parquet(target)
+    return target
+
+
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(description="Extract session features to a training CSV.")
     p.add_argument("--source", required=True)
@@ -105,11 +116,13 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--single-file", action="store_true")
     p.add_argument("--write-quarantine", action="store_true")
     p.add_argument("--option", action="append", default=[], help="source option key=value")
+    p.add_argument("--land-to", help="only copy the source into the landed layout at this path")
     a = p.parse_args(argv)
     options = dict(kv.split("=", 1) for kv in a.option)
     spark = SparkSession.builder.appName("runlens-extraction").getOrCreate()
-    if not spark.conf.get("spark.sql.session.timeZone", None):
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    if a.land_to:
+        print(json.dumps({"landed": land_documents(spark, a.source, a.land_to, a.format, **options)}))
+        return
     result = run_extraction(spark, a.source, a.output, a.start, a.end, a.format, a.kernel, a.single_file,
                             a.write_quarantine, **options)
     print(json.dumps(result))

@@ -40,6 +40,17 @@ def test_run_extraction(spark, source, tmp_path, kernel):
     assert sorted(r["quarantine_reason"] for r in quarantined) == ["agent_data_null", "null_metric"]
 
 
+def test_landed_source_gives_the_same_export(spark, source, tmp_path):
+    from runlens.plans.job import land_documents
+    landed = land_documents(spark, source, str(tmp_path / "landed"))
+    a = run_extraction(spark, source, str(tmp_path / "a"), "2024-12-21", "2024-12-23", single_file=True)
+    b = run_extraction(spark, landed, str(tmp_path / "b"), "2024-12-21", "2024-12-23", fmt="landed",
+                       single_file=True)
+    assert a["total_conversations"] == b["total_conversations"] == 9
+    read = lambda p: sorted(tuple(r) for r in spark.read.option("header", True).csv(p).collect())
+    assert read(a["location"]) == read(b["location"])
+
+
 def test_run_extraction_empty_range(spark, source, tmp_path):
     out = run_extraction(spark, source, str(tmp_path), "2030-01-01", "2030-01-02")
     assert out["total_conversations"] == 0
