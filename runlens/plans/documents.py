@@ -31,9 +31,15 @@ def basic_fields(doc: Column) -> list[Column]:
     """Basic session fields; the flat layout (agent_name, model_provider,
     model_id at top level, ``_id`` as the session) is accepted as well."""
     text = lambda *paths: F.coalesce(*[_get(doc, p, "string") for p in paths], F.lit(""))
+    flat_layout = _get(doc, "$.runs", "variant").isNotNull() | _get(doc, "$.agent_name", "variant").isNotNull()
+    session_id = (
+        F.when(_get(doc, "$.session_id", "variant").isNotNull(), text("$.session_id"))  # null -> ''
+        .when(flat_layout, text("$._id"))  # the flat layout names the session by _id
+        .otherwise(F.lit(""))
+    )
     return [
         F.coalesce(_get(doc, "$._id", "string"), F.lit("")).alias("doc_key"),
-        text("$.session_id", "$._id").alias("session_id"),
+        session_id.alias("session_id"),
         F.coalesce(_get(doc, "$.created_at", "double"), F.lit(0.0)).alias("created_at"),
         text("$.agent_data.name", "$.agent_name").alias("agent_name"),
         text("$.agent_data.model.provider", "$.model_provider").alias("model_provider"),
