@@ -25,6 +25,7 @@ HEADLINE = [
     "conversation_features",  # flat kernel, dense positions
     "document_features",      # VARIANT documents -> nested kernel
     "training_export",        # date range -> 48-column export rows
+    "order_training_export",  # sessions of a range, runs cut by a size-checked semi-join
     "normalize_runs",         # run normalisation only
     "validate_requests",      # request checks
 ]

@@ -18,7 +18,8 @@ the read — a typed JSON schema would silently turn a scalar metric into NULL.
 Test bindings (derived row by row from the driver tables, no grouping; landed
 once as JSON lines under the shared folder, see ``landing``):
   B5 ``documents`` -> one session document per row; runs are the text's lines
-  B2 ``events``    -> one run record per event; session = (user, day)
+  B2 ``events``    -> one run record per event; session = (user, day); landed
+                      as Parquet with the run as a VARIANT column
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from runlens.functions.dates import range_bounds
-from runlens.sources.landing import land_json_lines, land_sessions
+from runlens.sources.landing import land_parquet, land_sessions
 from runlens.sources.tables import table
 
 
@@ -196,14 +197,6 @@ def event_run_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(',"time":['), time, F.lit(']},"tools":'), tools, F.lit(',"events":'), events, F.lit("}"),
     )
     key = F.concat(_num(F.col("user_id")), F.lit("|"), F.date_format("ts", "yyyy-MM-dd"))
-    records = ev.select(F.concat(
-        F.lit('{"session_key":"'), key, F.lit('","pos":'), _num(F.col("event_id")),
-        F.lit(',"run":'), text, F.lit("}"),
-    ).alias("json"))
-    path = land_json_lines(spark, "events-runs-v1", records, [f"{sf_dir.rstrip('/')}/events.parquet"])
-    landed = spark.read.option("singleVariantColumn", "rec").json(path)
-    return landed.select(
-        F.try_variant_get("rec", "$.session_key", "string").alias("session_key"),
-        F.try_variant_get("rec", "$.pos", "bigint").alias("pos"),
-        F.try_variant_get("rec", "$.run", "variant").alias("run"),
-    )
+    records = ev.select(key.alias("session_key"), F.col("event_id").alias("pos"), F.parse_json(text).alias("run"))
+    path = land_parquet(spark, "events-runs-v3", records, [f"{sf_dir.rstrip('/')}/events.parquet"])
+    return spark.read.parquet(path)

@@ -5,7 +5,7 @@ them once and reading them back through ``read_sessions`` means the queries
 exercise a real reader, and the JSON is parsed once — a computed
 ``parse_json`` column would be re-evaluated by every predicate that filter
 pushdown copies it into. Session documents land as Parquet partitioned by
-day (``land_sessions``), run records as JSON lines.
+day (``land_sessions``), run records as Parquet with a VARIANT column.
 
 A landed folder is keyed by the source files' path, size and modification
 time; it is written to a unique temporary folder and renamed into place, so
@@ -92,6 +92,24 @@ def land_json_lines(spark: SparkSession, name: str, text: DataFrame, sources: li
                  lambda tmp: text.write.mode("overwrite").option("compression", "none").text(tmp))
 
 
+def _spread(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """A small input (fewer partitions than the cluster runs in parallel, e.g.
+    one Parquet row group) is spread before landing, so that reads of the
+    landed copy are parallel; large inputs are written as they are."""
+    try:
+        parallelism = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < parallelism:
+            return df.repartition(parallelism)
+    except Exception:  # no SparkContext on the client (Spark Connect)
+        pass
+    return df
+
+
+def land_parquet(spark: SparkSession, name: str, df: DataFrame, sources: list[str]) -> str:
+    """Write a DataFrame (VARIANT columns included) as Parquet, once."""
+    return _land(spark, name, sources, lambda tmp: _spread(spark, df).write.mode("overwrite").parquet(tmp))
+
+
 def land_sessions(spark: SparkSession, name: str, docs: DataFrame, sources: list[str],
                   doc_col: str = "doc") -> str:
     """Write VARIANT session documents (once) as Parquet partitioned by the
