@@ -85,13 +85,6 @@ def _land(spark: SparkSession, name: str, sources: list[str], write) -> str:
     return path
 
 
-def land_json_lines(spark: SparkSession, name: str, text: DataFrame, sources: list[str]) -> str:
-    """Write a one-column DataFrame of JSON text as JSON lines (once) and
-    return the folder."""
-    return _land(spark, name, sources,
-                 lambda tmp: text.write.mode("overwrite").option("compression", "none").text(tmp))
-
-
 def _spread(spark: SparkSession, df: DataFrame) -> DataFrame:
     """A small input (fewer partitions than the cluster runs in parallel, e.g.
     one Parquet row group) is spread before landing, so that reads of the
