@@ -1,9 +1,9 @@
 """The extraction job: request -> sessions in range -> features -> CSV export.
 
-    python -m runlens.plans.job --source s3a://bucket/sessions/ --format json \\
-        --start 2024-12-20 --end 2024-12-25 --output s3a://bucket/exports
-    python -m runlens.plans.job --source s3a://bucket/sessions/ --land-to s3a://bucket/landed
-    python -m runlens.plans.job --source s3a://bucket/landed --format landed --start ... --end ... --output ...
+    python -m runlens.plans.job --source /data/sessions/ --format json \\
+        --start 2024-12-20 --end 2024-12-25 --output /data/exports
+    python -m runlens.plans.job --source /data/sessions/ --land-to /data/landed
+    python -m runlens.plans.job --source /data/landed --format landed --start ... --end ... --output ...
 
 Steps (one lazy plan up to the sink, then two small reads of what was
 written):
