@@ -108,7 +108,7 @@ def land_documents(spark: SparkSession, source: str, target: str, fmt: str = "js
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(description="Extract session features to a training CSV.")
     p.add_argument("--source", required=True)
-    p.add_argument("--output", required=True)
+    p.add_argument("--output", help="export root (required unless --land-to)")
     p.add_argument("--format", default="json")
     p.add_argument("--start")
     p.add_argument("--end")
@@ -118,6 +118,8 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--option", action="append", default=[], help="source option key=value")
     p.add_argument("--land-to", help="only copy the source into the landed layout at this path")
     a = p.parse_args(argv)
+    if not a.land_to and not a.output:
+        p.error("--output is required for an extraction")
     options = dict(kv.split("=", 1) for kv in a.option)
     spark = SparkSession.builder.appName("runlens-extraction").getOrCreate()
     if a.land_to:

@@ -76,3 +76,15 @@ def test_restrict_to_keys_both_strategies(spark, bound):
     assert ("BroadcastExchange" in plan) == (bound > 0)
     assert sorted({r["k"] for r in got.collect()}) == list(range(0, 30, 3))
     assert got.count() == 10 * 20
+
+
+def test_cli(spark, source, tmp_path, capsys):
+    from runlens.plans.job import main
+    landed = str(tmp_path / "landed")
+    main(["--source", source, "--land-to", landed])
+    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1]) == {"landed": landed}
+    main(["--source", landed, "--format", "landed", "--start", "2024-12-20", "--end", "2024-12-20",
+          "--output", str(tmp_path / "out"), "--single-file"])
+    summary = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert summary["total_conversations"] == 3 + 17 and summary["files"] == 1
+    assert summary["location"].endswith("conversations_2024-12-20_to_2024-12-20")
