@@ -98,7 +98,7 @@ def order_free_aggs(th: Thresholds) -> list[Column]:
     ]
 
 
-def _ordered_pass(seq: DataFrame, w, th: Thresholds) -> DataFrame:
+def _ordered_pass(seq: DataFrame, w) -> DataFrame:
     """Previous run, row number and running last success over window ``w``."""
     t, x, s = F.col("total_tokens"), F.col("execution_time"), F.col("success")
     seq = (
@@ -143,7 +143,7 @@ def plain_statistics(r: DataFrame, ords: list[str], th: Thresholds = DEFAULT_THR
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     seq = r.withColumn("_t_mean", F.avg("total_tokens").over(whole)) \
            .withColumn("_x_mean", F.avg("execution_time").over(whole))
-    g = _ordered_pass(seq, w, th).groupBy(K).agg(*_group_aggs(th))
+    g = _ordered_pass(seq, w).groupBy(K).agg(*_group_aggs(th))
     return g.select(
         K, *_SUMMED, *_MAXED, *_MINNED, "t_spikes", "t_m2", "x_m2",
         F.col("_g_count").alias("g_count"), F.col("_g_max").alias("g_max"),
@@ -170,7 +170,7 @@ def chunked_statistics(r: DataFrame, ords: list[str], th: Thresholds = DEFAULT_T
     # (session, chunk) partitioning — a hot session is spread over as many
     # tasks as it has chunks.
     seq = r.join(means.hint("shuffle_hash"), [K, C])
-    chunks = _ordered_pass(seq, Window.partitionBy(K, C).orderBy(*ords), th).groupBy(K, C).agg(*_group_aggs(th))
+    chunks = _ordered_pass(seq, Window.partitionBy(K, C).orderBy(*ords)).groupBy(K, C).agg(*_group_aggs(th))
 
     # -- step 4: stitch chunks of a session in order
     wc = Window.partitionBy(K).orderBy(C)
