@@ -20,6 +20,7 @@ from runlens.plans.documents import (basic_fields, document_features, normalize_
                                      raw_runs, run_table, typed_runs)
 from runlens.plans.export import export_frame, export_manifest, extraction_summary, training_rows, \
     write_training_export
+from runlens.operators.derive import INT_METRICS, LONG_METRICS
 from runlens.operators.restrict import restrict_to_keys
 from runlens.plans.features import features_from_runs
 from runlens.session import shared_dir, tune_session
@@ -88,8 +89,16 @@ def _norm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize_documents(document_sessions(spark, sf_dir))
 
 
+def _nullable_ints_as_double(df: DataFrame) -> DataFrame:
+    """Integer metrics are NULL for sessions without runs; as doubles they
+    compare the same way in every client (a nullable integer column becomes
+    float in one and a nullable integer type in another)."""
+    return df.select(*[F.col(c).cast("double").alias(c) if c in INT_METRICS | LONG_METRICS else F.col(c)
+                       for c in df.columns])
+
+
 def document_features_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return document_features(_norm(spark, sf_dir))
+    return _nullable_ints_as_double(document_features(_norm(spark, sf_dir)))
 
 
 def quarantine_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -132,7 +141,7 @@ def format_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def document_features_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Same table as ``document_features`` through the flat (chunked) kernel."""
-    return document_features(_norm(spark, sf_dir), kernel="flat")
+    return _nullable_ints_as_double(document_features(_norm(spark, sf_dir), kernel="flat"))
 
 
 def document_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -284,8 +293,8 @@ def oracle_sql() -> dict[str, str]:
         "run_timeouts": f"SELECT session_key, pos, has_timeout FROM ({O.EVENT_RUNS_SELECT})",
         "run_errors": f"SELECT session_key, pos, error_count FROM ({O.EVENT_RUNS_SELECT})",
         "event_features": O.features_sql(O.EVENT_RUNS_SQL, "k"),
-        "document_features": O.document_features_sql(),
-        "document_features_flat": O.document_features_sql(),
+        "document_features": O.document_features_sql(ints_as_double=True),
+        "document_features_flat": O.document_features_sql(ints_as_double=True),
         "document_runs": O.DOCUMENT_RUNS_SELECT,
         "quarantine_documents": O.QUARANTINE_SQL,
         "scan_sessions": O.scan_sessions_sql(*range_bounds(*DOC_RANGE)),

@@ -73,9 +73,13 @@ def _metric_sql() -> dict[str, tuple[str, str]]:
 _EMPTY_VALUE = {"max_token_growth_rate": "1"}
 
 
-def metric_select(name: str, digits: int = 6) -> str:
+def metric_select(name: str, digits: int = 6, ints_as_double: bool = False) -> str:
     expr, guard = _metric_sql()[name]
     typ = metric_type(name)
+    if ints_as_double and typ != "double":
+        typ_out = "DOUBLE"
+    else:
+        typ_out = None
     if guard == "run":
         body = expr
     else:
@@ -83,6 +87,8 @@ def metric_select(name: str, digits: int = 6) -> str:
     body = f"CAST({body} AS {_SQL_TYPES[typ]})"
     if typ == "double":
         body = f"round({body}, {digits})"
+    if typ_out:
+        body = f"CAST({body} AS {typ_out})"
     return f"CASE WHEN n > 0 THEN {body} END AS {name}"
 
 
@@ -236,9 +242,9 @@ def _ts(col: str, fmt: str) -> str:
     return f"strftime(make_timestamp(CAST({col} AS BIGINT) * 1000000), '{fmt}')"
 
 
-def document_features_sql(lo: int | None = None, hi: int | None = None) -> str:
+def document_features_sql(lo: int | None = None, hi: int | None = None, ints_as_double: bool = False) -> str:
     where = "" if lo is None else f"WHERE g.created_at BETWEEN {lo} AND {hi}"
-    metrics = ", ".join(metric_select(m) for m in ALL_METRICS)
+    metrics = ", ".join(metric_select(m, ints_as_double=ints_as_double) for m in ALL_METRICS)
     return f"""WITH {DOC_CTES},
 {stats_ctes(DOC_STAT_RUNS)}
 SELECT g.doc_key, g.session_id, g.agent_name, g.model_provider, g.model_id, g.user_id, g.created_at,
