@@ -48,9 +48,13 @@ def lineitem_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def lineitem_chunk(chunk_bits: int = 16) -> Column:
-    """Chunk of a line item: monotone in the run order (leading column)."""
-    return F.shiftright(F.col("l_linenumber").cast("long"), chunk_bits)
+def lineitem_chunk() -> Column:
+    """Chunk of a line item: never decreases along the run order
+    (l_linenumber, l_partkey, ...) — the line number in the high bits, a
+    bucket of 256 part keys in the low bits. Line numbers repeat within an
+    order in this data, so the part-key bucket is what splits a very long
+    order; only sessions longer than one chunk's worth of runs are chunked."""
+    return F.shiftleft(F.col("l_linenumber").cast("long"), 40) + F.shiftright(F.col("l_partkey").cast("long"), 8)
 
 
 # --- B3 conversations ------------------------------------------------------

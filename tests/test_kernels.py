@@ -164,3 +164,20 @@ def test_inserting_a_success_never_lengthens_streak(spark):
     sa = {r["session_key"]: r["max_consecutive_failures"] for r in a.collect()}
     sb = {r["session_key"]: r["max_consecutive_failures"] for r in b.collect()}
     assert all(sb[k] <= sa[k] for k in sa)
+
+
+def test_chunked_equals_plain_on_lineitem(spark):
+    """The lineitem chunk (line number, part-key bucket) splits orders into
+    several chunks, so the chunked plan stitches real multi-column orders."""
+    from conftest import SF_SMALL
+    from runlens.sources.tables import LINEITEM_ORDER, lineitem_chunk, lineitem_runs
+    runs = lineitem_runs(spark, SF_SMALL)
+    kw = dict(chunk=lineitem_chunk(), digits=None)
+    plain = {r["session_key"]: r.asDict() for r in
+             features_from_runs(runs, "session_key", LINEITEM_ORDER, strategy="plain", **kw).collect()}
+    chunked = {r["session_key"]: r.asDict() for r in
+               features_from_runs(runs, "session_key", LINEITEM_ORDER, strategy="chunked", **kw).collect()}
+    assert set(plain) == set(chunked) and len(plain) == 1473
+    for k, row in plain.items():
+        for m in ["total_runs", *ALL_METRICS]:
+            assert approx(row[m], chunked[k][m], 1e-9), (k, m, row[m], chunked[k][m])
