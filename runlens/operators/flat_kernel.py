@@ -11,9 +11,10 @@ share of all runs):
 
   0. Runs per session are counted first (partial aggregation, one small
      shuffle). A session with more than ``2**chunk_bits`` runs is *hot*.
-     There are at most ``total runs / 2**chunk_bits`` hot sessions; their
-     keys are checkpointed to the shared folder, counted, and broadcast only
-     up to a fixed bound (above it, every session takes the chunked plan).
+     There are at most ``total runs / 2**chunk_bits`` hot sessions; they are
+     counted, and their keys are checkpointed to the shared folder and
+     broadcast only up to a fixed bound (above it, every session takes the
+     chunked plan).
 
   Plain plan (all other sessions): one shuffle on the session, a window in
   run order (previous run, row number, running last success) and one
@@ -249,17 +250,16 @@ def flat_run_statistics(
         *[F.col(c) for c in roles],
     )
     if strategy == "auto":
-        # hot-session keys: counted once and checkpointed to the shared folder
-        # (a small table), so the broadcast below reads it instead of
-        # recounting the runs
-        shared_dir(runs.sparkSession)
         hot = (r.groupBy(K).agg(F.count(F.lit(1)).alias("_cnt"))
-               .filter(F.col("_cnt") > (1 << chunk_bits)).select(K).checkpoint(eager=True))
+               .filter(F.col("_cnt") > (1 << chunk_bits)).select(K))
         n_hot = hot.count()
         if n_hot == 0:
             strategy = "plain"
         elif n_hot <= max_hot_sessions:
-            keys = F.broadcast(hot)
+            # the (small) key table is checkpointed to the shared folder, so
+            # both branches and the broadcast read it instead of recounting
+            shared_dir(runs.sparkSession)
+            keys = F.broadcast(hot.checkpoint(eager=True))
             stats = plain_statistics(r.join(keys, K, "left_anti"), ords, th).unionByName(
                 chunked_statistics(r.join(keys, K, "left_semi"), ords, th))
             return stats.select(F.col(K).alias(key), *BASE_STATS)
