@@ -65,3 +65,17 @@ def test_rendered_dates(spark):
     rows = df.select(d.alias("d"), t.alias("t")).collect()
     assert (rows[0]["d"], rows[0]["t"]) == ("2024-12-20", "2024-12-20T01:01:01")
     assert rows[1]["d"] is None and rows[2]["t"] is None
+
+
+@pytest.mark.parametrize("name", ["format_timestamps", "date_range_filter", "validate_requests", "document_features"])
+def test_results_do_not_depend_on_session_time_zone(spark, name):
+    import __spark_entry__ as E
+    from conftest import SF_SMALL
+    q = E.queries()[name]
+    utc = sorted(tuple(r) for r in q(spark, SF_SMALL).collect())
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        tokyo = sorted(tuple(r) for r in q(spark, SF_SMALL).collect())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert utc == tokyo and len(utc) > 0
