@@ -169,6 +169,17 @@ def metric_type(name: str) -> str:
     return "double"
 
 
+def round_digits(col: Column, digits: int) -> Column:
+    """Round to ``digits`` decimals as ``round(col * 10**digits) / 10**digits``.
+
+    ``round(double, d)`` rounds the shortest decimal text of the value in some
+    engines and the binary value in others, so a value printed as ``…5`` at
+    digit d+1 can round differently; scaling first gives every engine the same
+    IEEE product to round to an integer (halves away from zero)."""
+    scale = float(10 ** digits)
+    return F.round(col * scale, 0) / scale
+
+
 def derive_metrics(names: list[str] | None = None, th: Thresholds = DEFAULT_THRESHOLDS,
                    digits: int | None = None) -> list[Column]:
     """Metric columns (optionally a subset, optionally rounded) over the output
@@ -179,6 +190,6 @@ def derive_metrics(names: list[str] | None = None, th: Thresholds = DEFAULT_THRE
     for name in names:
         col = cols[name].cast(metric_type(name))
         if digits is not None and metric_type(name) == "double":
-            col = F.round(col, digits)
+            col = round_digits(col, digits)
         out.append(col.alias(name))
     return out

@@ -86,7 +86,7 @@ def metric_select(name: str, digits: int = 6, ints_as_double: bool = False) -> s
         body = f"CASE WHEN {guard} THEN {expr} ELSE {_EMPTY_VALUE.get(name, '0')} END"
     body = f"CAST({body} AS {_SQL_TYPES[typ]})"
     if typ == "double":
-        body = f"round({body}, {digits})"
+        body = f"(round({body} * {10 ** digits}, 0) / {10 ** digits})"
     if typ_out:
         body = f"CAST({body} AS {typ_out})"
     return f"CASE WHEN n > 0 THEN {body} END AS {name}"
