@@ -34,14 +34,21 @@ def _explicit_null(v: Column) -> Column:
 
 
 def metric_value(m: Column) -> Column:
-    """First-or-scalar rule for one metric (VARIANT in, double out)."""
-    arr = F.try_variant_get(m, "$", "array<variant>")
-    first = F.try_variant_get(F.get(arr, 0), "$", "double")
+    """First-or-scalar rule for one metric (VARIANT in, double out).
+
+    Common cases take one probe: ``$[0]`` finds the first element of a list
+    (a JSON null there reads as NULL), a number reads directly. Only a value
+    that is neither — an empty list (0) or a non-number (NULL) — is cast to an
+    array to tell the two apart."""
+    first = F.try_variant_get(m, "$[0]", "variant")
+    number = F.try_variant_get(m, "$", "double")
+    empty_list = F.coalesce(F.size(F.try_variant_get(m, "$", "array<variant>")) == 0, F.lit(False))
     return (
         F.when(m.isNull(), F.lit(0.0))
-        .when(arr.isNotNull(), F.when(F.size(arr) == 0, F.lit(0.0)).otherwise(first))
+        .when(first.isNotNull(), F.try_variant_get(first, "$", "double"))
         .when(F.is_variant_null(m), F.lit(0.0))
-        .otherwise(F.try_variant_get(m, "$", "double"))
+        .when(number.isNotNull(), number)
+        .when(empty_list, F.lit(0.0))
     )
 
 
