@@ -93,3 +93,22 @@ def test_landed_documents_prune_partitions(spark):
     spark.conf.unset("spark.sql.maxMetadataStringLength")
     assert re.search(r"PartitionFilters: \[[^\]]*date", plan)
     assert "GreaterThanOrEqual(created_at," in plan and "LessThanOrEqual(created_at," in plan
+
+
+def test_order_export_cuts_runs_with_a_broadcast_key_set(spark):
+    df = catalog.queries()["order_training_export"](spark, SF_SMALL)
+    plan = plan_of(df)
+    semi = [line for line in plan.splitlines() if "LeftSemi" in line]
+    assert semi and all("BroadcastHashJoin" in line and "BuildRight" in line for line in semi)
+
+
+def test_tune_session_keeps_user_settings(spark):
+    from runlens.session import tune_session
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "12345")
+    try:
+        tune_session(spark)
+        assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "12345"
+    finally:
+        spark.conf.unset("spark.sql.codegen.hugeMethodLimit")
+    tune_session(spark)
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
