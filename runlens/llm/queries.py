@@ -6,6 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from runlens.llm import license_scan, line_templates
+from runlens.llm.license_scan import op9_license_scan
+from runlens.llm.line_templates import op5_line_templates
+from runlens.llm.sentencepiece_codec import op1_sentencepiece
 from runlens.llm.token_output import op6_token_output
 from runlens.llm.warc import op7_warc
 
@@ -14,10 +18,16 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_sentencepiece": op1_sentencepiece,
+        "op5_line_templates": op5_line_templates,
         "op6_token_output": op6_token_output,
         "op7_warc": op7_warc,
+        "op9_license_scan": op9_license_scan,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op5_line_templates": line_templates.oracle(),
+        "op9_license_scan": license_scan.oracle(),
+    }
