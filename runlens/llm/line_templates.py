@@ -24,12 +24,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runlens.llm.common import staged, table, work_dir
+from runlens.llm.common import checked, staged, table, work_dir
 
 MIN_TOKENS = 5
 DEPTH = 3
 SIMILARITY = 0.8
-BROADCAST_KEYS = 2_000_000  # 8-byte keys: 16 MB
 
 
 def _normal(line: Column) -> Column:
@@ -47,12 +46,6 @@ def _lines(docs: DataFrame, min_tokens: int, depth: int) -> DataFrame:
                     F.xxhash64("norm").alias("h")))
 
 
-def _only(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-    """Rows whose key is among ``keys``; broadcast below a counted bound, else a shuffled join."""
-    small = keys.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS
-    return df.join(F.broadcast(keys) if small else keys, key, "left_semi")
-
-
 def dropped_lines(docs: DataFrame, min_tokens: int = MIN_TOKENS, depth: int = DEPTH,
                   similarity: float = SIMILARITY) -> DataFrame:
     """(d, k, positions) of the lines to drop; ``docs`` has d (doc_id), k (row key), t (text)."""
@@ -64,7 +57,7 @@ def dropped_lines(docs: DataFrame, min_tokens: int = MIN_TOKENS, depth: int = DE
                       f"{out}/distinct")
     # variable fields: only in leaves with two or more distinct lines
     leaves = distinct.groupBy("leaf").count().where("count > 1").select("leaf")
-    several = staged(_only(lines, leaves, "leaf").groupBy("leaf", "h").agg(F.first("n").alias("n"), F.first("norm").alias("norm")),
+    several = staged(lines.join(checked(leaves), "leaf", "left_semi").groupBy("leaf", "h").agg(F.first("n").alias("n"), F.first("norm").alias("norm")),
                      f"{out}/several")
     tokens = several.select("leaf", "h", F.posexplode(F.split("norm", " ")).alias("i", "token")).where(F.col("i") >= depth)
     own = (tokens.groupBy("leaf", "i", F.xxhash64("token").alias("token")).agg(F.count(F.lit(1)).alias("c"), F.min("h").alias("h"))

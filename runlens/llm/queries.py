@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from runlens.llm import license_scan, line_templates
+from runlens.llm import decontaminate, license_scan, line_templates
+from runlens.llm.decontaminate import op10_decontaminate
 from runlens.llm.license_scan import op9_license_scan
 from runlens.llm.line_templates import op5_line_templates
 from runlens.llm.sentencepiece_codec import op1_sentencepiece
 from runlens.llm.token_output import op6_token_output
+from runlens.llm.toxicity import op8_toxicity
 from runlens.llm.warc import op7_warc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,7 +24,9 @@ def queries() -> dict[str, Query]:
         "op5_line_templates": op5_line_templates,
         "op6_token_output": op6_token_output,
         "op7_warc": op7_warc,
+        "op8_toxicity": op8_toxicity,
         "op9_license_scan": op9_license_scan,
+        "op10_decontaminate": op10_decontaminate,
     }
 
 
@@ -30,4 +34,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op5_line_templates": line_templates.oracle(),
         "op9_license_scan": license_scan.oracle(),
+        "op10_decontaminate": decontaminate.oracle(),
     }

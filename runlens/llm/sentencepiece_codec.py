@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runlens.llm.common import table
+from runlens.llm.common import table, text_groups
 
 MARK = "▁"
 CACHE_WORDS = 800_000  # words a Python worker keeps
@@ -166,19 +166,6 @@ def codec(model: str) -> Codec:
     return _state["codec"]
 
 
-def _groups(batch: pa.RecordBatch, text_at: int) -> Iterator[tuple[int, list[str]]]:
-    start, group, size = 0, [], 0
-    for i, text in enumerate(batch.column(text_at)):
-        text = text.as_py() or ""
-        group.append(text)
-        size += len(text)
-        if size >= GROUP_CHARS:
-            yield start, group
-            start, group, size = i + 1, [], 0
-    if group:
-        yield start, group
-
-
 def encode_documents(docs: DataFrame, model: str, text_col: str = "text", with_text: bool = False) -> DataFrame:
     """``docs`` plus ``piece_ids`` (array<int>), ``n_pieces``, ``ids_crc32`` and ``decoded_equal``
     (the decoded ids give the text back; false only where the text holds the mark), and
@@ -195,7 +182,7 @@ def encode_documents(docs: DataFrame, model: str, text_col: str = "text", with_t
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(model)
         for batch in batches:
-            for start, texts in _groups(batch, text_at):
+            for start, texts in text_groups(batch.column(text_at), GROUP_CHARS):
                 coded = c.encode(texts)
                 arrays = [np.frombuffer(x, "<u4") for x in coded]
                 back = [c.decode(a) for a in arrays]
