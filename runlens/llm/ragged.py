@@ -25,6 +25,10 @@ _WIDE_LEAD[[0xC2, 0xE1, 0xE2, 0xE3]] = True
 _ODD = np.zeros(256, bool)
 _ODD[[0x0B, 0x0C, 0x1C, 0x1D, 0x1E, 0x1F]] = True
 
+_LETTER = np.zeros(256, bool)
+_LETTER[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")] = True
+PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+
 _powers: dict[str, np.ndarray] = {}
 
 
@@ -56,13 +60,17 @@ class Chunks:
 
     ``make`` gets new distinct chunks (as bytes) and returns the values of each as raw
     bytes of ``dtype``; a worker keeps up to ``most`` chunks and starts anew beyond that.
+    ``tails``: characters before which a run of ASCII letters also ends a chunk.
     """
 
-    def __init__(self, make: Callable[[list[bytes]], list[bytes]], dtype, separators: bytes = b" \n\t\r", most: int = 600_000):
+    def __init__(self, make: Callable[[list[bytes]], list[bytes]], dtype, separators: bytes = b" \n\t\r",
+                 tails: bytes = b"", most: int = 1_000_000):
         self.make, self.dtype, self.most = make, np.dtype(dtype), most
         self.known: dict[bytes, bytes] = {}
         self.sep = np.zeros(256, bool)
         self.sep[list(separators)] = True
+        self.tail = np.zeros(256, bool)
+        self.tail[list(tails)] = True
 
     def _starts(self, buf: np.ndarray, begin: np.ndarray) -> np.ndarray:
         sep = self.sep[buf]
@@ -72,6 +80,7 @@ class Chunks:
         before = buf[at - 1]
         wide = _WIDE_LAST[before] & (_WIDE_LEAD[buf[at - 2]] | _WIDE_LEAD[buf[at - 3]])
         flag[at[~(wide | _ODD[before])]] = True
+        flag[1:] |= self.tail[buf[1:]] & _LETTER[buf[:-1]]
         flag[begin] = True
         return np.flatnonzero(flag)
 

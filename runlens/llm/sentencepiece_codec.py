@@ -38,12 +38,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runlens.llm.common import table, text_groups
+from runlens.llm.common import table
+from runlens.llm.ragged import PUNCTUATION, Chunks, groups
 
 MARK = "▁"
-CACHE_WORDS = 800_000  # words a Python worker keeps
-CACHE_PAIRS = 1_000_000
-GROUP_CHARS = 4 << 20
+CACHE_CHUNKS = 800_000  # chunks a Python worker keeps
+CACHE_PAIRS = 500_000
 
 _state: dict = {}
 
@@ -73,13 +73,15 @@ class Codec:
         # the merge order reaches a piece only if it encodes to itself
         self.reachable = {p for p in self.id_of if len(p) == 1 or self.merge(p) == [p]}
         lone = "".join(c for c in "\n\t\r" if c not in joined)
+        self.separators = (" " + lone).encode()
         # a run of letters also ends a word, unless some piece joins a letter to the character that follows
         letter = r"[^\W\d_]"
         tied = {b for p in self.id_of for a, b in zip(p, p[1:])
                 if re.fullmatch(letter, a) and not re.fullmatch(letter, b)} | {"\0"}
         self.cut = re.compile(f"{MARK}*+{letter}++(?![{re.escape(''.join(sorted(tied)))}])"
                               f"|{MARK}*+[^{MARK}{lone}]++|{MARK}++" + f"|[{lone}]" * bool(lone))
-        self.words: dict[str, bytes] = {}
+        tails = "".join(c for c in PUNCTUATION.decode() if c not in tied)
+        self.encode = Chunks(self._chunks, "<u4", self.separators, tails.encode(), CACHE_CHUNKS)
         self.pairs: dict[tuple[str, str], bool] = {}
 
     def merge(self, text: str) -> list[str]:
@@ -115,14 +117,15 @@ class Codec:
                 out.append(i)
         return np.asarray(out, "<u4").tobytes()
 
-    def _walk(self, words: list[str]) -> None:
+    def _walk(self, words: list[str]) -> dict[str, bytes]:
         """Depth-first walk over the sorted words; last[i] is the last piece of the prefix of length i."""
+        out: dict[str, bytes] = {}
         reachable, id_of, longest, together = self.reachable, self.id_of, self.longest, self._together
         last: list[str] = [""]
         before = ""
         for word in words:
             if word.startswith(MARK * 2):
-                self.words[word] = self._ids(self.merge(word))
+                out[word] = self._ids(self.merge(word))
                 continue
             shared, most = 0, min(len(word), len(before), len(last) - 1)
             while shared < most and word[shared] == before[shared]:
@@ -142,21 +145,22 @@ class Codec:
                 parts.append(last[at])
                 at -= len(last[at])
             parts.reverse()
-            self.words[word] = self._ids(parts)
+            out[word] = self._ids(parts)
+        return out
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit bytes."""
-        cut = [self.cut.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
-        new = set().union(*cut).difference(self.words)
-        if len(self.words) + len(new) > CACHE_WORDS:
-            self.words.clear()
-            new = set().union(*cut)
-        self._walk(sorted(new))
-        return [b"".join(map(self.words.__getitem__, c)) for c in cut]
+    def _chunks(self, chunks: list[bytes]) -> list[bytes]:
+        """Ids of new chunks: cut into words, all distinct words in one walk."""
+        cut = [self.cut.findall(c.decode().replace(" ", MARK)) for c in chunks]
+        words = self._walk(sorted(set().union(*cut)))
+        return [b"".join(map(words.__getitem__, c)) for c in cut]
 
-    def decode(self, ids: np.ndarray) -> str:
-        raw = b"".join(map(self.surface.__getitem__, ids.tolist()))
-        return raw.removeprefix(b" ").decode("utf-8", "replace")
+    def encode_texts(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts in a row, number of ids of each text); a mark precedes every text."""
+        return self.encode([b" " + t if t else t for t in texts])
+
+    def decode(self, ids: np.ndarray) -> bytes:
+        """The text of ids, as UTF-8."""
+        return b"".join(map(self.surface.__getitem__, ids.tolist())).removeprefix(b" ")
 
 
 def codec(model: str) -> Codec:
@@ -172,7 +176,7 @@ def encode_documents(docs: DataFrame, model: str, text_col: str = "text", with_t
     ``decoded_text`` if asked for. Columns of these names in ``docs`` are replaced."""
     added = ["piece_ids", "n_pieces", "ids_crc32", "decoded_equal"] + (["decoded_text"] if with_text else [])
     src = docs.drop(*added)
-    text_at = src.columns.index(text_col)
+    text_at, names = src.columns.index(text_col), [*src.columns, *added]
     kinds = {"piece_ids": "array<int>", "n_pieces": "long", "ids_crc32": "long", "decoded_equal": "boolean",
              "decoded_text": "string"}
     out = src
@@ -182,19 +186,18 @@ def encode_documents(docs: DataFrame, model: str, text_col: str = "text", with_t
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(model)
         for batch in batches:
-            for start, texts in text_groups(batch.column(text_at), GROUP_CHARS):
-                coded = c.encode(texts)
-                arrays = [np.frombuffer(x, "<u4") for x in coded]
+            for start, texts in groups([t or b"" for t in batch.column(text_at).cast(pa.binary()).to_pylist()]):
+                ids, counts = c.encode_texts(texts)
+                ends = np.cumsum(counts)
+                arrays = np.split(ids, ends[:-1])
                 back = [c.decode(a) for a in arrays]
-                offsets = np.cumsum([0] + [len(a) for a in arrays], dtype=np.int32)
-                values = pa.array(np.frombuffer(b"".join(coded), "<i4"))
-                new = {"piece_ids": pa.ListArray.from_arrays(pa.array(offsets), values),
-                       "n_pieces": pa.array([len(a) for a in arrays], pa.int64()),
-                       "ids_crc32": pa.array([zlib.crc32(x) for x in coded], pa.int64()),
+                new = {"piece_ids": pa.ListArray.from_arrays(pa.array(np.r_[0, ends].astype(np.int32)), pa.array(ids.view("<i4"))),
+                       "n_pieces": pa.array(counts),
+                       "ids_crc32": pa.array([zlib.crc32(a) for a in arrays], pa.int64()),
                        "decoded_equal": pa.array([a == b for a, b in zip(texts, back)]),
-                       "decoded_text": pa.array(back, pa.string())}
+                       "decoded_text": pa.array([b.decode("utf-8", "replace") for b in back], pa.string()) if with_text else None}
                 kept = batch.slice(start, len(texts))
-                yield pa.RecordBatch.from_arrays([*kept.columns, *(new[n] for n in added)], names=[*src.columns, *added])
+                yield pa.RecordBatch.from_arrays([*kept.columns, *(new[n] for n in added)], names=names)
 
     return src.mapInArrow(run, out.schema)
 

@@ -9,9 +9,10 @@ a full read is parallel over stripes. The position of a document in the whole
 id stream is rebuilt from the files: totals per file in file order, then a
 running sum inside each file.
 
-A text is cut by the vocabulary's own split pattern and each distinct piece is
-encoded once by the library (pieces are encoded independently of each other,
-so the ids are those of the whole text; the test holds both against each
+A text is cut where the vocabulary's own split pattern always cuts (after a
+word, at white space and punctuation) and each distinct chunk is encoded once
+by the library; the pattern's pieces are encoded independently of each other,
+so the ids are those of the whole text (the test holds both against each
 other). Special-token strings inside a text are ordinary text.
 
 Defined results: a null text is empty and holds the end id alone; a null
@@ -30,65 +31,44 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from runlens.llm.common import table, work_dir
-
-CACHE_PIECES = 400_000  # encoded pieces a Python worker keeps; the cache starts anew beyond it
-GROUP_BYTES = 4 << 20  # texts cut and encoded together
+from runlens.llm.common import staged, table, work_dir
+from runlens.llm.ragged import PUNCTUATION, Chunks, groups
 
 _state: dict = {}
 
 
-def _encoder(vocab: str):
-    """(split pattern, tokenizer, piece -> ids as little-endian bytes), once per Python worker."""
+def _encoder(vocab: str) -> Chunks:
+    """Distinct chunk -> ids, once per Python worker."""
     if _state.get("vocab") != vocab:
-        import public_tokenizers
-        import regex
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         tok = Tokenizer.from_file(vocab)
         tok.encode_special_tokens = True
-        _state.update(vocab=vocab, split=regex.compile(public_tokenizers.PATTERN), tok=tok, cache={})
-    return _state["split"], _state["tok"], _state["cache"]
 
+        def make(chunks: list[bytes]) -> list[bytes]:
+            coded = tok.encode_batch_fast([c.decode() for c in chunks], add_special_tokens=False)
+            return [np.asarray(e.ids, "<u4").tobytes() for e in coded]
 
-def encode_texts(texts: list[str], vocab: str) -> list[bytes]:
-    """Ids of each text as little-endian unsigned 32-bit bytes."""
-    split, tok, cache = _encoder(vocab)
-    cut = [split.findall(t) for t in texts]
-    new = set().union(*cut).difference(cache)
-    if len(cache) + len(new) > CACHE_PIECES:
-        cache.clear()
-        new = set().union(*cut)
-    new = list(new)
-    for piece, enc in zip(new, tok.encode_batch_fast(new, add_special_tokens=False)):
-        cache[piece] = np.asarray(enc.ids, "<u4").tobytes()
-    return [b"".join(map(cache.__getitem__, pieces)) for pieces in cut]
+        # the split pattern never joins a letter to punctuation or a character to white space after it
+        _state.update(vocab=vocab, chunks=Chunks(make, "<u4", tails=PUNCTUATION))
+    return _state["chunks"]
 
 
 def _encode(vocab: str, end_id: int):
-    end = np.asarray([end_id], "<u4").tobytes()
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(ids: list, group: list[str]) -> pa.RecordBatch:
-            coded = [x + end for x in encode_texts(group, vocab)]
-            offsets = np.cumsum([0] + [len(x) // 4 for x in coded], dtype=np.int32)
-            values = pa.array(np.frombuffer(b"".join(coded), "<i4"))
-            return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), values)],
-                                              names=["doc_id", "ids"])
-
+        encode = _encoder(vocab)
         for batch in batches:
-            ids, group, size = [], [], 0
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                text = text.as_py()
-                ids.append(doc)
-                group.append(text)
-                size += len(text)
-                if size >= GROUP_BYTES:
-                    yield out(ids, group)
-                    ids, group, size = [], [], 0
-            if ids:
-                yield out(ids, group)
+            for start, texts in groups(batch.column(1).cast(pa.binary()).to_pylist()):
+                ids, counts = encode(texts)
+                offsets = np.concatenate([[0], np.cumsum(counts + 1)]).astype(np.int32)
+                values = np.full(offsets[-1], end_id, np.int32)
+                inside = np.ones(len(values), bool)
+                inside[offsets[1:] - 1] = False
+                values[inside] = ids
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(start, len(texts)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))],
+                    names=["doc_id", "ids"])
 
     return run
 
@@ -100,7 +80,7 @@ def write_tokens(docs: DataFrame, path: str, vocab: str, end_id: int = 0, id_col
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = src.repartitionByRange(n, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first())
     (ordered.mapInArrow(_encode(vocab, end_id), "doc_id long, ids array<int>").write
-     .option("orc.compress", "ZSTD").option("orc.stripe.size", str(stripe_bytes))
+     .option("orc.compress", "LZ4").option("orc.stripe.size", str(stripe_bytes))
      .option("orc.create.index", "true").option("orc.row.index.stride", str(row_index_stride))
      .option("orc.bloom.filter.columns", "doc_id").option("orc.bloom.filter.fpp", "0.01").orc(path))
 
@@ -118,10 +98,11 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                           pa.array(crc, pa.int64())], names=["file", "doc_id", "n_tokens", "ids_crc32"])
 
 
-def token_positions(tokens: DataFrame) -> DataFrame:
-    """Per document of written ids: start in the whole id stream, length, crc32 of the ids."""
-    per_doc = tokens.select(F.col("_metadata.file_name").alias("file"), "doc_id", "ids").mapInArrow(
-        _digest, "file string, doc_id long, n_tokens long, ids_crc32 long")
+def token_positions(tokens: DataFrame, out_dir: str) -> DataFrame:
+    """Per document of written ids: start in the whole id stream, length, crc32 of the ids.
+    ``out_dir`` (shared) holds the narrow digest rows, so the ids are read once."""
+    per_doc = staged(tokens.select(F.col("_metadata.file_name").alias("file"), "doc_id", "ids").mapInArrow(
+        _digest, "file string, doc_id long, n_tokens long, ids_crc32 long"), out_dir)
     files = per_doc.groupBy("file").agg(F.sum("n_tokens").alias("n"))
     base = files.select("file", (F.sum("n").over(Window.orderBy("file")) - F.col("n")).alias("base"))  # one row a file
     inside = Window.partitionBy("file").orderBy(F.col("doc_id").asc_nulls_first(), "ids_crc32", "n_tokens").rowsBetween(
@@ -136,4 +117,4 @@ def op6_token_output(spark: SparkSession, sf_dir: str, vocab: str | None = None)
 
     path = work_dir(spark, "tokens-orc")
     write_tokens(table(spark, sf_dir, "documents"), path, vocab or public_tokenizers.path("byte_bpe_50k.json"))
-    return token_positions(read_tokens(spark, path))
+    return token_positions(read_tokens(spark, path), f"{path}-digest")

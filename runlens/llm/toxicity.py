@@ -2,9 +2,10 @@
 
 Learning (rows whose crc32(doc_id) mod 5 is not 0): words of labelled documents
 are counted per label, each distinct line once per label, so that copies do
-not vote twice. A word's score is its log-odds between the labels with an
+not vote twice; a word counts for itself and for its stems. A feature's score is its log-odds between the labels with an
 informative Dirichlet prior (the corpus frequencies), moved two standard
-errors towards zero, less a constant drift that makes ordinary text negative.
+errors towards zero. A word's score is that of its strongest feature, less a
+constant drift that makes ordinary text negative.
 
 Scoring: a linear-time scan finds every maximal scoring segment of a document.
 Scores of the best segments of random text follow an extreme-value law: lambda
@@ -15,7 +16,7 @@ E <= ``alpha`` are toxic passages, a document's evidence is the sum of their
 -ln E, and the share of label 1 among the training documents of each evidence
 class (pooled to be monotone) is its score.
 
-The word table has 2**20 hashed slots (crc32 of the word), so what is collected
+The word table has 2**21 hashed slots (crc32 of a word or stem), so what is collected
 and broadcast has a fixed size; counting covers every labelled training document.
 
 Defined results: null or empty texts have no segment and the score of that
@@ -27,6 +28,7 @@ scores; a null doc_id is taken as the empty text by the hash rule.
 from __future__ import annotations
 
 import math
+import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -36,34 +38,40 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runlens.llm.common import checked, staged, table, text_groups, work_dir, words_of
+from runlens.llm.common import checked, staged, table, work_dir, words_of
+from runlens.llm.ragged import PUNCTUATION, Chunks, groups
 
-SLOTS = 1 << 20
+SLOTS = 1 << 21
+STEMS = range(4, 9)  # characters of the stems
 PRIOR_SHARE = 0.1  # weight of the Dirichlet prior against the training words
 DRIFT = 0.25
 ALPHA = 0.05
 CLASS_WIDTH = 2.0  # evidence classes: 0, then (0, 2], (2, 4], ... up to CLASSES
 CLASSES = 20
-CACHE_WORDS = 800_000
-GROUP_CHARS = 1 << 20
+CACHE_CHUNKS = 500_000  # chunks a Python worker keeps
 
 
-class _Slots(dict):
-    """word -> slot of the table; starts anew when full."""
+def features(word: str) -> list[str]:
+    """A word and its stems: inflected and compound forms share the evidence of their first characters."""
+    return [word, *(word[:k] + "-" for k in STEMS if k < len(word))]
 
-    def __missing__(self, word: str) -> int:
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        self[word] = s = zlib.crc32(word.encode()) % SLOTS
-        return s
 
+def _slots(words: list[str]) -> list[np.ndarray]:
+    return [np.asarray([zlib.crc32(f.encode()) % SLOTS for f in features(w)], np.int32) for w in words]
 
-_slots = _Slots()
 
+def _chunk_slots(chunks: list[bytes]) -> list[bytes]:
+    """All features' slots of a chunk's words."""
+    return [b"".join(x.tobytes() for x in _slots(words_of(c.decode()))) for c in chunks]
 
-def _slots_of(text: str) -> np.ndarray:
-    words = words_of(text)
-    return np.fromiter(map(_slots.__getitem__, words), np.int32, len(words))
+
+_state: dict = {}
+
+
+def _counter() -> Chunks:
+    if "count" not in _state:
+        _state["count"] = Chunks(_chunk_slots, np.int32, tails=PUNCTUATION, most=CACHE_CHUNKS)
+    return _state["count"]
 
 
 def held_out(id_col: str) -> Column:
@@ -89,22 +97,24 @@ def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     return [(a, b, after - before) for a, b, before, after, _ in found]
 
 
-def word_scores(toxic: np.ndarray, clean: np.ndarray) -> np.ndarray:
-    """Score of each slot: shrunken log-odds with an informative Dirichlet prior, less the drift."""
+def slot_scores(toxic: np.ndarray, clean: np.ndarray) -> np.ndarray:
+    """Score of each slot: shrunken log-odds with an informative Dirichlet prior."""
     n1, n0 = toxic.sum(), clean.sum()
     if not n1 or not n0:
-        return np.full(len(toxic), -DRIFT, np.float32)
+        return np.zeros(len(toxic), np.float32)
     prior = PRIOR_SHARE * (toxic + clean) + 1e-3
     a0 = prior.sum()
     y1, y0 = toxic + prior, clean + prior
     odds = np.log(y1 / (n1 + a0 - y1)) - np.log(y0 / (n0 + a0 - y0))
     error = 2 * np.sqrt(1 / y1 + 1 / y0)
-    return (np.sign(odds) * np.maximum(np.abs(odds) - error, 0) - DRIFT).astype(np.float32)
+    return (np.sign(odds) * np.maximum(np.abs(odds) - error, 0)).astype(np.float32)
 
 
-def _lambda(scores: np.ndarray, clean: np.ndarray) -> float:
-    """The positive root of sum p exp(lambda s) = 1 over the clean words."""
-    p = (clean + 1e-9) / (clean.sum() + 1e-9 * len(clean))
+def _lambda(scores: np.ndarray, counts: np.ndarray) -> float:
+    """The positive root of sum p exp(lambda s) = 1 over the clean words' scores and their counts."""
+    if not len(scores):
+        return 1.0
+    p = counts / counts.sum()
     grown = lambda x: float((p * np.exp(np.minimum(x * scores, 500))).sum()) - 1
     if scores.max() <= 0:
         return 1.0
@@ -119,14 +129,30 @@ def _lambda(scores: np.ndarray, clean: np.ndarray) -> float:
 
 @dataclass
 class Model:
+    name: str
     scores: object  # broadcast of the slots' scores
     lam: float
     k: float
     shares: list[float]  # score of each evidence class
     alpha: float = ALPHA
 
-    def passages(self, text: str) -> list[tuple[int, int, float]]:
-        return segments(self.scores.value[_slots_of(text)])
+    def _chunk_scores(self, chunks: list[bytes]) -> list[bytes]:
+        table = self.scores.value
+        out = []
+        for c in chunks:
+            found = []
+            for slots in _slots(words_of(c.decode())):
+                x = table[slots]
+                found.append(x[np.abs(x).argmax()] - DRIFT)
+            out.append(np.asarray(found, np.float32).tobytes())
+        return out
+
+    def word_scores(self, texts: list[bytes]) -> list[np.ndarray]:
+        """Scores of each text's words; chunks are scored once per worker and model."""
+        if _state.get("model") != self.name:
+            _state.update(model=self.name, score=Chunks(self._chunk_scores, np.float32, tails=PUNCTUATION, most=CACHE_CHUNKS))
+        values, counts = _state["score"](texts)
+        return np.split(values, np.cumsum(counts)[:-1])
 
     def evidence(self, n_words: int, found: list[tuple[int, int, float]]) -> float:
         """Sum of -ln E over the significant segments."""
@@ -134,7 +160,11 @@ class Model:
         return sum(x for x in (self.lam * s - base for _, _, s in found) if x >= -math.log(self.alpha))
 
     def score(self, evidence: float) -> float:
-        return self.shares[evidence_class(evidence)]
+        """Share of the evidence's class, moving on to the next class's share within it."""
+        c = evidence_class(evidence)
+        if c in (0, CLASSES):
+            return self.shares[c]
+        return self.shares[c] + (self.shares[c + 1] - self.shares[c]) * min(1.0, evidence / CLASS_WIDTH + 1 - c)
 
 
 def evidence_class(evidence: float) -> int:
@@ -153,20 +183,33 @@ def _monotone(ones: np.ndarray, counts: np.ndarray) -> list[float]:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Word slots per label of (line, toxic) rows, summed within the task."""
+    """Feature slots per label of (line, toxic) rows, summed within the task."""
     total = np.zeros((2, SLOTS), np.int64)
+    count = _counter()
     for batch in batches:
         label = np.asarray(batch.column(1))
-        for start, lines in text_groups(batch.column(0), GROUP_CHARS):
+        for start, lines in groups(batch.column(0).cast(pa.binary()).to_pylist()):
+            slots, n = count(lines)
+            of = np.repeat(label[start:start + len(lines)], n)
             for y in (0, 1):
-                own = [line for line, t in zip(lines, label[start:start + len(lines)]) if t == y]
-                total[y] += np.bincount(_slots_of("\n".join(own)), minlength=SLOTS)
+                total[y] += np.bincount(slots[of == y], minlength=SLOTS)
     at = np.flatnonzero(total.any(axis=0))
     if len(at):
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[1][at]), pa.array(total[0][at])],
                                          names=["slot", "toxic", "clean"])
 
 
+def _histogram(model: Model):
+    """Counts of word scores (to 0.01) in (text, y) rows labelled clean."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, texts in groups(batch.column(0).cast(pa.binary()).to_pylist()):
+                values, n = np.unique(np.round(np.concatenate(model.word_scores(texts)) * 100).astype(np.int32), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(values), pa.array(n)], names=["s", "n"])
+
+    return run
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         label_col: str = "toxic", alpha: float = ALPHA) -> Model:
     """Learn word scores, the extreme-value parameters and the evidence classes."""
@@ -183,17 +226,17 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     toxic, clean = np.zeros(SLOTS), np.zeros(SLOTS)
     at = counts.column("slot").to_numpy()
     toxic[at], clean[at] = counts.column("toxic").to_numpy(), counts.column("clean").to_numpy()
-    scores = word_scores(toxic, clean)
-    model = Model(spark.sparkContext.broadcast(scores), _lambda(scores, clean), 1.0, [0.0] * (CLASSES + 1), alpha)
+    model = Model(uuid.uuid4().hex, spark.sparkContext.broadcast(slot_scores(toxic, clean)), 1.0, 1.0, [0.0] * (CLASSES + 1), alpha)
+    spread = lines.where("y = 0").mapInArrow(_histogram(model), "s int, n long").groupBy("s").agg(F.sum("n").alias("n")).toArrow()
+    model.lam = _lambda(spread.column("s").to_numpy() / 100, spread.column("n").to_numpy())  # one row a score
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, found = [], []
-            for _, texts in text_groups(batch.column(0), GROUP_CHARS):
-                for text in texts:
-                    slots = _slots_of(text)
-                    n.append(len(slots))
-                    found.append([s for _, _, s in segments(model.scores.value[slots])])
+            for _, texts in groups(batch.column(0).cast(pa.binary()).to_pylist()):
+                for scores in model.word_scores(texts):
+                    n.append(len(scores))
+                    found.append([s for _, _, s in segments(scores)])
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(n, pa.int64()), pa.array(found, pa.list_(pa.float64()))],
                                              names=["y", "n", "found"])
 
@@ -218,24 +261,23 @@ def score_documents(docs: DataFrame, model: Model, text_col: str = "text") -> Da
     of each significant segment). Columns of these names are replaced."""
     added = {"toxic_score": "double", "toxic_evidence": "double", "toxic_passages": "array<struct<start:int,end:int,score:double>>"}
     src = docs.drop(*added)
-    at = src.columns.index(text_col)
+    at, names = src.columns.index(text_col), [*src.columns, *added]
     schema = src.withColumns({c: F.lit(None).cast(t) for c, t in added.items()}).schema
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, texts in text_groups(batch.column(at), GROUP_CHARS):
+            for start, texts in groups([t or b"" for t in batch.column(at).cast(pa.binary()).to_pylist()]):
                 evidence, passages = [], []
-                for text in texts:
-                    slots = _slots_of(text)
-                    found = segments(model.scores.value[slots])
-                    evidence.append(model.evidence(len(slots), found))
-                    least = math.log(max(model.k * max(len(slots), 1), 1e-300)) - math.log(model.alpha)
+                for scores in model.word_scores(texts):
+                    found = segments(scores)
+                    evidence.append(model.evidence(len(scores), found))
+                    least = math.log(max(model.k * max(len(scores), 1), 1e-300)) - math.log(model.alpha)
                     passages.append([{"start": a, "end": b, "score": s} for a, b, s in found if model.lam * s >= least])
                 kept = batch.slice(start, len(texts))
                 yield pa.RecordBatch.from_arrays(
                     [*kept.columns, pa.array([model.score(x) for x in evidence], pa.float64()), pa.array(evidence, pa.float64()),
-                     pa.array(passages, kind)], names=[*src.columns, *added])
+                     pa.array(passages, kind)], names=names)
 
     return src.mapInArrow(run, schema)
 
