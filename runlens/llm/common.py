@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,20 +26,6 @@ def checked(keys: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(keys) if keys.limit(max_rows + 1).count() <= max_rows else keys
 
 
-def text_groups(column, max_chars: int) -> Iterator[tuple[int, list[str]]]:
-    """Whole texts of an Arrow column (null: empty) in groups of about ``max_chars``, with each group's first row."""
-    start, group, size = 0, [], 0
-    for i, text in enumerate(column):
-        text = text.as_py() or ""
-        group.append(text)
-        size += len(text)
-        if size >= max_chars:
-            yield start, group
-            start, group, size = i + 1, [], 0
-    if group:
-        yield start, group
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -30,51 +30,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runlens.llm.common import table, text_groups, words_of
+from runlens.llm.common import table, words_of
+from runlens.llm.ragged import groups
+from runlens.llm.shingles import shingle_hashes, word_hashes
 
 WORDS = 5
 THRESHOLD = 0.8
 HASHES = 64
 SMALLEST = 8
 BLOCK_CHARS = 4 << 20
-GROUP_CHARS = 2 << 20
-CACHE_WORDS = 800_000
 
 _rng = np.random.default_rng(20240229)
 _MUL = _rng.integers(1, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADD = _rng.integers(0, 1 << 63, HASHES, dtype=np.uint64)
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-
-
-class _Hashes(dict):
-    """word -> 64-bit hash; starts anew when full."""
-
-    def __missing__(self, word: str) -> int:
-        import xxhash
-
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        self[word] = h = xxhash.xxh3_64_intdigest(word)
-        return h
-
-
-_hashes = _Hashes()
-
-
-def shingle_hashes(words: list[str]) -> np.ndarray:
-    """64-bit hash of every five-word shingle, in text order."""
-    w = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
-    n = len(w) - WORDS + 1
-    if n <= 0:
-        return np.empty(0, np.uint64)
-    s = w[:n].copy()
-    for j in range(1, WORDS):
-        s *= _BASE
-        s += w[j:n + j]
-    s ^= s >> np.uint64(31)
-    s *= np.uint64(0xBF58476D1CE4E5B9)
-    s ^= s >> np.uint64(29)
-    return s
 
 
 def _minima_input(s: np.ndarray, k: int) -> np.ndarray:
@@ -97,7 +65,7 @@ class Index:
             while b < len(shingles):
                 b *= 2
             by_class[b].append(len(self.items))
-            self.items.append((item_id, shingles, np.unique(shingle_hashes(words))))
+            self.items.append((item_id, shingles, np.unique(shingle_hashes(word_hashes([text.encode()])[0], WORDS))))
         self.classes = sorted(by_class)
         self.tables = {}
         for b, members in by_class.items():
@@ -153,15 +121,17 @@ class Index:
                 level *= 2
         return out
 
-    def search(self, texts: list[str | None]) -> list[tuple[int, object, int, int]]:
+    def search(self, texts: list[bytes]) -> list[tuple[int, object, int, int]]:
         """(document number, item_id, shared shingles, item's shingles) of every contained item."""
-        words = [words_of(t) for t in texts]
-        parts = [shingle_hashes(w) for w in words]
+        parts = [shingle_hashes(w, WORDS) for w in word_hashes(texts)]
         found = []
-        for d, i in sorted(self.candidates(np.concatenate(parts) if parts else np.empty(0, np.uint64), list(map(len, parts)))):
+        for d, i in sorted(self.candidates(np.concatenate(parts), list(map(len, parts)))):
             item_id, shingles, hashes = self.items[i]
             at = np.flatnonzero(np.isin(parts[d], hashes))
-            shared = len({tuple(words[d][j:j + WORDS]) for j in at.tolist()} & shingles)
+            if len(at) < self.threshold * len(shingles) - 1e-9:
+                continue
+            words = words_of(texts[d].decode())
+            shared = len({tuple(words[j:j + WORDS]) for j in at.tolist()} & shingles)
             if shared >= self.threshold * len(shingles) - 1e-9:
                 found.append((d, item_id, shared, len(shingles)))
         return found
@@ -188,7 +158,7 @@ def contained_items(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id
     def search(index):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for start, texts in text_groups(batch.column(1), GROUP_CHARS):
+                for start, texts in groups([t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()]):
                     rows = [(batch.column(0)[start + d].as_py(), i, a, b) for d, i, a, b in index.value.search(texts)]
                     if rows:
                         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)],
@@ -208,7 +178,8 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
     def keep(index):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                bad = {start + d for start, texts in text_groups(batch.column(at), GROUP_CHARS) for d, *_ in index.value.search(texts)}
+                column = [t or b"" for t in batch.column(at).cast(pa.binary()).to_pylist()]
+                bad = {start + d for start, texts in groups(column) for d, *_ in index.value.search(texts)}
                 yield batch.filter(pa.array([i not in bad for i in range(batch.num_rows)], pa.bool_()))
 
         return run

@@ -10,6 +10,7 @@ from runlens.llm import decontaminate, license_scan, line_templates
 from runlens.llm.decontaminate import op10_decontaminate
 from runlens.llm.license_scan import op9_license_scan
 from runlens.llm.line_templates import op5_line_templates
+from runlens.llm.near_dedup import op3_near_dedup
 from runlens.llm.sentencepiece_codec import op1_sentencepiece
 from runlens.llm.token_output import op6_token_output
 from runlens.llm.toxicity import op8_toxicity
@@ -21,6 +22,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 def queries() -> dict[str, Query]:
     return {
         "op1_sentencepiece": op1_sentencepiece,
+        "op3_near_dedup": op3_near_dedup,
         "op5_line_templates": op5_line_templates,
         "op6_token_output": op6_token_output,
         "op7_warc": op7_warc,
