@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from runlens.llm import decontaminate, license_scan, line_templates
+from runlens.llm import decontaminate, license_scan, line_templates, topk_search
 from runlens.llm.decontaminate import op10_decontaminate
 from runlens.llm.license_scan import op9_license_scan
 from runlens.llm.line_templates import op5_line_templates
 from runlens.llm.near_dedup import op3_near_dedup
 from runlens.llm.sentencepiece_codec import op1_sentencepiece
 from runlens.llm.token_output import op6_token_output
+from runlens.llm.topk_search import op4_topk_search
 from runlens.llm.toxicity import op8_toxicity
 from runlens.llm.warc import op7_warc
 
@@ -23,6 +24,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_sentencepiece": op1_sentencepiece,
         "op3_near_dedup": op3_near_dedup,
+        "op4_topk_search": op4_topk_search,
         "op5_line_templates": op5_line_templates,
         "op6_token_output": op6_token_output,
         "op7_warc": op7_warc,
@@ -34,6 +36,7 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op4_topk_search": topk_search.oracle(),
         "op5_line_templates": line_templates.oracle(),
         "op9_license_scan": license_scan.oracle(),
         "op10_decontaminate": decontaminate.oracle(),
