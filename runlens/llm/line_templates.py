@@ -32,9 +32,12 @@ SIMILARITY = 0.8
 
 
 def _normal(line: Column) -> Column:
-    """Blanks collapsed, tokens with a digit replaced by the wildcard."""
-    masked = F.regexp_replace(line, r"(?<!\S)[^\s0-9]*+[0-9]\S*", "<*>")
-    return F.trim(F.regexp_replace(masked, r"\s+", " "))
+    """Blanks collapsed, tokens with a digit replaced by the wildcard; lines that need neither skip the patterns."""
+    masked = F.when(line.rlike("[0-9]"), F.regexp_replace(line, r"(?<!\S)[^\s0-9]*+[0-9]\S*", "<*>")).otherwise(line)
+    odd = F.lit(False)
+    for blank in ("  ", "\t", "\r", "\f", "\x0b"):
+        odd = odd | line.contains(blank)
+    return F.trim(F.when(odd, F.regexp_replace(masked, r"\s+", " ")).otherwise(masked))
 
 
 def _lines(docs: DataFrame, min_tokens: int, depth: int) -> DataFrame:
@@ -53,7 +56,8 @@ def dropped_lines(docs: DataFrame, min_tokens: int = MIN_TOKENS, depth: int = DE
     out = work_dir(spark, "line-templates")
     lines = _lines(docs, min_tokens, depth)
     place = F.struct(F.col("d"), F.col("k"), F.col("p"))
-    distinct = staged(lines.groupBy("leaf", "h").agg(F.min(place).alias("first"), F.min("k").alias("k0"), F.max("k").alias("k1")),
+    narrow = staged(lines.select("d", "k", "p", "leaf", "h"), f"{out}/lines")
+    distinct = staged(narrow.groupBy("leaf", "h").agg(F.min(place).alias("first"), F.min("k").alias("k0"), F.max("k").alias("k1")),
                       f"{out}/distinct")
     # variable fields: only in leaves with two or more distinct lines
     leaves = distinct.groupBy("leaf").count().where("count > 1").select("leaf")
@@ -70,7 +74,7 @@ def dropped_lines(docs: DataFrame, min_tokens: int = MIN_TOKENS, depth: int = DE
     recurring = (named.groupBy("leaf", "g").agg(F.min("first").alias("keep"), F.min("k0").alias("k0"), F.max("k1").alias("k1"))
                  .where("k0 <> k1").select("leaf", "g", "keep"))
     drop = named.join(recurring, ["leaf", "g"]).select("leaf", "h", "keep")
-    hit = lines.select("d", "k", "p", "leaf", "h").join(drop, ["leaf", "h"]).where(
+    hit = narrow.join(drop, ["leaf", "h"]).where(
         ~(F.col("k").eqNullSafe(F.col("keep.k")) & (F.col("p") == F.col("keep.p"))))
     return hit.groupBy("d", "k").agg(F.collect_set("p").alias("positions"))
 
