@@ -10,6 +10,7 @@ from runlens.llm import decontaminate, license_scan, line_templates, topk_search
 from runlens.llm.decontaminate import op10_decontaminate
 from runlens.llm.license_scan import op9_license_scan
 from runlens.llm.line_templates import op5_line_templates
+from runlens.llm.lm_score import op2_lm_score
 from runlens.llm.near_dedup import op3_near_dedup
 from runlens.llm.sentencepiece_codec import op1_sentencepiece
 from runlens.llm.token_output import op6_token_output
@@ -23,6 +24,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 def queries() -> dict[str, Query]:
     return {
         "op1_sentencepiece": op1_sentencepiece,
+        "op2_lm_score": op2_lm_score,
         "op3_near_dedup": op3_near_dedup,
         "op4_topk_search": op4_topk_search,
         "op5_line_templates": op5_line_templates,
