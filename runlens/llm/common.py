@@ -26,6 +26,14 @@ def checked(keys: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(keys) if keys.limit(max_rows + 1).count() <= max_rows else keys
 
 
+def free_name(name: str, columns: list[str]) -> str:
+    """``name``, lengthened until no column has it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

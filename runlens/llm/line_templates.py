@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runlens.llm.common import checked, staged, table, work_dir
+from runlens.llm.common import checked, free_name, staged, table, work_dir
 
 MIN_TOKENS = 5
 DEPTH = 3
@@ -81,25 +81,28 @@ def dropped_lines(docs: DataFrame, min_tokens: int = MIN_TOKENS, depth: int = DE
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_tokens: int = MIN_TOKENS,
                 depth: int = DEPTH, similarity: float = SIMILARITY) -> DataFrame:
-    """``docs`` with recurring template lines taken out of ``text_col``; plus ``_lines`` and ``_dropped`` counts."""
+    """``docs`` with recurring template lines taken out of ``text_col``; plus ``lines_before`` and
+    ``lines_dropped`` (columns of these names are replaced)."""
+    docs = docs.drop("lines_before", "lines_dropped")
+    k, t, gone = (free_name(n, docs.columns) for n in ("key", "whole", "gone"))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     ident = F.col(id_col).cast("long")
     key = F.xxhash64(ident, text)
-    keyed = docs.withColumns({"_k": key, "_t": text})
     src = docs.select(ident.alias("d"), key.alias("k"), text.alias("t"))
-    gone = dropped_lines(src, min_tokens, depth, similarity).select(F.col("k").alias("_k"), F.col("positions").alias("_gone"))
-    joined = keyed.join(gone, "_k", "left")
-    parts = F.split("_t", "\n", -1)
-    kept = F.when(F.col("_gone").isNull(), F.col("_t")).otherwise(
-        F.array_join(F.filter(parts, lambda x, i: ~F.array_contains("_gone", i)), "\n"))
-    return joined.withColumns({text_col: kept, "_lines": F.size(parts).cast("long"),
-                               "_dropped": F.coalesce(F.size("_gone"), F.lit(0)).cast("long")}).select(*docs.columns, "_lines", "_dropped")
+    drop = dropped_lines(src, min_tokens, depth, similarity).select(F.col("k").alias(k), F.col("positions").alias(gone))
+    joined = docs.withColumns({k: key, t: text}).join(drop, k, "left")
+    parts = F.split(t, "\n", -1)
+    kept = F.when(F.col(gone).isNull(), F.col(t)).otherwise(
+        F.array_join(F.filter(parts, lambda x, i: ~F.array_contains(gone, i)), "\n"))
+    return joined.withColumns({text_col: kept, "lines_before": F.size(parts).cast("long"),
+                               "lines_dropped": F.coalesce(F.size(gone), F.lit(0)).cast("long")}).select(
+        *docs.columns, "lines_before", "lines_dropped")
 
 
 def op5_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: lines, dropped lines, and the md5 of the text that stays."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return dedup_lines(docs).select("doc_id", F.col("_lines").alias("n_lines"), F.col("_dropped").alias("n_dropped"),
+    return dedup_lines(docs).select("doc_id", F.col("lines_before").alias("n_lines"), F.col("lines_dropped").alias("n_dropped"),
                                     F.md5("text").alias("kept_md5"))
 
 

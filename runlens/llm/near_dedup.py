@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runlens.llm.common import checked, staged, table, work_dir
+from runlens.llm.common import checked, free_name, staged, table, work_dir
 from runlens.llm.ragged import groups
 from runlens.llm.shingles import shingle_hashes, word_hashes
 
@@ -273,14 +273,15 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """One document of each class: the one with the smallest id; columns unchanged."""
     classes = staged(near_duplicate_classes(docs, id_col, text_col, similarity, sketches),
                      work_dir(docs.sparkSession, "near-dedup-classes"))
+    n, i, kn, ki, many = (free_name(x, docs.columns) for x in ("node", "node_id", "kept_node", "kept_id", "n_rows"))
     # if the smallest id of a class has several texts, the one with the smallest hash stays
     kept = (classes.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy("root")
-            .agg(F.min_by("class_id", "node").alias("_kept_id"), F.min("node").alias("_kept_node"), F.max("n_rows").alias("n_rows")))
+            .agg(F.min_by("class_id", "node").alias(ki), F.min("node").alias(kn), F.max("n_rows").alias(many)))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    keyed = docs.withColumns({"_node": F.xxhash64(text), "_id": F.col(id_col).cast("long")})
-    rows = keyed.join(kept, (F.col("_node") == F.col("_kept_node")) & F.col("_id").eqNullSafe(F.col("_kept_id")), "left_semi")
-    if not kept.where("n_rows > 1").isEmpty():
-        rows = rows.dropDuplicates(["_node", "_id"])
+    keyed = docs.withColumns({n: F.xxhash64(text), i: F.col(id_col).cast("long")})
+    rows = keyed.join(kept, (F.col(n) == F.col(kn)) & F.col(i).eqNullSafe(F.col(ki)), "left_semi")
+    if not kept.where(F.col(many) > 1).isEmpty():
+        rows = rows.dropDuplicates([n, i])
     return rows.select(*docs.columns)
 
 
