@@ -49,6 +49,9 @@ def _exact(q: np.ndarray, x: np.ndarray) -> type:
     return np.float32 if most < 1 << 24 else np.float64 if most < 1 << 53 else object
 
 
+_INT = np.vectorize(int, otypes=[object])
+
+
 class Top:
     """The best k (score, vec_id) of each query so far."""
 
@@ -68,7 +71,7 @@ def search_block(q: np.ndarray, q_ids: np.ndarray, rows: np.ndarray, ids: list,
     """Hold queries q (numbers ``first`` on) against one block of candidate rows."""
     kind = _exact(q, rows)
     n, k = len(rows), top.k
-    q, x = q.astype(kind), rows.astype(kind)
+    q, x = (q.astype(kind), rows.astype(kind)) if kind is not object else (_INT(q), _INT(rows))
     lists = np.sort(x, axis=0) if kind is not object else np.asarray([sorted(c) for c in x.T], object).T
     up, down = np.maximum(q, 0), np.minimum(q, 0)
     low, high = lists[0], lists[-1]
