@@ -5,7 +5,6 @@ Layout:
   functions/  column builders (run normalisation, dates, request checks)
   operators/  run-statistics kernels (flat, nested), metric derivation, semi-join restriction
   plans/      end-to-end plans (documents, features, export), the job, the query catalog
-  streaming/  empty on purpose: the reference job has no streaming path
 
 Typical use::
 

@@ -11,6 +11,8 @@ the export turns them into 0 (see ``plans.export``).
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -161,6 +163,13 @@ LONG_METRICS = {
 }
 
 
+# Metrics that read the run order or a session mean; the others need one aggregation only.
+ORDERED_METRICS = {
+    "token_coefficient_variation", "token_spike_frequency", "max_token_growth_rate", "explosive_growth_events",
+    "execution_time_cv", "time_explosion_events", "max_consecutive_failures",
+}
+
+
 def metric_type(name: str) -> str:
     if name in INT_METRICS:
         return "int"
@@ -181,9 +190,10 @@ def round_digits(col: Column, digits: int) -> Column:
 
 
 def derive_metrics(names: list[str] | None = None, th: Thresholds = DEFAULT_THRESHOLDS,
-                   digits: int | None = None) -> list[Column]:
+                   digits: int | None = None, extra: Mapping[str, Column] | None = None) -> list[Column]:
     """Metric columns (optionally a subset, optionally rounded) over the output
-    of ``with_ratios``."""
+    of ``with_ratios``. ``extra`` is a metric group of the caller's own: name ->
+    expression over the base statistics and ratios, appended as it is."""
     cols = metric_columns(th)
     names = list(cols) if names is None else names
     out = []
@@ -192,4 +202,4 @@ def derive_metrics(names: list[str] | None = None, th: Thresholds = DEFAULT_THRE
         if digits is not None and metric_type(name) == "double":
             col = round_digits(col, digits)
         out.append(col.alias(name))
-    return out
+    return out + [col.alias(name) for name, col in (extra or {}).items()]

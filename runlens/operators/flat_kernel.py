@@ -6,32 +6,36 @@ Input columns (after normalisation, invalid runs already removed):
   total_tokens, output_tokens, execution_time (double), tool_calls_count,
   error_count (bigint), success, has_timeout (boolean)
 
-Two plans, chosen per session (skew-safe — one session may hold a large
+NULL keys, positions and flags follow one rule whatever the plan: a NULL key
+is one session, a NULL position sorts first, a NULL ``success`` is a failure
+and a NULL ``has_timeout`` is none. Runs at equal positions are ordered by
+their values, so the result never depends on how rows arrive.
+
+Two plans, chosen per session (skew-safe: one session may hold a large
 share of all runs):
 
-  0. Runs per session are counted first (partial aggregation, one small
-     shuffle). A session with more than ``2**chunk_bits`` runs is *hot*.
-     There are at most ``total runs / 2**chunk_bits`` hot sessions; they are
-     counted, and their keys are checkpointed to the shared folder and
-     broadcast only up to a fixed bound (above it, every session takes the
-     chunked plan).
+  0. Metric sets without order need neither: one aggregation on the session.
+     Otherwise runs per session are counted (key column only, partial
+     aggregation); sessions with more than ``2**chunk_bits`` runs are *hot*,
+     at most ``total runs / 2**chunk_bits`` of them, and their keys are
+     written to the shared folder. The keys are broadcast below a counted
+     bound and shuffled beyond it; the plans and results are the same.
 
   Plain plan (all other sessions): one shuffle on the session, a window in
   run order (previous run, row number, running last success) and one
   aggregation. A window partition holds at most ``2**chunk_bits`` runs.
 
   Chunked plan (hot sessions):
-  1. Runs are cut into *chunks*: ``chunk`` is a caller-supplied column that
-     never decreases along the run order (default: ``pos >> chunk_bits`` for
-     a single numeric position). A chunk holds at most ``2**chunk_bits``
-     runs when positions are dense, so no task ever holds a whole session.
+  1. Their runs are range-partitioned by (session, run order) into about
+     ``2**chunk_bits`` runs each and written to the shared folder; the number
+     of the range is the *chunk*. Ranges are cut by rank, so sparse, equal or
+     NULL positions give chunks of the same size as dense ones.
   2. Session means: run count and sums per (session, chunk) with map-side
      partial aggregation, then a window over the chunk rows of each session.
   3. Ordered pass: runs are joined to their chunk's session means on
-     ``(session, chunk)`` — the join is salted by the chunk, so a hot session
-     is spread over many tasks. Within a chunk the same window and
-     aggregation as the plain plan run, against the session mean (spikes,
-     exact two-pass variance).
+     ``(session, chunk)``: a hot session is spread over as many tasks as it
+     has chunks. Within a chunk the same window and aggregation as the plain
+     plan run, against the session mean (spikes, exact two-pass variance).
   4. Chunk summaries are stitched per session in chunk order: boundary
      pairs (last run of one chunk, first run of the next) and failure
      streaks that cross chunk borders; sums, maxima and minima combine.
@@ -42,6 +46,7 @@ tests run both, and their union, against a plain-Python oracle.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -167,10 +172,10 @@ def chunked_statistics(r: DataFrame, ords: list[str], th: Thresholds = DEFAULT_T
 
     # -- step 3: ordered pass inside each chunk. Shuffled hash join on
     # (session, chunk), building on the chunk-level means: runs are never
-    # broadcast and never sorted for the join, and the window below inherits
-    # (session, chunk) partitioning — a hot session is spread over as many
-    # tasks as it has chunks.
-    seq = r.join(means.hint("shuffle_hash"), [K, C])
+    # broadcast and never sorted for the join, and a hot session is spread
+    # over as many tasks as it has chunks.
+    means = means.withColumnsRenamed({K: "_mk", C: "_mc"}).hint("shuffle_hash")
+    seq = r.join(means, F.col(K).eqNullSafe(F.col("_mk")) & (F.col(C) == F.col("_mc"))).drop("_mk", "_mc")
     chunks = _ordered_pass(seq, Window.partitionBy(K, C).orderBy(*ords)).groupBy(K, C).agg(*_group_aggs(th))
 
     # -- step 4: stitch chunks of a session in order
@@ -210,65 +215,65 @@ def chunked_statistics(r: DataFrame, ords: list[str], th: Thresholds = DEFAULT_T
     )
 
 
-DEFAULT_MAX_HOT_SESSIONS = 1_000_000  # keys broadcast to split hot from plain sessions
+DEFAULT_MAX_HOT_SESSIONS = 1_000_000  # keys broadcast to tell hot sessions from the others
+VALUES = ["total_tokens", "output_tokens", "execution_time", "tool_calls_count", "error_count", "success", "has_timeout"]
+
+
+def _cut(r: DataFrame, n_runs: int, ords: list[str], chunk_bits: int) -> DataFrame:
+    """Runs with their chunk, cut by rank in (session, run order) and written once."""
+    n = (n_runs >> chunk_bits) + 1
+    path = f"{shared_dir(r.sparkSession)}/hot-runs-{uuid.uuid4().hex}"
+    cut = r.repartitionByRange(n, K, *ords).withColumn(C, F.spark_partition_id())
+    cut.write.parquet(path)
+    return r.sparkSession.read.schema(cut.schema).parquet(path)
 
 
 def flat_run_statistics(
     runs: DataFrame,
     key: str,
     order: Sequence[str] | str,
-    chunk: Column | None = None,
     th: Thresholds = DEFAULT_THRESHOLDS,
     chunk_bits: int = 16,
     strategy: str = "auto",
     max_hot_sessions: int = DEFAULT_MAX_HOT_SESSIONS,
+    ordered: bool = True,
 ) -> DataFrame:
     """One row per session key with the columns of ``BASE_STATS`` (key kept under its name).
 
-    ``strategy="auto"`` first counts runs per session (partial aggregation,
-    one small shuffle; this runs a job). Sessions with more than
-    ``2**chunk_bits`` runs are *hot*; there can be at most
-    ``total runs / 2**chunk_bits`` of them, and their keys are broadcast only
-    when the counted number is at most ``max_hot_sessions``. Hot sessions go
-    through the chunked plan, all others through the plain plan (whose
-    window partitions then hold at most ``2**chunk_bits`` runs each), and the
-    two results are unioned. With more hot sessions than the bound, every
-    session takes the chunked plan. ``"chunked"`` and ``"plain"`` force one
-    plan (``"plain"`` only for data known to have no long session).
+    ``strategy="auto"`` sends sessions of more than ``2**chunk_bits`` runs through the chunked plan
+    and all others through the plain plan (see the module's text). ``"chunked"`` and ``"plain"``
+    force one plan for all. ``ordered=False`` (no statistic that depends on order or on a session
+    mean is read) skips the count.
     """
     order = [order] if isinstance(order, str) else list(order)
-    if chunk is None:
-        if len(order) != 1:
-            raise ValueError("pass `chunk` when the run order has several columns")
-        chunk = F.shiftright(F.col(order[0]).cast("long"), chunk_bits)
     ords = [f"_o{i}" for i in range(len(order))]
-    roles = ["total_tokens", "output_tokens", "execution_time", "tool_calls_count",
-             "error_count", "success", "has_timeout"]
     r = runs.select(
-        F.col(key).alias(K), chunk.alias(C),
+        F.col(key).alias(K),
         *[F.col(c).alias(a) for c, a in zip(order, ords)],
-        *[F.col(c) for c in roles],
+        *[F.coalesce(F.col(c), F.lit(False)).alias(c) if c in ("success", "has_timeout") else F.col(c) for c in VALUES],
     )
-    if strategy == "auto":
-        hot = (r.groupBy(K).agg(F.count(F.lit(1)).alias("_cnt"))
-               .filter(F.col("_cnt") > (1 << chunk_bits)).select(K))
-        n_hot = hot.count()
-        if n_hot == 0:
-            strategy = "plain"
-        elif n_hot <= max_hot_sessions:
-            # the (small) key table is checkpointed to the shared folder, so
-            # both branches and the broadcast read it instead of recounting
-            shared_dir(runs.sparkSession)
-            keys = F.broadcast(hot.checkpoint(eager=True))
-            stats = plain_statistics(r.join(keys, K, "left_anti"), ords, th).unionByName(
-                chunked_statistics(r.join(keys, K, "left_semi"), ords, th))
-            return stats.select(F.col(K).alias(key), *BASE_STATS)
-        else:
-            strategy = "chunked"
+    ords = [*ords, *VALUES]  # ties in the order are settled by the runs' values
+    if strategy not in ("auto", "plain", "chunked"):
+        raise ValueError(f"unknown strategy {strategy!r}")
+    if not ordered and strategy == "auto":
+        strategy = "plain"
     if strategy == "plain":
         stats = plain_statistics(r, ords, th)
     elif strategy == "chunked":
-        stats = chunked_statistics(r, ords, th)
+        stats = chunked_statistics(_cut(r, r.count(), ords, chunk_bits), ords, th)
     else:
-        raise ValueError(f"unknown strategy {strategy!r}")
+        spark = runs.sparkSession
+        path = f"{shared_dir(spark)}/hot-keys-{uuid.uuid4().hex}"
+        hot = r.groupBy(F.col(K).alias("_hot")).agg(F.count(F.lit(1)).alias("_cnt")).filter(F.col("_cnt") > (1 << chunk_bits))
+        hot.write.parquet(path)
+        hot = spark.read.schema(hot.schema).parquet(path)
+        n_hot, n_runs = hot.agg(F.count(F.lit(1)), F.sum("_cnt")).first()
+        if not n_hot:
+            stats = plain_statistics(r, ords, th)
+        else:
+            keys = hot.select("_hot")
+            keys = F.broadcast(keys) if n_hot <= max_hot_sessions else keys.hint("shuffle_hash")
+            same = F.col(K).eqNullSafe(F.col("_hot"))
+            stats = plain_statistics(r.join(keys, same, "left_anti"), ords, th).unionByName(
+                chunked_statistics(_cut(r.join(keys, same, "left_semi"), n_runs, ords, chunk_bits), ords, th))
     return stats.select(F.col(K).alias(key), *BASE_STATS)

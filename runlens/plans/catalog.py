@@ -7,25 +7,26 @@ Every query reads the driver tables in full (no id subsets or row caps).
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runlens.config import (ALL_METRICS, EMPTY_EXPORT_ROW, FAILURE_METRICS, SPEED_METRICS, TIME_METRICS,
+from runlens.config import (ALL_METRICS, EMPTY_EXPORT_ROW, EXPORT_COLUMNS, FAILURE_METRICS, SPEED_METRICS, TIME_METRICS,
                             TOKEN_METRICS, TOOL_METRICS)
 from runlens.functions.dates import default_range, range_bounds, rendered_dates, request_error
 from runlens.plans import oracle_sql as O
-from runlens.plans.documents import (basic_fields, document_features, normalize_documents, quarantined_documents,
-                                     raw_runs, run_table, typed_runs)
-from runlens.plans.export import export_frame, export_manifest, extraction_summary, training_rows, \
-    write_training_export
+from runlens.plans.documents import (document_features, flat_projection, normalize_documents, quarantined_documents,
+                                     run_table, typed_runs)
+from runlens.plans.export import (EXPORT_METADATA, export_frame, export_manifest, export_path, extraction_summary,
+                                  read_export, training_rows, write_training_export)
 from runlens.operators.derive import INT_METRICS, LONG_METRICS
 from runlens.operators.restrict import restrict_to_keys
 from runlens.plans.features import features_from_runs
 from runlens.session import shared_dir, tune_session
-from runlens.sources.documents import document_sessions, event_run_records
-from runlens.sources.tables import (LINEITEM_ORDER, conversation_runs, lineitem_chunk, lineitem_runs,
+from runlens.sources.documents import document_sessions, event_run_records, typed_document_sessions
+from runlens.sources.tables import (LINEITEM_ORDER, conversation_runs, lineitem_runs,
                                     order_sessions, table)
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +35,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 DOC_RANGE = ("2024-01-20", "2024-02-10")  # B5 documents span 2024-01-01 .. 2024-03-30
 EMPTY_RANGE = ("2030-01-01", "2030-01-31")  # no document falls in it
 ORDER_RANGE = ("1996-01-01", "1996-03-31")
+DIGITS = 6  # the queries and their oracles round doubles; the job's export does not
 AS_OF = dt.date(1998, 3, 31)  # default range: 1998-02-28 .. 1998-03-30
 
 
@@ -41,7 +43,7 @@ AS_OF = dt.date(1998, 3, 31)  # default range: 1998-02-28 .. 1998-03-30
 def _lineitem_features(metrics: list[str] | None = None, with_runs: bool = True) -> Query:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         df = features_from_runs(lineitem_runs(spark, sf_dir), "session_key", LINEITEM_ORDER,
-                                chunk=lineitem_chunk(), metrics=metrics)
+                                metrics=metrics, digits=DIGITS)
         keep = ["session_key"] + (["total_runs"] if with_runs else []) + \
             (ALL_METRICS if metrics is None else metrics)
         return df.select(*keep)
@@ -54,7 +56,7 @@ def _lineitem_sql(metrics: list[str] | None = None, with_runs: bool = True) -> s
 
 # ------------------------------------------------------------ B3 conversations
 def conversation_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return features_from_runs(conversation_runs(spark, sf_dir), "session_key", "turn")
+    return features_from_runs(conversation_runs(spark, sf_dir), "session_key", "turn", digits=DIGITS)
 
 
 # ---------------------------------------------------------------- B2 events
@@ -81,7 +83,7 @@ def run_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return features_from_runs(_event_runs(spark, sf_dir), "session_key", "pos")
+    return features_from_runs(_event_runs(spark, sf_dir), "session_key", "pos", digits=DIGITS)
 
 
 # ------------------------------------------------------------- B5 documents
@@ -98,7 +100,7 @@ def _nullable_ints_as_double(df: DataFrame) -> DataFrame:
 
 
 def document_features_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _nullable_ints_as_double(document_features(_norm(spark, sf_dir)))
+    return _nullable_ints_as_double(document_features(_norm(spark, sf_dir), digits=DIGITS))
 
 
 def quarantine_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,14 +119,8 @@ def scan_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def project_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The job's flat projection: session id from ``_id``, agent fields, time, runs."""
-    docs = document_sessions(spark, sf_dir)
-    fields = basic_fields(F.col("doc"))
-    return docs.select(
-        F.try_variant_get("doc", "$._id", "string").alias("session_id"),
-        fields[3], fields[4], fields[5],
-        F.try_variant_get("doc", "$.created_at", "bigint").alias("created_at"),
-        F.coalesce(F.size(raw_runs(F.col("doc"))), F.lit(0)).cast("long").alias("run_count"),
-    )
+    rows = flat_projection(document_sessions(spark, sf_dir))
+    return rows.withColumn("run_count", F.coalesce(F.size("runs"), F.lit(0)).cast("long")).drop("runs")
 
 
 def basic_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -141,7 +137,7 @@ def format_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def document_features_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Same table as ``document_features`` through the flat (chunked) kernel."""
-    return _nullable_ints_as_double(document_features(_norm(spark, sf_dir), kernel="flat"))
+    return _nullable_ints_as_double(document_features(_norm(spark, sf_dir), kernel="flat", digits=DIGITS))
 
 
 def document_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -150,12 +146,12 @@ def document_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def training_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _docs_in_range(spark, sf_dir, *DOC_RANGE)
-    return training_rows(document_features(normalize_documents(docs)))
+    return training_rows(document_features(normalize_documents(docs), digits=DIGITS))
 
 
 def empty_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _docs_in_range(spark, sf_dir, *EMPTY_RANGE)
-    return export_frame(spark, document_features(normalize_documents(docs)))
+    return export_frame(spark, document_features(normalize_documents(docs), digits=DIGITS))
 
 
 def extraction_summary_q(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -166,10 +162,28 @@ def extraction_summary_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def export_manifest_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _docs_in_range(spark, sf_dir, *DOC_RANGE)
-    feats = document_features(normalize_documents(docs))
-    root = f"{shared_dir(spark)}/exports"
-    path = write_training_export(spark, feats, root, *DOC_RANGE)
-    return export_manifest(spark, path).drop("written_at", "location")
+    feats = document_features(normalize_documents(docs), digits=DIGITS)
+    root = f"{shared_dir(spark)}/exports/{uuid.uuid4().hex}"
+    path = write_training_export(spark, feats, root, *DOC_RANGE, sessions=docs)
+    return export_manifest(spark, path).select(
+        "rows", "success", F.expr(f"substring(location, {len(root) + 2})").alias("layout"), *EXPORT_METADATA)
+
+
+def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The training export as read back from its CSV files."""
+    docs = _docs_in_range(spark, sf_dir, *DOC_RANGE)
+    feats = document_features(normalize_documents(docs), digits=DIGITS)
+    path = write_training_export(spark, feats, f"{shared_dir(spark)}/exports/{uuid.uuid4().hex}", *DOC_RANGE)
+    back, types = read_export(spark, path), dict(training_rows(feats).dtypes)
+    if "message" in back.columns:  # an empty range: the placeholder has no training rows
+        return training_rows(feats).limit(0)
+    return back.select(*[F.coalesce(F.col(c), F.lit("")).cast(types[c]).alias(c) for c in EXPORT_COLUMNS])
+
+
+def typed_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features of documents from a typed source, where a NULL field is a missing key."""
+    norm = normalize_documents(typed_document_sessions(spark, sf_dir))
+    return _nullable_ints_as_double(document_features(norm, digits=DIGITS))
 
 
 # ------------------------------------------------------------------ B4 orders
@@ -217,7 +231,7 @@ def order_training_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     the range before the kernel's shuffle."""
     sessions = order_sessions(spark, sf_dir, *ORDER_RANGE)
     runs = restrict_to_keys(lineitem_runs(spark, sf_dir), sessions, "session_key", "_id_key")
-    feats = features_from_runs(runs, "session_key", LINEITEM_ORDER, chunk=lineitem_chunk())
+    feats = features_from_runs(runs, "session_key", LINEITEM_ORDER, digits=DIGITS)
     joined = sessions.join(feats, sessions["_id_key"] == feats["session_key"], "left")
     return training_rows(joined)
 
@@ -271,6 +285,8 @@ def _queries() -> dict[str, Query]:
         "empty_export": empty_export,
         "extraction_summary": extraction_summary_q,
         "export_manifest": export_manifest_q,
+        "csv_round_trip": csv_round_trip,
+        "typed_sessions": typed_sessions,
     }
 
 
@@ -307,6 +323,9 @@ def oracle_sql() -> dict[str, str]:
         "training_export": O.training_export_sql(*range_bounds(*DOC_RANGE)),
         "order_training_export": O.order_training_export_sql(*range_bounds(*ORDER_RANGE)),
         "empty_export": O.empty_export_sql(*range_bounds(*EMPTY_RANGE), *EMPTY_EXPORT_ROW),
+        "csv_round_trip": O.training_export_sql(*range_bounds(*DOC_RANGE)),
+        "typed_sessions": O.document_features_sql(ints_as_double=True, ctes=O.TYPED_CTES),
+        "export_manifest": O.export_manifest_sql(*range_bounds(*DOC_RANGE), export_path("", *DOC_RANGE).lstrip("/"), EXPORT_METADATA),
         "extraction_summary": O.extraction_summary_sql(*DOC_RANGE, *range_bounds(*DOC_RANGE)),
     }
 

@@ -6,6 +6,8 @@ store bounds the size of a document, so a row never grows with the data.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,7 +17,9 @@ from runlens.functions.runs import RUN_FIELDS, null_metric_in, run_struct, valid
 from runlens.operators.derive import derive_metrics, with_ratios
 from runlens.operators.flat_kernel import flat_run_statistics
 from runlens.operators.nested_kernel import nested_statistics
+from runlens.session import shared_dir
 
+ROW = "_row"
 BASIC_COLUMNS = ["doc_key", "session_id", "created_at", "agent_name", "model_provider", "model_id", "user_id"]
 
 
@@ -89,29 +93,49 @@ def quarantined_documents(norm: DataFrame) -> DataFrame:
         "doc_key", "session_id", "quarantine_reason")
 
 
-def document_features(norm: DataFrame, th: Thresholds = DEFAULT_THRESHOLDS, digits: int | None = 6,
+def quarantine_counts(norm: DataFrame) -> dict[str, int]:
+    """Set-aside documents by reason (at most one row per reason)."""
+    rows = norm.filter(F.col("quarantine_reason").isNotNull()).groupBy("quarantine_reason").count().collect()
+    return {reason: n for reason, n in rows}
+
+
+def flat_projection(docs: DataFrame, doc_col: str = "doc") -> DataFrame:
+    """The job's flat projection: session id from ``_id``, agent fields, time and ``runs`` (as in the document)."""
+    doc = F.col(doc_col)
+    fields = basic_fields(doc)
+    return docs.select(
+        F.try_variant_get(doc, "$._id", "string").alias("session_id"), fields[3], fields[4], fields[5],
+        F.try_variant_get(doc, "$.created_at", "bigint").alias("created_at"), raw_runs(doc).alias("runs"))
+
+
+def document_features(norm: DataFrame, th: Thresholds = DEFAULT_THRESHOLDS, digits: int | None = None,
                       metrics: list[str] | None = None, kernel: str = "nested",
-                      chunk_bits: int = 16) -> DataFrame:
+                      chunk_bits: int = 16, tz: str = "UTC") -> DataFrame:
     """Feature table of good documents: basic fields, ``total_runs``, metrics
     (NULL for a session without valid runs), ``date`` and ``timestamp``
     (present only when the session has runs and a non-zero ``created_at``).
 
     ``kernel="nested"`` (default) computes each document in its own row, no
-    shuffle. ``kernel="flat"`` explodes the runs with their position and uses
-    the chunked flat kernel, then joins the statistics back to the documents
-    (one row per document on both sides) — for sessions too long to be
-    handled as one row.
+    shuffle. ``kernel="flat"`` is for sessions too long to be handled as one
+    row: the normalised documents are written once to the shared folder with a
+    row number of their own (``_id`` may be missing or repeat), their runs are
+    exploded with their position through the flat kernel, and the statistics
+    are joined back by row number. Dates are rendered in ``tz``.
     """
     good = good_documents(norm)
     if kernel == "nested":
         stats = nested_statistics(good, "runs", BASIC_COLUMNS, th)
     elif kernel == "flat":
-        flat = flat_run_statistics(run_table(norm), "doc_key", "pos", th=th, chunk_bits=chunk_bits)
-        stats = good.select(*BASIC_COLUMNS).join(flat, "doc_key", "left")
+        numbered = good.withColumn(ROW, F.monotonically_increasing_id())
+        path = f"{shared_dir(norm.sparkSession)}/numbered-documents-{uuid.uuid4().hex}"
+        numbered.write.parquet(path)
+        numbered = norm.sparkSession.read.schema(numbered.schema).parquet(path)
+        flat = flat_run_statistics(run_table(numbered, ROW), ROW, "pos", th=th, chunk_bits=chunk_bits)
+        stats = numbered.select(ROW, *BASIC_COLUMNS).join(flat, ROW, "left")
     else:
         raise ValueError(f"unknown kernel {kernel!r}")
     stats = with_ratios(stats, th)
-    date, stamp = rendered_dates(F.col("created_at"))
+    date, stamp = rendered_dates(F.col("created_at"), tz)
     has_runs = F.coalesce(F.col("n_runs"), F.lit(0)) > 0
     return stats.select(
         *[c for c in BASIC_COLUMNS if c != "created_at"],
@@ -123,10 +147,10 @@ def document_features(norm: DataFrame, th: Thresholds = DEFAULT_THRESHOLDS, digi
     )
 
 
-def run_table(norm: DataFrame) -> DataFrame:
+def run_table(norm: DataFrame, key: str = "doc_key") -> DataFrame:
     """Flat run table (one row per valid run, ``pos`` from 0) of good documents."""
-    exploded = good_documents(norm).select("doc_key", F.posexplode("runs").alias("pos", "run"))
-    return exploded.select("doc_key", F.col("pos").cast("long").alias("pos"),
+    exploded = good_documents(norm).select(key, F.posexplode("runs").alias("pos", "run"))
+    return exploded.select(key, F.col("pos").cast("long").alias("pos"),
                            *[F.col("run")[f].alias(f) for f in RUN_FIELDS])
 
 

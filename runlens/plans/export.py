@@ -31,11 +31,22 @@ def empty_placeholder(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([EMPTY_EXPORT_ROW], EMPTY_EXPORT_HEADER)
 
 
-def export_frame(spark: SparkSession, features: DataFrame) -> DataFrame:
+def export_frame(spark: SparkSession, features: DataFrame, sessions: DataFrame | None = None) -> DataFrame:
     """Training rows, or the one-row placeholder when there is no session.
-    ``isEmpty`` reads at most one row (no full count)."""
-    rows = training_rows(features)
-    return empty_placeholder(spark) if rows.isEmpty() else rows
+    ``isEmpty`` reads at most one row (no full count), of ``sessions`` (the
+    documents the features come from) if given, so no kernel runs for it."""
+    empty = (features if sessions is None else sessions).isEmpty()
+    return empty_placeholder(spark) if empty else training_rows(features)
+
+
+# Quotes are doubled, text is kept as it is (blanks, line breaks), an empty text is an empty field.
+CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false",
+               "ignoreTrailingWhiteSpace": "false", "emptyValue": "", "nullValue": ""}
+
+
+def read_export(spark: SparkSession, path: str, **options: str) -> DataFrame:
+    """An export read back by the rules it was written by (all columns text)."""
+    return spark.read.options(**CSV_OPTIONS, **options).option("multiLine", True).csv(path)
 
 
 def export_path(root: str, start: str, end: str) -> str:
@@ -43,34 +54,35 @@ def export_path(root: str, start: str, end: str) -> str:
 
 
 def write_training_export(spark: SparkSession, features: DataFrame, root: str, start: str, end: str,
-                          single_file: bool = False) -> str:
+                          single_file: bool = False, sessions: DataFrame | None = None) -> str:
     """Write the export as CSV with a header (overwrite); returns the folder.
 
     Many part files by default. ``single_file`` adds ``repartition(1)`` — one
     shuffle into one writer task, while everything upstream stays parallel
     (``coalesce(1)`` would pull the whole plan into a single task).
     """
-    out = export_frame(spark, features)
+    out = export_frame(spark, features, sessions)
     if single_file:
         out = out.repartition(1)
     path = export_path(root, start, end)
-    out.write.mode("overwrite").option("header", True).csv(path)
+    out.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
     return path
 
 
+EXPORT_METADATA = {"generated_by": "runlens", "version": "2.0"}
+
+
 def export_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """One row describing a written export, read back from the files
-    themselves (row count, files, bytes)."""
-    back = spark.read.option("header", True).csv(path).select(
-        F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_size").alias("file_size"))
-    per_file = back.groupBy("file_path").agg(F.count(F.lit(1)).alias("rows"), F.max("file_size").alias("bytes"))
-    return per_file.agg(
-        F.lit(path).alias("location"),
-        F.count(F.lit(1)).alias("files"),
-        F.coalesce(F.sum("rows"), F.lit(0)).cast("long").alias("rows"),
-        F.coalesce(F.sum("bytes"), F.lit(0)).cast("long").alias("bytes"),
-        F.current_timestamp().alias("written_at"),
-    )
+    """One row describing a written export: part files and their bytes from the
+    folder's listing (files with a header only count), rows from reading the
+    files back, whether the write is complete, and static metadata."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("length").agg(
+        F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")).first()
+    rows = read_export(spark, path).count()
+    return spark.createDataFrame(
+        [(path, files["files"], rows, files["bytes"], files["files"] > 0, *EXPORT_METADATA.values())],
+        "location string, files long, rows long, bytes long, success boolean, "
+        + ", ".join(f"{k} string" for k in EXPORT_METADATA)).withColumn("written_at", F.current_timestamp())
 
 
 def extraction_summary(sessions: DataFrame, start: str, end: str, location: str | None = None) -> DataFrame:

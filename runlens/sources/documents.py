@@ -10,8 +10,9 @@ the read — a typed JSON schema would silently turn a scalar metric into NULL.
   * ``landed``   VARIANT documents in Parquet partitioned by day
                  (``landing.land_sessions``): a range prunes partitions and
                  pushes its epoch bounds into the scan
-  * ``parquet``  documents landed with a typed schema; the date filter runs on
-                 the typed ``created_at`` column first, so it reaches the scan
+  * ``parquet``  documents landed with a typed schema, where a NULL is a missing
+                 key; only the fields features use are read, and the date
+                 filter runs on the typed ``created_at`` column, in the scan
   * any other format name (a document-store connector, when it is on the
     class path), with options passed through; handled like ``parquet``
 
@@ -24,8 +25,11 @@ once as JSON lines under the shared folder, see ``landing``):
 
 from __future__ import annotations
 
+import sys
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from runlens.functions.dates import range_bounds
 from runlens.sources.landing import land_parquet, land_sessions
@@ -60,11 +64,36 @@ def read_sessions(
             created = F.try_variant_get("doc", "$.created_at", "double")
             df = df.filter((created >= lo) & (created <= hi))
         return df
-    df = reader.format(fmt).load(path) if path else reader.format(fmt).load()
+    load = lambda r: r.load(path) if path else r.load()
+    # only the fields the features use are read
+    df = load(reader.format(fmt).schema(pruned_schema(load(reader.format(fmt)).schema)))
     if start is not None:
         lo, hi = range_bounds(start, end, tz)
         df = df.filter((F.col("created_at") >= lo) & (F.col("created_at") <= hi))
-    return df.select(F.to_variant_object(F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias("doc"))
+    # a typed source cannot tell a missing key from a null: NULL fields are left out, as missing keys
+    return df.select(F.parse_json(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))).alias("doc"))
+
+
+# Fields of a session document that features read; None: the whole field.
+_RUN_FIELDS = {"status": None, "tools": None, "events": None,
+               "metrics": {"total_tokens": None, "input_tokens": None, "output_tokens": None, "time": None}}
+_SESSION_FIELDS = {
+    "_id": None, "session_id": None, "created_at": None, "user_id": None, "agent_name": None, "model_provider": None,
+    "model_id": None, "agent_data": {"name": None, "model": {"provider": None, "id": None}},
+    "memory": {"runs": _RUN_FIELDS}, "runs": _RUN_FIELDS,
+}
+
+
+def pruned_schema(schema: T.StructType, wanted: dict = _SESSION_FIELDS) -> T.StructType:
+    """The part of a typed schema that ``wanted`` names (inside arrays of structs as well)."""
+    def cut(kind: T.DataType, fields: dict | None) -> T.DataType:
+        if fields is None:
+            return kind
+        if isinstance(kind, T.ArrayType):
+            return T.ArrayType(cut(kind.elementType, fields), kind.containsNull)
+        return pruned_schema(kind, fields) if isinstance(kind, T.StructType) else kind
+
+    return T.StructType([T.StructField(f.name, cut(f.dataType, wanted[f.name]), True) for f in schema if f.name in wanted])
 
 
 def landed_layout(docs: DataFrame, doc_col: str = "doc") -> DataFrame:
@@ -155,15 +184,52 @@ def document_sessions(spark: SparkSession, sf_dir: str, start: str | None = None
                       end: str | None = None) -> DataFrame:
     """B5 session documents as VARIANT (``doc``), landed once as Parquet
     partitioned by day; a date range prunes partitions."""
-    docs = document_sessions_json(spark, sf_dir).select(F.parse_json("json").alias("doc"))
-    path = land_sessions(spark, "documents-sessions-bydate-v1", docs, [f"{sf_dir.rstrip('/')}/documents.parquet"])
+    path = land_sessions(spark, "documents-sessions", lambda: document_sessions_json(spark, sf_dir).select(
+        F.parse_json("json").alias("doc")), [f"{sf_dir.rstrip('/')}/documents.parquet"], sys.modules[__name__])
     return read_sessions(spark, path, "landed", start, end)
 
 
+def _typed_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B5 documents with a typed schema; missing keys (agent data, memory, time, tools) are NULL fields."""
+    d = F.col("doc_id")
+
+    def run(line: Column, i: Column) -> Column:
+        n = F.length(line)
+        return F.struct(
+            F.when(n % 3 == 0, "RUNNING").otherwise("COMPLETED").alias("status"),
+            line.alias("content"),
+            F.struct(
+                F.when(n % 17 == 5, F.array().cast("array<bigint>")).otherwise(F.array(n.cast("bigint"))).alias("total_tokens"),
+                (n % 10).alias("input_tokens"),
+                (n - F.length(F.regexp_replace(line, " ", ""))).alias("output_tokens"),
+                F.when((d % 37 == 3) & (i == 0), None).otherwise((n % 7) * F.lit(0.5)).alias("time")).alias("metrics"),
+            F.when((d + i + 1) % 29 == 0, None).otherwise(F.array_repeat(F.lit("search"), (n % 13).cast("int"))).alias("tools"),
+            F.array_compact(F.array(
+                F.when(n % 5 == 1, "RunCompleted"), F.when(n % 11 == 2, "Gateway TIMEOUT"),
+                F.when(n % 4 == 3, "Error in step"), F.when(n % 4 == 3, "error again"))).alias("events"))
+
+    runs = F.when(d % 43 == 9, F.filter(F.transform(F.split("text", "\n"), run), lambda r: F.lit(False))).otherwise(
+        F.transform(F.split("text", "\n"), run))
+    agent = F.struct(F.col("source").alias("name"), F.struct(
+        F.col("lang").alias("provider"), F.concat(F.lit("m-"), "lang").alias("id")).alias("model"))
+    return table(spark, sf_dir, "documents").select(
+        F.concat(F.lit("doc-"), d).alias("_id"), F.concat(F.lit("sess-"), d % 97).alias("session_id"),
+        (F.lit(EPOCH_2024) + (d * 7919) % 7776000).cast("long").alias("created_at"), F.concat(F.lit("u"), d % 13).alias("user_id"),
+        F.when(d % 53 == 7, None).otherwise(agent).alias("agent_data"),
+        F.when(d % 41 == 5, None).otherwise(F.struct(runs.alias("runs"))).alias("memory"))
+
+
+def typed_document_sessions(spark: SparkSession, sf_dir: str, start: str | None = None, end: str | None = None) -> DataFrame:
+    """The typed B5 sessions, landed once as Parquet and read by the typed reader."""
+    path = land_parquet(spark, "typed-sessions", lambda: _typed_sessions(spark, sf_dir),
+                        [f"{sf_dir.rstrip('/')}/documents.parquet"], sys.modules[__name__])
+    return read_sessions(spark, path, "parquet", start, end)
+
+
 # --- B2: events -> run records --------------------------------------------------
 def event_run_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One run record per event: ``session_key`` (user and day), ``pos``
-    (event_id) and ``run`` (VARIANT).
+    (event_id) and ``run`` (VARIANT), landed once.
 
     status RUNNING for views; total_tokens = floor(100 * value), written as a
     list on odd days and as a scalar on even days; output_tokens an empty
@@ -171,6 +237,12 @@ def event_run_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     k % 31 = 0, which drops the run); events: purchase -> RunCompleted,
     signup -> a timeout, error -> two error texts, view -> ok.
     """
+    path = land_parquet(spark, "events-runs", lambda: _event_run_records(spark, sf_dir),
+                        [f"{sf_dir.rstrip('/')}/events.parquet"], sys.modules[__name__])
+    return spark.read.parquet(path)
+
+
+def _event_run_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
     k = F.get_json_object("props", "$.k").cast("long")
     day = F.dayofmonth("ts")
@@ -197,6 +269,4 @@ def event_run_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(',"time":['), time, F.lit(']},"tools":'), tools, F.lit(',"events":'), events, F.lit("}"),
     )
     key = F.concat(_num(F.col("user_id")), F.lit("|"), F.date_format("ts", "yyyy-MM-dd"))
-    records = ev.select(key.alias("session_key"), F.col("event_id").alias("pos"), F.parse_json(text).alias("run"))
-    path = land_parquet(spark, "events-runs-v3", records, [f"{sf_dir.rstrip('/')}/events.parquet"])
-    return spark.read.parquet(path)
+    return ev.select(key.alias("session_key"), F.col("event_id").alias("pos"), F.parse_json(text).alias("run"))

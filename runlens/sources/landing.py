@@ -8,80 +8,75 @@ pushdown copies it into. Session documents land as Parquet partitioned by
 day (``land_sessions``), run records as Parquet with a VARIANT column.
 
 A landed folder is keyed by the source files' path, size and modification
-time; it is written to a unique temporary folder and renamed into place, so
-concurrent callers never see a half-written copy.
+time and by the text of the module that derives the data, so a change of
+either lands anew. It is written to a unique temporary folder, renamed into
+place, and marked complete by a marker file written last; the derivation is
+not even planned when a complete copy exists. A client without a JVM gateway
+(Spark Connect) cannot list or rename: it lands a copy of its own per call.
 """
 
 from __future__ import annotations
 
 import hashlib
-import os
+import inspect
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from runlens.session import shared_dir
 
+MARKER = "_LANDED"
+
 
 class _Files:
-    """Existence and rename through Hadoop's FileSystem (any scheme the
-    cluster supports), or through ``os`` for local paths when no JVM gateway
-    is available on the client (Spark Connect)."""
+    """Hadoop's file system of a path (any scheme the cluster supports)."""
 
     def __init__(self, spark: SparkSession):
-        try:
-            sc = spark.sparkContext
-            self._jvm = sc._jvm
-            self._conf = sc._jsc.hadoopConfiguration()
-        except Exception:
-            self._jvm = None
-
-    def _path(self, path: str):
-        p = self._jvm.org.apache.hadoop.fs.Path(path)
+        sc = spark.sparkContext
+        self._path_class, self._conf = sc._jvm.org.apache.hadoop.fs.Path, sc._jsc.hadoopConfiguration()
+
+    def _at(self, path: str):
+        p = self._path_class(path)
         return p.getFileSystem(self._conf), p
 
     def exists(self, path: str) -> bool:
-        if self._jvm is None:
-            return os.path.exists(_local(path))
-        fs, p = self._path(path)
+        fs, p = self._at(path)
         return fs.exists(p)
 
     def stamp(self, path: str) -> str:
-        if self._jvm is None:
-            st = os.stat(_local(path))
-            return f"{st.st_size}|{int(st.st_mtime * 1000)}"
-        fs, p = self._path(path)
-        st = fs.getFileStatus(p)
-        return f"{st.getLen()}|{st.getModificationTime()}"
+        """Size and time of a file, or of all files of a folder."""
+        fs, p = self._at(path)
+        found = fs.listStatus(p) if fs.getFileStatus(p).isDirectory() else [fs.getFileStatus(p)]
+        return "|".join(sorted(f"{x.getPath().getName()}:{x.getLen()}:{x.getModificationTime()}" for x in found))
 
     def rename(self, src: str, dst: str) -> bool:
-        if self._jvm is None:
-            try:
-                os.rename(_local(src), _local(dst))
-                return True
-            except OSError:
-                return False
-        fs, s = self._path(src)
-        _, d = self._path(dst)
-        return fs.rename(s, d)
-
-
-def _local(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def _land(spark: SparkSession, name: str, sources: list[str], write) -> str:
-    """Run ``write(tmp_folder)`` once per source fingerprint; rename into place."""
-    files = _Files(spark)
-    digest = hashlib.sha1("".join(f"{src}|{files.stamp(src)}" for src in sources).encode()).hexdigest()[:16]
-    path = f"{shared_dir(spark)}/landing/{name}-{digest}"
-    if files.exists(f"{path}/_SUCCESS"):
+        fs, s = self._at(src)
+        return fs.rename(s, self._path_class(dst))
+
+    def touch(self, path: str) -> None:
+        fs, p = self._at(path)
+        fs.create(p, True).close()
+
+
+def _land(spark: SparkSession, name: str, sources: list[str], write: Callable[[str], None], derivation) -> str:
+    """Run ``write(folder)`` once per source fingerprint and text of ``derivation`` (a module)."""
+    root = f"{shared_dir(spark)}/landing"
+    try:
+        files = _Files(spark)
+    except Exception:  # no JVM gateway on the client
+        path = f"{root}/{name}-{uuid.uuid4().hex}"
+        write(path)
+        return path
+    key = "".join(f"{src}|{files.stamp(src)}" for src in sources) + inspect.getsource(derivation)
+    path = f"{root}/{name}-{hashlib.sha1(key.encode()).hexdigest()[:16]}"
+    if files.exists(f"{path}/{MARKER}"):
         return path
     tmp = f"{path}.tmp-{uuid.uuid4().hex}"
     write(tmp)
     if files.exists(path) or not files.rename(tmp, path):
-        # another caller landed it meanwhile (or left a partial copy): use ours
-        return tmp
+        return tmp  # another caller landed it meanwhile, or left a part of a copy: use ours
+    files.touch(f"{path}/{MARKER}")
     return path
 
 
@@ -98,17 +93,18 @@ def _spread(spark: SparkSession, df: DataFrame) -> DataFrame:
     return df
 
 
-def land_parquet(spark: SparkSession, name: str, df: DataFrame, sources: list[str]) -> str:
-    """Write a DataFrame (VARIANT columns included) as Parquet, once."""
-    return _land(spark, name, sources, lambda tmp: _spread(spark, df).write.mode("overwrite").parquet(tmp))
+def land_parquet(spark: SparkSession, name: str, derive: Callable[[], DataFrame], sources: list[str], derivation) -> str:
+    """Write what ``derive`` returns (VARIANT columns included) as Parquet, once."""
+    return _land(spark, name, sources, lambda tmp: _spread(spark, derive()).write.mode("overwrite").parquet(tmp), derivation)
 
 
-def land_sessions(spark: SparkSession, name: str, docs: DataFrame, sources: list[str],
+def land_sessions(spark: SparkSession, name: str, derive: Callable[[], DataFrame], sources: list[str], derivation,
                   doc_col: str = "doc") -> str:
     """Write VARIANT session documents (once) as Parquet partitioned by the
     UTC day of ``created_at``, with ``created_at`` as a typed column: a date
-    range then prunes partitions and pushes its bounds into the scan.
+    range then prunes partitions and pushes its bounds into the scan. Rows are
+    dealt to tasks by day (a large day to several), so a day has few files.
     Read back with ``read_sessions(fmt="landed")``."""
     from runlens.sources.documents import landed_layout
-    return _land(spark, name, sources,
-                 lambda tmp: landed_layout(docs, doc_col).write.mode("overwrite").partitionBy("date").parquet(tmp))
+    return _land(spark, name, sources, lambda tmp: landed_layout(derive(), doc_col).hint("rebalance", "date").write
+                 .mode("overwrite").partitionBy("date").parquet(tmp), derivation)

@@ -8,7 +8,7 @@ import glob
 import os
 
 from runlens.config import EMPTY_EXPORT_ROW, EXPORT_COLUMNS
-from runlens.plans.export import export_manifest, export_path, training_rows, write_training_export
+from runlens.plans.export import export_manifest, export_path, read_export, training_rows, write_training_export
 
 
 def _features(spark):
@@ -45,6 +45,23 @@ def test_write_and_manifest(spark, tmp_path):
     assert m["bytes"] == os.path.getsize(parts[0])
 
 
+def test_text_survives_the_round_trip(spark, tmp_path):
+    texts = ['say "hi", ok', "  pad  ", "two\nlines", "", 'a\\b"', ","]
+    cols = [f"CAST(0.1 AS DOUBLE) AS {c}" for c in EXPORT_COLUMNS[5:]]
+    feats = spark.createDataFrame([(f"s{i}", t) for i, t in enumerate(texts)], "session_id string, agent_name string").selectExpr(
+        "*", "'p' AS model_provider", "'m' AS model_id", "1L AS total_runs", *cols)
+    for n, single in enumerate((True, False)):
+        path = write_training_export(spark, feats.repartition(4), str(tmp_path / str(n)), "2024-12-20", "2024-12-25", single_file=single)
+        parts = glob.glob(os.path.join(path, "part-*.csv"))
+        rows = [r for p in parts for r in csv.DictReader(open(p, newline=""))]
+        assert {r["session_id"]: r["agent_name"] for r in rows} == {f"s{i}": t for i, t in enumerate(texts)}
+        assert all(len(r) == len(EXPORT_COLUMNS) and r["avg_tool_calls"] == "0.1" for r in rows)
+        back = {r["session_id"]: r["agent_name"] or "" for r in read_export(spark, path).collect()}
+        assert back == {f"s{i}": t for i, t in enumerate(texts)}
+        m = export_manifest(spark, path).first()
+        assert (m["files"], m["rows"], m["bytes"], m["success"]) == (len(parts), len(texts), sum(map(os.path.getsize, parts)), True)
+
+
 def test_empty_range_writes_placeholder(spark, tmp_path):
     empty = _features(spark).filter("false")
     path = write_training_export(spark, empty, str(tmp_path), "2030-01-01", "2030-01-02")

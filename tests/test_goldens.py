@@ -1,5 +1,5 @@
-"""Hand-derived goldens for generated-shape sessions and edge documents
-(FIXTURES.md sections 3 and 4), read through the JSON/VARIANT reader."""
+"""Hand-derived goldens for written-out sessions and edge documents
+(FIXTURES.md section 4), read through the JSON/VARIANT reader."""
 
 from __future__ import annotations
 
@@ -10,88 +10,66 @@ import pytest
 from conftest import approx
 from runlens.config import ALL_METRICS
 from runlens.plans.documents import document_features, normalize_documents, quarantined_documents, run_table
-from runlens.sources.documents import read_sessions
+from runlens.sources.documents import pruned_schema, read_sessions
 
 DAY = 1734652800  # 2024-12-20 00:00:00 UTC
 
 
-def generated_session(day_epoch: int, v: int) -> dict:
-    runs = []
-    for i in range(1, v + 2):
-        runs.append({
-            "status": "RUNNING" if i % 2 == 0 else "COMPLETED",
-            "content": f"reply {i}",
-            "metrics": {"total_tokens": [100 + 50 * i], "input_tokens": [50 + 20 * i],
-                        "output_tokens": [50 + 30 * i], "time": [1.5 + 0.5 * i]},
-            "tools": [f"tool_{j}" for j in range(i)],
-            "events": [f"event_{j}" for j in range(i)],
-        })
-    return {
-        "_id": f"sim_{day_epoch}_{v:03d}", "session_id": f"session_{day_epoch}_{v:03d}",
-        "created_at": day_epoch + v * 3600, "user_id": f"user_{v}",
-        "agent_data": {"name": f"TestAgent{v}",
-                       "model": {"provider": "openai" if v % 2 == 0 else "anthropic",
-                                 "id": "gpt-4" if v % 2 == 0 else "claude-3"}},
-        "memory": {"runs": runs},
-    }
-
-
-# FIXTURES.md section 3 (6 digits); metrics not listed are 0
-GOLDEN = {
-    "total_runs": (2, 3, 4),
-    "avg_total_tokens": (175, 200, 225),
-    "max_total_tokens": (200, 250, 300),
-    "token_explosion_ratio": (1.142857, 1.25, 1.333333),
-    "output_explosion_ratio": (1.157895, 1.272727, 1.36),
-    "token_coefficient_variation": (0.142857, 0.204124, 0.248452),
-    "max_token_growth_rate": (1.333333, 1.333333, 1.333333),
-    "avg_execution_time": (2.25, 2.5, 2.75),
-    "max_execution_time": (2.5, 3.0, 3.5),
-    "execution_time_cv": (0.111111, 0.163299, 0.203279),
-    "avg_tool_calls": (1.5, 2, 2.5),
-    "max_tool_calls": (2, 3, 4),
-    "total_tool_calls": (3, 6, 10),
-    "tool_explosion_ratio": (1.333333, 1.5, 1.6),
-    "tool_chaos_score": (0.133333, 0.15, 0.16),
-    "avg_tokens_per_second": (77.5, 79.444444, 81.011905),
-    "min_tokens_per_second": (75, 75, 75),
-    "max_tokens_per_second": (80, 83.333333, 85.714286),
-    "speed_inconsistency_ratio": (1.066667, 1.111111, 1.142857),
-    "success_rate": (0.5, 0.333333, 0.5),
-    "failure_rate": (0.5, 0.666667, 0.5),
-    "max_consecutive_failures": (1, 1, 1),
-    "systematic_failure_flag": (0, 1, 0),
+def session(key: str, created_at: int, runs: list[dict], agent: str = "scout") -> dict:
+    return {"_id": key, "session_id": f"chat-{key}", "created_at": created_at, "user_id": "u7",
+            "agent_data": {"name": agent, "model": {"provider": "acme", "id": "m-1"}}, "memory": {"runs": runs}}
+
+
+# Two sessions written out, with every metric worked out by hand (6 digits); metrics not listed are 0.
+CLIMBING = [
+    {"status": "RUNNING", "metrics": {"total_tokens": [120], "output_tokens": [30], "time": [2]},
+     "tools": ["look"], "events": []},
+    {"status": "FAILED", "metrics": {"total_tokens": 480, "output_tokens": [90], "time": 6},
+     "tools": ["look", "ask", "ask", "move", "stop"], "events": ["error: no door"]},
+]
+CLIMBING_METRICS = {
+    "avg_total_tokens": 300, "max_total_tokens": 480, "token_explosion_ratio": 1.6, "output_explosion_ratio": 1.5,
+    "token_coefficient_variation": 0.6, "max_token_growth_rate": 4,
+    "avg_execution_time": 4, "max_execution_time": 6, "execution_time_cv": 0.5, "time_explosion_events": 1,
+    "avg_tool_calls": 3, "max_tool_calls": 5, "total_tool_calls": 6, "tool_explosion_ratio": 1.666667, "tool_chaos_score": 0.166667,
+    "avg_tokens_per_second": 70, "min_tokens_per_second": 60, "max_tokens_per_second": 80, "speed_inconsistency_ratio": 1.333333,
+    "success_rate": 0.5, "failure_rate": 0.5, "max_consecutive_failures": 1, "avg_errors_per_run": 0.5, "total_errors": 1,
+}
+JUMPY = [
+    {"status": "FAILED", "metrics": {"total_tokens": [10], "output_tokens": [], "time": [1]}, "tools": [], "events": []},
+    {"status": "DONE", "metrics": {"total_tokens": [90], "time": [0.0625]}, "events": [{"event": "RunCompleted"}]},
+    {"status": "FAILED", "metrics": {"total_tokens": [20], "output_tokens": 0, "time": [4]}, "events": ["Gateway Timeout"]},
+]
+JUMPY_METRICS = {
+    "avg_total_tokens": 40, "max_total_tokens": 90, "token_explosion_ratio": 2.25, "output_explosion_ratio": 1,
+    "token_coefficient_variation": 0.889757, "token_spike_frequency": 0.333333, "max_token_growth_rate": 9, "explosive_growth_events": 1,
+    "avg_execution_time": 1.6875, "max_execution_time": 4, "timeout_frequency": 0.333333, "execution_time_cv": 0.995187,
+    "time_explosion_events": 1, "infinite_loop_risk_score": 0.333333, "timeout_flag": 1,
+    "avg_tokens_per_second": 485, "min_tokens_per_second": 5, "max_tokens_per_second": 1440, "speed_inconsistency_ratio": 288,
+    "inconsistent_speed_frequency": 1, "temporal_chaos_score": 1, "speed_anomaly_flag": 1,
+    "success_rate": 0.333333, "failure_rate": 0.666667, "max_consecutive_failures": 1, "systematic_failure_flag": 1,
 }
 
 
 def _read(spark, tmp_path, docs, name="docs.jsonl"):
-    path = tmp_path / name
-    path.write_text("\n".join(json.dumps(d) for d in docs) + "\n")
-    return read_sessions(spark, str(path), "json")
+    return read_sessions(spark, str(_write(tmp_path, docs, name)), "json")
 
 
-def test_generated_sessions_match_goldens(spark, tmp_path):
-    docs = [generated_session(DAY + d * 86400, v) for d in range(2) for v in (1, 2, 3)]
+def test_written_out_sessions_match_their_goldens(spark, tmp_path):
+    docs = [session("up", DAY + 3 * 3600, CLIMBING), session("hop", DAY + 86400, JUMPY, agent="scout two")]
     feats = document_features(normalize_documents(_read(spark, tmp_path, docs)))
-    rows = {r["session_id"]: r.asDict() for r in feats.collect()}
-    assert len(rows) == 6
-    for d in range(2):
-        for v in (1, 2, 3):
-            row = rows[f"session_{DAY + d * 86400}_{v:03d}"]
-            assert row["agent_name"] == f"TestAgent{v}"
-            for metric in ALL_METRICS:
-                want = GOLDEN.get(metric, (0, 0, 0))[v - 1]
-                assert approx(row[metric], want, 1e-6), (v, metric, row[metric], want)
-            assert row["total_runs"] == v + 1
-            assert row["date"] == ("2024-12-20" if d == 0 else "2024-12-21")
+    rows = {r["doc_key"]: r.asDict() for r in feats.collect()}
+    for key, runs, golden, date in (("up", CLIMBING, CLIMBING_METRICS, "2024-12-20"), ("hop", JUMPY, JUMPY_METRICS, "2024-12-21")):
+        assert rows[key]["total_runs"] == len(runs) and rows[key]["date"] == date
+        for metric in ALL_METRICS:
+            assert approx(rows[key][metric], golden.get(metric, 0), 1e-6), (key, metric, rows[key][metric])
+    assert rows["hop"]["agent_name"] == "scout two" and rows["up"]["timestamp"] == "2024-12-20T03:00:00"
 
 
 def test_date_range_read_keeps_boundaries(spark, tmp_path):
     docs = []
     for i, ts in enumerate([1734652799, 1734652800, 1735171199, 1735171200]):
-        doc = generated_session(DAY, 1)
-        doc["_id"], doc["created_at"] = f"b{i}", ts
-        docs.append(doc)
+        docs.append(session(f"b{i}", ts, CLIMBING))
     df = read_sessions(spark, str(_write(tmp_path, docs)), "json", "2024-12-20", "2024-12-25")
     got = sorted(r[0] for r in normalize_documents(df).select("doc_key").collect())
     assert got == ["b1", "b2"]
@@ -223,3 +201,47 @@ def test_more_edge_rules(spark, tmp_path):
     in_range = read_sessions(spark, path, "json", "2024-12-20", "2024-12-25")
     keys = sorted(r["doc_key"] for r in normalize_documents(in_range).collect())
     assert keys == ["e30"]  # e31 is 0.5 s after the end; e32 has no created_at
+
+
+def test_identity_on_both_kernels(spark, tmp_path):
+    """Documents without ``_id``, with the same ``_id``, and equal documents are rows of their own."""
+    nameless = [{k: v for k, v in session("x", DAY, runs).items() if k != "_id"} for runs in (CLIMBING, JUMPY)]
+    docs = [*nameless, session("same", DAY, CLIMBING), session("same", DAY, JUMPY), session("twin", DAY, JUMPY), session("twin", DAY, JUMPY)]
+    norm = normalize_documents(_read(spark, tmp_path, docs, "ids.jsonl"))
+    for kernel in ("nested", "flat"):
+        got = sorted((r["doc_key"], r["total_runs"], round(r["avg_total_tokens"], 3)) for r in document_features(norm, kernel=kernel).collect())
+        assert got == [("", 2, 300.0), ("", 3, 40.0), ("same", 2, 300.0), ("same", 3, 40.0), ("twin", 3, 40.0), ("twin", 3, 40.0)]
+
+
+def test_typed_source_reads_null_as_missing(spark, tmp_path):
+    docs = [session("a", DAY, [_run(10)]), session("b", DAY, [{"status": "RUNNING", "metrics": {"total_tokens": 5}}]),
+            {"_id": "c", "created_at": DAY, "memory": {"runs": [_run(3)]}},
+            {"_id": "d", "created_at": DAY, "agent_data": {"name": "n", "model": {"provider": "p", "id": "i"}}}]
+    for d in docs[:1]:
+        d["memory"]["runs"][0]["content"] = "long text that no feature reads"
+    path = str(_write(tmp_path, docs, "typed.jsonl"))
+    spark.read.json(path).write.parquet(str(tmp_path / "typed"))
+    want = sorted(map(tuple, document_features(normalize_documents(read_sessions(spark, path, "json"))).collect()))
+    typed = read_sessions(spark, str(tmp_path / "typed"), "parquet", "2024-12-20", "2024-12-20")
+    norm = normalize_documents(typed)
+    assert sorted(map(tuple, document_features(norm).collect())) == want and len(want) == 4
+    assert quarantined_documents(norm).count() == 0
+    plan = typed._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(created_at," in plan
+    kept = pruned_schema(spark.read.parquet(str(tmp_path / "typed")).schema).simpleString()
+    assert "content" not in kept and "total_tokens" in kept and "events" in kept
+
+
+def test_dates_follow_the_time_zone(spark, tmp_path):
+    path = str(_write(tmp_path, [session("z", DAY + 3600, CLIMBING)], "zone.jsonl"))  # 22:00 of the day before in Sao Paulo
+    docs = read_sessions(spark, path, "json", "2024-12-19", "2024-12-19", "America/Sao_Paulo")
+    row = document_features(normalize_documents(docs), tz="America/Sao_Paulo").first()
+    assert (row["date"], row["timestamp"]) == ("2024-12-19", "2024-12-19T22:00:00")
+
+
+def test_own_metric_group(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from runlens.plans.features import features_from_nested
+    norm = normalize_documents(_read(spark, tmp_path, [session("m", DAY, CLIMBING)], "own.jsonl"))
+    own = {"tokens_per_tool": F.col("t_sum") / F.col("k_sum")}
+    assert features_from_nested(norm, keep=["doc_key"], metrics=["success_rate"], extra_metrics=own).first()["tokens_per_tool"] == 100

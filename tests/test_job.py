@@ -13,13 +13,13 @@ import pytest
 from runlens.config import EXPORT_COLUMNS
 from runlens.operators.restrict import restrict_to_keys
 from runlens.plans.job import InvalidRequest, check_request, run_extraction
-from test_goldens import DAY, EDGE_DOCS, generated_session
+from test_goldens import CLIMBING, DAY, EDGE_DOCS, session
 
 
 @pytest.fixture(scope="module")
 def source(tmp_path_factory):
     d = tmp_path_factory.mktemp("src")
-    docs = [generated_session(DAY + k * 86400, v) for k in range(10) for v in (1, 2, 3)] + EDGE_DOCS
+    docs = [session(f"{k}-{v}", DAY + k * 86400 + v * 60, CLIMBING) for k in range(10) for v in (1, 2, 3)] + EDGE_DOCS
     (d / "docs.jsonl").write_text("\n".join(json.dumps(x) for x in docs) + "\n")
     return str(d / "docs.jsonl")
 
@@ -28,8 +28,9 @@ def source(tmp_path_factory):
 def test_run_extraction(spark, source, tmp_path, kernel):
     out = run_extraction(spark, source, str(tmp_path), "2024-12-20", "2024-12-25", kernel=kernel,
                          single_file=True, write_quarantine=True)
-    # 6 days x 3 generated sessions + 17 good edge documents (all on 2024-12-20)
+    # 6 days x 3 plain sessions + 17 good edge documents (all on 2024-12-20)
     assert out["total_conversations"] == 18 + 17
+    assert out["quarantined"] == {"agent_data_null": 1, "null_metric": 1} and out["success"]
     parts = glob.glob(os.path.join(out["location"], "part-*.csv"))
     with open(parts[0]) as fh:
         rows = list(csv.DictReader(fh))
@@ -58,13 +59,20 @@ def test_run_extraction_empty_range(spark, source, tmp_path):
     assert [r["session_id"] for r in back] == ["no_data"]
 
 
+def test_a_second_landing_keeps_earlier_days(spark, tmp_path):
+    from runlens.plans.job import land_documents
+    for day in (0, 1):
+        (tmp_path / f"{day}.jsonl").write_text(json.dumps(session(f"d{day}", DAY + day * 86400, CLIMBING)) + "\n")
+        land_documents(spark, str(tmp_path / f"{day}.jsonl"), str(tmp_path / "landed"))
+    assert sorted(r["date"].isoformat() for r in spark.read.parquet(str(tmp_path / "landed")).collect()) == ["2024-12-20", "2024-12-21"]
+
+
 def test_check_request(spark):
     assert check_request(spark, None, None, dt.date(1998, 3, 31)) == ("1998-02-28", "1998-03-30")
     assert check_request(spark, "2024-12-20", "2024-12-20") == ("2024-12-20", "2024-12-20")
     with pytest.raises(InvalidRequest, match="start_after_end"):
         check_request(spark, "2024-12-21", "2024-12-20")
-    with pytest.raises(InvalidRequest, match="end_required"):
-        check_request(spark, "2024-12-21", None)
+    assert check_request(spark, "2024-12-21", None, dt.date(1998, 3, 31)) == ("1998-02-28", "1998-03-30")
 
 
 @pytest.mark.parametrize("bound", [0, 10_000])

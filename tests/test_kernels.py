@@ -87,8 +87,8 @@ def test_flat_kernel_forced_strategy(spark, strategy):
     check({r["session_key"]: r.asDict() for r in df.collect()}, sessions)
 
 
-def test_flat_kernel_hot_bound_falls_back_to_chunked(spark):
-    """More hot sessions than the broadcast bound: all sessions take the chunked plan."""
+def test_more_hot_sessions_than_the_broadcast_bound(spark):
+    """Beyond the bound the hot keys are shuffled, with the same result."""
     sessions = random_sessions(17, 80, 30)
     df = features_from_runs(flat_frame(spark, sessions), "sid", "pos", digits=None, chunk_bits=2,
                             max_hot_sessions=3)
@@ -167,17 +167,37 @@ def test_inserting_a_success_never_lengthens_streak(spark):
 
 
 def test_chunked_equals_plain_on_lineitem(spark):
-    """The lineitem chunk (line number, part-key bucket) splits orders into
-    several chunks, so the chunked plan stitches real multi-column orders."""
+    """Ranges of 64 runs cut orders in two, so real multi-column orders are stitched."""
     from conftest import SF_SMALL
-    from runlens.sources.tables import LINEITEM_ORDER, lineitem_chunk, lineitem_runs
+    from runlens.sources.tables import LINEITEM_ORDER, lineitem_runs
     runs = lineitem_runs(spark, SF_SMALL)
-    kw = dict(chunk=lineitem_chunk(), digits=None)
-    plain = {r["session_key"]: r.asDict() for r in
-             features_from_runs(runs, "session_key", LINEITEM_ORDER, strategy="plain", **kw).collect()}
-    chunked = {r["session_key"]: r.asDict() for r in
-               features_from_runs(runs, "session_key", LINEITEM_ORDER, strategy="chunked", **kw).collect()}
+    plain, chunked = ({r["session_key"]: r.asDict() for r in features_from_runs(
+        runs, "session_key", LINEITEM_ORDER, strategy=s, chunk_bits=6).collect()} for s in ("plain", "chunked"))
     assert set(plain) == set(chunked) and len(plain) == 1473
     for k, row in plain.items():
         for m in ["total_runs", *ALL_METRICS]:
             assert approx(row[m], chunked[k][m], 1e-9), (k, m, row[m], chunked[k][m])
+
+
+def test_nulls_follow_one_rule_in_every_plan(spark):
+    """NULL keys, NULL and equal positions, NULL success: plain, chunked, auto below and above the bound."""
+    rng = random.Random(23)
+    rows = []
+    for s in (None, 1, 2, 3):
+        for i in range({None: 40, 1: 30, 2: 5, 3: 1}[s]):
+            r = random_run(rng)
+            r["success"] = rng.choice([True, False, None])
+            r["has_timeout"] = rng.choice([True, False, None])
+            rows.append((s, rng.choice([None, i, i // 3, i * 10**9]), *[r[f] for f in FIELDS]))
+    schema = T.StructType([T.StructField("sid", T.LongType()), T.StructField("pos", T.LongType()), *RUN_TYPE.fields])
+    df = spark.createDataFrame(rows, schema).repartition(3)
+    ordered = {}
+    for row in sorted(rows, key=lambda r: tuple((v is not None, v if v is not None else 0) for v in (r[1], *r[2:7])) +
+                      (bool(r[7]), bool(r[8]))):
+        ordered.setdefault(row[0], []).append(dict(zip(FIELDS, row[2:])))
+    for kw in (dict(strategy="plain"), dict(strategy="chunked"), dict(), dict(max_hot_sessions=0)):
+        got = features_from_runs(df, "sid", "pos", chunk_bits=2, **kw)
+        check({r["session_key"]: r.asDict() for r in got.collect()}, ordered)
+    nested = spark.createDataFrame([(s, [tuple(r[f] for f in FIELDS) for r in runs]) for s, runs in ordered.items()],
+                                   T.StructType([T.StructField("sid", T.LongType()), T.StructField("runs", T.ArrayType(RUN_TYPE))]))
+    check({r["sid"]: r.asDict() for r in features_from_nested(nested, keep=["sid"]).collect()}, ordered)

