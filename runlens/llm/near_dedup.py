@@ -7,11 +7,15 @@ order agree (sensitive to edit similarity, not to shared vocabulary).
 
 Classes: texts that share a sketch meet in a bucket. In each bucket the
 smallest node leads and every other node is verified against it, so a bucket of
-n nodes gives n - 1 pairs; nodes that fail stay in the bucket and meet a new
-leader in the next round, until no bucket has two left. Pairs are linked if the
-word edit distance is at most (1 - ``similarity``) times the longer length,
-found by furthest-reaching diagonals inside that band. Classes are the
-connected components of the links. Equal texts are one node from the start.
+n nodes gives n - 1 pairs. Nodes that fail meet again without the others: all
+with all where at most ``SMALL`` are left in a bucket; larger rests (texts that
+share a passage but little else) are divided by a second sketch and by
+overlapping length classes, as near texts agree in these too, and go on with new
+leaders until no bucket has two left. Pairs are linked if the word edit distance
+is at most (1 - ``similarity``) times the longer length: accepted if a chain of
+unique common word triples already bounds it, else found by furthest-reaching
+diagonals inside that band. Classes are the connected components of the links.
+Equal texts are one node from the start.
 
 Scale: the sketch table has ``sketches`` longs a distinct text; joins on buckets
 and leaders are splittable equi-joins; texts travel only for nodes in candidate
@@ -19,7 +23,8 @@ pairs; every round ends in a written table in the shared folder.
 
 Recall: a pair of similarity J in labelled five-word k-mers shares a sketch with
 probability about J * J; at edit similarity 0.95 (J about 0.6) a pair is missed by
-all 32 with probability below 1e-6, at 0.9 about 0.5 %.
+all 32 with probability below 1e-6, at 0.9 about 0.5 %. A pair that shares one
+sketch only is also missed if its bucket leaves a rest of more than ``SMALL``.
 
 Defined results: null and empty texts are equal texts; texts without words
 match only equal texts; texts of fewer than five words are one k-mer; a null
@@ -28,6 +33,7 @@ doc_id sorts after ids when a class is named; repeated rows share a class.
 
 from __future__ import annotations
 
+import math
 from bisect import bisect_left
 from collections.abc import Iterator
 
@@ -43,6 +49,7 @@ from runlens.llm.shingles import shingle_hashes, word_hashes
 WORDS = 5
 SKETCHES = 32
 SIMILARITY = 0.8
+SMALL = 32  # nodes of a rest that are compared all with all
 POSITION_BITS = 20
 
 _rng = np.random.default_rng(310)
@@ -80,7 +87,7 @@ def sketch(words: list[np.ndarray], sketches: int = SKETCHES, k: int = WORDS) ->
     place = np.minimum(np.arange(len(label)) - np.repeat(starts, sizes), int(_POS)).astype(np.uint64)
     out = np.empty((len(parts), sketches), np.uint64)
     for j in range(sketches):
-        key = _mixed(label * _MUL[j] + _ADD[j])
+        key = label * _MUL[j] + _ADD[j]  # labels are mixed already
         key &= ~_POS
         key |= place
         one = np.minimum.reduceat(key, starts)
@@ -97,6 +104,47 @@ def sketch(words: list[np.ndarray], sketches: int = SKETCHES, k: int = WORDS) ->
     return out.view(np.int64)
 
 
+def _increasing(x: np.ndarray) -> np.ndarray:
+    """Places of a longest increasing subsequence."""
+    if len(x) < 2 or (x[1:] > x[:-1]).all():
+        return np.arange(len(x))
+    ends, at, before = [], [], []
+    for i, v in enumerate(x.tolist()):
+        k = bisect_left(ends, v)
+        before.append(at[k - 1] if k else -1)
+        if k == len(ends):
+            ends.append(v)
+            at.append(i)
+        else:
+            ends[k], at[k] = v, i
+    out, i = [], at[-1]
+    while i >= 0:
+        out.append(i)
+        i = before[i]
+    return np.asarray(out[::-1])
+
+
+def distance_bound(a: np.ndarray, b: np.ndarray) -> int:
+    """An upper bound of the word edit distance: between the common triples that each text holds once, in the
+    order of both, everything is taken as changed."""
+    n, m = len(a), len(b)
+    if n < 3 or m < 3:
+        return max(n, m)
+    x, y = (shingle_hashes(t.astype(np.uint64), 3) for t in (a, b))
+    ux, px, cx = np.unique(x, return_index=True, return_counts=True)
+    uy, py, cy = np.unique(y, return_index=True, return_counts=True)
+    _, ix, iy = np.intersect1d(ux[cx == 1], uy[cy == 1], assume_unique=True, return_indices=True)
+    i, j = px[cx == 1][ix], py[cy == 1][iy]
+    order = np.argsort(i)
+    i, j = i[order], j[order]
+    chain = _increasing(j)
+    if not len(chain):
+        return max(n, m)
+    i, j = i[chain], j[chain]
+    di, dj = np.diff(np.append(i, n)), np.diff(np.append(j, m))
+    return int(max(i[0], j[0]) + (np.maximum(di, dj) - np.minimum(np.minimum(di, dj), 3)).sum())
+
+
 def edit_distance(a: np.ndarray, b: np.ndarray, limit: int) -> int | None:
     """Word edit distance if it is at most ``limit`` (diagonals within the band only), else None."""
     n, m = len(a), len(b)
@@ -158,7 +206,8 @@ def _sketches(sketches: int):
                 offsets = pa.array(np.arange(len(some) + 1, dtype=np.int32) * sketches)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(start, len(texts)).take(pa.array(some)),
-                     pa.ListArray.from_arrays(offsets, pa.array(keys.ravel()))], names=["node", "keys"])
+                     pa.array([len(words[i]) for i in some], pa.int64()),
+                     pa.ListArray.from_arrays(offsets, pa.array(keys.ravel()))], names=["node", "n", "keys"])
 
     return run
 
@@ -183,7 +232,7 @@ def _align(similarity: float):
             near = []
             for a, b in zip(rows(batch.column(2)), rows(batch.column(3))):
                 limit = int((1 - similarity) * max(len(a), len(b)) + 1e-9)
-                near.append(edit_distance(a, b, limit) is not None)
+                near.append(distance_bound(a, b) <= limit or edit_distance(a, b, limit) is not None)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(near, pa.bool_())],
                                              names=["leader", "node", "near"])
 
@@ -215,41 +264,55 @@ def components(edges: DataFrame, out_dir: str) -> DataFrame:
     return now.groupBy("u").agg(F.min("v").alias("root")).select(F.col("u").alias("node"), "root")
 
 
-def links(texts: DataFrame, out_dir: str, similarity: float = SIMILARITY, sketches: int = SKETCHES) -> DataFrame:
+def _verified(pairs: DataFrame, texts: DataFrame, similarity: float, out_dir: str) -> DataFrame:
+    """(leader, node, near) of distinct pairs: the words of the nodes in them are joined on both sides and aligned."""
+    pairs = staged(pairs, f"{out_dir}-pairs")
+    wanted = pairs.select("node").union(pairs.select("leader")).distinct()
+    words = staged(texts.join(checked(wanted), "node", "left_semi").mapInArrow(_words, "node long, words array<int>")
+                   .dropDuplicates(["node"]), f"{out_dir}-words")
+    joined = pairs.join(words.withColumnRenamed("words", "b"), "node").join(
+        words.select(F.col("node").alias("leader"), F.col("words").alias("a")), "leader")
+    return staged(joined.select("leader", "node", "a", "b").mapInArrow(_align(similarity), "leader long, node long, near boolean"),
+                  f"{out_dir}-judged")
+
+
+def _divided(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Bucket rows with finer keys: a second sketch of the node and two overlapping length classes, of
+    which texts whose lengths differ by a fifth at most share one."""
+    length = F.log("n") / F.lit(math.log(1.5625))
+    classes = F.array(F.floor(length) * 2, F.floor(length + 0.5) * 2 + 1)
+    wide = rows.join(nodes, "node").select("node", "key", F.explode("keys").alias("second"), classes.alias("classes")).where("second <> key")
+    fine = wide.select("node", "key", "second", F.explode("classes").alias("class"))
+    return fine.select("node", F.xxhash64("key", "second", "class").alias("key"))
+
+
+def links(texts: DataFrame, out_dir: str, similarity: float = SIMILARITY, sketches: int = SKETCHES, small: int = SMALL) -> DataFrame:
     """Verified (u, v) links between nodes; ``texts`` has node and text, a node may repeat."""
-    nodes = staged(texts.mapInArrow(_sketches(sketches), "node long, keys array<long>").dropDuplicates(["node"]), f"{out_dir}/nodes")
-    left = nodes.select("node", F.explode("keys").alias("key"))
-    found: list[DataFrame] = []
-    known = None  # pairs verified so far
-    i = 0
+    spark = texts.sparkSession
+    nodes = staged(texts.mapInArrow(_sketches(sketches), "node long, n long, keys array<long>").dropDuplicates(["node"]),
+                   f"{out_dir}/nodes")
+    judged = spark.createDataFrame([], "leader long, node long, near boolean")
+    left, i = nodes.select("node", F.explode("keys").alias("key")), 0
     while True:
-        leaders = left.groupBy("key").agg(F.min("node").alias("leader"), F.max("node").alias("last")).where("leader <> last")
-        met = staged(left.join(leaders.select("key", "leader"), "key").where("node <> leader"), f"{out_dir}/met-{i}")
-        pairs = met.select("leader", "node").distinct()
-        if known is not None:
-            pairs = pairs.join(known, ["leader", "node"], "left_anti")
-        pairs = staged(pairs, f"{out_dir}/pairs-{i}")
-        if met.isEmpty():
+        # buckets of two or more: each node with its bucket's leader, and with all others where few are left
+        sizes = left.groupBy("key").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("size")).where("size > 1")
+        met = staged(left.join(sizes, "key"), f"{out_dir}/met-{i}")
+        led = met.where("node <> leader") if not i else met.where(f"node <> leader and size > {small}")
+        pairs = led.select("leader", "node")
+        if i:
+            few = met.where(f"size <= {small}").select("key", "node")
+            pairs = pairs.unionByName(few.join(few.withColumnRenamed("node", "leader"), "key").where("leader < node").select("leader", "node"))
+        new = _verified(pairs.distinct().join(judged, ["leader", "node"], "left_anti"), texts, similarity, f"{out_dir}/round-{i}")
+        judged = judged.unionByName(new)
+        # what its leader did not take meets again
+        rest = staged(led.join(judged.where("near").select("leader", "node"), ["leader", "node"], "left_anti").select("node", "key"),
+                      f"{out_dir}/rest-{i}")
+        if rest.isEmpty():
             break
-        wanted = pairs.select("node").union(pairs.select("leader")).distinct()
-        words = staged(texts.join(checked(wanted), "node", "left_semi").mapInArrow(_words, "node long, words array<int>")
-                       .dropDuplicates(["node"]), f"{out_dir}/words-{i}")
-        joined = pairs.join(words.withColumnRenamed("words", "b"), "node").join(
-            words.select(F.col("node").alias("leader"), F.col("words").alias("a")), "leader")
-        judged = staged(joined.select("leader", "node", "a", "b").mapInArrow(_align(similarity), "leader long, node long, near boolean"),
-                        f"{out_dir}/judged-{i}")
-        found.append(judged)
-        known = judged.select("leader", "node") if known is None else known.unionAll(judged.select("leader", "node"))
-        near = found[0].where("near")
-        for more in found[1:]:
-            near = near.unionAll(more.where("near"))
-        # what its leader did not take meets the bucket's next leader
-        left = met.join(near.select("leader", "node"), ["leader", "node"], "left_anti").select("node", "key")
+        large = rest.groupBy("key").count().where(f"count > {small}").select("key")
+        left = rest.join(large, "key", "left_anti").unionByName(_divided(rest.join(large, "key", "left_semi"), nodes))
         i += 1
-    spark = texts.sparkSession
-    if not found:
-        return spark.createDataFrame([], "u long, v long")
-    return near.select(F.col("leader").alias("u"), F.col("node").alias("v"))
+    return judged.where("near").select(F.col("leader").alias("u"), F.col("node").alias("v"))
 
 
 def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY,
