@@ -48,7 +48,7 @@ def test_lm_base_and_gain(spark):
     got = lm_score.op2_lm_score(spark, SF_MID).collect()
     check_base(got, docs)
     held = [r for r in got if r.held_out]
-    assert sum(r.score for r in held) > 0.985 * sum(r.base_score for r in held)
+    assert sum(r.score for r in held) > 1.02 * sum(r.base_score for r in held)
     assert sum(r.score for r in got) > 0.95 * sum(r.base_score for r in got)
 
 
@@ -69,16 +69,18 @@ def test_lm_odd_rows(spark, clashing, odd_docs, no_docs):
 def test_decisions_are_a_distribution():
     """The byte decisions of all words up to two letters over the whole alphabet: probabilities sum to at most one."""
     rng = np.random.default_rng(1)
-    tables = [rng.integers(0, 9, (2, 1 << b)).astype(np.float32) for b in lm_score.SLOT_BITS]
-    mixer = lm_score.Mixer(len(tables), lm_score.BIT_SETS, 256)
-    letters = [bytes([b]) for b in range(256) if bytes([b]) not in (b" ",)]
-    words = [b"", *letters]
-    bits = lm_score.Bits(words, np.zeros(len(words), np.int64))
+    code = lm_score.Code(rng.integers(0, 1000, 256))
+    tables = lm_score.Tables([rng.integers(0, 9, (2, 1 << b)).astype(np.float32) for b in lm_score.SLOT_BITS], code)
+    mixer = lm_score.Mixer(len(lm_score.SLOT_BITS), lm_score.BIT_SETS, 256)
+    words = [bytes([b]) for b in range(256) if b != 32]
+    bits = lm_score.Bits(words, np.zeros(len(words), np.int64), code)
     p = mixer.probability(*bits.inputs(tables, False), bits.node)
     each = np.log(np.where(bits.bit == 1, p, 1 - p))
-    total = np.exp(np.bincount(bits.word, each, minlength=len(words))).sum()
-    first = np.exp([each[bits.word == i][:8].sum() for i in range(1, len(words))]).sum() + np.exp(each[bits.word == 0][:8].sum())
-    assert first == pytest.approx(1.0, abs=1e-6) and total < 1
+    first = np.exp([each[bits.word == i][:code.length[w[0]]].sum() for i, w in enumerate(words)]).sum()
+    empty = lm_score.Bits([b""], np.zeros(1, np.int64), code)
+    q = mixer.probability(*empty.inputs(tables, False), empty.node)
+    first += np.exp(np.log(np.where(empty.bit == 1, q, 1 - q)).sum())
+    assert first == pytest.approx(1.0, abs=1e-6) and np.exp(np.bincount(bits.word, each)).sum() < 1
 
 
 def test_tree_is_a_distribution():
