@@ -11,7 +11,7 @@ n nodes gives n - 1 pairs. Nodes that fail meet again without the others: all
 with all where at most ``SMALL`` are left in a bucket; larger rests (texts that
 share a passage but little else) are divided by a second sketch and by
 overlapping length classes, as near texts agree in these too, and go on with new
-leaders until no bucket has two left. Pairs are linked if the word edit distance
+leaders, twice as many each round, until no bucket has two left. Pairs are linked if the word edit distance
 is at most (1 - ``similarity``) times the longer length: accepted if a chain of
 unique common word triples already bounds it, else found by furthest-reaching
 diagonals inside that band. Classes are the connected components of the links.
@@ -39,7 +39,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from runlens.llm.common import checked, free_name, staged, table, work_dir
@@ -291,26 +291,39 @@ def links(texts: DataFrame, out_dir: str, similarity: float = SIMILARITY, sketch
     spark = texts.sparkSession
     nodes = staged(texts.mapInArrow(_sketches(sketches), "node long, n long, keys array<long>").dropDuplicates(["node"]),
                    f"{out_dir}/nodes")
+    lengths = nodes.select("node", "n")
     judged = spark.createDataFrame([], "leader long, node long, near boolean")
     left, i = nodes.select("node", F.explode("keys").alias("key")), 0
     while True:
-        # buckets of two or more: each node with its bucket's leader, and with all others where few are left
-        sizes = left.groupBy("key").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("size")).where("size > 1")
+        # buckets of two or more; the first nodes lead, one in the first round, more in later ones
+        sizes = left.groupBy("key").agg(F.min("node").alias("least"), F.count(F.lit(1)).alias("size")).where("size > 1")
         met = staged(left.join(sizes, "key"), f"{out_dir}/met-{i}")
-        led = met.where("node <> leader") if not i else met.where(f"node <> leader and size > {small}")
+        if not i:
+            led = met.where("node <> least").select("node", "key", F.col("least").alias("leader"))
+        else:
+            large = met.where(f"size > {small}")
+            place = F.row_number().over(Window.partitionBy("key").orderBy("node"))
+            first = large.select("key", "node").distinct().withColumn("place", place).where(F.col("place") <= min(4 << i, 64))
+            leaders = first.select("key", F.col("node").alias("leader"))
+            led = large.select("node", "key").join(leaders, "key").where("leader < node")
         pairs = led.select("leader", "node")
-        if i:
+        if i:  # small rests: all with all
             few = met.where(f"size <= {small}").select("key", "node")
             pairs = pairs.unionByName(few.join(few.withColumnRenamed("node", "leader"), "key").where("leader < node").select("leader", "node"))
-        new = _verified(pairs.distinct().join(judged, ["leader", "node"], "left_anti"), texts, similarity, f"{out_dir}/round-{i}")
+        pairs = pairs.distinct().join(lengths, "node").join(lengths.select(F.col("node").alias("leader"), F.col("n").alias("m")), "leader")
+        pairs = pairs.where(F.abs(F.col("n") - F.col("m")) <= (1 - similarity) * F.greatest("n", "m") + 1e-9).select("leader", "node")
+        new = _verified(pairs.join(judged, ["leader", "node"], "left_anti"), texts, similarity, f"{out_dir}/round-{i}")
         judged = judged.unionByName(new)
-        # what its leader did not take meets again
-        rest = staged(led.join(judged.where("near").select("leader", "node"), ["leader", "node"], "left_anti").select("node", "key"),
-                      f"{out_dir}/rest-{i}")
+        # what no leader took meets again
+        taken = led.join(judged.where("near").select("leader", "node"), ["leader", "node"], "left_semi").select("node", "key")
+        out = taken if not i else taken.unionByName(first.select("node", "key"))
+        rest = staged(led.select("node", "key").distinct().join(out, ["node", "key"], "left_anti"), f"{out_dir}/rest-{i}")
         if rest.isEmpty():
             break
-        large = rest.groupBy("key").count().where(f"count > {small}").select("key")
-        left = rest.join(large, "key", "left_anti").unionByName(_divided(rest.join(large, "key", "left_semi"), nodes))
+        left = rest
+        if not i:
+            large = rest.groupBy("key").count().where(f"count > {small}").select("key")
+            left = rest.join(large, "key", "left_anti").unionByName(_divided(rest.join(large, "key", "left_semi"), nodes))
         i += 1
     return judged.where("near").select(F.col("leader").alias("u"), F.col("node").alias("v"))
 
