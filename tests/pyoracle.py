@@ -96,7 +96,7 @@ def session_metrics(runs: list[dict]) -> dict | None:
         "max_consecutive_failures": lambda: max(streaks, default=0),
         "avg_errors_per_run": lambda: errors.mean, "total_errors": lambda: sum(errors),
         "systematic_failure_flag": lambda: flag(1 - good.mean, TH.systematic_failure_rate),
-        "complete_breakdown_flag": lambda: int(good.mean < Fraction(TH.breakdown_success_rate)),
+        "complete_breakdown_flag": lambda: int(good.mean < Fraction(str(TH.breakdown_success_rate))),
     })]
     out = dict.fromkeys(ALL_METRICS, 0.0) | {"max_token_growth_rate": 1.0, "total_runs": len(runs)}
     for applies, metrics in table:
