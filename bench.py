@@ -18,6 +18,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from runlens.plans import catalog  # noqa: E402
 from runlens.session import local_session  # noqa: E402
+from runlens.sources.documents import document_sessions, event_run_records  # noqa: E402
 
 HEADLINE = [
     "session_features",       # 43 metrics, flat chunked kernel, lineitem
@@ -30,6 +31,8 @@ HEADLINE = [
     "validate_requests",      # request checks
 ]
 
+LANDED = {"event_features": event_run_records, "document_features": document_sessions}
+
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -43,9 +46,13 @@ def main() -> None:
         qs[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         return time.perf_counter() - t0
 
-    times, errors = {}, {}
-    for name in HEADLINE:  # warm-up: JIT, file listing, class loading, landing
+    times, errors, landing = {}, {}, {}
+    for name in HEADLINE:  # warm-up: JIT, file listing, class loading
         try:
+            if name in LANDED:  # derivation and writing of the landed copies, a line of its own
+                t0 = time.perf_counter()
+                LANDED[name](spark, sf_dir)
+                landing[name] = round(time.perf_counter() - t0, 3)
             run(name)
         except Exception as exc:  # keep one JSON line; report the failure
             errors[name] = str(exc)[:300]
@@ -60,6 +67,7 @@ def main() -> None:
         "queries": {k: round(v, 3) for k, v in times.items()},
         "sf": float(m.group(1)) if m else sf_dir,
         "cpus": cpus,
+        "landing": landing,
     }
     if errors:
         out["errors"] = errors
