@@ -5,11 +5,11 @@ number; each of ``sketches`` hash functions takes the two smallest labelled
 k-mers and keeps them in text order, so a sketch agrees only where content and
 order agree (sensitive to edit similarity, not to shared vocabulary).
 
-Classes: texts that share a sketch meet in a bucket. In each bucket the
+Classes: texts that share a band (a triple of sketches) meet in a bucket. In each bucket the
 smallest node leads and every other node is verified against it, so a bucket of
 n nodes gives n - 1 pairs. Nodes that fail meet again without the others: all
 with all where at most ``SMALL`` are left in a bucket; larger rests (texts that
-share a passage but little else) are divided by a second sketch and by
+share a passage but little else) are divided by a second band and by
 overlapping length classes, as near texts agree in these too, and go on with new
 leaders, twice as many each round, until no bucket has two left. Pairs are linked if the word edit distance
 is at most (1 - ``similarity``) times the longer length: accepted if a chain of
@@ -17,14 +17,14 @@ unique common word triples already bounds it, else found by furthest-reaching
 diagonals inside that band. Classes are the connected components of the links.
 Equal texts are one node from the start.
 
-Scale: the sketch table has ``sketches`` longs a distinct text; joins on buckets
+Scale: the sketch table has ``BANDS`` longs a distinct text; joins on buckets
 and leaders are splittable equi-joins; texts travel only for nodes in candidate
 pairs; every round ends in a written table in the shared folder.
 
 Recall: a pair of similarity J in labelled five-word k-mers shares a sketch with
-probability about J * J; at edit similarity 0.95 (J about 0.6) a pair is missed by
-all 32 with probability below 1e-6, at 0.9 about 0.5 %. A pair that shares one
-sketch only is also missed if its bucket leaves a rest of more than ``SMALL``.
+probability about J * J and is missed by all 64 bands of three with probability
+below 1e-6 at J = 0.8 (the similarity asked for), about 1 % at 0.63 (one word in
+eighteen changed). Texts that only share a passage seldom share a band.
 
 Defined results: null and empty texts are equal texts; texts without words
 match only equal texts; texts of fewer than five words are one k-mer; a null
@@ -48,6 +48,7 @@ from runlens.llm.shingles import shingle_hashes, word_hashes
 
 WORDS = 5
 SKETCHES = 32
+BANDS = 64  # triples of sketches
 SIMILARITY = 0.8
 SMALL = 32  # nodes of a rest that are compared all with all
 POSITION_BITS = 20
@@ -104,6 +105,17 @@ def sketch(words: list[np.ndarray], sketches: int = SKETCHES, k: int = WORDS) ->
     return out.view(np.int64)
 
 
+def bands(sketches: np.ndarray, n: int = 0) -> np.ndarray:
+    """Keys of triples of sketches (``BANDS``, or n): texts meet where a whole triple agrees."""
+    x, n = sketches.view(np.uint64), n or BANDS
+    m = x.shape[1]
+    out = np.empty((len(x), n), np.uint64)
+    for b in range(n):
+        i, step = b % m, 1 + 4 * (b // m)
+        out[:, b] = _mixed(_mixed(x[:, i] + np.uint64(b)) + _mixed(x[:, (i + step) % m] * np.uint64(3)) + x[:, (i + 2 * step + 1) % m])
+    return out.view(np.int64)
+
+
 def _increasing(x: np.ndarray) -> np.ndarray:
     """Places of a longest increasing subsequence."""
     if len(x) < 2 or (x[1:] > x[:-1]).all():
@@ -202,8 +214,8 @@ def _sketches(sketches: int):
                 some = [i for i, w in enumerate(words) if len(w)]
                 if not some:
                     continue
-                keys = sketch([words[i] for i in some], sketches)
-                offsets = pa.array(np.arange(len(some) + 1, dtype=np.int32) * sketches)
+                keys = bands(sketch([words[i] for i in some], sketches))
+                offsets = pa.array(np.arange(len(some) + 1, dtype=np.int32) * BANDS)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(start, len(texts)).take(pa.array(some)),
                      pa.array([len(words[i]) for i in some], pa.int64()),
@@ -277,7 +289,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float, out_dir: st
 
 
 def _divided(rows: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Bucket rows with finer keys: a second sketch of the node and two overlapping length classes, of
+    """Bucket rows with finer keys: a second band of the node and two overlapping length classes, of
     which texts whose lengths differ by a fifth at most share one."""
     length = F.log("n") / F.lit(math.log(1.5625))
     classes = F.array(F.floor(length) * 2, F.floor(length + 0.5) * 2 + 1)
