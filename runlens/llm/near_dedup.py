@@ -13,8 +13,8 @@ share a passage but little else) are divided by a second band and by
 overlapping length classes, as near texts agree in these too, and go on with new
 leaders, twice as many each round, until no bucket has two left. Pairs are linked if the word edit distance
 is at most (1 - ``similarity``) times the longer length: accepted if a chain of
-unique common word triples already bounds it, else found by furthest-reaching
-diagonals inside that band. Classes are the connected components of the links.
+unique common word triples already bounds it, else aligned within that band.
+Classes are the connected components of the links.
 Equal texts are one node from the start.
 
 Scale: the sketch table has ``BANDS`` longs a distinct text; joins on buckets
@@ -158,48 +158,42 @@ def distance_bound(a: np.ndarray, b: np.ndarray) -> int:
 
 
 def edit_distance(a: np.ndarray, b: np.ndarray, limit: int) -> int | None:
-    """Word edit distance if it is at most ``limit`` (diagonals within the band only), else None."""
+    """Word edit distance if it is at most ``limit``, else None.
+
+    The table is computed column by column inside the band of 2 * limit + 1 rows around the diagonal; a column's
+    differences between neighbouring rows are the bits of two integers, bit t standing for row j - limit + t."""
     n, m = len(a), len(b)
     if abs(n - m) > limit:
         return None
     if not n or not m:
         return max(n, m)
-    # a word of the shorter text that the longer one lacks costs at least one edit
+    # a word of the longer text that the shorter one lacks costs at least one edit
     x, cx = np.unique(a, return_counts=True)
     y, cy = np.unique(b, return_counts=True)
     _, ix, iy = np.intersect1d(x, y, assume_unique=True, return_indices=True)
     if max(n, m) - int(np.minimum(cx[ix], cy[iy]).sum()) > limit:
         return None
-    differing: dict[int, list[int]] = {}
-
-    def slide(k: int, i: int) -> int:
-        """Furthest i on diagonal k (j = i + k) that matching words reach."""
-        found = differing.get(k)
-        if found is None:
-            lo, hi = max(0, -k), min(n, m - k)
-            found = differing[k] = (np.flatnonzero(a[lo:hi] != b[lo + k:hi + k]) + lo).tolist() + [hi]
-        return found[bisect_left(found, i)] if i <= found[-1] else i
-
-    goal = m - n
-    reach = {0: slide(0, 0)}
-    if goal == 0 and reach[0] >= n:
-        return 0
-    for d in range(1, limit + 1):
-        new: dict[int, int] = {}
-        for k in range(-d, d + 1):
-            if k < -n or k > m or abs(goal - k) > limit - d + 0:
-                continue
-            best = max(reach.get(k, -2) + 1, reach.get(k - 1, -2), reach.get(k + 1, -2) + 1)
-            if best < max(0, -k):
-                continue
-            best = min(best, n, m - k)
-            new[k] = slide(k, best)
-        reach = new
-        if reach.get(goal, -1) >= n:
-            return d
-        if not reach:
-            return None
-    return None
+    k = limit
+    places: dict[int, int] = {}
+    for i, w in enumerate(a.tolist()):
+        places[w] = places.get(w, 0) | 1 << i
+    full, top = (1 << 2 * k + 1) - 1, 1 << 2 * k
+    rises, falls = full & ~((1 << k + 1) - 1), 0  # column 0 holds 0, 1, 2 ...
+    distance = min(k, n)  # in the band's last row, later in row n
+    for j, w in enumerate(b.tolist(), 1):
+        rises, falls = rises >> 1 | top, falls >> 1
+        same = places.get(w, 0)
+        same = (same >> j - k - 1 if j > k else same << k + 1 - j) & full
+        level = ((same & rises) + rises ^ rises | same | falls) & full  # equal to the cell up and left
+        right_up, right_down = falls | full & ~(level | rises), level & rises
+        if j + k <= n:
+            distance += not level & top
+        else:
+            at = n - j + k
+            distance += (right_up >> at & 1) - (right_down >> at & 1)
+        above = right_up << 1 | 1
+        rises, falls = (right_down << 1 | ~(level | above)) & full, level & above & full
+    return distance if distance <= limit else None
 
 
 def _column(batch: pa.RecordBatch, at: int) -> list[bytes]:
