@@ -293,7 +293,7 @@ def _divided(rows: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def links(texts: DataFrame, out_dir: str, similarity: float = SIMILARITY, sketches: int = SKETCHES, small: int = SMALL) -> DataFrame:
-    """Verified (u, v) links between nodes; ``texts`` has node and text, a node may repeat."""
+    """Verified (u, v) links between nodes, as many as connect every class; ``texts`` has node and text, a node may repeat."""
     spark = texts.sparkSession
     nodes = staged(texts.mapInArrow(_sketches(sketches), "node long, n long, keys array<long>").dropDuplicates(["node"]),
                    f"{out_dir}/nodes")
@@ -318,6 +318,11 @@ def links(texts: DataFrame, out_dir: str, similarity: float = SIMILARITY, sketch
             pairs = pairs.unionByName(few.join(few.withColumnRenamed("node", "leader"), "key").where("leader < node").select("leader", "node"))
         pairs = pairs.distinct().join(lengths, "node").join(lengths.select(F.col("node").alias("leader"), F.col("n").alias("m")), "leader")
         pairs = pairs.where(F.abs(F.col("n") - F.col("m")) <= (1 - similarity) * F.greatest("n", "m") + 1e-9).select("leader", "node")
+        if i:  # texts that the first round has brought into one class need no further link
+            own = roots.select("node", F.col("root").alias("r"))
+            other = roots.select(F.col("node").alias("leader"), F.col("root").alias("s"))
+            pairs = pairs.join(own, "node", "left").join(other, "leader", "left").where(
+                F.coalesce("r", "node") != F.coalesce("s", "leader")).select("leader", "node")
         new = _verified(pairs.join(judged, ["leader", "node"], "left_anti"), texts, similarity, f"{out_dir}/round-{i}")
         judged = judged.unionByName(new)
         # what no leader took meets again
@@ -328,10 +333,13 @@ def links(texts: DataFrame, out_dir: str, similarity: float = SIMILARITY, sketch
             break
         left = rest
         if not i:
+            near = judged.where("near").select(F.col("leader").alias("u"), F.col("node").alias("v"))
+            roots = staged(components(near, f"{out_dir}/first"), f"{out_dir}/roots")
             large = rest.groupBy("key").count().where(f"count > {small}").select("key")
             left = rest.join(large, "key", "left_anti").unionByName(_divided(rest.join(large, "key", "left_semi"), nodes))
         i += 1
-    return judged.where("near").select(F.col("leader").alias("u"), F.col("node").alias("v"))
+    found = judged.where("near").select(F.col("leader").alias("u"), F.col("node").alias("v"))
+    return found if not i else found.unionByName(roots.select(F.col("root").alias("u"), F.col("node").alias("v")))
 
 
 def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY,
