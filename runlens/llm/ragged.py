@@ -32,6 +32,18 @@ PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _powers: dict[str, np.ndarray] = {}
 
 
+_held: list[dict] = []
+
+
+def hold(state: dict) -> dict:
+    """One operator's caches per Python worker: those of the operator before it are dropped."""
+    if not _held or _held[0] is not state:
+        for other in _held:
+            other.clear()
+        _held[:] = [state]
+    return state
+
+
 def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the hash base and of its inverse modulo 2**64, up to n."""
     if len(_powers.get("up", ())) < n:

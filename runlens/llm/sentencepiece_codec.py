@@ -39,10 +39,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from runlens.llm.common import table
-from runlens.llm.ragged import PUNCTUATION, Chunks, groups
+from runlens.llm.ragged import PUNCTUATION, Chunks, groups, hold
 
 MARK = "▁"
-CACHE_CHUNKS = 800_000  # chunks a Python worker keeps
+CACHE_CHUNKS = 600_000  # chunks a Python worker keeps
 CACHE_PAIRS = 500_000
 
 _state: dict = {}
@@ -165,6 +165,7 @@ class Codec:
 
 def codec(model: str) -> Codec:
     """The codec of a model file, once per Python worker."""
+    hold(_state)
     if _state.get("model") != model:
         _state.update(model=model, codec=Codec(model))
     return _state["codec"]

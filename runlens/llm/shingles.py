@@ -5,9 +5,9 @@ from __future__ import annotations
 import numpy as np
 
 from runlens.llm.common import words_of
-from runlens.llm.ragged import PUNCTUATION, Chunks
+from runlens.llm.ragged import PUNCTUATION, Chunks, hold
 
-CACHE_CHUNKS = 800_000
+CACHE_CHUNKS = 250_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _state: dict = {}
 
@@ -20,6 +20,7 @@ def _hash_chunks(chunks: list[bytes]) -> list[bytes]:
 
 def word_hashes(texts: list[bytes]) -> list[np.ndarray]:
     """64-bit hashes of each text's words, in order."""
+    hold(_state)
     if "words" not in _state:
         _state["words"] = Chunks(_hash_chunks, np.uint64, tails=PUNCTUATION, most=CACHE_CHUNKS)
     values, counts = _state["words"](texts)

@@ -32,13 +32,14 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from runlens.llm.common import staged, table, work_dir
-from runlens.llm.ragged import PUNCTUATION, Chunks, groups
+from runlens.llm.ragged import PUNCTUATION, Chunks, groups, hold
 
 _state: dict = {}
 
 
 def _encoder(vocab: str) -> Chunks:
     """Distinct chunk -> ids, once per Python worker."""
+    hold(_state)
     if _state.get("vocab") != vocab:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer

@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from runlens.llm.common import checked, staged, table, work_dir, words_of
-from runlens.llm.ragged import PUNCTUATION, Chunks, groups
+from runlens.llm.ragged import PUNCTUATION, Chunks, groups, hold
 
 SLOTS = 1 << 21
 STEMS = range(4, 9)  # characters of the stems
@@ -48,7 +48,7 @@ DRIFT = 0.25
 ALPHA = 0.05
 CLASS_WIDTH = 2.0  # evidence classes: 0, then (0, 2], (2, 4], ... up to CLASSES
 CLASSES = 20
-CACHE_CHUNKS = 500_000  # chunks a Python worker keeps
+CACHE_CHUNKS = 250_000  # chunks a Python worker keeps
 
 
 def features(word: str) -> list[str]:
@@ -69,6 +69,7 @@ _state: dict = {}
 
 
 def _counter() -> Chunks:
+    hold(_state)
     if "count" not in _state:
         _state["count"] = Chunks(_chunk_slots, np.int32, tails=PUNCTUATION, most=CACHE_CHUNKS)
     return _state["count"]
@@ -149,6 +150,7 @@ class Model:
 
     def word_scores(self, texts: list[bytes]) -> list[np.ndarray]:
         """Scores of each text's words; chunks are scored once per worker and model."""
+        hold(_state)
         if _state.get("model") != self.name:
             _state.update(model=self.name, score=Chunks(self._chunk_scores, np.float32, tails=PUNCTUATION, most=CACHE_CHUNKS))
         values, counts = _state["score"](texts)
