@@ -8,6 +8,7 @@ the occurrences are assembled by array operations.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable
 
 import numpy as np
@@ -41,6 +42,7 @@ def hold(state: dict) -> dict:
         for other in _held:
             other.clear()
         _held[:] = [state]
+        gc.collect()
     return state
 
 

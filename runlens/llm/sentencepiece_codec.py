@@ -42,8 +42,8 @@ from runlens.llm.common import table
 from runlens.llm.ragged import PUNCTUATION, Chunks, groups, hold
 
 MARK = "▁"
-CACHE_CHUNKS = 600_000  # chunks a Python worker keeps
-CACHE_PAIRS = 500_000
+CACHE_CHUNKS = 400_000  # chunks a Python worker keeps
+CACHE_PAIRS = 250_000
 
 _state: dict = {}
 
@@ -71,7 +71,7 @@ class Codec:
         assert not any(MARK in p.lstrip(MARK) for p in self.id_of), "a piece crosses a word start"
         self.longest = max(map(len, self.id_of))
         # the merge order reaches a piece only if it encodes to itself
-        self.reachable = {p for p in self.id_of if len(p) == 1 or self.merge(p) == [p]}
+        self.reachable = {p: p for p in self.id_of if len(p) == 1 or self.merge(p) == [p]}
         lone = "".join(c for c in "\n\t\r" if c not in joined)
         self.separators = (" " + lone).encode()
         # a run of letters also ends a word, unless some piece joins a letter to the character that follows
@@ -134,8 +134,8 @@ class Codec:
             for end in range(shared + 1, len(word) + 1):
                 piece = word[end - 1]  # a character outside the vocabulary stands alone
                 for start in range(max(0, end - longest), end):
-                    t = word[start:end]
-                    if (t in reachable or end - start == 1) and (start == 0 or together(last[start], t)):
+                    t = reachable.get(word[start:end])
+                    if t is not None and (start == 0 or together(last[start], t)):
                         piece = t
                         break
                 last.append(piece)
