@@ -51,6 +51,7 @@ SKETCHES = 32
 BANDS = 64  # triples of sketches
 SIMILARITY = 0.8
 SMALL = 32  # nodes of a rest that are compared all with all
+BATCH_ROWS = 1000
 POSITION_BITS = 20
 
 _rng = np.random.default_rng(310)
@@ -293,7 +294,18 @@ def _divided(rows: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def links(texts: DataFrame, out_dir: str, similarity: float = SIMILARITY, sketches: int = SKETCHES, small: int = SMALL) -> DataFrame:
-    """Verified (u, v) links between nodes, as many as connect every class; ``texts`` has node and text, a node may repeat."""
+    """Verified (u, v) links between nodes, as many as connect every class; ``texts`` has node and text, a node may repeat.
+    The jobs run here, with Arrow batches of ``BATCH_ROWS`` whole texts."""
+    conf, setting = texts.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = conf.get(setting)
+    conf.set(setting, str(BATCH_ROWS))
+    try:
+        return _links(texts, out_dir, similarity, sketches, small)
+    finally:
+        conf.set(setting, before)
+
+
+def _links(texts: DataFrame, out_dir: str, similarity: float, sketches: int, small: int) -> DataFrame:
     spark = texts.sparkSession
     nodes = staged(texts.mapInArrow(_sketches(sketches), "node long, n long, keys array<long>").dropDuplicates(["node"]),
                    f"{out_dir}/nodes")

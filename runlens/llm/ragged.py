@@ -14,7 +14,7 @@ from collections.abc import Callable
 import numpy as np
 import pandas as pd
 
-GROUP_BYTES = 2 << 20
+GROUP_BYTES = 1 << 20
 _rng = np.random.default_rng(7)
 _BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _STEP = 0x9E3779B97F4A7C15
@@ -49,7 +49,7 @@ def hold(state: dict) -> dict:
 def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the hash base and of its inverse modulo 2**64, up to n."""
     if len(_powers.get("up", ())) < n:
-        size = max(n, GROUP_BYTES + (GROUP_BYTES >> 2))
+        size = n + (n >> 2)
         for name, base in (("up", _STEP), ("down", pow(_STEP, -1, 1 << 64))):
             x = np.full(size, base, np.uint64)
             x[0] = 1

@@ -42,8 +42,8 @@ from runlens.llm.common import table
 from runlens.llm.ragged import PUNCTUATION, Chunks, groups, hold
 
 MARK = "▁"
-CACHE_CHUNKS = 400_000  # chunks a Python worker keeps
-CACHE_PAIRS = 250_000
+CACHE_CHUNKS = 300_000  # chunks a Python worker keeps
+CACHE_PAIRS = 200_000
 
 _state: dict = {}
 

@@ -7,7 +7,7 @@ import numpy as np
 from runlens.llm.common import words_of
 from runlens.llm.ragged import PUNCTUATION, Chunks, hold
 
-CACHE_CHUNKS = 250_000
+CACHE_CHUNKS = 150_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _state: dict = {}
 

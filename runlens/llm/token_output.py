@@ -60,7 +60,7 @@ def _encode(vocab: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _encoder(vocab)
         for batch in batches:
-            for start, texts in groups(batch.column(1).cast(pa.binary()).to_pylist()):
+            for start, texts in groups(batch.column(1).cast(pa.binary()).to_pylist(), 2 << 20):
                 ids, counts = encode(texts)
                 offsets = np.concatenate([[0], np.cumsum(counts + 1)]).astype(np.int32)
                 values = np.full(offsets[-1], end_id, np.int32)
