@@ -5,26 +5,27 @@ number; each of ``sketches`` hash functions takes the two smallest labelled
 k-mers and keeps them in text order, so a sketch agrees only where content and
 order agree (sensitive to edit similarity, not to shared vocabulary).
 
-Classes: texts that share a band (a triple of sketches) meet in a bucket. In each bucket the
+Classes: texts that share a sketch meet in a bucket. In each bucket the
 smallest node leads and every other node is verified against it, so a bucket of
 n nodes gives n - 1 pairs. Nodes that fail meet again without the others: all
 with all where at most ``SMALL`` are left in a bucket; larger rests (texts that
-share a passage but little else) are divided by a second band and by
+share a passage but little else) are divided by a second sketch and by
 overlapping length classes, as near texts agree in these too, and go on with new
 leaders, twice as many each round, until no bucket has two left. Pairs are linked if the word edit distance
-is at most (1 - ``similarity``) times the longer length: accepted if a chain of
-unique common word triples already bounds it, else aligned within that band.
+is at most (1 - ``similarity``) times the longer length: refused if counts of the
+words in ``BINS`` classes differ by more, accepted if a chain of unique common word
+triples already bounds it, else aligned within that band.
 Classes are the connected components of the links.
 Equal texts are one node from the start.
 
-Scale: the sketch table has ``BANDS`` longs a distinct text; joins on buckets
-and leaders are splittable equi-joins; texts travel only for nodes in candidate
-pairs; every round ends in a written table in the shared folder.
+Scale: the sketch table has ``sketches`` longs and ``BINS`` bytes a distinct text; joins
+on buckets and leaders are splittable equi-joins; texts travel only for nodes in
+pairs that their counts leave possible; every round ends in a written table in the shared folder.
 
 Recall: a pair of similarity J in labelled five-word k-mers shares a sketch with
-probability about J * J and is missed by all 64 bands of three with probability
-below 1e-6 at J = 0.8 (the similarity asked for), about 1 % at 0.63 (one word in
-eighteen changed). Texts that only share a passage seldom share a band.
+probability about J * J and is missed by all 32 with probability (1 - J * J) ** 32:
+below 1e-6 at J = 0.63 (one word in twenty changed), about 0.2 % at 0.42 (one in
+ten), 5 % at 0.3, 29 % at 0.2 (one in five, evenly spread: the limit itself).
 
 Defined results: null and empty texts are equal texts; texts without words
 match only equal texts; texts of fewer than five words are one k-mer; a null
@@ -48,7 +49,7 @@ from runlens.llm.shingles import shingle_hashes, word_hashes
 
 WORDS = 5
 SKETCHES = 32
-BANDS = 64  # triples of sketches
+BINS = 128  # classes of words that are counted
 SIMILARITY = 0.8
 SMALL = 32  # nodes of a rest that are compared all with all
 BATCH_ROWS = 1000
@@ -106,15 +107,19 @@ def sketch(words: list[np.ndarray], sketches: int = SKETCHES, k: int = WORDS) ->
     return out.view(np.int64)
 
 
-def bands(sketches: np.ndarray, n: int = 0) -> np.ndarray:
-    """Keys of triples of sketches (``BANDS``, or n): texts meet where a whole triple agrees."""
-    x, n = sketches.view(np.uint64), n or BANDS
-    m = x.shape[1]
-    out = np.empty((len(x), n), np.uint64)
-    for b in range(n):
-        i, step = b % m, 1 + 4 * (b // m)
-        out[:, b] = _mixed(_mixed(x[:, i] + np.uint64(b)) + _mixed(x[:, (i + step) % m] * np.uint64(3)) + x[:, (i + 2 * step + 1) % m])
-    return out.view(np.int64)
+def bags(words: list[np.ndarray]) -> np.ndarray:
+    """(text, class): how many of a text's words fall into each of ``BINS`` classes, at most 255."""
+    out = np.empty((len(words), BINS), np.uint8)
+    for i, w in enumerate(words):
+        out[i] = np.minimum(np.bincount((w >> np.uint64(57)).astype(np.int64), minlength=BINS), 255)
+    return out
+
+
+def least_distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """A lower bound of the word edit distance from ``bags``: an edit takes at most one word out of a class and puts at
+    most one into another."""
+    d = a.astype(np.int16) - b
+    return np.maximum(np.maximum(d, 0).sum(1), np.maximum(-d, 0).sum(1))
 
 
 def _increasing(x: np.ndarray) -> np.ndarray:
@@ -209,12 +214,14 @@ def _sketches(sketches: int):
                 some = [i for i, w in enumerate(words) if len(w)]
                 if not some:
                     continue
-                keys = bands(sketch([words[i] for i in some], sketches))
-                offsets = pa.array(np.arange(len(some) + 1, dtype=np.int32) * BANDS)
+                words = [words[i] for i in some]
+                keys = sketch(words, sketches)
+                offsets = pa.array(np.arange(len(some) + 1, dtype=np.int32) * sketches)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(start, len(texts)).take(pa.array(some)),
-                     pa.array([len(words[i]) for i in some], pa.int64()),
-                     pa.ListArray.from_arrays(offsets, pa.array(keys.ravel()))], names=["node", "n", "keys"])
+                     pa.array([len(w) for w in words], pa.int64()),
+                     pa.ListArray.from_arrays(offsets, pa.array(keys.ravel())),
+                     pa.array([x.tobytes() for x in bags(words)], pa.binary())], names=["node", "n", "keys", "bag"])
 
     return run
 
@@ -229,6 +236,18 @@ def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                              names=["node", "words"])
 
 
+def _possible(similarity: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            a, b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, BINS) for i in (3, 4))
+            limit = (1 - similarity) * np.asarray(batch.column(2)) + 1e-9
+            yield batch.select(["leader", "node"]).filter(pa.array(least_distance(a, b) <= limit))
+
+    return run
+
+
 def _align(similarity: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows(column):
@@ -271,9 +290,13 @@ def components(edges: DataFrame, out_dir: str) -> DataFrame:
     return now.groupBy("u").agg(F.min("v").alias("root")).select(F.col("u").alias("node"), "root")
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, similarity: float, out_dir: str) -> DataFrame:
-    """(leader, node, near) of distinct pairs: the words of the nodes in them are joined on both sides and aligned."""
-    pairs = staged(pairs, f"{out_dir}-pairs")
+def _verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, similarity: float, out_dir: str) -> DataFrame:
+    """(leader, node, near) of distinct pairs (leader, node, longer) that their bags leave possible: the words of the nodes
+    in them are joined on both sides and aligned."""
+    met = pairs.join(nodes.select(F.col("node").alias("leader"), F.col("bag").alias("a")), "leader").join(
+        nodes.select("node", F.col("bag").alias("b")), "node")
+    pairs = staged(met.select("leader", "node", "longer", "a", "b").mapInArrow(_possible(similarity), "leader long, node long"),
+                   f"{out_dir}-pairs")
     wanted = pairs.select("node").union(pairs.select("leader")).distinct()
     words = staged(texts.join(checked(wanted), "node", "left_semi").mapInArrow(_words, "node long, words array<int>")
                    .dropDuplicates(["node"]), f"{out_dir}-words")
@@ -284,7 +307,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float, out_dir: st
 
 
 def _divided(rows: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Bucket rows with finer keys: a second band of the node and two overlapping length classes, of
+    """Bucket rows with finer keys: a second sketch of the node and two overlapping length classes, of
     which texts whose lengths differ by a fifth at most share one."""
     length = F.log("n") / F.lit(math.log(1.5625))
     classes = F.array(F.floor(length) * 2, F.floor(length + 0.5) * 2 + 1)
@@ -307,7 +330,7 @@ def links(texts: DataFrame, out_dir: str, similarity: float = SIMILARITY, sketch
 
 def _links(texts: DataFrame, out_dir: str, similarity: float, sketches: int, small: int) -> DataFrame:
     spark = texts.sparkSession
-    nodes = staged(texts.mapInArrow(_sketches(sketches), "node long, n long, keys array<long>").dropDuplicates(["node"]),
+    nodes = staged(texts.mapInArrow(_sketches(sketches), "node long, n long, keys array<long>, bag binary").dropDuplicates(["node"]),
                    f"{out_dir}/nodes")
     lengths = nodes.select("node", "n")
     judged = spark.createDataFrame([], "leader long, node long, near boolean")
@@ -329,13 +352,14 @@ def _links(texts: DataFrame, out_dir: str, similarity: float, sketches: int, sma
             few = met.where(f"size <= {small}").select("key", "node")
             pairs = pairs.unionByName(few.join(few.withColumnRenamed("node", "leader"), "key").where("leader < node").select("leader", "node"))
         pairs = pairs.distinct().join(lengths, "node").join(lengths.select(F.col("node").alias("leader"), F.col("n").alias("m")), "leader")
-        pairs = pairs.where(F.abs(F.col("n") - F.col("m")) <= (1 - similarity) * F.greatest("n", "m") + 1e-9).select("leader", "node")
+        pairs = pairs.where(F.abs(F.col("n") - F.col("m")) <= (1 - similarity) * F.greatest("n", "m") + 1e-9).select(
+            "leader", "node", F.greatest("n", "m").alias("longer"))
         if i:  # texts that the first round has brought into one class need no further link
             own = roots.select("node", F.col("root").alias("r"))
             other = roots.select(F.col("node").alias("leader"), F.col("root").alias("s"))
             pairs = pairs.join(own, "node", "left").join(other, "leader", "left").where(
-                F.coalesce("r", "node") != F.coalesce("s", "leader")).select("leader", "node")
-        new = _verified(pairs.join(judged, ["leader", "node"], "left_anti"), texts, similarity, f"{out_dir}/round-{i}")
+                F.coalesce("r", "node") != F.coalesce("s", "leader")).select("leader", "node", "longer")
+        new = _verified(pairs.join(judged, ["leader", "node"], "left_anti"), nodes, texts, similarity, f"{out_dir}/round-{i}")
         judged = judged.unionByName(new)
         # what no leader took meets again
         taken = led.join(judged.where("near").select("leader", "node"), ["leader", "node"], "left_semi").select("node", "key")

@@ -164,6 +164,26 @@ def test_classes_equal_brute_force(spark, planted):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(got.values()))
 
 
+def test_pairs_with_one_word_in_ten_changed_meet(spark):
+    texts = []
+    for g in range(60):
+        words = [f"g{g}w{i}" for i in range(100)]
+        other = [f"new{g}x{i}" if i % 10 == g % 10 else w for i, w in enumerate(words)]
+        texts += [" ".join(words), " ".join(other)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.class_id for r in near_dedup.near_duplicate_classes(docs).collect()}
+    assert sum(got[2 * g] == got[2 * g + 1] for g in range(60)) >= 58
+
+
+def test_least_distance_is_a_lower_bound():
+    rng = random.Random(5)
+    for _ in range(300):
+        a = [rng.randrange(40) for _ in range(rng.randrange(1, 60))]
+        b = changed(rng, a, rng.randrange(0, 20)) if rng.random() < 0.7 else [rng.randrange(40) for _ in range(rng.randrange(1, 60))]
+        x, y = (near_dedup.bags([np.asarray([zlib.crc32(str(w).encode()) << 32 for w in t], np.uint64)]) for t in (a, b))
+        assert near_dedup.least_distance(x, y)[0] <= edits(a, b)
+
+
 def test_near_dedup_odd_rows(odd_docs, clashing, no_docs):
     kept = near_dedup.drop_near_duplicates(clashing)
     ids = Counter(r.doc_id for r in kept.collect())
