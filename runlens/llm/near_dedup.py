@@ -5,13 +5,15 @@ number; each of ``sketches`` hash functions takes the two smallest labelled
 k-mers and keeps them in text order, so a sketch agrees only where content and
 order agree (sensitive to edit similarity, not to shared vocabulary).
 
-Classes: texts that share a sketch meet in a bucket. In each bucket the
-smallest node leads and every other node is verified against it, so a bucket of
-n nodes gives n - 1 pairs. Nodes that fail meet again without the others: all
-with all where at most ``SMALL`` are left in a bucket; larger rests (texts that
-share a passage but little else) are divided by a second sketch and by
-overlapping length classes, as near texts agree in these too, and go on with new
-leaders, twice as many each round, until no bucket has two left. Pairs are linked if the word edit distance
+Classes: texts that share a sketch meet in a bucket. In each bucket the smallest
+node of each length class leads, and the others of its class are verified against
+it, which joins groups of near copies at a cost of one pair a node. In buckets
+that then still hold several classes, every node outside the largest meets every
+node of another class and of a length that allows a link: nothing else is left
+out, whatever the size of the bucket, so a pair that shares a sketch is in one
+class whenever it is near. These pairs are aligned a few of each node at a time,
+without those that have come into one class meanwhile.
+Pairs are linked if the word edit distance
 is at most (1 - ``similarity``) times the longer length: refused if counts of the
 words in ``BINS`` classes differ by more, accepted if a chain of unique common word
 triples already bounds it, else aligned within that band.
@@ -40,7 +42,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from runlens.llm.common import checked, free_name, staged, table, work_dir
@@ -51,7 +53,6 @@ WORDS = 5
 SKETCHES = 32
 BINS = 128  # classes of words that are counted
 SIMILARITY = 0.8
-SMALL = 32  # nodes of a rest that are compared all with all
 BATCH_ROWS = 1000
 POSITION_BITS = 20
 
@@ -290,92 +291,91 @@ def components(edges: DataFrame, out_dir: str) -> DataFrame:
     return now.groupBy("u").agg(F.min("v").alias("root")).select(F.col("u").alias("node"), "root")
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, similarity: float, out_dir: str) -> DataFrame:
-    """(leader, node, near) of distinct pairs (leader, node, longer) that their bags leave possible: the words of the nodes
-    in them are joined on both sides and aligned."""
+def _candidates(pairs: DataFrame, nodes: DataFrame, similarity: float, path: str) -> DataFrame:
+    """(leader, node) of the distinct pairs (leader, node, longer) whose bags allow a link."""
     met = pairs.join(nodes.select(F.col("node").alias("leader"), F.col("bag").alias("a")), "leader").join(
         nodes.select("node", F.col("bag").alias("b")), "node")
-    pairs = staged(met.select("leader", "node", "longer", "a", "b").mapInArrow(_possible(similarity), "leader long, node long"),
-                   f"{out_dir}-pairs")
+    return staged(met.select("leader", "node", "longer", "a", "b").mapInArrow(_possible(similarity), "leader long, node long"), path)
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, similarity: float, out_dir: str) -> DataFrame:
+    """(leader, node, near) of distinct pairs: the words of the nodes in them are joined on both sides and aligned."""
     wanted = pairs.select("node").union(pairs.select("leader")).distinct()
     words = staged(texts.join(checked(wanted), "node", "left_semi").mapInArrow(_words, "node long, words array<int>")
                    .dropDuplicates(["node"]), f"{out_dir}-words")
-    joined = pairs.join(words.withColumnRenamed("words", "b"), "node").join(
+    # few bytes stand for much work: spread the pairs over all cores
+    spread = pairs.repartition(4 * pairs.sparkSession.sparkContext.defaultParallelism)
+    joined = spread.join(words.withColumnRenamed("words", "b"), "node").join(
         words.select(F.col("node").alias("leader"), F.col("words").alias("a")), "leader")
     return staged(joined.select("leader", "node", "a", "b").mapInArrow(_align(similarity), "leader long, node long, near boolean"),
                   f"{out_dir}-judged")
 
 
-def _divided(rows: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Bucket rows with finer keys: a second sketch of the node and two overlapping length classes, of
-    which texts whose lengths differ by a fifth at most share one."""
-    length = F.log("n") / F.lit(math.log(1.5625))
-    classes = F.array(F.floor(length) * 2, F.floor(length + 0.5) * 2 + 1)
-    wide = rows.join(nodes, "node").select("node", "key", F.explode("keys").alias("second"), classes.alias("classes")).where("second <> key")
-    fine = wide.select("node", "key", "second", F.explode("classes").alias("class"))
-    return fine.select("node", F.xxhash64("key", "second", "class").alias("key"))
+def _fits(n: str, m: str, similarity: float) -> Column:
+    return F.abs(F.col(n) - F.col(m)) <= (1 - similarity) * F.greatest(n, m) + 1e-9
+
 
+def _lengths_fit(pairs: DataFrame, lengths: DataFrame, similarity: float) -> DataFrame:
+    """(leader, node, longer) of the pairs whose lengths allow a link."""
+    both = pairs.join(lengths.select("node", "n"), "node").join(
+        lengths.select(F.col("node").alias("leader"), F.col("n").alias("m")), "leader")
+    return both.where(_fits("n", "m", similarity)).select("leader", "node", F.greatest("n", "m").alias("longer"))
 
-def links(texts: DataFrame, out_dir: str, similarity: float = SIMILARITY, sketches: int = SKETCHES, small: int = SMALL) -> DataFrame:
+
+def links(texts: DataFrame, out_dir: str, similarity: float = SIMILARITY, sketches: int = SKETCHES) -> DataFrame:
     """Verified (u, v) links between nodes, as many as connect every class; ``texts`` has node and text, a node may repeat.
     The jobs run here, with Arrow batches of ``BATCH_ROWS`` whole texts."""
     conf, setting = texts.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = conf.get(setting)
     conf.set(setting, str(BATCH_ROWS))
     try:
-        return _links(texts, out_dir, similarity, sketches, small)
+        return _links(texts, out_dir, similarity, sketches)
     finally:
         conf.set(setting, before)
 
 
-def _links(texts: DataFrame, out_dir: str, similarity: float, sketches: int, small: int) -> DataFrame:
-    spark = texts.sparkSession
+def _links(texts: DataFrame, out_dir: str, similarity: float, sketches: int) -> DataFrame:
     nodes = staged(texts.mapInArrow(_sketches(sketches), "node long, n long, keys array<long>, bag binary").dropDuplicates(["node"]),
                    f"{out_dir}/nodes")
-    lengths = nodes.select("node", "n")
-    judged = spark.createDataFrame([], "leader long, node long, near boolean")
-    left, i = nodes.select("node", F.explode("keys").alias("key")), 0
-    while True:
-        # buckets of two or more; the first nodes lead, one in the first round, more in later ones
-        sizes = left.groupBy("key").agg(F.min("node").alias("least"), F.count(F.lit(1)).alias("size")).where("size > 1")
-        met = staged(left.join(sizes, "key"), f"{out_dir}/met-{i}")
-        if not i:
-            led = met.where("node <> least").select("node", "key", F.col("least").alias("leader"))
-        else:
-            large = met.where(f"size > {small}")
-            place = F.row_number().over(Window.partitionBy("key").orderBy("node"))
-            first = large.select("key", "node").distinct().withColumn("place", place).where(F.col("place") <= min(4 << i, 64))
-            leaders = first.select("key", F.col("node").alias("leader"))
-            led = large.select("node", "key").join(leaders, "key").where("leader < node")
-        pairs = led.select("leader", "node")
-        if i:  # small rests: all with all
-            few = met.where(f"size <= {small}").select("key", "node")
-            pairs = pairs.unionByName(few.join(few.withColumnRenamed("node", "leader"), "key").where("leader < node").select("leader", "node"))
-        pairs = pairs.distinct().join(lengths, "node").join(lengths.select(F.col("node").alias("leader"), F.col("n").alias("m")), "leader")
-        pairs = pairs.where(F.abs(F.col("n") - F.col("m")) <= (1 - similarity) * F.greatest("n", "m") + 1e-9).select(
-            "leader", "node", F.greatest("n", "m").alias("longer"))
-        if i:  # texts that the first round has brought into one class need no further link
-            own = roots.select("node", F.col("root").alias("r"))
-            other = roots.select(F.col("node").alias("leader"), F.col("root").alias("s"))
-            pairs = pairs.join(own, "node", "left").join(other, "leader", "left").where(
-                F.coalesce("r", "node") != F.coalesce("s", "leader")).select("leader", "node", "longer")
-        new = _verified(pairs.join(judged, ["leader", "node"], "left_anti"), nodes, texts, similarity, f"{out_dir}/round-{i}")
-        judged = judged.unionByName(new)
-        # what no leader took meets again
-        taken = led.join(judged.where("near").select("leader", "node"), ["leader", "node"], "left_semi").select("node", "key")
-        out = taken if not i else taken.unionByName(first.select("node", "key"))
-        rest = staged(led.select("node", "key").distinct().join(out, ["node", "key"], "left_anti"), f"{out_dir}/rest-{i}")
+    # length classes so wide that near texts are in the same or in neighbouring ones
+    wide = nodes.select("node", "n", F.floor(F.log("n") / F.lit(math.log(1.01 / similarity))).alias("class"))
+    rows = nodes.select("node", F.explode("keys").alias("key")).join(wide, "node")
+    # the first node of each length class of a bucket leads
+    first = rows.groupBy("key", "class").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("size")).where("size > 1")
+    led = rows.join(first, ["key", "class"]).where("node <> leader").select("leader", "node").distinct()
+    pairs = _candidates(_lengths_fit(led, wide, similarity), nodes, similarity, f"{out_dir}/led")
+    one = _verified(pairs, texts, similarity, f"{out_dir}/led")
+    near = one.where("near").select(F.col("leader").alias("u"), F.col("node").alias("v"))
+    roots = staged(components(near, f"{out_dir}/first"), f"{out_dir}/roots")
+    # buckets that still hold several classes: every node outside the largest meets every node of another class
+    now = staged(rows.join(roots, "node", "left").select("node", "n", "class", "key", F.coalesce("root", "node").alias("root")), f"{out_dir}/rows")
+    held = now.groupBy("key", "root").agg(F.count(F.lit(1)).alias("size")).groupBy("key").agg(
+        F.max_by("root", F.struct("size", "root")).alias("major"), F.count(F.lit(1)).alias("several")).where("several > 1")
+    rest = staged(now.join(held.select("key", "major"), "key"), f"{out_dir}/rest")
+    minor = rest.where("root <> major").select(F.col("node").alias("x"), F.col("n").alias("m"), F.col("root").alias("r"), "key",
+                                               F.explode(F.expr("sequence(class - 1, class + 1)")).alias("class"))
+    met = rest.join(minor, ["key", "class"]).where((F.col("root") != F.col("r")) & ((F.col("root") == F.col("major")) | (F.col("x") < F.col("node")))
+                                                   & _fits("n", "m", similarity))
+    pairs = met.select(F.least("x", "node").alias("leader"), F.greatest("x", "node").alias("node"), F.greatest("n", "m").alias("longer")).distinct()
+    left = _candidates(pairs.join(one, ["leader", "node"], "left_anti"), nodes, similarity, f"{out_dir}/met")
+    links = roots.select(F.col("root").alias("u"), F.col("node").alias("v"))
+    # a few pairs of each node first; those that classes have joined by then need no alignment
+    i = 0
+    while not left.isEmpty():
+        place = F.row_number().over(Window.partitionBy("leader").orderBy(F.xxhash64("node"), "node"))
+        ranked = staged(left.withColumn("place", place), f"{out_dir}/ranked-{i}")
+        judged = _verified(ranked.where(F.col("place") <= 4 ** (i + 1)).select("leader", "node"), texts, similarity, f"{out_dir}/round-{i}")
+        links = links.unionByName(judged.where("near").select(F.col("leader").alias("u"), F.col("node").alias("v")))
+        rest = ranked.where(F.col("place") > 4 ** (i + 1)).select("leader", "node")
         if rest.isEmpty():
             break
-        left = rest
-        if not i:
-            near = judged.where("near").select(F.col("leader").alias("u"), F.col("node").alias("v"))
-            roots = staged(components(near, f"{out_dir}/first"), f"{out_dir}/roots")
-            large = rest.groupBy("key").count().where(f"count > {small}").select("key")
-            left = rest.join(large, "key", "left_anti").unionByName(_divided(rest.join(large, "key", "left_semi"), nodes))
+        roots = staged(components(links, f"{out_dir}/joined-{i}"), f"{out_dir}/roots-{i}")
+        links = roots.select(F.col("root").alias("u"), F.col("node").alias("v"))
+        left = staged(rest.join(roots.select("node", F.col("root").alias("r")), "node", "left").join(
+            roots.select(F.col("node").alias("leader"), F.col("root").alias("s")), "leader", "left").where(
+            F.coalesce("r", "node") != F.coalesce("s", "leader")).select("leader", "node"), f"{out_dir}/left-{i}")
         i += 1
-    found = judged.where("near").select(F.col("leader").alias("u"), F.col("node").alias("v"))
-    return found if not i else found.unionByName(roots.select(F.col("root").alias("u"), F.col("node").alias("v")))
+    return links
 
 
 def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY,

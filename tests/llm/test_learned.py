@@ -175,6 +175,26 @@ def test_pairs_with_one_word_in_ten_changed_meet(spark):
     assert sum(got[2 * g] == got[2 * g + 1] for g in range(60)) >= 58
 
 
+def test_near_pairs_in_a_large_bucket_are_linked(spark):
+    """Hundreds of texts share a passage; every near pair among them that shares a sketch is one class, no other is."""
+    rng = random.Random(17)
+    passage = [f"p{i}" for i in range(80)]
+    words = []
+    for g in range(200):
+        one = passage + [f"g{g}w{i}" for i in range(80)]
+        other = [f"new{g}x{i}" if rng.random() < 0.14 else w for i, w in enumerate(one)]
+        words += [one, other]
+    texts = [" ".join(w) for w in words]
+    sketches = near_dedup.sketch(near_dedup.word_hashes([t.encode() for t in texts]))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.class_id for r in near_dedup.near_duplicate_classes(docs).collect()}
+    for a in range(0, 400, 2):
+        changes = sum(x != y for x, y in zip(words[a], words[a + 1]))
+        if (sketches[a] == sketches[a + 1]).any():
+            assert (got[a] == got[a + 1]) == (changes <= 32)
+    assert all(i // 2 == c // 2 for i, c in got.items())
+
+
 def test_least_distance_is_a_lower_bound():
     rng = random.Random(5)
     for _ in range(300):
