@@ -8,8 +8,9 @@ searched through windows of 2b shingles that start every b shingles. A window
 then covers any occurrence of the item, and its Jaccard similarity with a
 contained item is at least 0.19 at containment 0.8 (0.25 at 1.0). A window
 and an item are a candidate when any of 64 minima agree: a contained item is
-missed with probability below 2e-6. Candidates are verified on the words
-themselves: the share of the item's distinct shingles that the document holds.
+missed with probability below 2e-6. Items of fewer than five shingles, which are
+too small a part of the smallest window for that, are looked up exactly: any of
+their shingles makes a candidate. Candidates are verified on the words themselves: the share of the item's distinct shingles that the document holds.
 
 The benchmark is indexed in blocks of bounded size (``block_chars``), each
 broadcast once and searched over all documents; documents are never shuffled.
@@ -38,6 +39,7 @@ WORDS = 5
 THRESHOLD = 0.8
 HASHES = 64
 SMALLEST = 8
+EXACT_BELOW = 5  # shingles
 BLOCK_CHARS = 4 << 20
 
 _rng = np.random.default_rng(20240229)
@@ -56,16 +58,23 @@ class Index:
         self.threshold = threshold
         self.items: list[tuple] = []  # (item_id, set of shingles as word tuples, their hashes)
         by_class: dict[int, list[int]] = defaultdict(list)
+        self.short: dict[int, list[int]] = defaultdict(list)  # shingle hash -> items of few shingles
         for item_id, text in items:
             words = words_of(text)
             shingles = {tuple(words[i:i + WORDS]) for i in range(len(words) - WORDS + 1)}
             if not shingles:
                 continue
-            b = SMALLEST
-            while b < len(shingles):
-                b *= 2
-            by_class[b].append(len(self.items))
-            self.items.append((item_id, shingles, np.unique(shingle_hashes(word_hashes([text.encode()])[0], WORDS))))
+            hashes = np.unique(shingle_hashes(word_hashes([text.encode()])[0], WORDS))
+            if len(shingles) < EXACT_BELOW:
+                for h in hashes.tolist():
+                    self.short[h].append(len(self.items))
+            else:
+                b = SMALLEST
+                while b < len(shingles):
+                    b *= 2
+                by_class[b].append(len(self.items))
+            self.items.append((item_id, shingles, hashes))
+        self.short_hashes = np.asarray(sorted(self.short), np.uint64)
         self.classes = sorted(by_class)
         self.tables = {}
         for b, members in by_class.items():
@@ -82,11 +91,18 @@ class Index:
             self.tables[b] = (mask, tables, owners)
 
     def candidates(self, s: np.ndarray, lengths: list[int]) -> set[tuple[int, int]]:
-        """(document number, item number) pairs whose minima agree in some window; s: all documents' shingles in a row."""
+        """(document number, item number) pairs whose minima agree in some window, or that share a shingle where the item
+        has few; s: all documents' shingles in a row."""
+        out: set[tuple[int, int]] = set()
+        ends = np.cumsum(lengths)
+        if len(self.short_hashes) and len(s):
+            near = np.searchsorted(self.short_hashes, s)
+            at = np.flatnonzero(self.short_hashes[np.minimum(near, len(self.short_hashes) - 1)] == s)
+            for d, h in zip(np.searchsorted(ends, at, side="right").tolist(), s[at].tolist()):
+                out.update((d, i) for i in self.short[h])
         if not self.classes or not len(s):
-            return set()
+            return out
         first = self.classes[0]
-        ends = np.cumsum(lengths)
         doc_of, starts, level = {}, {}, first
         per_doc = [(d, e - n, n) for d, (n, e) in enumerate(zip(lengths, ends)) if n]
         blocks = [-(-n // first) for _, _, n in per_doc]
@@ -101,7 +117,6 @@ class Index:
             docs = docs[starts[level * 2]]
             level *= 2
             doc_of[level] = docs
-        out: set[tuple[int, int]] = set()
         for k in range(HASHES):
             low = np.minimum.reduceat(_minima_input(s, k), base)
             level = first

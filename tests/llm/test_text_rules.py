@@ -113,6 +113,13 @@ def test_items_are_found_anywhere(spark):
     assert {r.doc_id for r in kept} >= {2, 3, 4, 5} and not {r.doc_id for r in kept} & {0, 1}
 
 
+def test_short_items_are_never_missed():
+    items = [(g, " ".join(f"i{g}w{j}" for j in range(5 + g % 4))) for g in range(600)]
+    texts = [" ".join([item] + [f"t{g}b{j}" for j in range(15)]) for g, item in items]
+    found = decontaminate.Index(items, decontaminate.THRESHOLD).search([t.encode() for t in texts])
+    assert found == [(g, g, 1 + g % 4, 1 + g % 4) for g in range(600)]
+
+
 def test_benchmark_in_blocks(spark):
     from runlens.llm.common import table
     docs, bench = table(spark, SF_SMALL, "documents"), table(spark, SF_SMALL, "benchmark")
