@@ -10,8 +10,6 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-SF_SMALL = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -32,9 +30,3 @@ def spark():
     if not spark.sparkContext.getConf().get("spark.checkpoint.dir", None):
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="runlens-test-ckpt-"))
     yield spark
-
-
-def approx(a, b, tol=1e-9):
-    if a is None or b is None:
-        return a is None and b is None
-    return abs(float(a) - float(b)) <= tol * max(1.0, abs(float(a)), abs(float(b)))

@@ -11,7 +11,7 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from runlens.plans import catalog
 from runlens.sources.tables import TABLES
 

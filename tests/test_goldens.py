@@ -7,7 +7,7 @@ import json
 
 import pytest
 
-from conftest import approx
+from helpers import approx
 from runlens.config import ALL_METRICS
 from runlens.plans.documents import document_features, normalize_documents, quarantined_documents, run_table
 from runlens.sources.documents import pruned_schema, read_sessions

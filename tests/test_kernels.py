@@ -15,7 +15,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from conftest import approx
+from helpers import approx
 from pyoracle import session_metrics
 from runlens.config import ALL_METRICS
 from runlens.plans.features import features_from_nested, features_from_runs
@@ -168,7 +168,7 @@ def test_inserting_a_success_never_lengthens_streak(spark):
 
 def test_chunked_equals_plain_on_lineitem(spark):
     """Ranges of 64 runs cut orders in two, so real multi-column orders are stitched."""
-    from conftest import SF_SMALL
+    from helpers import SF_SMALL
     from runlens.sources.tables import LINEITEM_ORDER, lineitem_runs
     runs = lineitem_runs(spark, SF_SMALL)
     plain, chunked = ({r["session_key"]: r.asDict() for r in features_from_runs(

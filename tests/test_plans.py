@@ -6,7 +6,7 @@ import re
 
 from pyspark.sql import Row
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from runlens.plans import catalog
 from runlens.plans.documents import document_features, normalize_documents
 from runlens.sources.documents import read_sessions

@@ -70,7 +70,7 @@ def test_rendered_dates(spark):
 @pytest.mark.parametrize("name", ["format_timestamps", "date_range_filter", "validate_requests", "document_features"])
 def test_results_do_not_depend_on_session_time_zone(spark, name):
     import __spark_entry__ as E
-    from conftest import SF_SMALL
+    from helpers import SF_SMALL
     q = E.queries()[name]
     utc = sorted(tuple(r) for r in q(spark, SF_SMALL).collect())
     spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
