@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from runlens.llm import decontaminate, license_scan, line_templates, topk_search
+from runlens.llm import decontaminate, license_scan, line_templates, prefix_trie, topk_search
 from runlens.llm.decontaminate import op10_decontaminate
 from runlens.llm.license_scan import op9_license_scan
 from runlens.llm.line_templates import op5_line_templates
 from runlens.llm.lm_score import op2_lm_score
 from runlens.llm.near_dedup import op3_near_dedup
+from runlens.llm.prefix_trie import op11_prefix_trie
 from runlens.llm.sentencepiece_codec import op1_sentencepiece
 from runlens.llm.token_output import op6_token_output
 from runlens.llm.topk_search import op4_topk_search
@@ -33,6 +34,7 @@ def queries() -> dict[str, Query]:
         "op8_toxicity": op8_toxicity,
         "op9_license_scan": op9_license_scan,
         "op10_decontaminate": op10_decontaminate,
+        "op11_prefix_trie": op11_prefix_trie,
     }
 
 
@@ -42,4 +44,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_line_templates": line_templates.oracle(),
         "op9_license_scan": license_scan.oracle(),
         "op10_decontaminate": decontaminate.oracle(),
+        "op11_prefix_trie": prefix_trie.oracle(),
     }
