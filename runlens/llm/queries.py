@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from runlens.llm import decontaminate, license_scan, line_templates, prefix_trie, topk_search
+from runlens.llm import decontaminate, flat_graph, license_scan, line_templates, phrase_mining, prefix_trie, topk_search
 from runlens.llm.decontaminate import op10_decontaminate
+from runlens.llm.flat_graph import op13_flat_graph
 from runlens.llm.license_scan import op9_license_scan
 from runlens.llm.line_templates import op5_line_templates
 from runlens.llm.lm_score import op2_lm_score
 from runlens.llm.near_dedup import op3_near_dedup
+from runlens.llm.phrase_mining import op12_phrase_mining
 from runlens.llm.prefix_trie import op11_prefix_trie
 from runlens.llm.sentencepiece_codec import op1_sentencepiece
 from runlens.llm.token_output import op6_token_output
@@ -35,6 +37,8 @@ def queries() -> dict[str, Query]:
         "op9_license_scan": op9_license_scan,
         "op10_decontaminate": op10_decontaminate,
         "op11_prefix_trie": op11_prefix_trie,
+        "op12_phrase_mining": op12_phrase_mining,
+        "op13_flat_graph": op13_flat_graph,
     }
 
 
@@ -45,4 +49,6 @@ def oracle_sql() -> dict[str, str]:
         "op9_license_scan": license_scan.oracle(),
         "op10_decontaminate": decontaminate.oracle(),
         "op11_prefix_trie": prefix_trie.oracle(),
+        "op12_phrase_mining": phrase_mining.oracle(),
+        "op13_flat_graph": flat_graph.oracle(),
     }
