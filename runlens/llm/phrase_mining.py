@@ -136,7 +136,7 @@ class HatTrie:
             if cuts[i] < cuts[i + 1]:
                 part = slice(cuts[i], cuts[i + 1])
                 self.leaves[i].add((a[part], b[part], n[part]))
-                if self.leaves[i].merged > self.burst:
+                if self.leaves[i].merged > self.burst and not self.leaves[i].waiting:
                     self._burst(i)
 
     def _burst(self, i: int) -> None:
