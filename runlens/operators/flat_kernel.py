@@ -15,21 +15,26 @@ Two plans, chosen per session (skew-safe: one session may hold a large
 share of all runs):
 
   0. Metric sets without order need neither: one aggregation on the session.
-     Otherwise runs per session are counted (key column only, partial
-     aggregation); sessions with more than ``2**chunk_bits`` runs are *hot*,
-     at most ``total runs / 2**chunk_bits`` of them, and their keys are
-     written to the shared folder. The keys are broadcast below a counted
-     bound and shuffled beyond it; the plans and results are the same.
+     Otherwise the narrow run columns are written once to the shared folder, and
+     while they are written a heavy-hitter summary of the session keys is
+     taken (``DataFrame.observe``): the source is read once, no key is
+     shuffled. The summary is a mergeable sketch whose error is bounded, so
+     its keys with more than ``limit`` counted runs are a superset of the
+     sessions with more than ``limit`` runs (see ``hot_limit``). These are
+     *hot*: at most ``2 * MOST_CHUNKS`` keys, broadcast. A key that the sketch
+     overrates takes the chunked plan with the same result.
 
   Plain plan (all other sessions): one shuffle on the session, a window in
   run order (previous run, row number, running last success) and one
-  aggregation. A window partition holds at most ``2**chunk_bits`` runs.
+  aggregation. A window partition holds at most ``limit`` runs.
 
   Chunked plan (hot sessions):
   1. Their runs are range-partitioned by (session, run order) into about
-     ``2**chunk_bits`` runs each and written to the shared folder; the number
+     ``limit`` runs each and written to the shared folder; the number
      of the range is the *chunk*. Ranges are cut by rank, so sparse, equal or
-     NULL positions give chunks of the same size as dense ones.
+     NULL positions give chunks of the same size as dense ones. ``limit`` is
+     ``2**chunk_bits`` runs and grows with the data where that would make more
+     than ``MOST_CHUNKS`` chunks.
   2. Session means: run count and sums per (session, chunk) with map-side
      partial aggregation, then a window over the chunk rows of each session.
   3. Ordered pass: runs are joined to their chunk's session means on
@@ -40,6 +45,9 @@ share of all runs):
      pairs (last run of one chunk, first run of the next) and failure
      streaks that cross chunk borders; sums, maxima and minima combine.
 
+Metrics of the caller's own (``run_metric``) are folded beside the base statistics:
+runs in blocks, blocks of a session or chunk, chunks at their borders.
+
 Both plans share the per-group aggregation, so they cannot drift apart; the
 tests run both, and their union, against a plain-Python oracle.
 """
@@ -49,11 +57,12 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from runlens.config import DEFAULT_THRESHOLDS, Thresholds
 from runlens.functions.arith import safe_div
+from runlens.operators.run_metric import BLOCK_BITS, RunMetric
 from runlens.session import shared_dir
 
 
@@ -139,7 +148,26 @@ def _group_aggs(th: Thresholds) -> list[Column]:
     ]
 
 
-def plain_statistics(r: DataFrame, ords: list[str], th: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:
+_BLOCK_SUMS = [*_SUMMED, "t_spikes", "t_m2", "x_m2", "_g_count", "_g_explosive", "_x_jumps"]
+_BLOCK_MAXES = [*_MAXED, "_g_max", "_last_s", "_streak"]
+_BLOCK_MINS = [*_MINNED, "_first_s"]
+
+
+def _grouped(seq: DataFrame, keys: list[str], th: Thresholds, metrics: Sequence[RunMetric]) -> DataFrame:
+    """``_group_aggs`` per ``keys``; with metrics of the caller's own first per block of runs, then over the blocks
+    (both groupings need the keys together only, so the blocks add no exchange)."""
+    if not metrics:
+        return seq.groupBy(*keys).agg(*_group_aggs(th))
+    block = F.shiftright(F.col("_rn") - 1, BLOCK_BITS).alias("_block")
+    parts = seq.groupBy(*keys, block).agg(*_group_aggs(th), *[m.folded("_rn", m.lift(F.col)) for m in metrics])
+    return parts.groupBy(*keys).agg(
+        *[F.sum(c).alias(c) for c in _BLOCK_SUMS], *[F.max(c).alias(c) for c in _BLOCK_MAXES], *[F.min(c).alias(c) for c in _BLOCK_MINS],
+        *[F.min_by(c, "_block").alias(c) for c in ("_first_t", "_first_x")], *[F.max_by(c, "_block").alias(c) for c in ("_last_t", "_last_x")],
+        *[m.folded("_block", F.col(m.column)) for m in metrics])
+
+
+def plain_statistics(r: DataFrame, ords: list[str], th: Thresholds = DEFAULT_THRESHOLDS,
+                     metrics: Sequence[RunMetric] = ()) -> DataFrame:
     """Sessions processed whole: one shuffle on the session, windows, one
     aggregation. Used for sessions no longer than one chunk, so a window
     partition never exceeds ``2**chunk_bits`` runs."""
@@ -149,16 +177,17 @@ def plain_statistics(r: DataFrame, ords: list[str], th: Thresholds = DEFAULT_THR
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     seq = r.withColumn("_t_mean", F.avg("total_tokens").over(whole)) \
            .withColumn("_x_mean", F.avg("execution_time").over(whole))
-    g = _ordered_pass(seq, w).groupBy(K).agg(*_group_aggs(th))
+    g = _grouped(_ordered_pass(seq, w), [K], th, metrics)
     return g.select(
         K, *_SUMMED, *_MAXED, *_MINNED, "t_spikes", "t_m2", "x_m2",
         F.col("_g_count").alias("g_count"), F.col("_g_max").alias("g_max"),
         F.col("_g_explosive").alias("g_explosive"), F.col("_x_jumps").alias("x_jumps"),
-        F.coalesce(F.col("_streak"), F.lit(0)).cast("long").alias("fail_streak"),
+        F.coalesce(F.col("_streak"), F.lit(0)).cast("long").alias("fail_streak"), *[m.column for m in metrics],
     )
 
 
-def chunked_statistics(r: DataFrame, ords: list[str], th: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:
+def chunked_statistics(r: DataFrame, ords: list[str], th: Thresholds = DEFAULT_THRESHOLDS,
+                       metrics: Sequence[RunMetric] = ()) -> DataFrame:
     """Sessions cut into chunks (steps 2-4 of the module docstring)."""
     # -- step 2: session means from per-(session, chunk) sums (narrow, partial aggregation)
     sums = r.groupBy(K, C).agg(
@@ -176,7 +205,7 @@ def chunked_statistics(r: DataFrame, ords: list[str], th: Thresholds = DEFAULT_T
     # over as many tasks as it has chunks.
     means = means.withColumnsRenamed({K: "_mk", C: "_mc"}).hint("shuffle_hash")
     seq = r.join(means, F.col(K).eqNullSafe(F.col("_mk")) & (F.col(C) == F.col("_mc"))).drop("_mk", "_mc")
-    chunks = _ordered_pass(seq, Window.partitionBy(K, C).orderBy(*ords)).groupBy(K, C).agg(*_group_aggs(th))
+    chunks = _grouped(_ordered_pass(seq, Window.partitionBy(K, C).orderBy(*ords)), [K, C], th, metrics)
 
     # -- step 4: stitch chunks of a session in order
     wc = Window.partitionBy(K).orderBy(C)
@@ -212,18 +241,52 @@ def chunked_statistics(r: DataFrame, ords: list[str], th: Thresholds = DEFAULT_T
             F.coalesce(F.max(lead_streak), F.lit(0)),
             F.sum("n_runs") - F.coalesce(F.max("_succ_abs"), F.lit(0)),
         ).cast("long").alias("fail_streak"),
+        *[m.folded(C, F.col(m.column)) for m in metrics],
     )
 
 
-DEFAULT_MAX_HOT_SESSIONS = 1_000_000  # keys broadcast to tell hot sessions from the others
+MOST_CHUNKS = 1 << 14
+TRACKED = 100_000  # keys the summary follows: its error is at most 3.5 * 0.75 / TRACKED of the runs
+SKETCHED = ("boolean", "tinyint", "smallint", "int", "bigint", "float", "double", "date", "timestamp", "timestamp_ntz", "string")
 VALUES = ["total_tokens", "output_tokens", "execution_time", "tool_calls_count", "error_count", "success", "has_timeout"]
 
 
-def _cut(r: DataFrame, n_runs: int, ords: list[str], chunk_bits: int) -> DataFrame:
+def hot_limit(n_runs: int, chunk_bits: int) -> int:
+    """Runs of a chunk, and of the longest session that the plain plan takes: ``2**chunk_bits``, more where that
+    would make more than ``MOST_CHUNKS`` chunks.
+
+    The sketch returns a key if its lower count exceeds the error, and then an upper count. The error is at most
+    e = 3.5 * 0.75 * n_runs / TRACKED; a session of more than limit runs has a lower count above limit - e, which
+    exceeds e as limit >= n_runs / MOST_CHUNKS > 2 * e: it is returned, with a count above limit."""
+    return max(1 << chunk_bits, -(-n_runs // MOST_CHUNKS))
+
+
+def _hot_keys(r: DataFrame, staged: bool, chunk_bits: int) -> tuple[DataFrame, list, int, int]:
+    """(runs to go on with, hot keys, their runs at most, limit): from one reading of the source if it is staged."""
+    spark = r.sparkSession
+    counted = F.expr(f"approx_top_k({K}, {2 * MOST_CHUNKS}, {TRACKED})").alias("keys")
+    total = F.count(F.lit(1)).alias("runs")
+    sketchable = dict(r.dtypes)[K] in SKETCHED or dict(r.dtypes)[K].startswith("decimal")
+    if staged:
+        path = f"{shared_dir(spark)}/runs-{uuid.uuid4().hex}"
+        seen = Observation()
+        (r.observe(seen, total, counted) if sketchable else r.observe(seen, total)).write.parquet(path)
+        r = spark.read.schema(r.schema).parquet(path)
+        found = seen.get
+    else:
+        found = r.select(K).agg(total, *([counted] if sketchable else [])).first().asDict()
+    limit = hot_limit(found["runs"], chunk_bits)
+    if not sketchable:  # a key that the summary cannot hold: exact counts
+        keys = [(k, n) for k, n in r.groupBy(K).agg(total).where(F.col("runs") > limit).collect()]
+    else:
+        keys = [(k, n) for k, n in found["keys"] or [] if n > limit]
+    return r, [k for k, _ in keys], sum(n for _, n in keys), limit
+
+
+def _cut(r: DataFrame, n_runs: int, ords: list[str], limit: int) -> DataFrame:
     """Runs with their chunk, cut by rank in (session, run order) and written once."""
-    n = (n_runs >> chunk_bits) + 1
     path = f"{shared_dir(r.sparkSession)}/hot-runs-{uuid.uuid4().hex}"
-    cut = r.repartitionByRange(n, K, *ords).withColumn(C, F.spark_partition_id())
+    cut = r.repartitionByRange(n_runs // limit + 1, K, *ords).withColumn(C, F.spark_partition_id())
     cut.write.parquet(path)
     return r.sparkSession.read.schema(cut.schema).parquet(path)
 
@@ -235,15 +298,17 @@ def flat_run_statistics(
     th: Thresholds = DEFAULT_THRESHOLDS,
     chunk_bits: int = 16,
     strategy: str = "auto",
-    max_hot_sessions: int = DEFAULT_MAX_HOT_SESSIONS,
     ordered: bool = True,
+    staged: bool = True,
+    metrics: Sequence[RunMetric] = (),
 ) -> DataFrame:
-    """One row per session key with the columns of ``BASE_STATS`` (key kept under its name).
+    """One row per session key with the columns of ``BASE_STATS`` (key kept under its name) and the states of ``metrics``.
 
-    ``strategy="auto"`` sends sessions of more than ``2**chunk_bits`` runs through the chunked plan
+    ``strategy="auto"`` sends sessions of more than ``hot_limit`` runs through the chunked plan
     and all others through the plain plan (see the module's text). ``"chunked"`` and ``"plain"``
     force one plan for all. ``ordered=False`` (no statistic that depends on order or on a session
-    mean is read) skips the count.
+    mean is read) needs no summary. ``staged=False`` takes the summary in a reading of the key column alone
+    instead of writing the narrow run columns: for runs that lie in a columnar table as they are.
     """
     order = [order] if isinstance(order, str) else list(order)
     ords = [f"_o{i}" for i in range(len(order))]
@@ -255,25 +320,25 @@ def flat_run_statistics(
     ords = [*ords, *VALUES]  # ties in the order are settled by the runs' values
     if strategy not in ("auto", "plain", "chunked"):
         raise ValueError(f"unknown strategy {strategy!r}")
-    if not ordered and strategy == "auto":
+    if not ordered and not metrics and strategy == "auto":
         strategy = "plain"
     if strategy == "plain":
-        stats = plain_statistics(r, ords, th)
+        stats = plain_statistics(r, ords, th, metrics)
     elif strategy == "chunked":
-        stats = chunked_statistics(_cut(r, r.count(), ords, chunk_bits), ords, th)
+        n = r.count()
+        stats = chunked_statistics(_cut(r, n, ords, hot_limit(n, chunk_bits)), ords, th, metrics)
     else:
-        spark = runs.sparkSession
-        path = f"{shared_dir(spark)}/hot-keys-{uuid.uuid4().hex}"
-        hot = r.groupBy(F.col(K).alias("_hot")).agg(F.count(F.lit(1)).alias("_cnt")).filter(F.col("_cnt") > (1 << chunk_bits))
-        hot.write.parquet(path)
-        hot = spark.read.schema(hot.schema).parquet(path)
-        n_hot, n_runs = hot.agg(F.count(F.lit(1)), F.sum("_cnt")).first()
-        if not n_hot:
-            stats = plain_statistics(r, ords, th)
-        else:
-            keys = hot.select("_hot")
-            keys = F.broadcast(keys) if n_hot <= max_hot_sessions else keys.hint("shuffle_hash")
-            same = F.col(K).eqNullSafe(F.col("_hot"))
-            stats = plain_statistics(r.join(keys, same, "left_anti"), ords, th).unionByName(
-                chunked_statistics(_cut(r.join(keys, same, "left_semi"), n_runs, ords, chunk_bits), ords, th))
-    return stats.select(F.col(K).alias(key), *BASE_STATS)
+        r, hot, n_hot, limit = _hot_keys(r, staged, chunk_bits)
+        stats = routed_statistics(r, hot, n_hot, limit, ords, th, metrics)
+    return stats.select(F.col(K).alias(key), *BASE_STATS, *[m.column for m in metrics])
+
+
+def routed_statistics(r: DataFrame, hot: list, n_hot: int, limit: int, ords: list[str], th: Thresholds,
+                      metrics: Sequence[RunMetric]) -> DataFrame:
+    """Hot sessions through the chunked plan, all others through the plain plan."""
+    if not hot:
+        return plain_statistics(r, ords, th, metrics)
+    keys = F.broadcast(r.sparkSession.createDataFrame([(k,) for k in hot], r.select(F.col(K).alias("_hot")).schema))
+    same = F.col(K).eqNullSafe(F.col("_hot"))
+    cut = _cut(r.join(keys, same, "left_semi"), n_hot, ords, limit)
+    return plain_statistics(r.join(keys, same, "left_anti"), ords, th, metrics).unionByName(chunked_statistics(cut, ords, th, metrics))

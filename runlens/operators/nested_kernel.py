@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from runlens.config import DEFAULT_THRESHOLDS, Thresholds
 from runlens.functions.arith import safe_div
 from runlens.operators.flat_kernel import BASE_STATS
+from runlens.operators.run_metric import RunMetric
 
 
 def _count(arr: Column, pred) -> Column:
@@ -52,8 +53,8 @@ def _longest_false_stretch(flags: Column) -> Column:
 
 
 def nested_statistics(df: DataFrame, runs_col: str = "runs", keep: Sequence[str] = (),
-                      th: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:
-    """``keep`` columns plus ``BASE_STATS`` for each row of ``df``."""
+                      th: Thresholds = DEFAULT_THRESHOLDS, metrics: Sequence[RunMetric] = ()) -> DataFrame:
+    """``keep`` columns plus ``BASE_STATS`` and the states of ``metrics`` for each row of ``df``."""
     keep = list(keep)
     runs = F.col(runs_col)
     field = lambda name: F.transform(runs, lambda r: r[name])
@@ -69,11 +70,12 @@ def nested_statistics(df: DataFrame, runs_col: str = "runs", keep: Sequence[str]
         field("has_timeout").alias("_w"),
         F.transform(F.filter(runs, lambda r: r["execution_time"] > 0),
                     lambda r: safe_div(r["total_tokens"], r["execution_time"])).alias("_r"),
+        *[m.over(runs).alias(m.column) for m in metrics],
     )
     c = F.col
     n = c("_n")
     derived = arrays.select(
-        *keep, "_n", "_t", "_o", "_x", "_k", "_s", "_e", "_w", "_r",
+        *keep, "_n", "_t", "_o", "_x", "_k", "_s", "_e", "_w", "_r", *[m.column for m in metrics],
         _sum(c("_t")).alias("_t_sum"),
         _sum(c("_x")).alias("_x_sum"),
         F.filter(_pairs(c("_t"), n, lambda a, b: F.when(a > 0, safe_div(b, a))),
@@ -118,4 +120,5 @@ def nested_statistics(df: DataFrame, runs_col: str = "runs", keep: Sequence[str]
         "fail_streak": _longest_false_stretch(c("_s")),
     }
     has_runs = F.coalesce(n, F.lit(0)) > 0
-    return derived.select(*keep, *[F.when(has_runs, stats[s]).alias(s) for s in BASE_STATS])
+    return derived.select(*keep, *[F.when(has_runs, stats[s]).alias(s) for s in BASE_STATS],
+                          *[m.column for m in metrics])

@@ -54,6 +54,15 @@ def _lineitem_sql(metrics: list[str] | None = None, with_runs: bool = True) -> s
     return O.features_sql(O.LINEITEM_RUNS_SQL, "k", metrics, with_runs)
 
 
+OWN_METRICS = ["longest_token_rise", "deepest_token_fall"]
+
+
+def run_rises(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two metrics with a state of their own (order-dependent, mergeable) through the flat kernel."""
+    df = features_from_runs(lineitem_runs(spark, sf_dir), "session_key", LINEITEM_ORDER, metrics=[], own_metrics=OWN_METRICS)
+    return df.select("session_key", *OWN_METRICS)
+
+
 # ------------------------------------------------------------ B3 conversations
 def conversation_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features_from_runs(conversation_runs(spark, sf_dir), "session_key", "turn", digits=DIGITS)
@@ -140,6 +149,12 @@ def document_features_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _nullable_ints_as_double(document_features(_norm(spark, sf_dir), kernel="flat", digits=DIGITS))
 
 
+def document_rises(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same two metrics through the nested kernel (sessions without runs have none)."""
+    df = document_features(_norm(spark, sf_dir), metrics=[], own_metrics=OWN_METRICS)
+    return df.where("total_runs > 0").select("doc_key", *OWN_METRICS)
+
+
 def document_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_table(_norm(spark, sf_dir))
 
@@ -263,6 +278,7 @@ def _queries() -> dict[str, Query]:
         "run_time_jumps": _lineitem_features(["time_explosion_events"], with_runs=False),
         "run_spikes": _lineitem_features(["token_spike_frequency"], with_runs=False),
         "failure_streaks": _lineitem_features(["max_consecutive_failures"], with_runs=False),
+        "run_rises": run_rises,
         "conversation_features": conversation_features,
         "normalize_runs": normalize_runs,
         "run_success": run_success,
@@ -272,6 +288,7 @@ def _queries() -> dict[str, Query]:
         "document_features": document_features_q,
         "document_features_flat": document_features_flat,
         "document_runs": document_runs,
+        "document_rises": document_rises,
         "quarantine_documents": quarantine_documents,
         "scan_sessions": scan_sessions,
         "project_sessions": project_sessions,
@@ -303,6 +320,7 @@ def oracle_sql() -> dict[str, str]:
         "run_time_jumps": _lineitem_sql(["time_explosion_events"], False),
         "run_spikes": _lineitem_sql(["token_spike_frequency"], False),
         "failure_streaks": _lineitem_sql(["max_consecutive_failures"], False),
+        "run_rises": O.rises_sql(O.LINEITEM_RUNS_SQL, "session_key"),
         "conversation_features": O.features_sql(O.CONVERSATION_RUNS_SQL, "k"),
         "normalize_runs": O.EVENT_RUNS_SELECT,
         "run_success": f"SELECT session_key, pos, success FROM ({O.EVENT_RUNS_SELECT})",
@@ -312,6 +330,7 @@ def oracle_sql() -> dict[str, str]:
         "document_features": O.document_features_sql(ints_as_double=True),
         "document_features_flat": O.document_features_sql(ints_as_double=True),
         "document_runs": O.DOCUMENT_RUNS_SELECT,
+        "document_rises": O.rises_sql(f"{O.DOC_STAT_RUNS} JOIN good g USING (doc_key)", "doc_key", f"{O.DOC_CTES},"),
         "quarantine_documents": O.QUARANTINE_SQL,
         "scan_sessions": O.scan_sessions_sql(*range_bounds(*DOC_RANGE)),
         "project_sessions": O.PROJECT_SESSIONS_SQL,

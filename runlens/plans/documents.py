@@ -7,6 +7,7 @@ store bounds the size of a document, so a row never grows with the data.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from runlens.functions.runs import RUN_FIELDS, null_metric_in, run_struct, valid
 from runlens.operators.derive import derive_metrics, with_ratios
 from runlens.operators.flat_kernel import flat_run_statistics
 from runlens.operators.nested_kernel import nested_statistics
+from runlens.operators.run_metric import RunMetric, run_metrics
 from runlens.session import shared_dir
 
 ROW = "_row"
@@ -110,7 +112,8 @@ def flat_projection(docs: DataFrame, doc_col: str = "doc") -> DataFrame:
 
 def document_features(norm: DataFrame, th: Thresholds = DEFAULT_THRESHOLDS, digits: int | None = None,
                       metrics: list[str] | None = None, kernel: str = "nested",
-                      chunk_bits: int = 16, tz: str = "UTC") -> DataFrame:
+                      chunk_bits: int = 16, tz: str = "UTC",
+                      own_metrics: Sequence[RunMetric | str] | None = None) -> DataFrame:
     """Feature table of good documents: basic fields, ``total_runs``, metrics
     (NULL for a session without valid runs), ``date`` and ``timestamp``
     (present only when the session has runs and a non-zero ``created_at``).
@@ -120,17 +123,19 @@ def document_features(norm: DataFrame, th: Thresholds = DEFAULT_THRESHOLDS, digi
     row: the normalised documents are written once to the shared folder with a
     row number of their own (``_id`` may be missing or repeat), their runs are
     exploded with their position through the flat kernel, and the statistics
-    are joined back by row number. Dates are rendered in ``tz``.
+    are joined back by row number. Dates are rendered in ``tz``. ``own_metrics``
+    are metrics with a state of their own, or their registered names.
     """
     good = good_documents(norm)
+    own = run_metrics(own_metrics)
     if kernel == "nested":
-        stats = nested_statistics(good, "runs", BASIC_COLUMNS, th)
+        stats = nested_statistics(good, "runs", BASIC_COLUMNS, th, own)
     elif kernel == "flat":
         numbered = good.withColumn(ROW, F.monotonically_increasing_id())
         path = f"{shared_dir(norm.sparkSession)}/numbered-documents-{uuid.uuid4().hex}"
         numbered.write.parquet(path)
         numbered = norm.sparkSession.read.schema(numbered.schema).parquet(path)
-        flat = flat_run_statistics(run_table(numbered, ROW), ROW, "pos", th=th, chunk_bits=chunk_bits)
+        flat = flat_run_statistics(run_table(numbered, ROW), ROW, "pos", th=th, chunk_bits=chunk_bits, metrics=own)
         stats = numbered.select(ROW, *BASIC_COLUMNS).join(flat, ROW, "left")
     else:
         raise ValueError(f"unknown kernel {kernel!r}")
@@ -142,6 +147,7 @@ def document_features(norm: DataFrame, th: Thresholds = DEFAULT_THRESHOLDS, digi
         F.col("created_at").cast("long").alias("created_at"),
         F.coalesce(F.col("n_runs"), F.lit(0)).cast("long").alias("total_runs"),
         *derive_metrics(metrics, th, digits),
+        *[m.value(F.col(m.column)) for m in own],
         F.when(has_runs, date).alias("date"),
         F.when(has_runs, stamp).alias("timestamp"),
     )

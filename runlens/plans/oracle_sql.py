@@ -140,6 +140,17 @@ def features_sql(runs_sql: str, key_sql: str, metrics: list[str] | None = None,
     return f"WITH {stats_ctes(runs_sql)}\nSELECT {', '.join(cols)} FROM agg"
 
 
+def rises_sql(runs_sql: str, key: str, ctes: str = "") -> str:
+    """The longest stretch of rising token counts (islands between runs that do not rise) and the deepest fall below the
+    highest count before."""
+    return f"""WITH {ctes} runs AS ({runs_sql}),
+step AS (SELECT k, pos, t, CASE WHEN t > lag(t) OVER (PARTITION BY k ORDER BY pos) THEN 0 ELSE 1 END AS new,
+  max(t) OVER (PARTITION BY k ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - t AS below FROM runs),
+island AS (SELECT *, sum(new) OVER (PARTITION BY k ORDER BY pos) AS i FROM step),
+size AS (SELECT k, i, count(*) AS n, max(below) AS below FROM island GROUP BY k, i)
+SELECT k AS {key}, CAST(max(n) AS BIGINT) AS longest_token_rise, CAST(max(below) AS DOUBLE) AS deepest_token_fall FROM size GROUP BY k"""
+
+
 # --- bindings in SQL ---------------------------------------------------------
 LINEITEM_RUNS_SQL = """
   SELECT l_orderkey AS k,

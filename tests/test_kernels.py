@@ -87,11 +87,10 @@ def test_flat_kernel_forced_strategy(spark, strategy):
     check({r["session_key"]: r.asDict() for r in df.collect()}, sessions)
 
 
-def test_more_hot_sessions_than_the_broadcast_bound(spark):
-    """Beyond the bound the hot keys are shuffled, with the same result."""
+def test_summary_from_the_key_column_alone(spark):
+    """``staged=False``: the source is read for its keys, then whole; same result."""
     sessions = random_sessions(17, 80, 30)
-    df = features_from_runs(flat_frame(spark, sessions), "sid", "pos", digits=None, chunk_bits=2,
-                            max_hot_sessions=3)
+    df = features_from_runs(flat_frame(spark, sessions), "sid", "pos", digits=None, chunk_bits=2, staged=False)
     check({r["session_key"]: r.asDict() for r in df.collect()}, sessions)
 
 
@@ -195,9 +194,87 @@ def test_nulls_follow_one_rule_in_every_plan(spark):
     for row in sorted(rows, key=lambda r: tuple((v is not None, v if v is not None else 0) for v in (r[1], *r[2:7])) +
                       (bool(r[7]), bool(r[8]))):
         ordered.setdefault(row[0], []).append(dict(zip(FIELDS, row[2:])))
-    for kw in (dict(strategy="plain"), dict(strategy="chunked"), dict(), dict(max_hot_sessions=0)):
+    for kw in (dict(strategy="plain"), dict(strategy="chunked"), dict(), dict(staged=False)):
         got = features_from_runs(df, "sid", "pos", chunk_bits=2, **kw)
         check({r["session_key"]: r.asDict() for r in got.collect()}, ordered)
     nested = spark.createDataFrame([(s, [tuple(r[f] for f in FIELDS) for r in runs]) for s, runs in ordered.items()],
                                    T.StructType([T.StructField("sid", T.LongType()), T.StructField("runs", T.ArrayType(RUN_TYPE))]))
     check({r["sid"]: r.asDict() for r in features_from_nested(nested, keep=["sid"]).collect()}, ordered)
+
+
+def rise_and_fall(tokens):
+    best = now = 1
+    high, fall = tokens[0], 0.0
+    for a, b in zip(tokens, tokens[1:]):
+        now = now + 1 if b > a else 1
+        best, fall, high = max(best, now), max(fall, high - b), max(high, b)
+    return best, fall
+
+
+@pytest.mark.parametrize("how", ["plain", "chunked", "auto", "nested"])
+def test_own_metrics_are_the_same_on_every_kernel(spark, how, monkeypatch):
+    """Order-dependent states folded in blocks, stitched at chunk borders, folded in a row."""
+    from runlens.operators import run_metric
+    monkeypatch.setattr(run_metric, "BLOCK_BITS", 1)
+    monkeypatch.setattr("runlens.operators.flat_kernel.BLOCK_BITS", 1)
+    rng = random.Random(31)
+    sessions = {s: [{**random_run(rng), "total_tokens": float(rng.choice([i, i, rng.randint(0, 9)]))} for i in range(rng.randint(1, 40))] for s in range(60)}
+    own = ["longest_token_rise", run_metric.DEEPEST_FALL]
+    if how == "nested":
+        df = features_from_nested(nested_frame(spark, sessions), keep=["sid"], digits=None, own_metrics=own).withColumnRenamed("sid", "session_key")
+    else:
+        df = features_from_runs(flat_frame(spark, sessions), "sid", "pos", digits=None, chunk_bits=3, strategy=how, own_metrics=own)
+    rows = {r["session_key"]: r.asDict() for r in df.collect()}
+    check(rows, sessions)
+    for s, runs in sessions.items():
+        assert (rows[s]["longest_token_rise"], rows[s]["deepest_token_fall"]) == rise_and_fall([r["total_tokens"] for r in runs])
+
+
+def test_a_session_without_runs_has_no_own_metric(spark):
+    got = features_from_nested(nested_frame(spark, {1: []}), keep=["sid"], own_metrics=["longest_token_rise"]).first()
+    assert got["total_runs"] == 0 and got["longest_token_rise"] is None
+
+
+def test_metric_registry():
+    from runlens.operators.run_metric import LONGEST_RISE, RunMetric, register_metric, run_metrics
+    assert register_metric(LONGEST_RISE) is LONGEST_RISE and run_metrics(None) == []
+    with pytest.raises(ValueError, match="registered already"):
+        register_metric(RunMetric("longest_token_rise", {}, dict, dict, len))
+    with pytest.raises(ValueError, match="no metric named"):
+        run_metrics(["nothing"])
+    with pytest.raises(ValueError, match="the state has the fields"):
+        RunMetric("x", {"a": "int"}, lambda run: {"b": run("total_tokens")}, dict, len).lift(F.col)
+
+
+def test_the_summary_returns_every_hot_key(spark):
+    """Keys above the limit are found among very many others; the error bound of the sketch leaves room."""
+    from runlens.operators import flat_kernel
+    n = 400_000
+    runs = spark.range(n).select(
+        F.when(F.col("id") % 10 < 2, F.lit("hot")).when(F.col("id") % 10 == 3, F.lit(None)).when(F.col("id") % 1000 == 4, F.lit("warm"))
+        .otherwise(F.col("id").cast("string")).alias(flat_kernel.K))
+    for staged in (True, False):
+        r, hot, n_hot, limit = flat_kernel._hot_keys(runs.withColumn("x", F.lit(1)), staged, 8)
+        assert limit == 256 and set(hot) == {"hot", None, "warm"} and n_hot >= n * 0.3 + n / 1000
+        assert r.count() == n
+    assert flat_kernel.hot_limit(10**11, 16) * flat_kernel.MOST_CHUNKS >= 10**11
+    error = 3.5 * 0.75 / flat_kernel.TRACKED
+    assert 1 / flat_kernel.MOST_CHUNKS > 2 * error
+
+
+def test_the_source_is_read_once(spark):
+    """The runs of an expensive source are evaluated once, hot sessions or not."""
+    rng = random.Random(41)
+    sessions = {0: [random_run(rng) for _ in range(300)], **{s: [random_run(rng)] for s in range(1, 50)}}
+    seen = spark.sparkContext.accumulator(0)
+
+    def touch(x):
+        seen.add(1)
+        return x
+
+    df = flat_frame(spark, sessions).withColumn("pos", F.udf(touch, "long")("pos"))
+    for chunk_bits in (5, 16):
+        seen.value = 0
+        got = features_from_runs(df, "sid", "pos", digits=None, chunk_bits=chunk_bits)
+        check({r["session_key"]: r.asDict() for r in got.collect()}, sessions)
+        assert seen.value == 349
