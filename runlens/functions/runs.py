@@ -78,6 +78,10 @@ def run_struct(r: Column) -> Column:
     )
 
 
+# Fields whose explicit null drops a run; the run itself may be null as well.
+_DROPPING = ["$", "$.metrics", "$.tools", "$.events"]
+
+
 def _run_valid(r: Column) -> Column:
     return ~(
         _explicit_null(r)
@@ -87,6 +91,12 @@ def _run_valid(r: Column) -> Column:
     )
 
 
+def dropping_nulls(r: Column) -> Column:
+    """Paths, below the run, of the nulls that make it invalid ('' for the run itself); empty for a valid run."""
+    return F.array_compact(F.array(*[
+        F.when(_explicit_null(r if path == "$" else _sub(r, path)), F.lit(path[1:])) for path in _DROPPING]))
+
+
 def null_metric_in(runs_variant: Column) -> Column:
     """Some valid run has a total_tokens, output_tokens or time that reads as
     NULL (``[null]`` or not a number)."""

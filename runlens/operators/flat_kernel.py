@@ -15,10 +15,11 @@ Two plans, chosen per session (skew-safe: one session may hold a large
 share of all runs):
 
   0. Metric sets without order need neither: one aggregation on the session.
-     Otherwise the narrow run columns are written once to the shared folder, and
-     while they are written a heavy-hitter summary of the session keys is
-     taken (``DataFrame.observe``): the source is read once, no key is
-     shuffled. The summary is a mergeable sketch whose error is bounded, so
+     Otherwise a heavy-hitter summary of the session keys is taken: a
+     mergeable sketch per task, so no key is shuffled. It reads the key column of a
+     columnar run table, or, with ``staged``, of a narrow copy of the runs that is
+     written once to the shared folder, so that a source that is costly to read
+     (documents, joins) is read once. The error of the sketch is bounded, so
      its keys with more than ``limit`` counted runs are a superset of the
      sessions with more than ``limit`` runs (see ``hot_limit``). These are
      *hot*: at most ``2 * MOST_CHUNKS`` keys, broadcast. A key that the sketch
@@ -57,7 +58,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from runlens.config import DEFAULT_THRESHOLDS, Thresholds
@@ -261,20 +262,17 @@ def hot_limit(n_runs: int, chunk_bits: int) -> int:
     return max(1 << chunk_bits, -(-n_runs // MOST_CHUNKS))
 
 
-def _hot_keys(r: DataFrame, staged: bool, chunk_bits: int) -> tuple[DataFrame, list, int, int]:
-    """(runs to go on with, hot keys, their runs at most, limit): from one reading of the source if it is staged."""
+def hot_keys(r: DataFrame, staged: bool, chunk_bits: int) -> tuple[DataFrame, list, int, int]:
+    """(runs to go on with, hot keys, their runs at most, limit)."""
     spark = r.sparkSession
-    counted = F.expr(f"approx_top_k({K}, {2 * MOST_CHUNKS}, {TRACKED})").alias("keys")
-    total = F.count(F.lit(1)).alias("runs")
-    sketchable = dict(r.dtypes)[K] in SKETCHED or dict(r.dtypes)[K].startswith("decimal")
     if staged:
         path = f"{shared_dir(spark)}/runs-{uuid.uuid4().hex}"
-        seen = Observation()
-        (r.observe(seen, total, counted) if sketchable else r.observe(seen, total)).write.parquet(path)
+        r.write.parquet(path)
         r = spark.read.schema(r.schema).parquet(path)
-        found = seen.get
-    else:
-        found = r.select(K).agg(total, *([counted] if sketchable else [])).first().asDict()
+    total = F.count(F.lit(1)).alias("runs")
+    counted = F.expr(f"approx_top_k({K}, {2 * MOST_CHUNKS}, {TRACKED})").alias("keys")
+    sketchable = dict(r.dtypes)[K] in SKETCHED or dict(r.dtypes)[K].startswith("decimal")
+    found = r.select(K).agg(total, *([counted] if sketchable else [])).first().asDict()
     limit = hot_limit(found["runs"], chunk_bits)
     if not sketchable:  # a key that the summary cannot hold: exact counts
         keys = [(k, n) for k, n in r.groupBy(K).agg(total).where(F.col("runs") > limit).collect()]
@@ -283,14 +281,31 @@ def _hot_keys(r: DataFrame, staged: bool, chunk_bits: int) -> tuple[DataFrame, l
     return r, [k for k, _ in keys], sum(n for _, n in keys), limit
 
 
+def with_chunks(r: DataFrame, n_runs: int, ords: list[str], limit: int) -> DataFrame:
+    """Runs with their chunk, cut by rank in (session, run order)."""
+    return r.repartitionByRange(n_runs // limit + 1, K, *ords).withColumn(C, F.spark_partition_id())
+
+
 def _cut(r: DataFrame, n_runs: int, ords: list[str], limit: int) -> DataFrame:
-    """Runs with their chunk, cut by rank in (session, run order) and written once."""
+    """Runs with their chunk, written once."""
     path = f"{shared_dir(r.sparkSession)}/hot-runs-{uuid.uuid4().hex}"
-    cut = r.repartitionByRange(n_runs // limit + 1, K, *ords).withColumn(C, F.spark_partition_id())
+    cut = with_chunks(r, n_runs, ords, limit)
     cut.write.parquet(path)
     return r.sparkSession.read.schema(cut.schema).parquet(path)
 
 
+def run_columns(runs: DataFrame, key: str, order: Sequence[str] | str) -> tuple[DataFrame, list[str]]:
+    """The columns the kernel works on, under its names, and those that order the runs of a session."""
+    order = [order] if isinstance(order, str) else list(order)
+    ords = [f"_o{i}" for i in range(len(order))]
+    r = runs.select(
+        F.col(key).alias(K),
+        *[F.col(c).alias(a) for c, a in zip(order, ords)],
+        *[F.coalesce(F.col(c), F.lit(False)).alias(c) if c in ("success", "has_timeout") else F.col(c) for c in VALUES],
+    )
+    return r, [*ords, *VALUES]  # ties in the order are settled by the runs' values
+
+
 def flat_run_statistics(
     runs: DataFrame,
     key: str,
@@ -299,7 +314,7 @@ def flat_run_statistics(
     chunk_bits: int = 16,
     strategy: str = "auto",
     ordered: bool = True,
-    staged: bool = True,
+    staged: bool = False,
     metrics: Sequence[RunMetric] = (),
 ) -> DataFrame:
     """One row per session key with the columns of ``BASE_STATS`` (key kept under its name) and the states of ``metrics``.
@@ -307,17 +322,10 @@ def flat_run_statistics(
     ``strategy="auto"`` sends sessions of more than ``hot_limit`` runs through the chunked plan
     and all others through the plain plan (see the module's text). ``"chunked"`` and ``"plain"``
     force one plan for all. ``ordered=False`` (no statistic that depends on order or on a session
-    mean is read) needs no summary. ``staged=False`` takes the summary in a reading of the key column alone
-    instead of writing the narrow run columns: for runs that lie in a columnar table as they are.
+    mean is read) needs no summary. ``staged`` writes the narrow run columns once before the summary is taken: for
+    runs that do not lie in a columnar table as they are.
     """
-    order = [order] if isinstance(order, str) else list(order)
-    ords = [f"_o{i}" for i in range(len(order))]
-    r = runs.select(
-        F.col(key).alias(K),
-        *[F.col(c).alias(a) for c, a in zip(order, ords)],
-        *[F.coalesce(F.col(c), F.lit(False)).alias(c) if c in ("success", "has_timeout") else F.col(c) for c in VALUES],
-    )
-    ords = [*ords, *VALUES]  # ties in the order are settled by the runs' values
+    r, ords = run_columns(runs, key, order)
     if strategy not in ("auto", "plain", "chunked"):
         raise ValueError(f"unknown strategy {strategy!r}")
     if not ordered and not metrics and strategy == "auto":
@@ -328,7 +336,7 @@ def flat_run_statistics(
         n = r.count()
         stats = chunked_statistics(_cut(r, n, ords, hot_limit(n, chunk_bits)), ords, th, metrics)
     else:
-        r, hot, n_hot, limit = _hot_keys(r, staged, chunk_bits)
+        r, hot, n_hot, limit = hot_keys(r, staged, chunk_bits)
         stats = routed_statistics(r, hot, n_hot, limit, ords, th, metrics)
     return stats.select(F.col(K).alias(key), *BASE_STATS, *[m.column for m in metrics])
 

@@ -18,14 +18,17 @@ from runlens.config import (ALL_METRICS, EMPTY_EXPORT_ROW, EXPORT_COLUMNS, FAILU
 from runlens.functions.dates import default_range, range_bounds, rendered_dates, request_error
 from runlens.plans import oracle_sql as O
 from runlens.plans.documents import (document_features, flat_projection, normalize_documents, quarantined_documents,
-                                     run_table, typed_runs)
+                                     quarantined_runs, run_table, typed_runs)
 from runlens.plans.export import (EXPORT_METADATA, export_frame, export_manifest, export_path, extraction_summary,
                                   read_export, training_rows, write_training_export)
 from runlens.operators.derive import INT_METRICS, LONG_METRICS
 from runlens.operators.restrict import restrict_to_keys
-from runlens.plans.features import features_from_runs
+from runlens.plans.features import features_from_run_table, features_from_runs
 from runlens.session import shared_dir, tune_session
-from runlens.sources.documents import document_sessions, event_run_records, typed_document_sessions
+from runlens.sources.documents import document_sessions, event_run_records, landing_batches, typed_document_sessions
+from runlens.sources import run_table
+from runlens.sources.landing import land_folder, upsert_sessions
+from runlens.sources.run_table import write_run_table
 from runlens.sources.tables import (LINEITEM_ORDER, conversation_runs, lineitem_runs,
                                     order_sessions, table)
 
@@ -54,6 +57,13 @@ def _lineitem_sql(metrics: list[str] | None = None, with_runs: bool = True) -> s
     return O.features_sql(O.LINEITEM_RUNS_SQL, "k", metrics, with_runs)
 
 
+def stored_session_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``session_features`` from a run table that is stored in buckets, in run order (written once)."""
+    path = land_folder(spark, "lineitem-runs", [f"{sf_dir.rstrip('/')}/lineitem.parquet"], run_table,
+                       lambda tmp: write_run_table(lineitem_runs(spark, sf_dir), tmp, "session_key", LINEITEM_ORDER))
+    return features_from_run_table(run_table.open_run_table(spark, path), digits=DIGITS)
+
+
 OWN_METRICS = ["longest_token_rise", "deepest_token_fall"]
 
 
@@ -92,7 +102,7 @@ def run_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return features_from_runs(_event_runs(spark, sf_dir), "session_key", "pos", digits=DIGITS)
+    return features_from_runs(_event_runs(spark, sf_dir), "session_key", "pos", digits=DIGITS, staged=True)
 
 
 # ------------------------------------------------------------- B5 documents
@@ -112,6 +122,22 @@ def document_features_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _nullable_ints_as_double(document_features(_norm(spark, sf_dir), digits=DIGITS))
 
 
+def quarantine_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dropped runs with their place in the document and the JSON path of the null that dropped them."""
+    return quarantined_runs(document_sessions(spark, sf_dir))
+
+
+def landed_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches of documents that share days and the day-less ones, landed one after the other: the newest version of
+    each document, on its present day."""
+    target = f"{shared_dir(spark)}/upsert-{uuid.uuid4().hex}"
+    for batch in landing_batches(spark, sf_dir):
+        upsert_sessions(batch, target)
+    rows = spark.read.parquet(target)
+    return rows.select("doc_key", F.col("date").cast("string").alias("date"), F.col("created_at").cast("long").alias("created_at"),
+                       F.try_variant_get("doc", "$.user_id", "string").alias("user_id"))
+
+
 def quarantine_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quarantined_documents(_norm(spark, sf_dir))
 
@@ -179,7 +205,7 @@ def export_manifest_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _docs_in_range(spark, sf_dir, *DOC_RANGE)
     feats = document_features(normalize_documents(docs), digits=DIGITS)
     root = f"{shared_dir(spark)}/exports/{uuid.uuid4().hex}"
-    path = write_training_export(spark, feats, root, *DOC_RANGE, sessions=docs)
+    path = write_training_export(spark, feats, root, *DOC_RANGE)
     return export_manifest(spark, path).select(
         "rows", "success", F.expr(f"substring(location, {len(root) + 2})").alias("layout"), *EXPORT_METADATA)
 
@@ -246,7 +272,7 @@ def order_training_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     the range before the kernel's shuffle."""
     sessions = order_sessions(spark, sf_dir, *ORDER_RANGE)
     runs = restrict_to_keys(lineitem_runs(spark, sf_dir), sessions, "session_key", "_id_key")
-    feats = features_from_runs(runs, "session_key", LINEITEM_ORDER, digits=DIGITS)
+    feats = features_from_runs(runs, "session_key", LINEITEM_ORDER, digits=DIGITS, staged=True)
     joined = sessions.join(feats, sessions["_id_key"] == feats["session_key"], "left")
     return training_rows(joined)
 
@@ -278,6 +304,7 @@ def _queries() -> dict[str, Query]:
         "run_time_jumps": _lineitem_features(["time_explosion_events"], with_runs=False),
         "run_spikes": _lineitem_features(["token_spike_frequency"], with_runs=False),
         "failure_streaks": _lineitem_features(["max_consecutive_failures"], with_runs=False),
+        "stored_session_features": stored_session_features,
         "run_rises": run_rises,
         "conversation_features": conversation_features,
         "normalize_runs": normalize_runs,
@@ -290,6 +317,8 @@ def _queries() -> dict[str, Query]:
         "document_runs": document_runs,
         "document_rises": document_rises,
         "quarantine_documents": quarantine_documents,
+        "quarantine_runs": quarantine_runs,
+        "landed_upsert": landed_upsert,
         "scan_sessions": scan_sessions,
         "project_sessions": project_sessions,
         "basic_features": basic_features,
@@ -320,6 +349,7 @@ def oracle_sql() -> dict[str, str]:
         "run_time_jumps": _lineitem_sql(["time_explosion_events"], False),
         "run_spikes": _lineitem_sql(["token_spike_frequency"], False),
         "failure_streaks": _lineitem_sql(["max_consecutive_failures"], False),
+        "stored_session_features": _lineitem_sql(),
         "run_rises": O.rises_sql(O.LINEITEM_RUNS_SQL, "session_key"),
         "conversation_features": O.features_sql(O.CONVERSATION_RUNS_SQL, "k"),
         "normalize_runs": O.EVENT_RUNS_SELECT,
@@ -332,6 +362,8 @@ def oracle_sql() -> dict[str, str]:
         "document_runs": O.DOCUMENT_RUNS_SELECT,
         "document_rises": O.rises_sql(f"{O.DOC_STAT_RUNS} JOIN good g USING (doc_key)", "doc_key", f"{O.DOC_CTES},"),
         "quarantine_documents": O.QUARANTINE_SQL,
+        "quarantine_runs": O.QUARANTINE_RUNS_SQL,
+        "landed_upsert": O.LANDED_UPSERT_SQL,
         "scan_sessions": O.scan_sessions_sql(*range_bounds(*DOC_RANGE)),
         "project_sessions": O.PROJECT_SESSIONS_SQL,
         "basic_features": O.BASIC_FEATURES_SQL,

@@ -9,12 +9,12 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from runlens.config import DEFAULT_THRESHOLDS, Thresholds
 from runlens.functions.dates import rendered_dates
-from runlens.functions.runs import RUN_FIELDS, null_metric_in, run_struct, valid_runs
+from runlens.functions.runs import RUN_FIELDS, dropping_nulls, null_metric_in, run_struct, valid_runs
 from runlens.operators.derive import derive_metrics, with_ratios
 from runlens.operators.flat_kernel import flat_run_statistics
 from runlens.operators.nested_kernel import nested_statistics
@@ -95,6 +95,28 @@ def quarantined_documents(norm: DataFrame) -> DataFrame:
         "doc_key", "session_id", "quarantine_reason")
 
 
+def quarantined_runs(docs: DataFrame, doc_col: str = "doc") -> DataFrame:
+    """Runs that the normaliser drops: document key, position in the document's run list (from 0) and the JSON path
+    of the null; a run with several nulls gives a row for each. A missing or scalar run list has none."""
+    doc = F.col(doc_col)
+    nested = _get(doc, "$.memory.runs", "array<variant>")
+    at = F.when(nested.isNotNull(), F.lit("$.memory.runs")).otherwise(F.lit("$.runs"))
+    runs = docs.select(basic_fields(doc)[0], at.alias("_at"), F.posexplode(raw_runs(doc)).alias("pos", "_run"))
+    nulls = runs.select("doc_key", F.col("pos").cast("long").alias("pos"), "_at", F.explode(dropping_nulls(F.col("_run"))).alias("_null"))
+    return nulls.select("doc_key", "pos", F.concat("_at", F.lit("["), F.col("pos").cast("string"), F.lit("]"), "_null").alias("json_path"))
+
+
+REASONS = ["agent_data_null", "model_null", "memory_null", "null_metric"]
+
+
+def observed_documents(norm: DataFrame, seen: Observation) -> DataFrame:
+    """``norm``, with its documents, those set aside by reason and the range of ``created_at`` of the good ones counted
+    into ``seen`` by whatever job reads it next."""
+    good = F.when(F.col("quarantine_reason").isNull(), F.col("created_at"))
+    return norm.observe(seen, F.count(F.lit(1)).alias("documents"), F.min(good).alias("first"), F.max(good).alias("last"),
+                        *[F.count(F.when(F.col("quarantine_reason") == r, F.lit(1))).alias(r) for r in REASONS])
+
+
 def quarantine_counts(norm: DataFrame) -> dict[str, int]:
     """Set-aside documents by reason (at most one row per reason)."""
     rows = norm.filter(F.col("quarantine_reason").isNotNull()).groupBy("quarantine_reason").count().collect()

@@ -3,11 +3,14 @@ the manifest read back from the written files, and the run summary."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from runlens.config import (EMPTY_EXPORT_HEADER, EMPTY_EXPORT_ROW, EXPORT_COLUMNS, EXPORT_DIR_TEMPLATE,
                             TEXT_COLUMNS)
+from runlens.sources.landing import Files
 
 
 def training_rows(features: DataFrame) -> DataFrame:
@@ -53,36 +56,99 @@ def export_path(root: str, start: str, end: str) -> str:
     return f"{root.rstrip('/')}/" + EXPORT_DIR_TEMPLATE.format(start=start, end=end)
 
 
+EXPORT_METADATA = {"generated_by": "runlens", "version": "2.0"}
+MANIFEST = "_manifest"  # inside the export; readers pass over names that begin with _
+_FILE = "file string, bytes long, rows long, digest decimal(38,0), version string, written_at timestamp"
+
+
+class ExportNotVerified(RuntimeError):
+    """What was read back is not what was written; the export that was there before is left alone."""
+
+
+def _row_digest(columns: list[str]) -> Column:
+    """A row's hash, of its texts as the CSV holds them."""
+    return F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]).cast("decimal(38,0)")
+
+
+def _read_files(spark: SparkSession, path: str) -> DataFrame:
+    """(file, bytes, rows, digest) of every part file: rows and digest from reading it back, bytes from the listing."""
+    back = read_export(spark, path)
+    name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
+    rows = back.select(_row_digest(back.columns).alias("d"), name.alias("file")).groupBy("file").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("d").alias("digest"))
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select(
+        F.element_at(F.split("path", "/"), -1).alias("file"), F.col("length").alias("bytes"))
+    return files.join(rows, "file", "left").select("file", "bytes", F.coalesce("rows", F.lit(0)).alias("rows"), F.coalesce("digest", F.lit(0)).alias("digest"))
+
+
+def _write_verified(spark: SparkSession, out: DataFrame, path: str, version: str, single_file: bool) -> int:
+    """Write rows, counted and digested while they are written, read the files back, compare and add the manifest."""
+    seen = Observation()
+    counted = out.observe(seen, F.count(F.lit(1)).alias("rows"), F.sum(_row_digest(out.columns)).alias("digest"))
+    (counted.repartition(1) if single_file else counted).write.options(**CSV_OPTIONS).csv(path)
+    written = seen.get
+    files = _read_files(spark, path).withColumns({"version": F.lit(version), "written_at": F.current_timestamp()})
+    files.coalesce(1).write.json(f"{path}/{MANIFEST}")
+    back = spark.read.schema(_FILE).json(f"{path}/{MANIFEST}").agg(F.sum("rows").alias("rows"), F.sum("digest").alias("digest")).first()
+    if (back["rows"] or 0, back["digest"] or 0) != (written["rows"], written["digest"] or 0):
+        raise ExportNotVerified(f"{path}: {written['rows']} rows written, {back['rows']} read back, or their digests differ")
+    return written["rows"]
+
+
 def write_training_export(spark: SparkSession, features: DataFrame, root: str, start: str, end: str,
-                          single_file: bool = False, sessions: DataFrame | None = None) -> str:
-    """Write the export as CSV with a header (overwrite); returns the folder.
+                          single_file: bool = False) -> str:
+    """Write the export as CSV with a header; returns the folder.
+
+    Two phases: the new export is written beside the old one and verified (row count and digest taken while
+    writing against the files read back, one placeholder row if there was no row); then the folder is switched and the
+    old export goes. A run that fails before the switch leaves the old export as it was; one that fails
+    between the two renames leaves it under ``<folder>.before``, and the next run starts from there. The features are
+    computed once, without a reading for the empty range.
 
     Many part files by default. ``single_file`` adds ``repartition(1)`` — one
     shuffle into one writer task, while everything upstream stays parallel
     (``coalesce(1)`` would pull the whole plan into a single task).
     """
-    out = export_frame(spark, features, sessions)
-    if single_file:
-        out = out.repartition(1)
     path = export_path(root, start, end)
-    out.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
+    files = Files(spark)
+    before, version = f"{path}.before", uuid.uuid4().hex
+    if files.exists(before):  # a switch was lost halfway
+        if files.exists(path):
+            files.delete(before)
+        else:
+            files.rename(before, path)
+    parent, name = path.rsplit("/", 1)
+    beside = f"{parent}/_{name}-{version}"
+    try:
+        if not _write_verified(spark, training_rows(features), beside, version, single_file):
+            files.delete(beside)
+            _write_verified(spark, empty_placeholder(spark), beside, version, True)
+    except Exception:
+        files.delete(beside)
+        raise
+    if files.exists(path) and not files.rename(path, before):
+        raise OSError(f"the old export {path} could not be moved")
+    if not files.rename(beside, path):
+        if files.exists(before):
+            files.rename(before, path)
+        raise OSError(f"the new export could not be moved to {path}")
+    if files.exists(before):
+        files.delete(before)
     return path
 
 
-EXPORT_METADATA = {"generated_by": "runlens", "version": "2.0"}
+def export_files(spark: SparkSession, path: str) -> DataFrame:
+    """The committed version's part files: file, bytes, rows, digest, version, written_at."""
+    return spark.read.schema(_FILE).json(f"{path}/{MANIFEST}")
 
 
 def export_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """One row describing a written export: part files and their bytes from the
-    folder's listing (files with a header only count), rows from reading the
-    files back, whether the write is complete, and static metadata."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("length").agg(
-        F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")).first()
-    rows = read_export(spark, path).count()
-    return spark.createDataFrame(
-        [(path, files["files"], rows, files["bytes"], files["files"] > 0, *EXPORT_METADATA.values())],
-        "location string, files long, rows long, bytes long, success boolean, "
-        + ", ".join(f"{k} string" for k in EXPORT_METADATA)).withColumn("written_at", F.current_timestamp())
+    """One row describing a written export, from its list of files: how many there are, their rows and bytes,
+    whether the write is complete, the committed version, and static metadata."""
+    return export_files(spark, path).agg(
+        F.lit(path).alias("location"), F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
+        F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"), (F.count(F.lit(1)) > 0).alias("success"),
+        *[F.lit(v).alias(k) for k, v in EXPORT_METADATA.items()], F.max("version").alias("committed"), F.max("written_at").alias("written_at"))
 
 
 def extraction_summary(sessions: DataFrame, start: str, end: str, location: str | None = None) -> DataFrame:

@@ -12,6 +12,7 @@ from runlens.operators.derive import ORDERED_METRICS, derive_metrics, with_ratio
 from runlens.operators.flat_kernel import flat_run_statistics
 from runlens.operators.nested_kernel import nested_statistics
 from runlens.operators.run_metric import RunMetric, run_metrics
+from runlens.sources.run_table import RunTable, run_table_statistics
 
 
 def features_from_runs(
@@ -25,7 +26,7 @@ def features_from_runs(
     strategy: str = "auto",
     extra_metrics: Mapping[str, Column] | None = None,
     own_metrics: Sequence[RunMetric | str] | None = None,
-    staged: bool = True,
+    staged: bool = False,
 ) -> DataFrame:
     """Flat layout: one row per session with ``total_runs`` and the metrics.
 
@@ -45,6 +46,16 @@ def features_from_runs(
     )
 
 
+def features_from_run_table(table: RunTable, metrics: list[str] | None = None, digits: int | None = None,
+                            th: Thresholds = DEFAULT_THRESHOLDS, extra_metrics: Mapping[str, Column] | None = None,
+                            own_metrics: Sequence[RunMetric | str] | None = None) -> DataFrame:
+    """``features_from_runs`` over a stored run table (``sources.run_table``): ordinary sessions need no exchange."""
+    own = run_metrics(own_metrics)
+    stats = with_ratios(run_table_statistics(table, th, own), th)
+    return stats.select(F.col(table.key).alias("session_key"), F.col("n_runs").cast("long").alias("total_runs"),
+                        *derive_metrics(metrics, th, digits, extra_metrics), *[m.value(F.col(m.column)) for m in own])
+
+
 def features_from_nested(
     sessions: DataFrame,
     runs_col: str = "runs",

@@ -5,8 +5,8 @@
     python -m runlens.plans.job --source /data/sessions/ --land-to /data/landed
     python -m runlens.plans.job --source /data/landed --format landed --start ... --end ... --output ...
 
-Steps (one lazy plan up to the sink, then two small reads of what was
-written):
+Steps (one lazy plan up to the sink, which counts what passes; then the written
+files are read back):
   1. check the request (start required, end required, formats, order);
      if a date is missing, use the default range (one month before ``as_of``
      to the day before)
@@ -15,8 +15,9 @@ written):
   3. normalise runs, set malformed documents aside with a reason
   4. nested kernel (row-local) -> 43 metrics; or the flat kernel over the
      exploded runs (``kernel="flat"``) for sessions too long for one row
-  5. write the 48-column CSV (placeholder when the range is empty), then the
-     manifest and the summary are read back from the written files
+  5. write the 48-column CSV beside the old one (placeholder when the range is
+     empty), verify it, switch; the summary comes from the counts taken on the
+     way and the manifest of the written files
 """
 
 from __future__ import annotations
@@ -25,16 +26,17 @@ import argparse
 import datetime as dt
 import json
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 
 from runlens.config import DEFAULT_THRESHOLDS, Thresholds
 from runlens.functions.dates import default_range, request_error
-from runlens.plans.documents import (document_features, good_documents, normalize_documents, quarantine_counts,
-                                     quarantined_documents)
-from runlens.plans.export import export_manifest, read_export, write_training_export
+from runlens.plans.documents import (REASONS, document_features, normalize_documents, observed_documents,
+                                     quarantined_documents, quarantined_runs)
+from runlens.plans.export import export_manifest, write_training_export
 from runlens.session import tune_session
-from runlens.sources.documents import landed_layout, read_sessions
+from runlens.sources.documents import read_sessions
+from runlens.sources.landing import upsert_sessions
 
 
 class InvalidRequest(ValueError):
@@ -73,46 +75,48 @@ def run_extraction(
     ``tz`` is the zone of the range and of the rendered dates. Exported doubles
     are not rounded. The summary counts the set-aside documents by reason.
 
+    The source is read once: documents, reasons and times are observed while the export is written.
     ``write_quarantine`` also writes the set-aside documents with their
-    reason next to the export — a second pass over the source, so off by
-    default.
+    reason and the dropped runs with their place next to the export — further
+    passes over the source, so off by default.
     """
     tune_session(spark)
     start, end = check_request(spark, start, end, as_of)
     docs = read_sessions(spark, source, fmt, start, end, tz, **source_options)
-    norm = normalize_documents(docs)
-    feats = document_features(norm, th, kernel=kernel, tz=tz)
-    path = write_training_export(spark, feats, output_root, start, end, single_file=single_file,
-                                 sessions=good_documents(norm).select("doc_key"))
+    norm, seen = normalize_documents(docs), Observation()
+    feats = document_features(observed_documents(norm, seen), th, kernel=kernel, tz=tz)
+    path = write_training_export(spark, feats, output_root, start, end, single_file=single_file)
+    counts = seen.get  # counted by the job that wrote the export
     manifest = export_manifest(spark, path).first().asDict()
-    placeholder = "message" in read_export(spark, path).columns
+    set_aside = {r: counts[r] for r in REASONS if counts[r]}
     summary = {
         "message": f"sessions between {start} and {end} extracted",
         "start_date": start,
         "end_date": end,
-        "total_conversations": 0 if placeholder else manifest["rows"],
+        "total_conversations": counts["documents"] - sum(set_aside.values()),
+        "first_created_at": counts["first"],
+        "last_created_at": counts["last"],
         "location": path,
         "files": manifest["files"],
         "bytes": manifest["bytes"],
         "success": manifest["success"],
-        "quarantined": quarantine_counts(norm),
+        "version": manifest["committed"],
+        "quarantined": set_aside,
         "processing_timestamp": dt.datetime.now(dt.timezone.utc).isoformat(),
     }
     if write_quarantine:
         summary["quarantine_location"] = f"{path}_quarantine"
         quarantined_documents(norm).write.mode("overwrite").json(summary["quarantine_location"])
+        summary["quarantined_runs_location"] = f"{path}_quarantined_runs"
+        quarantined_runs(docs).write.mode("overwrite").json(summary["quarantined_runs_location"])
     return summary
 
 
 def land_documents(spark: SparkSession, source: str, target: str, fmt: str = "json", **options: str) -> str:
-    """Copy session documents into the landed layout (VARIANT in Parquet,
-    partitioned by day), so later extractions read only the days of their
+    """Merge session documents into the landed layout (VARIANT in Parquet, partitioned by day) by their key, the newest
+    version staying (``upsert_sessions``), so later extractions read only the days of their
     range: ``run_extraction(..., fmt="landed", source=target)``."""
-    docs = read_sessions(spark, source, fmt, **options)
-    # only the days of this batch are replaced; a day's rows go to one task, split if they are many
-    (landed_layout(docs).hint("rebalance", "date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("date").parquet(target))
-    return target
+    return upsert_sessions(read_sessions(spark, source, fmt, **options), target)
 
 
 def main(argv: list[str] | None = None) -> None:

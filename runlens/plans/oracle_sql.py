@@ -290,6 +290,25 @@ FROM base b LEFT JOIN quar q ON q.doc_key = b.doc_key
 WHERE b.agent_null OR coalesce(q.null_metric, false)"""
 
 
+QUARANTINE_RUNS_SQL = f"""
+SELECT doc_key, CAST(i - 1 AS BIGINT) AS pos, '$.memory.runs[' || CAST(i - 1 AS VARCHAR) || '].tools' AS json_path
+FROM ({DOC_LINES}) WHERE (d + i) % 29 = 0"""
+
+# batch 2 replaces every third document (user and time), batch 1 the others; late documents are in batch 2 only,
+# documents without a key are in both and stay once
+LANDED_UPSERT_SQL = """
+WITH b AS (SELECT doc_id AS d, CAST(1704067200 + (doc_id * 7919) % 7776000 AS BIGINT) AS t FROM documents),
+v AS (
+  SELECT 'doc-' || CAST(d AS VARCHAR) AS doc_key, 'first' AS user_id, CASE WHEN d % 7 <> 0 THEN t END AS created_at FROM b WHERE d % 3 <> 0
+  UNION ALL
+  SELECT 'doc-' || CAST(d AS VARCHAR), 'second', CASE WHEN d % 9 <> 0 THEN CASE WHEN d % 6 = 0 THEN t + 86400 ELSE t END END FROM b WHERE d % 3 = 0
+  UNION ALL
+  SELECT 'late-' || CAST(d AS VARCHAR), 'late', CASE WHEN d % 20 <> 0 THEN t END FROM b WHERE d % 10 = 0
+  UNION ALL
+  SELECT NULL, 'keyless-' || CAST(d AS VARCHAR), t FROM b WHERE d % 50 = 1)
+SELECT doc_key, CASE WHEN created_at IS NOT NULL THEN strftime(make_timestamp(created_at * 1000000), '%Y-%m-%d') END AS date, created_at, user_id FROM v"""
+
+
 def scan_sessions_sql(lo: int, hi: int) -> str:
     return f"WITH {DOC_CTES}\nSELECT doc_key, created_at FROM base WHERE created_at BETWEEN {lo} AND {hi}"
 

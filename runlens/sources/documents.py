@@ -97,11 +97,15 @@ def pruned_schema(schema: T.StructType, wanted: dict = _SESSION_FIELDS) -> T.Str
 
 
 def landed_layout(docs: DataFrame, doc_col: str = "doc") -> DataFrame:
-    """``created_at`` (double, as in the document), ``date`` (its UTC day,
-    the partition column) and the document itself."""
-    created = F.try_variant_get(F.col(doc_col), "$.created_at", "double")
+    """``same`` (what makes two documents versions of one: the key, without a key the whole text), ``doc_key`` (the
+    document's ``_id``), ``created_at`` (double, as in the document), ``date`` (its UTC day, the partition column) and
+    the document itself."""
+    doc = F.col(doc_col)
+    key = F.try_variant_get(doc, "$._id", "string")
+    created = F.try_variant_get(doc, "$.created_at", "double")
     day = F.date_add(F.lit("1970-01-01").cast("date"), F.floor(created / 86400).cast("int"))
-    return docs.select(created.alias("created_at"), day.alias("date"), F.col(doc_col).alias("doc"))
+    same = F.coalesce(F.concat(F.lit("k"), key), F.concat(F.lit("t"), F.sha2(F.to_json(doc), 256)))
+    return docs.select(same.alias("same"), key.alias("doc_key"), created.alias("created_at"), day.alias("date"), doc.alias("doc"))
 
 
 # --- B5: documents -> session documents ----------------------------------------
@@ -156,7 +160,7 @@ def document_sessions_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     docs = table(spark, sf_dir, "documents")
     d = F.col("doc_id")
-    lines = F.split(F.col("text"), "\n")
+    lines = F.coalesce(F.split(F.col("text"), "\n"), F.array().cast("array<string>"))  # a null text has no runs
     runs = F.array_join(F.transform(lines, lambda line, i: _line_run_json(line, i + 1, d)), ",")
     agent = F.when(d % 53 == 7, F.lit("null")).otherwise(F.to_json(F.struct(
         F.col("source").alias("name"),
@@ -180,6 +184,26 @@ def document_sessions_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def landing_batches(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Two batches of small session documents from ``documents``: the second one brings every third document again, on
+    the same day, a day later or without time, and late documents for days of the first; some documents have no key
+    and come with both."""
+    docs = table(spark, sf_dir, "documents")
+    d = F.col("doc_id")
+    t = F.lit(EPOCH_2024) + (d * 7919) % 7776000
+
+    def batch(rows: DataFrame, key: Column, user: Column, created: Column) -> DataFrame:
+        fields = F.struct(key.alias("_id"), user.alias("user_id"), created.cast("long").alias("created_at"))
+        return rows.select(F.parse_json(F.to_json(fields)).alias("doc"))  # null fields are left out
+
+    doc_key, none = F.concat(F.lit("doc-"), d), F.lit(None).cast("string")
+    keyless = batch(docs.where(d % 50 == 1), none, F.concat(F.lit("keyless-"), d), t)
+    first = batch(docs, doc_key, F.lit("first"), F.when(d % 7 != 0, t))
+    again = batch(docs.where(d % 3 == 0), doc_key, F.lit("second"), F.when(d % 9 != 0, F.when(d % 6 == 0, t + 86400).otherwise(t)))
+    late = batch(docs.where(d % 10 == 0), F.concat(F.lit("late-"), d), F.lit("late"), F.when(d % 20 != 0, t))
+    return [first.unionAll(keyless), again.unionAll(late).unionAll(keyless)]
+
+
 def document_sessions(spark: SparkSession, sf_dir: str, start: str | None = None,
                       end: str | None = None) -> DataFrame:
     """B5 session documents as VARIANT (``doc``), landed once as Parquet

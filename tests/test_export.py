@@ -3,6 +3,8 @@ manifest read back from the files."""
 
 from __future__ import annotations
 
+import pytest
+
 import csv
 import glob
 import os
@@ -67,3 +69,53 @@ def test_empty_range_writes_placeholder(spark, tmp_path):
     path = write_training_export(spark, empty, str(tmp_path), "2030-01-01", "2030-01-02")
     back = spark.read.option("header", True).csv(path).collect()
     assert [tuple(r) for r in back] == [EMPTY_EXPORT_ROW]
+
+
+def test_a_failed_write_leaves_the_old_export(spark, tmp_path, monkeypatch):
+    """The second write is killed in its rows, in its check and in its switch: the first version stays."""
+    import os
+    from pyspark.sql import functions as F
+    from runlens.plans import export
+    feats, args = _features(spark), (str(tmp_path), "2024-12-20", "2024-12-25")
+    path = write_training_export(spark, feats, *args)
+    rows, first = read_export(spark, path).count(), export_manifest(spark, path).first()["committed"]
+    assert first and rows > 0
+
+    def old_is_there():
+        assert export_manifest(spark, path).first()["committed"] == first and read_export(spark, path).count() == rows
+        assert [x for x in os.listdir(os.path.dirname(path)) if not x.endswith("crc")] == [os.path.basename(path)]
+
+    broken = feats.withColumn("session_id", F.when(F.length("session_id") >= 0, F.raise_error(F.lit("killed"))).cast("string"))
+    with pytest.raises(Exception, match="killed"):
+        write_training_export(spark, broken, *args)
+    old_is_there()
+    with monkeypatch.context() as m:
+        read = export._read_files
+        m.setattr(export, "_read_files", lambda *a: read(*a).withColumn("digest", F.col("digest") + 1))
+        with pytest.raises(export.ExportNotVerified):
+            write_training_export(spark, feats, *args)
+    old_is_there()
+    with monkeypatch.context() as m:
+        rename = export.Files.rename
+        m.setattr(export.Files, "rename", lambda self, a, b: "before" in a + b and rename(self, a, b))
+        with pytest.raises(OSError, match="new export"):
+            write_training_export(spark, feats, *args)
+    assert export_manifest(spark, path).first()["committed"] == first
+    # lost between the two renames: the next run starts from the old export
+    os.rename(path, path + ".before")
+    with pytest.raises(Exception, match="killed"):
+        write_training_export(spark, broken, *args)
+    assert export_manifest(spark, path).first()["committed"] == first
+    write_training_export(spark, feats.limit(1), *args)
+    second = export_manifest(spark, path).first()
+    assert second["committed"] != first and second["rows"] == 1 == read_export(spark, path).count()
+
+
+def test_files_of_an_export(spark, tmp_path):
+    from runlens.plans.export import export_files
+    path = write_training_export(spark, _features(spark).repartition(3), str(tmp_path), "2024-12-20", "2024-12-25")
+    files = export_files(spark, path).collect()
+    import glob
+    import os
+    assert {f["file"]: f["bytes"] for f in files} == {os.path.basename(p): os.path.getsize(p) for p in glob.glob(f"{path}/part-*")}
+    assert sum(f["rows"] for f in files) == export_manifest(spark, path).first()["rows"] and len({f["version"] for f in files}) == 1

@@ -39,6 +39,8 @@ def test_run_extraction(spark, source, tmp_path, kernel):
     assert empty_session["max_token_growth_rate"] == "0" or float(empty_session["max_token_growth_rate"]) == 0
     quarantined = spark.read.json(out["quarantine_location"]).collect()
     assert sorted(r["quarantine_reason"] for r in quarantined) == ["agent_data_null", "null_metric"]
+    dropped = spark.read.schema("doc_key string, pos long, json_path string").json(out["quarantined_runs_location"])
+    assert dropped.where("json_path not like '$.%runs[%]%'").count() == 0
 
 
 def test_landed_source_gives_the_same_export(spark, source, tmp_path):
@@ -67,6 +69,75 @@ def test_a_second_landing_keeps_earlier_days(spark, tmp_path):
     assert sorted(r["date"].isoformat() for r in spark.read.parquet(str(tmp_path / "landed")).collect()) == ["2024-12-20", "2024-12-21"]
 
 
+def land(spark, tmp_path, name, docs):
+    from runlens.plans.job import land_documents
+    (tmp_path / f"{name}.jsonl").write_text("".join(json.dumps(d) + "\n" for d in docs))
+    land_documents(spark, str(tmp_path / f"{name}.jsonl"), str(tmp_path / "landed"))
+    rows = spark.read.parquet(str(tmp_path / "landed")).selectExpr(
+        "doc_key", "cast(date as string) date", "try_variant_get(doc, '$.user_id', 'string') user").collect()
+    return sorted(((r["doc_key"], r["date"], r["user"]) for r in rows), key=str)
+
+
+def doc(key, created, user):
+    fields = {"_id": key, "created_at": created, "user_id": user}
+    return {k: v for k, v in fields.items() if v is not None}
+
+
+def test_batches_that_share_days_are_merged(spark, tmp_path):
+    day = "2024-12-20"
+    assert land(spark, tmp_path, 1, [doc("a", DAY, "1"), doc("b", None, "1"), doc("c", DAY + 86400, "1"), doc(None, DAY, "x")]) == sorted(
+        [("a", day, "1"), ("b", None, "1"), ("c", "2024-12-21", "1"), (None, day, "x")], key=str)
+    # late documents for the same day and the day-less ones; c moves, so its old day has none left; a comes twice
+    two = [doc("late", DAY, "2"), doc("d", None, "2"), doc("c", DAY, "2"), doc("a", DAY + 5, "3"), doc("a", DAY + 1, "2"), doc(None, DAY, "x")]
+    want = sorted([("a", day, "3"), ("b", None, "1"), ("c", day, "2"), (None, day, "x"), ("late", day, "2"), ("d", None, "2")], key=str)
+    assert land(spark, tmp_path, 2, two) == want
+    assert not os.path.exists(tmp_path / "landed" / "date=2024-12-21")
+    assert land(spark, tmp_path, 2, two) == want  # landed again: nothing doubles
+    assert land(spark, tmp_path, 3, []) == want
+
+
+def test_a_landing_that_was_lost_is_completed_by_the_next(spark, tmp_path, monkeypatch):
+    from runlens.sources import landing
+    land(spark, tmp_path, 1, [doc("a", DAY, "1"), doc("b", DAY, "1")])
+
+    def lost(spark, files, merged, target):
+        files.delete(f"{target}/date=2024-12-20")  # a day is gone, its successor not yet there
+        raise OSError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(landing, "_put_in_place", lost)
+        with pytest.raises(OSError, match="lost"):
+            land(spark, tmp_path, 2, [doc("b", DAY, "2"), doc("c", DAY, "2")])
+    assert land(spark, tmp_path, 3, [doc("d", DAY, "3")]) == [("a", "2024-12-20", "1"), ("b", "2024-12-20", "2"), ("c", "2024-12-20", "2"), ("d", "2024-12-20", "3")]
+
+
+def test_an_empty_landing_and_one_of_the_older_layout(spark, tmp_path):
+    from runlens.sources.documents import landed_layout
+    from runlens.sources.landing import upsert_sessions
+    docs = spark.sql("""SELECT parse_json('{"_id":"a","created_at":1734652800,"user_id":"1"}') AS doc""")
+    target = str(tmp_path / "landed")
+    upsert_sessions(docs.limit(0), target)
+    landed_layout(docs).drop("same", "doc_key").write.partitionBy("date").mode("append").parquet(target)
+    upsert_sessions(docs.selectExpr("""parse_json('{"_id":"a","created_at":1734739200,"user_id":"2"}') AS doc"""), target)
+    assert [(r["doc_key"], r["date"].isoformat()) for r in spark.read.parquet(target).collect()] == [("a", "2024-12-21")]
+
+
+def test_the_job_reads_its_source_once(spark, source, tmp_path, monkeypatch):
+    from pyspark.sql import functions as F
+    from runlens.plans import job
+    seen = spark.sparkContext.accumulator(0)
+
+    def touch(x):
+        seen.add(1)
+        return True
+
+    read = job.read_sessions
+    monkeypatch.setattr(job, "read_sessions", lambda *a, **k: read(*a, **k).where(F.udf(touch, "boolean")(F.rand())))
+    out = run_extraction(spark, source, str(tmp_path), "2024-12-20", "2024-12-25")
+    assert seen.value == out["total_conversations"] + sum(out["quarantined"].values()) == 37
+    assert out["first_created_at"] == DAY and DAY + 5 * 86400 <= out["last_created_at"] < DAY + 6 * 86400
+
+
 def test_check_request(spark):
     assert check_request(spark, None, None, dt.date(1998, 3, 31)) == ("1998-02-28", "1998-03-30")
     assert check_request(spark, "2024-12-20", "2024-12-20") == ("2024-12-20", "2024-12-20")

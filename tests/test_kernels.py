@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from helpers import approx
 from pyoracle import session_metrics
 from runlens.config import ALL_METRICS
-from runlens.plans.features import features_from_nested, features_from_runs
+from runlens.plans.features import features_from_nested, features_from_run_table, features_from_runs
 
 RUN_TYPE = T.StructType([
     T.StructField("total_tokens", T.DoubleType()),
@@ -87,10 +87,10 @@ def test_flat_kernel_forced_strategy(spark, strategy):
     check({r["session_key"]: r.asDict() for r in df.collect()}, sessions)
 
 
-def test_summary_from_the_key_column_alone(spark):
-    """``staged=False``: the source is read for its keys, then whole; same result."""
+def test_summary_of_staged_runs(spark):
+    """The summary of a narrow copy gives the same as that of the source's key column."""
     sessions = random_sessions(17, 80, 30)
-    df = features_from_runs(flat_frame(spark, sessions), "sid", "pos", digits=None, chunk_bits=2, staged=False)
+    df = features_from_runs(flat_frame(spark, sessions), "sid", "pos", digits=None, chunk_bits=2, staged=True)
     check({r["session_key"]: r.asDict() for r in df.collect()}, sessions)
 
 
@@ -194,7 +194,7 @@ def test_nulls_follow_one_rule_in_every_plan(spark):
     for row in sorted(rows, key=lambda r: tuple((v is not None, v if v is not None else 0) for v in (r[1], *r[2:7])) +
                       (bool(r[7]), bool(r[8]))):
         ordered.setdefault(row[0], []).append(dict(zip(FIELDS, row[2:])))
-    for kw in (dict(strategy="plain"), dict(strategy="chunked"), dict(), dict(staged=False)):
+    for kw in (dict(strategy="plain"), dict(strategy="chunked"), dict(), dict(staged=True)):
         got = features_from_runs(df, "sid", "pos", chunk_bits=2, **kw)
         check({r["session_key"]: r.asDict() for r in got.collect()}, ordered)
     nested = spark.createDataFrame([(s, [tuple(r[f] for f in FIELDS) for r in runs]) for s, runs in ordered.items()],
@@ -254,7 +254,7 @@ def test_the_summary_returns_every_hot_key(spark):
         F.when(F.col("id") % 10 < 2, F.lit("hot")).when(F.col("id") % 10 == 3, F.lit(None)).when(F.col("id") % 1000 == 4, F.lit("warm"))
         .otherwise(F.col("id").cast("string")).alias(flat_kernel.K))
     for staged in (True, False):
-        r, hot, n_hot, limit = flat_kernel._hot_keys(runs.withColumn("x", F.lit(1)), staged, 8)
+        r, hot, n_hot, limit = flat_kernel.hot_keys(runs.withColumn("x", F.lit(1)), staged, 8)
         assert limit == 256 and set(hot) == {"hot", None, "warm"} and n_hot >= n * 0.3 + n / 1000
         assert r.count() == n
     assert flat_kernel.hot_limit(10**11, 16) * flat_kernel.MOST_CHUNKS >= 10**11
@@ -275,6 +275,26 @@ def test_the_source_is_read_once(spark):
     df = flat_frame(spark, sessions).withColumn("pos", F.udf(touch, "long")("pos"))
     for chunk_bits in (5, 16):
         seen.value = 0
-        got = features_from_runs(df, "sid", "pos", digits=None, chunk_bits=chunk_bits)
+        got = features_from_runs(df, "sid", "pos", digits=None, chunk_bits=chunk_bits, staged=True)
         check({r["session_key"]: r.asDict() for r in got.collect()}, sessions)
         assert seen.value == 349
+
+
+@pytest.mark.parametrize("chunk_bits", [3, 16])
+def test_run_table_needs_no_exchange(spark, tmp_path, chunk_bits):
+    from runlens.sources.run_table import open_run_table, write_run_table
+    sessions = random_sessions(43, 60, 30)
+    path = write_run_table(flat_frame(spark, sessions), str(tmp_path / "runs"), "sid", "pos", buckets=4, chunk_bits=chunk_bits)
+    table = open_run_table(spark, path)
+    assert (table.hot is not None) == (chunk_bits == 3)
+    got = features_from_run_table(table, own_metrics=["longest_token_rise"])
+    check({r["session_key"]: r.asDict() for r in got.collect()}, sessions)
+    for r in got.collect():
+        assert r["longest_token_rise"] == rise_and_fall([x["total_tokens"] for x in sessions[r["session_key"]]])[0]
+    if chunk_bits == 16:
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "SelectedBucketsCount: 4 out of 4" in plan
+    import glob
+    assert len(glob.glob(f"{path}/sessions/*.parquet")) <= 4  # one file a bucket: sessions lie in order
+    again = open_run_table(spark, path)  # registered already
+    assert again.sessions.count() == table.sessions.count()
