@@ -48,6 +48,26 @@ CACHE_PAIRS = 200_000
 _state: dict = {}
 
 
+class Generations(dict):
+    """A cache that is emptied in halves: ``clear`` keeps what it holds as the old generation, from which what is asked
+    for again comes back."""
+
+    def __init__(self):
+        super().__init__()
+        self.old: dict = {}
+
+    def __contains__(self, key) -> bool:
+        return super().__contains__(key) or key in self.old
+
+    def __missing__(self, key):
+        value = self[key] = self.old[key]
+        return value
+
+    def clear(self) -> None:
+        self.old = dict(self)
+        super().clear()
+
+
 class Codec:
     """Encoder and decoder of one model file."""
 
@@ -67,6 +87,9 @@ class Codec:
         for i in range(n):
             if sp.is_control(i):
                 self.surface[i] = b""
+        self.bytes = np.frombuffer(b"".join(self.surface), np.uint8)
+        self.size = np.fromiter(map(len, self.surface), np.int64, n)
+        self.offset = np.cumsum(self.size) - self.size
         joined = {c for p in self.id_of if len(p) > 1 for c in p}
         assert not any(MARK in p.lstrip(MARK) for p in self.id_of), "a piece crosses a word start"
         self.longest = max(map(len, self.id_of))
@@ -81,7 +104,8 @@ class Codec:
         self.cut = re.compile(f"{MARK}*+{letter}++(?![{re.escape(''.join(sorted(tied)))}])"
                               f"|{MARK}*+[^{MARK}{lone}]++|{MARK}++" + f"|[{lone}]" * bool(lone))
         tails = "".join(c for c in PUNCTUATION.decode() if c not in tied)
-        self.encode = Chunks(self._chunks, "<u4", self.separators, tails.encode(), CACHE_CHUNKS)
+        self.encode = Chunks(self._chunks, "<u4", self.separators, tails.encode(), CACHE_CHUNKS // 2)
+        self.encode.known = Generations()
         self.pairs: dict[tuple[str, str], bool] = {}
 
     def merge(self, text: str) -> list[str]:
@@ -158,9 +182,18 @@ class Codec:
         """(ids of all texts in a row, number of ids of each text); a mark precedes every text."""
         return self.encode([b" " + t if t else t for t in texts])
 
+    def decode_texts(self, ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
+        """The texts of ids that lie in a row (``counts`` of each text), as UTF-8: one gather from the pieces' bytes."""
+        each = self.size[ids]
+        ends = np.cumsum(each)
+        total = int(ends[-1]) if len(ends) else 0
+        data = self.bytes[np.repeat(self.offset[ids] - (ends - each), each) + np.arange(total)].tobytes()
+        cuts = np.r_[0, ends][np.r_[0, np.cumsum(counts)]].tolist()
+        return [data[a:b].removeprefix(b" ") for a, b in zip(cuts[:-1], cuts[1:])]
+
     def decode(self, ids: np.ndarray) -> bytes:
         """The text of ids, as UTF-8."""
-        return b"".join(map(self.surface.__getitem__, ids.tolist())).removeprefix(b" ")
+        return self.decode_texts(ids, np.asarray([len(ids)]))[0]
 
 
 def codec(model: str) -> Codec:
@@ -191,7 +224,7 @@ def encode_documents(docs: DataFrame, model: str, text_col: str = "text", with_t
                 ids, counts = c.encode_texts(texts)
                 ends = np.cumsum(counts)
                 arrays = np.split(ids, ends[:-1])
-                back = [c.decode(a) for a in arrays]
+                back = c.decode_texts(ids, counts)
                 new = {"piece_ids": pa.ListArray.from_arrays(pa.array(np.r_[0, ends].astype(np.int32)), pa.array(ids.view("<i4"))),
                        "n_pieces": pa.array(counts),
                        "ids_crc32": pa.array([zlib.crc32(a) for a in arrays], pa.int64()),

@@ -58,7 +58,6 @@ def test_sentencepiece_odd_rows(odd_docs, clashing, no_docs):
 
 def _expected(docs):
     tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tok.encode_special_tokens = True
     start, out = 0, []
     for doc_id, text in sorted(docs, key=lambda r: (r[0] is not None, r[0] or 0)):
         ids = np.asarray(tok.encode(text or "", add_special_tokens=False).ids + [0], "<u4")
@@ -90,6 +89,33 @@ def test_token_output_odd_rows(spark, clashing, odd_docs, no_docs):
     assert to.token_positions(to.read_tokens(spark, empty), empty + "-d").count() == 0
 
 
+def test_special_strings_and_repeated_ids(spark):
+    """The ids of the plain library call, and places in the file for rows with one id."""
+    texts = ["a <|endoftext|> b", "x<|endoftext|>", "<|endoftext|", "plain", "", None, "a <|endoftext|> b"]
+    docs = spark.createDataFrame([(i % 2, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    path = work_dir(spark, "t")
+    to.write_tokens(docs, path, public_tokenizers.path("byte_bpe_50k.json"))
+    tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    assert 50256 in tok.encode("a <|endoftext|> b", add_special_tokens=False).ids
+    want = sorted((i % 2, tuple(tok.encode(t or "", add_special_tokens=False).ids + [0])) for i, t in enumerate(texts))
+    rows = sorted((tuple(r) for r in to.read_tokens(spark, path).select("_metadata.file_name", "row", "doc_id", "ids").collect()))
+    assert sorted((r[2], tuple(r[3])) for r in rows) == want
+    start, places = 0, []
+    for _, _, doc_id, ids in rows:
+        places.append((doc_id, start, len(ids), zlib.crc32(np.asarray(ids, "<u4").tobytes())))
+        start += len(ids)
+    assert sorted(tuple(r) for r in to.token_positions(to.read_tokens(spark, path), path + "-d").collect()) == sorted(places)
+
+
+def test_a_cache_of_two_generations():
+    cache = sp.Generations()
+    cache.update({1: "a", 2: "b"})
+    cache.clear()
+    assert 1 in cache and len(cache) == 0 and cache[1] == "a" and len(cache) == 1
+    cache.clear()
+    assert 1 in cache and 2 not in cache
+
+
 def test_orc_is_pruned_by_document(spark):
     path = work_dir(spark, "t")
     docs = table(spark, SF_SMALL, "documents")
