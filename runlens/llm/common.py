@@ -49,6 +49,18 @@ def staged(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Remove staged tables whose successor is written; what fails to go stays (no JVM gateway on the client)."""
+    from runlens.sources.landing import Files
+
+    try:
+        files = Files(spark)
+    except Exception:
+        return
+    for path in paths:
+        files.delete(path)
+
+
 def shared_fs(path: str):
     """(pyarrow file system, path in it) of a shared folder; used inside tasks."""
     from pyarrow import fs

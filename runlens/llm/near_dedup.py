@@ -8,10 +8,13 @@ order agree (sensitive to edit similarity, not to shared vocabulary).
 Classes: texts that share a sketch meet in a bucket. In each bucket the smallest
 node of each length class leads, and the others of its class are verified against
 it, which joins groups of near copies at a cost of one pair a node. In buckets
-that then still hold several classes, every node outside the largest meets every
-node of another class and of a length that allows a link: nothing else is left
-out, whatever the size of the bucket, so a pair that shares a sketch is in one
-class whenever it is near. These pairs are aligned a few of each node at a time,
+that then still hold several classes, every node outside the largest may link with
+nodes of other classes and of a length that allows it. In a bucket of at most
+``SMALL`` nodes they all meet, as pairs. The nodes of a larger one are packed into blocks of about
+``BLOCK_WORDS`` words; blocks with nodes outside the largest class meet every block of the bucket, and a task
+compares what their nodes' lengths and word counts leave, in the bucket of the first sketch that two nodes share, until their classes
+are joined, and sends the links alone: texts that only share a passage cost no row. Nothing else is left
+out, so a pair that shares a sketch is in one class whenever it is near. These pairs are aligned a few of each node at a time,
 without those that have come into one class meanwhile.
 Pairs are linked if the word edit distance
 is at most (1 - ``similarity``) times the longer length: refused if counts of the
@@ -42,10 +45,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runlens.llm.common import checked, free_name, staged, table, work_dir
+from runlens.llm.common import checked, discard, free_name, staged, table, work_dir
 from runlens.llm.ragged import groups
 from runlens.llm.shingles import shingle_hashes, word_hashes
 
@@ -53,7 +56,10 @@ WORDS = 5
 SKETCHES = 32
 BINS = 128  # classes of words that are counted
 SIMILARITY = 0.8
+SMALL = 32  # nodes of a bucket that all meet as pairs
+BLOCK_WORDS = 1 << 16  # words of a block of a larger bucket
 BATCH_ROWS = 1000
+BATCH_BYTES = 16 << 20
 POSITION_BITS = 20
 
 _rng = np.random.default_rng(310)
@@ -69,7 +75,8 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 
 def _labelled(s: np.ndarray, doc: np.ndarray) -> np.ndarray:
-    """k-mer hashes with their occurrence number inside the document mixed in."""
+    """k-mer hashes; from the second occurrence on with the occurrence number mixed in, so that a document's labels do not
+    depend on those it is labelled with."""
     key = s ^ _mixed(doc.astype(np.uint64) + np.uint64(1))
     order = np.argsort(key, kind="stable")
     ordered = key[order]
@@ -78,7 +85,7 @@ def _labelled(s: np.ndarray, doc: np.ndarray) -> np.ndarray:
         return s
     number = np.empty(len(s), np.uint64)
     number[order] = np.arange(len(s)) - np.repeat(run, np.diff(np.r_[run, len(s)]))
-    return _mixed(s + number * np.uint64(0xD6E8FEB86659FD93))
+    return np.where(number > 0, _mixed(s + number * np.uint64(0xD6E8FEB86659FD93)), s)
 
 
 def sketch(words: list[np.ndarray], sketches: int = SKETCHES, k: int = WORDS) -> np.ndarray:
@@ -249,6 +256,80 @@ def _possible(similarity: float):
     return run
 
 
+def _near(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
+    limit = int((1 - similarity) * max(len(a), len(b)) + 1e-9)
+    return distance_bound(a, b) <= limit or edit_distance(a, b, limit) is not None
+
+
+def _block(rows: pa.StructArray) -> tuple:
+    """(nodes, classes, word lists, bags, keys) of a block."""
+    words = rows.field("words")
+    cuts, values = np.asarray(words.offsets), np.asarray(words.values)
+    bags_ = np.frombuffer(b"".join(rows.field("bag").to_pylist()), np.uint8).reshape(-1, BINS)
+    keys = np.asarray(rows.field("keys").flatten()).reshape(len(rows), -1)
+    return np.asarray(rows.field("node")), np.asarray(rows.field("root")), [values[i:j] for i, j in zip(cuts[:-1], cuts[1:])], bags_, keys
+
+
+def _linked(similarity: float):
+    """Pairs of blocks (key, a, b) of a bucket -> links between nodes of different classes."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            u, v = [], []
+            for r in range(batch.num_rows):
+                key = batch.column(0)[r].as_py()
+                left, right = (_block(batch.column(c)[r].values) for c in (1, 2))
+                n, m = (np.asarray([len(w) for w in side[2]]) for side in (left, right))
+                longer = np.maximum(n[:, None], m[None, :])
+                may = (left[1][:, None] != right[1][None, :]) & (np.abs(n[:, None] - m[None, :]) <= (1 - similarity) * longer + 1e-9)
+                i, j = np.nonzero(may)
+                found = [np.empty(0, np.int64)] * 3
+                for s in range(0, len(i), 1 << 15):
+                    x, y = i[s:s + (1 << 15)], j[s:s + (1 << 15)]
+                    common = left[4][x] == right[4][y]
+                    place = common.argmax(1)
+                    here = common[np.arange(len(x)), place] & (left[4][x, place] == key)
+                    x, y = x[here], y[here]
+                    least = least_distance(left[3][x], right[3][y])
+                    fits = least <= (1 - similarity) * longer[x, y] + 1e-9
+                    found = [np.r_[f, g[fits]] for f, g in zip(found, (least, x, y))]
+                root = {c: c for c in np.r_[left[1], right[1]].tolist()}
+
+                def of(c: int) -> int:
+                    while root[c] != c:
+                        root[c] = c = root[root[c]]
+                    return c
+
+                for k in np.argsort(found[0], kind="stable").tolist():  # the likeliest first
+                    x, y = int(found[1][k]), int(found[2][k])
+                    p, q = of(int(left[1][x])), of(int(right[1][y]))
+                    if p != q and _near(left[2][x], right[2][y], similarity):
+                        root[p] = q
+                        u.append(int(left[0][x]))
+                        v.append(int(right[0][y]))
+            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
+
+    return run
+
+
+def _large_buckets(rows: DataFrame, nodes: DataFrame, texts: DataFrame, similarity: float, out_dir: str) -> DataFrame:
+    """(u, v) links between the classes of buckets; rows: (node, n, key, root, major)."""
+    words = staged(texts.join(checked(rows.select("node").distinct()), "node", "left_semi").mapInArrow(_words, "node long, words array<int>")
+                   .dropDuplicates(["node"]), f"{out_dir}-words")
+    sided = rows.select("key", "node", "n", "root", (F.col("root") == F.col("major")).alias("main"))
+    weights = sided.groupBy("key", "main").agg(F.ceil(F.sum(F.col("n") + 100) / BLOCK_WORDS).alias("blocks"))
+    held = nodes.select("node", "bag", "keys").join(words, "node")
+    numbered = sided.join(checked(weights), ["key", "main"]).withColumn("block", F.pmod(F.xxhash64("node"), "blocks"))
+    packed = staged(numbered.join(held, "node").groupBy("key", "main", "block").agg(
+        F.collect_list(F.struct("node", "root", "bag", "keys", "words")).alias("rows")), f"{out_dir}-packed")
+    ids = packed.select("key", "main", "block")
+    met = ids.where("not main").select("key", F.col("block").alias("first")).join(ids, "key").where(F.col("main") | (F.col("block") >= F.col("first")))
+    firsts = packed.where("not main").select("key", F.col("block").alias("first"), F.col("rows").alias("a"))
+    # few bytes stand for much work: a fixed number of partitions, which are not coalesced by their size
+    spread = lambda df: df.repartition(4 * df.sparkSession.sparkContext.defaultParallelism, "key", "main", "block")
+    pairs = spread(met.join(firsts, ["key", "first"])).join(spread(packed.withColumnRenamed("rows", "b")), ["key", "main", "block"])
+    return staged(pairs.select("key", "a", "b").mapInArrow(_linked(similarity), "u long, v long").distinct(), f"{out_dir}-links")
+
+
 def _align(similarity: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows(column):
@@ -258,8 +339,7 @@ def _align(similarity: float):
         for batch in batches:
             near = []
             for a, b in zip(rows(batch.column(2)), rows(batch.column(3))):
-                limit = int((1 - similarity) * max(len(a), len(b)) + 1e-9)
-                near.append(distance_bound(a, b) <= limit or edit_distance(a, b, limit) is not None)
+                near.append(_near(a, b, similarity))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(near, pa.bool_())],
                                              names=["leader", "node", "near"])
 
@@ -285,6 +365,7 @@ def components(edges: DataFrame, out_dir: str) -> DataFrame:
             least.select("u", F.col("m").alias("v"))).distinct()
         now = staged(small, f"{out_dir}/{i}")
         after = sized(now)
+        discard(edges.sparkSession, f"{out_dir}/{i - 1}")
         if after == size:
             break
         size = after
@@ -324,17 +405,21 @@ def _lengths_fit(pairs: DataFrame, lengths: DataFrame, similarity: float) -> Dat
 
 def links(texts: DataFrame, out_dir: str, similarity: float = SIMILARITY, sketches: int = SKETCHES) -> DataFrame:
     """Verified (u, v) links between nodes, as many as connect every class; ``texts`` has node and text, a node may repeat.
-    The jobs run here, with Arrow batches of ``BATCH_ROWS`` whole texts."""
-    conf, setting = texts.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = conf.get(setting)
-    conf.set(setting, str(BATCH_ROWS))
+    The jobs run here, with Arrow batches of at most ``BATCH_ROWS`` whole texts."""
+    conf = texts.sparkSession.conf
+    settings = {"spark.sql.execution.arrow.maxRecordsPerBatch": str(BATCH_ROWS), "spark.sql.execution.arrow.maxBytesPerBatch": str(BATCH_BYTES)}
+    before = {k: conf.get(k) for k in settings}
+    for k, v in settings.items():
+        conf.set(k, v)
     try:
         return _links(texts, out_dir, similarity, sketches)
     finally:
-        conf.set(setting, before)
+        for k, v in before.items():
+            conf.set(k, v)
 
 
 def _links(texts: DataFrame, out_dir: str, similarity: float, sketches: int) -> DataFrame:
+    spark = texts.sparkSession
     nodes = staged(texts.mapInArrow(_sketches(sketches), "node long, n long, keys array<long>, bag binary").dropDuplicates(["node"]),
                    f"{out_dir}/nodes")
     # length classes so wide that near texts are in the same or in neighbouring ones
@@ -347,26 +432,34 @@ def _links(texts: DataFrame, out_dir: str, similarity: float, sketches: int) ->
     one = _verified(pairs, texts, similarity, f"{out_dir}/led")
     near = one.where("near").select(F.col("leader").alias("u"), F.col("node").alias("v"))
     roots = staged(components(near, f"{out_dir}/first"), f"{out_dir}/roots")
+    discard(spark, f"{out_dir}/led", f"{out_dir}/led-words", f"{out_dir}/first")
     # buckets that still hold several classes: every node outside the largest meets every node of another class
     now = staged(rows.join(roots, "node", "left").select("node", "n", "class", "key", F.coalesce("root", "node").alias("root")), f"{out_dir}/rows")
     held = now.groupBy("key", "root").agg(F.count(F.lit(1)).alias("size")).groupBy("key").agg(
-        F.max_by("root", F.struct("size", "root")).alias("major"), F.count(F.lit(1)).alias("several")).where("several > 1")
-    rest = staged(now.join(held.select("key", "major"), "key"), f"{out_dir}/rest")
-    minor = rest.where("root <> major").select(F.col("node").alias("x"), F.col("n").alias("m"), F.col("root").alias("r"), "key",
+        F.max_by("root", F.struct("size", "root")).alias("major"), F.sum("size").alias("total"), F.count(F.lit(1)).alias("several")).where("several > 1")
+    rest = staged(now.join(held.select("key", "major", "total"), "key"), f"{out_dir}/rest")
+    discard(spark, f"{out_dir}/rows")
+    minor = rest.where("root <> major").select(F.col("node").alias("x"), F.col("n").alias("m"), F.col("root").alias("r"), "key", "total",
                                                F.explode(F.expr("sequence(class - 1, class + 1)")).alias("class"))
-    met = rest.join(minor, ["key", "class"]).where((F.col("root") != F.col("r")) & ((F.col("root") == F.col("major")) | (F.col("x") < F.col("node")))
-                                                   & _fits("n", "m", similarity))
-    pairs = met.select(F.least("x", "node").alias("leader"), F.greatest("x", "node").alias("node"), F.greatest("n", "m").alias("longer")).distinct()
+    other = (F.col("root") != F.col("r")) & ((F.col("root") == F.col("major")) | (F.col("x") < F.col("node"))) & _fits("n", "m", similarity)
+    met = rest.where(F.col("total") <= SMALL).join(minor.where(F.col("total") <= SMALL).drop("total"), ["key", "class"]).where(other)
+    across = _large_buckets(rest.where(F.col("total") > SMALL), nodes, texts, similarity, f"{out_dir}/large")
+    discard(spark, f"{out_dir}/large-words", f"{out_dir}/large-packed")
+    sides = [F.least("x", "node").alias("leader"), F.greatest("x", "node").alias("node"), F.greatest("n", "m").alias("longer")]
+    pairs = met.select(*sides).distinct()
     left = _candidates(pairs.join(one, ["leader", "node"], "left_anti"), nodes, similarity, f"{out_dir}/met")
-    links = roots.select(F.col("root").alias("u"), F.col("node").alias("v"))
+    links = roots.select(F.col("root").alias("u"), F.col("node").alias("v")).unionByName(across)
     # a few pairs of each node first; those that classes have joined by then need no alignment
     i = 0
     while not left.isEmpty():
-        place = F.row_number().over(Window.partitionBy("leader").orderBy(F.xxhash64("node"), "node"))
-        ranked = staged(left.withColumn("place", place), f"{out_dir}/ranked-{i}")
-        judged = _verified(ranked.where(F.col("place") <= 4 ** (i + 1)).select("leader", "node"), texts, similarity, f"{out_dir}/round-{i}")
+        # about 4 ** (i + 1) pairs of each leader, dealt by a hash, so that no leader's pairs go to one task
+        many = checked(left.groupBy("leader").agg(F.count(F.lit(1)).alias("pairs")).where(F.col("pairs") > 4 ** (i + 1)))
+        turns = F.ceil(F.coalesce("pairs", F.lit(1)) / 4 ** (i + 1))
+        ranked = staged(left.join(many, "leader", "left").select("leader", "node", (F.pmod(F.xxhash64("leader", "node"), turns) == 0).alias("now")),
+                        f"{out_dir}/ranked-{i}")
+        judged = _verified(ranked.where("now").select("leader", "node"), texts, similarity, f"{out_dir}/round-{i}")
         links = links.unionByName(judged.where("near").select(F.col("leader").alias("u"), F.col("node").alias("v")))
-        rest = ranked.where(F.col("place") > 4 ** (i + 1)).select("leader", "node")
+        rest = ranked.where("not now").select("leader", "node")
         if rest.isEmpty():
             break
         roots = staged(components(links, f"{out_dir}/joined-{i}"), f"{out_dir}/roots-{i}")
@@ -374,6 +467,7 @@ def _links(texts: DataFrame, out_dir: str, similarity: float, sketches: int) ->
         left = staged(rest.join(roots.select("node", F.col("root").alias("r")), "node", "left").join(
             roots.select(F.col("node").alias("leader"), F.col("root").alias("s")), "leader", "left").where(
             F.coalesce("r", "node") != F.coalesce("s", "leader")).select("leader", "node"), f"{out_dir}/left-{i}")
+        discard(spark, f"{out_dir}/ranked-{i}", f"{out_dir}/round-{i}-words", f"{out_dir}/round-{i}-judged")
         i += 1
     return links
 
