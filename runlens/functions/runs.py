@@ -73,7 +73,7 @@ def run_struct(r: Column) -> Column:
          | events_text.contains("RunCompleted")).alias("success"),
         F.coalesce(F.size(tools), F.lit(0)).cast("long").alias("tool_calls_count"),
         F.size(F.filter(events, lambda e: _text(e).contains("error"))).cast("long").alias("error_count"),
-        F.exists(events, lambda e: _text(e).contains("timeout")).alias("has_timeout"),
+        F.coalesce(F.exists(events, lambda e: _text(e).contains("timeout")), F.lit(False)).alias("has_timeout"),  # a null event is none
         valid.alias("valid"),
     )
 

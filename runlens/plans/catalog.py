@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from runlens.config import (ALL_METRICS, EMPTY_EXPORT_ROW, EXPORT_COLUMNS, FAILURE_METRICS, SPEED_METRICS, TIME_METRICS,
                             TOKEN_METRICS, TOOL_METRICS)
 from runlens.functions.dates import default_range, range_bounds, rendered_dates, request_error
+from runlens.functions.variant_schema import infer_schema, typed_copy
 from runlens.plans import oracle_sql as O
 from runlens.plans.documents import (document_features, flat_projection, normalize_documents, quarantined_documents,
                                      quarantined_runs, run_table, typed_runs)
@@ -25,10 +26,12 @@ from runlens.operators.derive import INT_METRICS, LONG_METRICS
 from runlens.operators.restrict import restrict_to_keys
 from runlens.plans.features import features_from_run_table, features_from_runs
 from runlens.session import shared_dir, tune_session
-from runlens.sources.documents import document_sessions, event_run_records, landing_batches, typed_document_sessions
-from runlens.sources import run_table
+from runlens.sources.documents import (document_sessions, document_sessions_json, event_run_records, landing_batches,
+                                       typed_document_sessions)
+from runlens.sources import documents, run_table, shredded
 from runlens.sources.landing import land_folder, upsert_sessions
 from runlens.sources.run_table import write_run_table
+from runlens.sources.zone_map import read_json_range
 from runlens.sources.tables import (LINEITEM_ORDER, conversation_runs, lineitem_runs,
                                     order_sessions, table)
 
@@ -89,6 +92,22 @@ def normalize_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         "success", "tool_calls_count", "error_count", "has_timeout")
 
 
+def _shredded_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = land_folder(spark, "events-shredded", [f"{sf_dir.rstrip('/')}/events.parquet"], shredded,
+                       lambda tmp: shredded.shredded_runs(event_run_records(spark, sf_dir)).write.parquet(tmp))
+    return spark.read.parquet(path)
+
+
+def shredded_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``normalize_runs`` from the shredded run records."""
+    return shredded.typed_shredded_runs(_shredded_events(spark, sf_dir), ["session_key", "pos"])
+
+
+def shredded_run_success(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``run_success`` from the shredded run records: reads the leaves of status and events only."""
+    return shredded.typed_shredded_runs(_shredded_events(spark, sf_dir), ["session_key", "pos"], ["success"])
+
+
 def run_success(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _event_runs(spark, sf_dir).select("session_key", "pos", "success")
 
@@ -152,6 +171,32 @@ def scan_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.try_variant_get("doc", "$.created_at", "bigint").alias("created_at"))
 
 
+def zone_map_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``scan_sessions`` from raw JSON files: a zone map names the files that overlap the range."""
+    path = land_folder(spark, "documents-json", [f"{sf_dir.rstrip('/')}/documents.parquet"], documents, lambda tmp: (
+        document_sessions_json(spark, sf_dir).withColumn("at", F.get_json_object("json", "$.created_at").cast("long"))
+        .repartitionByRange(16, "at").select(F.col("json").alias("value")).write.text(tmp)))
+    docs = read_json_range(spark, path, f"{path}-zones", *DOC_RANGE)
+    return docs.select(F.try_variant_get("doc", "$._id", "string").alias("doc_key"),
+                       F.try_variant_get("doc", "$.created_at", "bigint").alias("created_at"))
+
+
+def infer_schema_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The schema of the session documents: one row per path with the counts of its types."""
+    return infer_schema(document_sessions(spark, sf_dir)).drop("n_other", "whole")
+
+
+def typed_by_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A typed copy of the session documents, by the inferred schema, landed and read for its basic fields and run count."""
+    docs = document_sessions(spark, sf_dir)
+    path = f"{shared_dir(spark)}/typed-copy-{uuid.uuid4().hex}"
+    typed_copy(docs, infer_schema(docs)).write.parquet(path)
+    return spark.read.parquet(path).select(
+        F.col("_id").alias("session_id"), F.coalesce("agent_data.name", F.lit("")).alias("agent_name"),
+        F.coalesce("agent_data.model.provider", F.lit("")).alias("model_provider"), F.coalesce("agent_data.model.id", F.lit("")).alias("model_id"),
+        "created_at", F.coalesce(F.size("memory.runs"), F.lit(0)).cast("long").alias("run_count"))
+
+
 def project_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The job's flat projection: session id from ``_id``, agent fields, time, runs."""
     rows = flat_projection(document_sessions(spark, sf_dir))
@@ -309,6 +354,8 @@ def _queries() -> dict[str, Query]:
         "conversation_features": conversation_features,
         "normalize_runs": normalize_runs,
         "run_success": run_success,
+        "shredded_runs": shredded_runs,
+        "shredded_run_success": shredded_run_success,
         "run_timeouts": run_timeouts,
         "run_errors": run_errors,
         "event_features": event_features,
@@ -320,6 +367,9 @@ def _queries() -> dict[str, Query]:
         "quarantine_runs": quarantine_runs,
         "landed_upsert": landed_upsert,
         "scan_sessions": scan_sessions,
+        "zone_map_scan": zone_map_scan,
+        "infer_schema": infer_schema_q,
+        "typed_by_schema": typed_by_schema,
         "project_sessions": project_sessions,
         "basic_features": basic_features,
         "format_timestamps": format_timestamps,
@@ -365,6 +415,11 @@ def oracle_sql() -> dict[str, str]:
         "quarantine_runs": O.QUARANTINE_RUNS_SQL,
         "landed_upsert": O.LANDED_UPSERT_SQL,
         "scan_sessions": O.scan_sessions_sql(*range_bounds(*DOC_RANGE)),
+        "zone_map_scan": O.scan_sessions_sql(*range_bounds(*DOC_RANGE)),
+        "infer_schema": O.INFER_SCHEMA_SQL,
+        "typed_by_schema": O.PROJECT_SESSIONS_SQL,
+        "shredded_runs": O.EVENT_RUNS_SELECT,
+        "shredded_run_success": f"SELECT session_key, pos, success FROM ({O.EVENT_RUNS_SELECT})",
         "project_sessions": O.PROJECT_SESSIONS_SQL,
         "basic_features": O.BASIC_FEATURES_SQL,
         "format_timestamps": O.FORMAT_TIMESTAMPS_SQL,

@@ -294,6 +294,48 @@ QUARANTINE_RUNS_SQL = f"""
 SELECT doc_key, CAST(i - 1 AS BIGINT) AS pos, '$.memory.runs[' || CAST(i - 1 AS VARCHAR) || '].tools' AS json_path
 FROM ({DOC_LINES}) WHERE (d + i) % 29 = 0"""
 
+_RUN = "$.memory.runs[*]"
+# path -> (rows, what of them counts as n, and the kind of value by condition), from how the documents are made
+_PATHS = {
+    "$": ("base", "1", {"object": "true"}),
+    "$._id": ("base", "1", {"string": "true"}),
+    "$.session_id": ("base", "1", {"string": "true"}),
+    "$.user_id": ("base", "1", {"string": "true"}),
+    "$.created_at": ("base", "1", {"number": "true"}),
+    "$.agent_data": ("base", "1", {"null": "agent_null", "object": "NOT agent_null"}),
+    "$.agent_data.name": ("base WHERE NOT agent_null AND agent_name IS NOT NULL", "1", {"string": "true"}),
+    "$.agent_data.model": ("base WHERE NOT agent_null", "1", {"object": "true"}),
+    "$.agent_data.model.provider": ("base WHERE NOT agent_null AND model_provider IS NOT NULL", "1", {"string": "true"}),
+    "$.agent_data.model.id": ("base WHERE NOT agent_null AND model_id IS NOT NULL", "1", {"string": "true"}),
+    "$.memory": ("base WHERE d % 41 <> 5", "1", {"object": "true"}),
+    "$.memory.runs": ("base WHERE d % 41 <> 5", "1", {"array": "true"}),
+    _RUN: ("lines", "1", {"object": "true"}),
+    f"{_RUN}.status": ("lines", "1", {"string": "true"}),
+    f"{_RUN}.metrics": ("lines", "1", {"object": "true"}),
+    f"{_RUN}.metrics.total_tokens": ("lines", "1", {"array": "L % 17 = 5 OR (d + i) % 2 = 1", "number": "NOT (L % 17 = 5 OR (d + i) % 2 = 1)"}),
+    f"{_RUN}.metrics.total_tokens[*]": ("lines WHERE L % 17 <> 5 AND (d + i) % 2 = 1", "1", {"number": "true"}),
+    f"{_RUN}.metrics.input_tokens": ("lines", "1", {"number": "true"}),
+    f"{_RUN}.metrics.output_tokens": ("lines", "1", {"number": "true"}),
+    f"{_RUN}.metrics.time": ("lines", "1", {"array": "true"}),
+    f"{_RUN}.metrics.time[*]": ("lines", "1", {"null": "d % 37 = 3 AND i = 1", "number": "NOT (d % 37 = 3 AND i = 1)"}),
+    f"{_RUN}.tools": ("lines", "1", {"null": "(d + i) % 29 = 0", "array": "(d + i) % 29 <> 0"}),
+    f"{_RUN}.tools[*]": ("lines WHERE (d + i) % 29 <> 0", "L % 13", {"string": "true"}),
+    f"{_RUN}.events": ("lines", "1", {"array": "true"}),
+    f"{_RUN}.events[*]": ("(SELECT unnest([L % 5 = 1, L % 11 = 2, L % 4 = 3, L % 4 = 3]) AS there, unnest(['s', 's', 's', 'o']) AS e FROM lines) WHERE there",
+                          "1", {"string": "e = 's'", "object": "e = 'o'"}),
+    f"{_RUN}.events[*].error": ("lines WHERE L % 4 = 3", "1", {"null": "true"}),
+}
+
+
+def _path_sql(path: str, rows: str, n: str, kinds: dict[str, str]) -> str:
+    counts = ", ".join(f"CAST(sum(CASE WHEN {kinds.get(k, 'false')} THEN {n} ELSE 0 END) AS BIGINT) AS n_{k}"
+                       for k in ("null", "boolean", "number", "string", "object", "array"))
+    return f"SELECT '{path}' AS path, CAST(sum({n}) AS BIGINT) AS n, {counts} FROM {rows} HAVING sum({n}) > 0"
+
+
+INFER_SCHEMA_SQL = f"WITH base AS ({DOC_BASE}), lines AS ({DOC_LINES})\n" + "\nUNION ALL\n".join(
+    _path_sql(p, *parts) for p, parts in _PATHS.items())
+
 # batch 2 replaces every third document (user and time), batch 1 the others; late documents are in batch 2 only,
 # documents without a key are in both and stay once
 LANDED_UPSERT_SQL = """
