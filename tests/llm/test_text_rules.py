@@ -48,6 +48,28 @@ def test_recurring_templates_go(spark):
     assert got[2] == "" and got[3] == "short line\nshort line"
 
 
+@pytest.mark.parametrize("names", [4, 20])
+def test_two_recurring_fields_are_found_at_any_size(spark, names):
+    """A template whose two fields take recurring values: all lines but the first go, however many there are."""
+    line = "on the way to the old town {} met the mayor of {} again"
+    grid = [line.format(f"name{chr(97 + a)}", f"city{chr(97 + b)}") for a in range(names) for b in range(names)]
+    got = lines_of(spark, grid)
+    assert sum(bool(t) for t in got.values()) == 1 and got[0] == grid[0]
+    unused = [line.format(f"only{chr(97 + a)}", f"place{chr(97 + a)}") for a in range(names)]
+    assert sum(bool(t) for t in lines_of(spark, unused).values()) == 1
+
+
+def test_short_lines_recur_as_they_are(spark):
+    got = lines_of(spark, ["All rights reserved.\nown words", "All  rights reserved.\nother words", "漢字漢字\nAll rights", "漢字漢字\n\n"])
+    assert got == {0: "All rights reserved.\nown words", 1: "other words", 2: "漢字漢字\nAll rights", 3: "\n"}
+
+
+def test_rows_of_numbers_are_no_template(spark):
+    rows = ["12 34 56 78 90", "7 8 9 10 11", "2024-01-02 5 5 goals scored", "2024-01-03 6 7 goals scored", "12 34 56 78 90"]
+    got = lines_of(spark, rows)
+    assert [got[i] for i in range(5)] == rows[:4] + [""]
+
+
 def test_lines_of_one_document_stay(spark):
     same = "this very line is written twice in one document"
     assert lines_of(spark, [f"{same}\n{same}", "another document without that line at all"])[0] == f"{same}\n{same}"
