@@ -4,6 +4,7 @@ folder used for exports and lineage cuts."""
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -49,13 +50,22 @@ def tune_session(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def _qualified(sc, path: str) -> str:
+    """A path without scheme as Spark resolves it (its default file system), so that tasks that open files themselves go
+    to the same place."""
+    if re.match(r"[A-Za-z][\w+.-]*:", path):
+        return path
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(sc._jsc.hadoopConfiguration()).makeQualified(p).toString()
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting points at shared storage and is read as is.
-    Only when it is unset in a local run a fresh folder is created and
+    On a cluster this setting points at shared storage; it is read from the
+    session. Only when it is unset in a local run a fresh folder is created and
     registered as the checkpoint directory; any other master without the
-    setting is an error, as a folder of one machine would lose data.
+    setting, or a remote client, is an error, as a folder of one machine would lose data.
     """
     try:
         sc = spark.sparkContext
@@ -70,13 +80,11 @@ def shared_dir(spark: SparkSession) -> str:
             except Exception:  # older API surface
                 path = None
     if not path:
-        master = "" if sc is None else sc.master
-        if sc is not None and not master.startswith("local["):
+        master = "a remote client" if sc is None else sc.master
+        if not master.startswith("local["):
             raise RuntimeError(f"set spark.checkpoint.dir to a folder that the driver and all executors share (master {master})")
         path = tempfile.mkdtemp(prefix="runlens-ckpt-")
-        if sc is not None:
-            sc.setCheckpointDir(path)
-            path = sc.getCheckpointDir() or path
-        else:
-            spark.conf.set("spark.checkpoint.dir", path)
-    return path.rstrip("/")
+        sc.setCheckpointDir(path)
+        path = sc.getCheckpointDir() or path
+    path = path.rstrip("/")
+    return path if sc is None else _qualified(sc, path)
