@@ -7,12 +7,17 @@ rules: a rule holds if its identifiers follow one another in that sequence
 (sentences that are not licence sentences may stand between). Sentences are cut
 twice, once also at line ends (notices on lines of their own) and once only at
 sentence ends and blank lines (texts wrapped over lines); a rule may hold in either.
+The longest rules come first and take the sentences they match, so a licence whose
+sentences are the beginning of another's is not found in it; "all rights reserved" counts
+only where no licence is recognised.
 
 One projection per row: no shuffle, no join, no UDF. Rows without any word that
 every known sentence must hold one of are answered without cutting.
 
 Defined results: a null or empty text has no licence (empty strings); every
-input row gives one output row, repeated rows included.
+input row gives one output row, repeated rows included; texts of any length are scanned whole; rules
+of equal length go by licence, then by their sentences; an empty table gives no rows; columns of the added names are
+replaced, other columns are carried along.
 """
 
 from __future__ import annotations
@@ -113,8 +118,9 @@ def normalised(sentence: str) -> str:
 
 def _cut(sentence: str) -> list[str]:
     """A known sentence may itself hold sentence ends ("v. 2.0", "software; you"): its parts, as the scan
-    cuts them. Only parts with an anchor word identify a sentence."""
-    parts = [n for n in (normalised(x) for x in re.split(LINE_CUT, sentence)) if any(a in n for a in ANCHORS)]
+    cuts them. Only parts with an anchor word identify a sentence, but for SPDX lines."""
+    spdx = sentence.startswith("SPDX")  # its second part names the licence
+    parts = [n for n in (normalised(x) for x in re.split(LINE_CUT, sentence)) if n and (spdx or any(a in n for a in ANCHORS))]
     assert parts, sentence
     return parts
 
@@ -128,11 +134,15 @@ def sentence_ids() -> dict[str, int]:
     return out
 
 
+LAST_RESORT = "Proprietary"  # only where nothing else is recognised
+
+
 def rules() -> list[tuple[str, str]]:
-    """(licence, identifier sequence as ' 4 7 ')."""
+    """(licence, identifier sequence as ' 4 7 '), the longest first."""
     ids = sentence_ids()
-    return [(licence, " " + " ".join(str(ids[p]) for name in seq for p in _cut(SENTENCES[name])) + " ")
-            for licence, seqs in RULES.items() for seq in seqs]
+    found = [(licence, " " + " ".join(str(ids[p]) for name in seq for p in _cut(SENTENCES[name])) + " ")
+             for licence, seqs in RULES.items() for seq in seqs]
+    return sorted(found, key=lambda r: (-len(r[1].split()), r))
 
 
 def _sequence(text: Column, cut: str, ids: dict[str, int]) -> Column:
@@ -155,10 +165,15 @@ def scan(docs: DataFrame, text_col: str = "text") -> DataFrame:
     out = docs.withColumn("line_sentences", F.when(anchored, _sequence(text, LINE_CUT, ids)).otherwise(""))
     out = out.withColumn("block_sentences", F.when(anchored, _sequence(text, BLOCK_CUT, ids)).otherwise(""))
     padded = F.concat(F.lit(" "), F.col("line_sentences"), F.lit(" | "), F.col("block_sentences"), F.lit(" "))
-    hits = F.array(*[F.when(padded.contains(seq), F.lit(licence)) for licence, seq in rules()])
-    names = F.array_sort(F.array_distinct(F.filter(hits, lambda x: x.isNotNull())))
+    ordered = F.array(*[F.struct(F.lit(licence).alias("licence"), F.lit(seq).alias("seq")) for licence, seq in rules()])
+    start = F.struct(padded.alias("left"), F.array().cast("array<string>").alias("names"))
+    # a rule that matches takes its sentences out of what the next ones see
+    matched = F.aggregate(ordered, start, lambda a, r: F.when(a["left"].contains(r["seq"]), F.struct(
+        F.replace(a["left"], r["seq"], F.lit(" ~ ")).alias("left"), F.array_append(a["names"], r["licence"]).alias("names"))).otherwise(a), lambda a: a["names"])
+    names = F.array_sort(F.array_distinct(matched))
+    others = F.array_remove(names, LAST_RESORT)
     any_found = (F.col("line_sentences") != "") | (F.col("block_sentences") != "")
-    return out.withColumn("licenses", F.when(any_found, F.concat_ws(",", names)).otherwise(""))
+    return out.withColumn("licenses", F.when(any_found, F.concat_ws(",", F.when(F.size(others) > 0, others).otherwise(names))).otherwise(""))
 
 
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -171,7 +186,7 @@ def oracle() -> str:
     """Another route: sentences as rows, joined with the known ones, sequences rebuilt by position."""
     q = lambda s: "'" + s.replace("'", "''") + "'"
     known = ", ".join(f"({q(s)}, {i})" for s, i in sentence_ids().items())
-    ruled = ", ".join(f"({q(licence)}, {q(seq)})" for licence, seq in rules())
+    ruled = ", ".join(f"({i}, {q(licence)}, {q(seq)})" for i, (licence, seq) in enumerate(rules()))
 
     def sequence(cut: str) -> str:
         return f"""SELECT r, string_agg(CAST(k.id AS VARCHAR), ' ' ORDER BY p) AS ids FROM (
@@ -179,11 +194,14 @@ def oracle() -> str:
               SELECT r, string_split_regex(t, {q(cut)}) AS parts FROM d)) x
           JOIN known k ON k.s = trim(regexp_replace(lower(x.s), '[^a-z0-9]+', ' ', 'g')) GROUP BY r"""
 
-    return f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
-      known(s, id) AS (VALUES {known}), ruled(licence, seq) AS (VALUES {ruled}),
+    return f"""WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+      known(s, id) AS (VALUES {known}), ruled(i, licence, seq) AS (VALUES {ruled}),
       a AS ({sequence(LINE_CUT)}), b AS ({sequence(BLOCK_CUT)}),
       f AS (SELECT d.r, doc_id, coalesce(a.ids, '') AS line_sentences, coalesce(b.ids, '') AS block_sentences
             FROM d LEFT JOIN a USING (r) LEFT JOIN b USING (r)),
-      l AS (SELECT r, string_agg(DISTINCT licence, ',' ORDER BY licence) AS licenses FROM f JOIN ruled
-            ON contains(' ' || line_sentences || ' | ' || block_sentences || ' ', seq) GROUP BY r)
+      m AS (SELECT r, 0 AS i, ' ' || line_sentences || ' | ' || block_sentences || ' ' AS x, CAST(NULL AS VARCHAR) AS hit FROM f
+              WHERE line_sentences <> '' OR block_sentences <> ''
+            UNION ALL SELECT m.r, m.i + 1, replace(m.x, u.seq, ' ~ '), CASE WHEN contains(m.x, u.seq) THEN u.licence END FROM m JOIN ruled u ON u.i = m.i),
+      h AS (SELECT DISTINCT r, hit FROM m WHERE hit IS NOT NULL),
+      l AS (SELECT r, coalesce(string_agg(hit, ',' ORDER BY hit) FILTER (hit <> '{LAST_RESORT}'), '{LAST_RESORT}') AS licenses FROM h GROUP BY r)
       SELECT doc_id, coalesce(licenses, '') AS licenses, line_sentences, block_sentences FROM f LEFT JOIN l USING (r)"""
