@@ -55,6 +55,8 @@ from runlens.llm.shingles import shingle_hashes, word_hashes
 WORDS = 5
 SKETCHES = 32
 BINS = 128  # classes of words that are counted
+FINE_BINS = 2048  # the same inside a task that holds the words
+SHORT = 800  # words of texts that are aligned many at a time
 SIMILARITY = 0.8
 SMALL = 32  # nodes of a bucket that all meet as pairs
 BLOCK_WORDS = 1 << 16  # words of a block of a larger bucket
@@ -261,6 +263,46 @@ def _near(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
     return distance_bound(a, b) <= limit or edit_distance(a, b, limit) is not None
 
 
+def near_many(a: list[np.ndarray], b: list[np.ndarray], similarity: float) -> np.ndarray:
+    """Which pairs are near: the table of all pairs at once, column by column inside the widest band among them."""
+    n, m = (np.asarray([len(t) for t in side]) for side in (a, b))
+    limit = ((1 - similarity) * np.maximum(n, m) + 1e-9).astype(np.int64)
+    k, rows = int(limit.max()), np.arange(len(a))
+    x, y = np.zeros((len(a), int(n.max()) + int(m.max()) + 2 * k + 2), np.int32), np.zeros((len(b), int(m.max())), np.int32)
+    for i, (s, t) in enumerate(zip(a, b)):  # what lies outside a text is never part of a path inside the table
+        x[i, k:k + len(s)], y[i, :len(t)] = s, t
+    step = np.arange(2 * k + 1, dtype=np.int16)  # row i of column j stands at i - j + k
+    now = np.broadcast_to(np.where(step >= k, step - k, 16_000).astype(np.int16), (len(a), 2 * k + 1)).copy()
+    out = np.full(len(a), 1 << 30)
+    for j in range(1, int(m.max()) + 1):
+        new = now + (x[:, j - 1:j + 2 * k] != y[:, j - 1:j])
+        np.minimum(new[:, :-1], now[:, 1:] + np.int16(1), out=new[:, :-1])
+        new -= step
+        np.minimum.accumulate(new, axis=1, out=new)
+        new += step
+        now = np.minimum(new, np.int16(16_000))
+        done = rows[m == j]
+        at = n[done] - j + k
+        fits = (at >= 0) & (at <= 2 * k)
+        out[done[fits]] = now[done[fits], at[fits]]
+    return out <= limit
+
+
+def near_pairs(a: list[np.ndarray], b: list[np.ndarray], similarity: float) -> np.ndarray:
+    """Which pairs are near: texts of about one length together, very long ones one by one."""
+    size = np.asarray([max(len(s), len(t)) for s, t in zip(a, b)])
+    out, order, at = np.zeros(len(a), bool), np.argsort(size), 0
+    while at < len(order):
+        if size[order[at]] > SHORT:
+            some = order[at:at + 1]
+            out[some] = _near(a[some[0]], b[some[0]], similarity)
+        else:
+            some = order[at:at + int(np.searchsorted(size[order[at:]], min(SHORT, 1.4 * size[order[at]]), "right"))]
+            out[some] = near_many([a[i] for i in some], [b[i] for i in some], similarity)
+        at += len(some)
+    return out
+
+
 def _block(rows: pa.StructArray) -> tuple:
     """(nodes, classes, word lists, bags, keys) of a block."""
     words = rows.field("words")
@@ -270,6 +312,14 @@ def _block(rows: pa.StructArray) -> tuple:
     return np.asarray(rows.field("node")), np.asarray(rows.field("root")), [values[i:j] for i, j in zip(cuts[:-1], cuts[1:])], bags_, keys
 
 
+def _fine_bags(words: list[np.ndarray]) -> np.ndarray:
+    """Like ``bags``, in so many classes that unrelated words seldom share one."""
+    out = np.empty((len(words), FINE_BINS), np.uint8)
+    for i, w in enumerate(words):
+        out[i] = np.minimum(np.bincount(w.view(np.uint32) & np.uint32(FINE_BINS - 1), minlength=FINE_BINS), 255)
+    return out
+
+
 def _linked(similarity: float):
     """Pairs of blocks (key, a, b) of a bucket -> links between nodes of different classes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -281,15 +331,16 @@ def _linked(similarity: float):
                 n, m = (np.asarray([len(w) for w in side[2]]) for side in (left, right))
                 longer = np.maximum(n[:, None], m[None, :])
                 may = (left[1][:, None] != right[1][None, :]) & (np.abs(n[:, None] - m[None, :]) <= (1 - similarity) * longer + 1e-9)
+                for k in range(int(np.flatnonzero(left[4][0] == key)[0])):  # two nodes that share an earlier sketch meet there
+                    may &= left[4][:, k][:, None] != right[4][:, k][None, :]
                 i, j = np.nonzero(may)
                 found = [np.empty(0, np.int64)] * 3
-                for s in range(0, len(i), 1 << 15):
-                    x, y = i[s:s + (1 << 15)], j[s:s + (1 << 15)]
-                    common = left[4][x] == right[4][y]
-                    place = common.argmax(1)
-                    here = common[np.arange(len(x)), place] & (left[4][x, place] == key)
-                    x, y = x[here], y[here]
-                    least = least_distance(left[3][x], right[3][y])
+                fine = [_fine_bags(side[2]) for side in (left, right)] if len(i) else []
+                for s in range(0, len(i), 1 << 13):
+                    x, y = i[s:s + (1 << 13)], j[s:s + (1 << 13)]
+                    fits = least_distance(left[3][x], right[3][y]) <= (1 - similarity) * longer[x, y] + 1e-9
+                    x, y = x[fits], y[fits]
+                    least = least_distance(fine[0][x], fine[1][y])
                     fits = least <= (1 - similarity) * longer[x, y] + 1e-9
                     found = [np.r_[f, g[fits]] for f, g in zip(found, (least, x, y))]
                 root = {c: c for c in np.r_[left[1], right[1]].tolist()}
@@ -299,13 +350,17 @@ def _linked(similarity: float):
                         root[c] = c = root[root[c]]
                     return c
 
-                for k in np.argsort(found[0], kind="stable").tolist():  # the likeliest first
-                    x, y = int(found[1][k]), int(found[2][k])
-                    p, q = of(int(left[1][x])), of(int(right[1][y]))
-                    if p != q and _near(left[2][x], right[2][y], similarity):
-                        root[p] = q
-                        u.append(int(left[0][x]))
-                        v.append(int(right[0][y]))
+                order = np.argsort(found[0], kind="stable")  # the likeliest first
+                todo, size = list(zip(found[1][order].tolist(), found[2][order].tolist())), 16
+                while todo:  # a few pairs at a time, without those whose classes are one by now
+                    todo = [(x, y) for x, y in todo if of(int(left[1][x])) != of(int(right[1][y]))]
+                    some, todo, size = todo[:size], todo[size:], min(2 * size, 64)
+                    near = near_pairs([left[2][x] for x, _ in some], [right[2][y] for _, y in some], similarity)
+                    for (x, y), hit in zip(some, near.tolist()):
+                        if hit:
+                            root[of(int(left[1][x]))] = of(int(right[1][y]))
+                            u.append(int(left[0][x]))
+                            v.append(int(right[0][y]))
             yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
 
     return run

@@ -144,6 +144,28 @@ def brute_classes(texts, similarity=0.8):
     return [find(i) for i in range(len(texts))]
 
 
+def test_many_alignments_at_once_equal_single_ones():
+    rng = np.random.default_rng(6)
+    a, b = [], []
+    for _ in range(400):
+        x = rng.integers(0, 40, rng.integers(1, 60)).astype(np.int32)
+        y = x.tolist()
+        for _ in range(rng.integers(0, 14)):
+            at = rng.integers(0, len(y) + 1)
+            if rng.random() < 0.5:
+                y.insert(at, int(rng.integers(0, 40)))
+            elif len(y) > 1:
+                y.pop(min(at, len(y) - 1))
+        a.append(x)
+        b.append(np.asarray(y, np.int32))
+    for similarity in (0.8, 0.95, 0.5):
+        want = [near_dedup.edit_distance(x, y, int((1 - similarity) * max(len(x), len(y)) + 1e-9)) is not None for x, y in zip(a, b)]
+        assert near_dedup.near_many(a, b, similarity).tolist() == want and 0 < sum(want) < 400
+        assert near_dedup.near_pairs(a, b, similarity).tolist() == want
+    long = np.arange(near_dedup.SHORT + 50, dtype=np.int32)
+    assert near_dedup.near_pairs([long, long[:30]], [long[::-1].copy(), long[:27]], 0.8).tolist() == [False, True]
+
+
 @pytest.fixture(scope="module")
 def planted():
     rng = random.Random(7)
