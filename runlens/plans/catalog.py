@@ -28,7 +28,8 @@ from runlens.plans.features import features_from_run_table, features_from_runs
 from runlens.session import shared_dir, tune_session
 from runlens.sources.documents import (document_sessions, document_sessions_json, event_run_records, landing_batches,
                                        typed_document_sessions)
-from runlens.sources import documents, run_table, shredded
+from runlens.sources import documents, shredded
+from runlens.sources import run_table as stored_runs
 from runlens.sources.landing import land_folder, upsert_sessions
 from runlens.sources.run_table import write_run_table
 from runlens.sources.zone_map import read_json_range
@@ -62,9 +63,9 @@ def _lineitem_sql(metrics: list[str] | None = None, with_runs: bool = True) -> s
 
 def stored_session_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``session_features`` from a run table that is stored in buckets, in run order (written once)."""
-    path = land_folder(spark, "lineitem-runs", [f"{sf_dir.rstrip('/')}/lineitem.parquet"], run_table,
+    path = land_folder(spark, "lineitem-runs", [f"{sf_dir.rstrip('/')}/lineitem.parquet"], stored_runs,
                        lambda tmp: write_run_table(lineitem_runs(spark, sf_dir), tmp, "session_key", LINEITEM_ORDER))
-    return features_from_run_table(run_table.open_run_table(spark, path), digits=DIGITS)
+    return features_from_run_table(stored_runs.open_run_table(spark, path), digits=DIGITS)
 
 
 OWN_METRICS = ["longest_token_rise", "deepest_token_fall"]
