@@ -2,8 +2,8 @@
 
 The schema of one document is a set of paths with a type; those of many documents
 merge by adding up (path, type) counts, so the aggregate is mergeable and runs with
-map-side partial sums. Objects and arrays are opened level by level with
-``variant_explode``; all elements of an array share the path ``[*]``. A JSON null is a
+map-side partial sums. Objects and arrays are opened with ``variant_explode``, all levels in
+one reading of the documents; all elements of an array share the path ``[*]``. A JSON null is a
 type of its own, told apart from a missing key by the counts.
 
 Columns per path: ``n`` values (nulls included), ``n_null``, ``n_boolean``, ``n_number``,
@@ -12,44 +12,80 @@ Columns per path: ``n`` values (nulls included), ``n_null``, ``n_boolean``, ``n_
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 KINDS = ["null", "boolean", "number", "string", "object", "array", "other"]
+OPENED = 8  # levels of containers opened by one reading
+
 
+_STEP = "\x01"  # before every step of a path while it is counted
 
-def _kind(value: str) -> Column:
-    t = F.schema_of_variant(value)
-    return (F.when(t == "VOID", "null").when(t == "BOOLEAN", "boolean").when(t == "STRING", "string")
-            .when(t.startswith("OBJECT<"), "object").when(t.startswith("ARRAY<"), "array")
-            .when(t.isin("BIGINT", "DOUBLE", "FLOAT") | t.startswith("DECIMAL"), "number").otherwise("other"))
 
+def _type(value: Column) -> Column:
+    """Type of a value. Objects and arrays are told by a shallow cast, so that nothing below them is read."""
+    return (F.when(F.try_variant_get(value, "$", "struct<>").isNotNull(), "OBJECT")
+            .when(F.try_variant_get(value, "$", "array<struct<>>").isNotNull(), "ARRAY").otherwise(F.schema_of_variant(value)))
 
-def _whole(value: str) -> Column:
-    t = F.schema_of_variant(value)
-    return (t == "BIGINT") | t.rlike("^DECIMAL\\(\\d+,0\\)$")
+
+def _kind(t: str) -> str:
+    """Kind of a type; ``whole`` for integers."""
+    if t == "BIGINT" or re.fullmatch(r"DECIMAL\(\d+,0\)", t):
+        return "whole"
+    if t in ("DOUBLE", "FLOAT") or t.startswith("DECIMAL"):
+        return "number"
+    return {"VOID": "null", "BOOLEAN": "boolean", "STRING": "string", "OBJECT": "object", "ARRAY": "array"}.get(t, "other")
+
+
+def _leaves(docs: DataFrame, doc_col: str, opened: int) -> list[tuple[str, str, int, bool, int]]:
+    """(steps, type, parents, closed, values) of the documents opened ``opened`` levels deep, one row for a value that has
+    nothing below it (or is not opened any more). A value stands for itself and for as many of the containers around it,
+    from the innermost, as it is the first one of."""
+    spark = docs.sparkSession
+    rows = docs.select(F.lit("$").alias("steps"), F.col(doc_col).alias("v")).where("v is not null").select(
+        "steps", _type(F.col("v")).alias("type"), F.lit(0).alias("parents"), "v")
+    escaped = F.replace(F.replace("key", F.lit("\x02"), F.lit("\x02a")), F.lit(_STEP), F.lit("\x02b"))
+    step = F.when(F.col("key").isNull(), F.lit(_STEP + "[*]")).otherwise(F.concat(F.lit(_STEP + "."), escaped))
+    leaf = F.col("pos").isNull()
+    for _ in range(opened):
+        rows = rows.lateralJoin(spark.tvf.variant_explode_outer(F.col("v").outer())).select(
+            F.when(leaf, F.col("steps")).otherwise(F.concat("steps", step)).alias("steps"),
+            F.when(leaf, F.col("type")).otherwise(_type(F.col("value"))).alias("type"),
+            F.when(leaf, F.col("parents")).when(F.col("pos") == 0, F.col("parents") + 1).otherwise(0).alias("parents"),
+            F.col("value").alias("v"))
+    closed = F.col("v").isNull() | ~F.col("type").isin("OBJECT", "ARRAY")
+    return [tuple(r) for r in rows.groupBy("steps", "type", "parents", closed.alias("closed")).agg(
+        F.count(F.lit(1)).alias("n")).collect()]  # one row for a path, type and number of parents
+
+
+def _plain(steps: list[str]) -> str:
+    return "".join(s.replace("\x02b", _STEP).replace("\x02a", "\x02") for s in steps)
 
 
 def infer_schema(docs: DataFrame, doc_col: str = "doc", depth: int = 32) -> DataFrame:
     """One row per path of the documents; documents nested deeper than ``depth`` levels are an error. A NULL document
-    has no path."""
-    spark = docs.sparkSession
-    level = docs.select(F.lit("$").alias("path"), F.col(doc_col).alias("v")).where("v is not null")
-    parts = []
-    for _ in range(depth):
-        counted = level.groupBy("path", _kind("v").alias("kind")).agg(F.count(F.lit(1)).alias("n"), F.count(F.when(~_whole("v"), 1)).alias("broken")).collect()
-        parts += [tuple(r) for r in counted]  # one row for a path and type
-        if not any(r["kind"] in ("object", "array") for r in counted):
-            break
-        opened = level.where(_kind("v").isin("object", "array")).lateralJoin(spark.tvf.variant_explode(F.col("v").outer()))
-        step = F.when(F.col("key").isNull(), F.lit("[*]")).otherwise(F.concat(F.lit("."), "key"))
-        level = opened.select(F.concat("path", step).alias("path"), F.col("value").alias("v"))
-    else:
-        raise ValueError(f"documents are nested deeper than {depth} levels")
-    rows = spark.createDataFrame(parts, "path string, kind string, n long, broken long")
+    has no path. The documents are read once, or once more for every doubling of ``OPENED`` that they need."""
+    opened = min(OPENED, depth - 1)
+    leaves = _leaves(docs, doc_col, opened)
+    while not all(r[3] for r in leaves):
+        if opened == depth - 1:
+            raise ValueError(f"documents are nested deeper than {depth} levels")
+        opened = min(2 * opened, depth - 1)
+        leaves = _leaves(docs, doc_col, opened)
+    counts: Counter = Counter()
+    for steps, t, parents, _, n in leaves:
+        at = steps.split(_STEP)
+        counts[_plain(at), _kind(t)] += n
+        for k in range(len(at) - 1, len(at) - 1 - parents, -1):
+            counts[_plain(at[:k]), "array" if at[k].startswith("[") else "object"] += n
+    rows = docs.sparkSession.createDataFrame([(*k, n) for k, n in counts.items()], "path string, kind string, n long")
+    number = F.col("kind").isin("whole", "number")
     return rows.groupBy("path").agg(
-        F.sum("n").alias("n"), *[F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("n"))), F.lit(0)).alias(f"n_{k}") for k in KINDS],
-        (F.coalesce(F.sum(F.when(F.col("kind") == "number", F.col("broken"))), F.lit(0)) == 0).alias("whole"))
+        F.sum("n").alias("n"), *[F.coalesce(F.sum(F.when(number if k == "number" else F.col("kind") == k, F.col("n"))), F.lit(0)).alias(f"n_{k}") for k in KINDS],
+        (F.coalesce(F.sum(F.when(F.col("kind") == "number", F.col("n"))), F.lit(0)) == 0).alias("whole"))
 
 
 def _children(paths: dict[str, dict], at: str) -> dict[str, str]:

@@ -112,6 +112,47 @@ def test_schema_of_mixed_documents(spark):
         infer_schema(variants(spark, ["[" * 6 + "]" * 6]), depth=4)
 
 
+def test_schema_equals_a_walk_and_reads_once(spark):
+    import pyarrow as pa
+
+    texts = ['{"a.b":{"[*]":[1,{"x":[]},[[2.5]]],"\\u0001":{"\\u0002a":null}},"e":{},"f":[],"g":[{},{"h":[[]]}]}', '{"g":[1,"s",{"h":[[true]]}],"f":[[1],[2]]}',
+             '[[1,2],[],{"k":{"l":{"m":{"n":0.5}}}}]', '5', '"s"', 'null', '{}', '[]']
+    want: dict = {}
+
+    def walk(path, v):
+        kind = ("null" if v is None else "boolean" if isinstance(v, bool) else "string" if isinstance(v, str) else "object" if isinstance(v, dict)
+                else "array" if isinstance(v, list) else "number")
+        row = want.setdefault(path, {"n": 0})
+        row["n"] += 1
+        row["n_" + kind] = row.get("n_" + kind, 0) + 1
+        for k, x in v.items() if isinstance(v, dict) else [(None, x) for x in v] if isinstance(v, list) else []:
+            walk(path + ("[*]" if k is None else "." + k), x)
+
+    def schema(docs):
+        return {r["path"]: {k: x for k, x in r.asDict().items() if k[0] == "n" and x} for r in infer_schema(docs).collect()}
+
+    for t in texts:
+        walk("$", json.loads(t))
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    docs = spark.createDataFrame([(t,) for t in texts], "t string").mapInArrow(counted, "t string").select(F.parse_json("t").alias("doc"))
+    assert schema(docs) == want and read.value == len(texts)
+    deep = '{"a":' * 13 + "[1]" + "}" * 13  # needs more levels than one reading opens
+    want.clear()
+    walk("$", json.loads(deep))
+    assert schema(variants(spark, [deep])) == want
+    assert len(schema(variants(spark, ["[[]]", "[1]"]))) == 2
+    with pytest.raises(ValueError, match="deeper"):
+        infer_schema(variants(spark, ["[[]]"]), depth=2)
+    with pytest.raises(ValueError, match="deeper"):
+        infer_schema(variants(spark, ["{}"]), depth=1)
+
+
 def test_typed_copy_keeps_the_values(spark):
     docs = variants(spark, ['{"a":1,"b":{"c":[1,2.5,null]},"m":1}', '{"a":3,"m":"x"}', '{"b":{"c":[]},"m":[1]}'])
     typed = typed_copy(docs, infer_schema(docs))
