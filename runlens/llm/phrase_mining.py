@@ -10,8 +10,9 @@ that hold whole ranges of subtrees as (word ids, count) tables, into which the
 phrases of a group of texts are merged. A container that grows beyond ``BURST``
 entries bursts: between two first words, or, if it holds one first word only, between two second
 words, and so on. When a task's containers hold more than ``HELD`` entries, the largest are spilled whole, as
-sorted runs of (language, phrase, count), and Spark's sort and shuffle merges the runs
-per prefix partition: by language and the first two words, so a frequent first word is no hot key.
+sorted runs of (language, phrase, count), and Spark's shuffle merges the runs
+per prefix partition: by language and the first two words, so a frequent first word is no hot key. A run leaves its task
+packed, one row for a prefix partition, as single phrases would take several times the bytes.
 
 Three passes over the texts: words; pairs of frequent words; phrases of three and
 more words whose pairs are all frequent. No part of a phrase is rarer than the phrase, so
@@ -47,11 +48,15 @@ BURST = 1 << 16  # entries of a container
 HELD = 1 << 20  # entries of all containers of a task
 KNOWN = 1 << 20  # words a task numbers before it starts anew
 GROUP_BYTES = 4 << 20
+PACK_BYTES = 32 << 20  # of runs packed together
 WORD_BITS = 21
 FEW = 200_000  # phrases broadcast at most
 
+PARTS = 4096  # prefix partitions: hashes of language and first two words
 COUNTS = "lang string, phrase string, n long"
+PACKED = "part int, lang string, phrases string, ns array<long>"
 _SCHEMA = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("n", pa.int64())])
+_RUN = _SCHEMA.append(pa.field("part", pa.int32()))
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _KIND = np.zeros(256, np.uint8)  # 0: of a word, 1: between words, 2: between pieces
@@ -229,7 +234,7 @@ class Counter:
             yield from self.flush(self.held // 2)
 
     def flush(self, most: int) -> Iterator[pa.RecordBatch]:
-        words, mask = pa.array(self.words, pa.binary()), (1 << WORD_BITS) - 1
+        words, mask, h = pa.array(self.words, pa.binary()), (1 << WORD_BITS) - 1, np.asarray(self.hashes, np.uint64)
         share = most // max(1, len(self.tries))
         for lang, trie in self.tries.items():
             for a, b, n in trie.spill(share):
@@ -240,8 +245,9 @@ class Counter:
                     parts = [words.take(pa.array(v)) if i < 2 else pc.if_else(pa.array(v > 0), words.take(pa.array(v)), pa.scalar(None, pa.binary()))
                              for i, v in enumerate(ids)]
                     text = pc.binary_join_element_wise(*parts, b" ", null_handling="skip")
-                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(x), pa.binary()).cast(pa.string()), text.cast(pa.string()), pa.array(m)],
-                                                     schema=_SCHEMA)
+                    part = (_pair_slots(h[ids[0]], h[ids[1]]) % np.uint64(PARTS)).astype(np.int32)
+                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(x), pa.binary()).cast(pa.string()), text.cast(pa.string()), pa.array(m),
+                                                      pa.array(part)], schema=_RUN)
 
 
 def _by_lang(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bytes, list[bytes]]]:
@@ -277,12 +283,35 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from flush()
 
 
+def _packed(runs: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Phrases of one language, one row for a prefix partition: phrases on lines of their own, their counts."""
+    if not runs:
+        return
+    rows = pa.Table.from_batches(runs).combine_chunks()
+    order = np.argsort(np.asarray(rows.column("part")), kind="stable")
+    lang, phrase, n, part = (x.combine_chunks() for x in rows.take(pa.array(order)).columns)
+    at = np.asarray(part)
+    first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
+    offsets = pa.array(np.r_[first, len(at)], pa.int32())
+    yield pa.RecordBatch.from_arrays([part.take(pa.array(first)), lang.take(pa.array(first)), pc.binary_join(pa.ListArray.from_arrays(offsets, phrase), "\n"),
+                                      pa.ListArray.from_arrays(offsets, n)], names=["part", "lang", "phrases", "ns"])
+
+
 def _count_phrases(frequent, pairs):
+    def packed(runs: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for run in runs:
+            if held and (run.column(0)[0] != held[0].column(0)[0] or sum(x.nbytes for x in held) >= PACK_BYTES):
+                yield from _packed(held)
+                held = []
+            held.append(run)
+        yield from _packed(held)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter(frequent.value, pairs and pairs.value)
         for lang, texts in _by_lang(batches):
-            yield from counter.add(lang, texts)
-        yield from counter.flush(0)
+            yield from packed(counter.add(lang, texts))
+        yield from packed(counter.flush(0))
 
     return run
 
@@ -310,10 +339,9 @@ def _filter(phrases: DataFrame):
 
 
 def _merged(runs: DataFrame, least: int) -> DataFrame:
-    """Frequent phrases: the tasks' sorted runs merged per prefix partition (language and first two words)."""
-    head = F.substring_index("phrase", " ", 2)
-    return runs.withColumn("head", head).repartition("lang", "head").groupBy("lang", "head", "phrase").agg(
-        F.sum("n").alias("f")).where(F.col("f") >= least).select("lang", "phrase", "f")
+    """Frequent phrases: the tasks' packed runs merged per prefix partition (language and first two words)."""
+    rows = runs.repartition("part").select("part", "lang", F.explode(F.arrays_zip(F.split("phrases", "\n").alias("phrase"), F.col("ns").alias("n"))).alias("x"))
+    return rows.groupBy("part", "lang", "x.phrase").agg(F.sum("x.n").alias("f")).where(F.col("f") >= least).select("lang", "phrase", "f")
 
 
 def frequent_phrases(docs: DataFrame, out: str, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
@@ -325,9 +353,9 @@ def frequent_phrases(docs: DataFrame, out: str, least: int = LEAST) -> tuple[Dat
     totals = words.where("phrase = ''").select("lang", F.col("f").alias("n"))
     single = words.where((F.col("phrase") != "") & (F.col("f") >= least))
     known = _filter(single)
-    pairs = staged(_merged(src.mapInArrow(_count_phrases(known, None), COUNTS), least), f"{out}/pairs")
+    pairs = staged(_merged(src.mapInArrow(_count_phrases(known, None), PACKED), least), f"{out}/pairs")
     known_pairs = _filter(pairs)
-    longer = staged(_merged(src.mapInArrow(_count_phrases(known, known_pairs), COUNTS), least), f"{out}/longer")
+    longer = staged(_merged(src.mapInArrow(_count_phrases(known, known_pairs), PACKED), least), f"{out}/longer")
     known.unpersist()
     known_pairs.unpersist()
     every = single.unionByName(pairs).unionByName(longer)

@@ -11,6 +11,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -310,3 +311,30 @@ def test_pruned_graph_is_searched_in_full():
         for a in range(len(kept)):
             for b in range(a):
                 assert flat_graph.ALPHA * np.linalg.norm(x[kept[a]] - x[kept[b]]) >= np.linalg.norm(x[i] - x[kept[a]]) - 1e-9
+
+
+def test_packed_runs_hold_every_phrase_once_a_partition(monkeypatch):
+    """A task's phrases leave it in few rows, whose lines and counts are those of the single phrases."""
+    monkeypatch.setattr(phrase_mining, "PARTS", 16)
+
+    class Bits:
+        value = np.full(phrase_mining.SLOTS // 8, 255, np.uint8)
+
+    docs = [(x or "und", t) for x, t in random_texts(4, 200)]
+    batch = pa.RecordBatch.from_arrays([pa.array([x for x, _ in docs]), pa.array([t for _, t in docs])], names=["lang", "text"])
+    for pairs in (None, Bits):
+        want, sums, rows, part_of = Counter(), Counter(), 0, {}
+        single = phrase_mining.Counter(Bits.value, pairs and Bits.value)
+        for lang, texts in phrase_mining._by_lang(iter([batch])):
+            for b in single.add(lang, texts):
+                want.update(dict(zip(zip(*(b.column(i).to_pylist() for i in (0, 1))), b.column(2).to_pylist())))
+        for b in single.flush(0):
+            want.update(dict(zip(zip(*(b.column(i).to_pylist() for i in (0, 1))), b.column(2).to_pylist())))
+        for b in phrase_mining._count_phrases(Bits, pairs)(iter([batch])):
+            for part, lang, phrases, ns in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                rows += 1
+                for p, n in zip(phrases.split("\n"), ns, strict=True):
+                    sums[lang, p] += n
+                    head = (lang, *p.split(" ")[:2])
+                    assert part_of.setdefault(head, part) == part
+        assert sums == want and rows < len(want) / 2
