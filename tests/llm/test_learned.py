@@ -83,6 +83,33 @@ def test_decisions_are_a_distribution():
     assert first == pytest.approx(1.0, abs=1e-6) and np.exp(np.bincount(bits.word, each)).sum() < 1
 
 
+def test_words_of_a_block_equal_their_definition():
+    texts = [b"The  cat\tthe Cat\x0bsat", b"", b" \n ", "été the\x85x".encode(), b"cat"]
+    words = lm_score.Words(np.random.default_rng(3).normal(size=(256, 3)))
+    token, gate, counts = words.tokens(texts[:2])
+    more = words.tokens(texts[2:])
+    token, gate, counts = (np.r_[a, b] for a, b in zip((token, gate, counts), more))
+    spelled = [list(words.number)[i] if i >= 0 else b"\n" for i in token]
+    want = [w.encode() for t in texts for w in words_of(t.decode())]
+    assert spelled == want and counts.tolist() == [len(words_of(t.decode())) for t in texts]
+    at = 0
+    for n in counts:
+        pull = np.zeros(3)
+        for i in range(at, at + n):
+            assert gate[i] == (8 if i == at else sum((pull[k] >= 0) << k for k in range(3)))
+            pull = pull + words.directions[np.frombuffer(spelled[i], np.uint8)].sum(axis=0)
+        at += n
+
+
+def test_scores_do_not_depend_on_files(spark):
+    docs = table(spark, SF_SMALL, "documents").select("doc_id", "text")
+    found = []
+    for n in (1, 5):
+        split = staged(docs.repartition(n, "doc_id"), work_dir(spark, "t"))
+        found.append({r.doc_id: r.score for r in lm_score.score_documents(split).select("doc_id", "score").collect()})
+    assert found[0].keys() == found[1].keys() and all(found[1][i] == pytest.approx(x, rel=1e-6) for i, x in found[0].items())
+
+
 def test_tree_is_a_distribution():
     counts = np.random.default_rng(2).integers(0, 50, (40, lm_score.GATES)).astype(float)
     assert np.allclose((10 ** lm_score.Tree(counts).scores()).sum(axis=0), 1)
