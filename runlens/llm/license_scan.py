@@ -12,7 +12,8 @@ sentences are the beginning of another's is not found in it; "all rights reserve
 only where no licence is recognised.
 
 One projection per row: no shuffle, no join, no UDF. Rows without any word that
-every known sentence must hold one of are answered without cutting.
+every known sentence must hold one of are answered without cutting; the names in SPDX lines,
+which hold none, are looked for as words before a sentence or line end.
 
 Defined results: a null or empty text has no licence (empty strings); every
 input row gives one output row, repeated rows included; texts of any length are scanned whole; rules
@@ -134,6 +135,12 @@ def sentence_ids() -> dict[str, int]:
     return out
 
 
+def _unanchored() -> str:
+    """What a text without anchor words must hold to have an identified sentence: one without such a word, up to where a cut may follow."""
+    bare = ["[^a-z0-9]+".join(s.split()) for s in sentence_ids() if not any(a in s for a in ANCHORS)]
+    return rf"(?<![a-z0-9])(?:{'|'.join(bare)})[^a-z0-9.!?;:\r\n]*+(?:[.!?;:\r\n]|$)"
+
+
 LAST_RESORT = "Proprietary"  # only where nothing else is recognised
 
 
@@ -158,10 +165,11 @@ def scan(docs: DataFrame, text_col: str = "text") -> DataFrame:
     ids = sentence_ids()
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     low = F.lower(text)
-    # every identified sentence holds an anchor, so a row without any has no sentence to find
+    # every identified sentence holds an anchor or is a bare name, so a row without any has no sentence to find
     anchored = F.lit(False)
     for a in ANCHORS:
         anchored = anchored | low.contains(a)
+    anchored = anchored | low.rlike(_unanchored())
     out = docs.withColumn("line_sentences", F.when(anchored, _sequence(text, LINE_CUT, ids)).otherwise(""))
     out = out.withColumn("block_sentences", F.when(anchored, _sequence(text, BLOCK_CUT, ids)).otherwise(""))
     padded = F.concat(F.lit(" "), F.col("line_sentences"), F.lit(" | "), F.col("block_sentences"), F.lit(" "))

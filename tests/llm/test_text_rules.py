@@ -199,3 +199,13 @@ def test_top_k_queries_in_blocks(spark):
     df = spark.read.parquet(f"{SF_SMALL}/embeddings.parquet")
     asked = df.where("vec_id % 20 = 0")
     assert sorted(map(tuple, topk_search.top_k(df, asked, query_block=7).collect())) == sorted(map(tuple, topk_search.top_k(df, asked).collect()))
+
+
+def test_bare_names_are_sentences_in_any_text(spark):
+    """"Mit." is a sentence that an SPDX line may hold: it is identified whether or not the text has a word of the other sentences."""
+    texts = ["Sie kam.\n- Mit.\nDann", "(MIT)", "Er kam; mit! Licence", "Apache-2.0\n\nnothing else", "Er kam mit. Dann", "mit\nihm", "commit.", ""]
+    got = license_scan.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    ids = license_scan.sentence_ids()
+    mit, apache = str(ids["mit"]), str(ids["apache 2 0"])
+    assert [(r.line_sentences, r.block_sentences) for r in sorted(got, key=lambda r: r.doc_id)] == [
+        (mit, mit), (mit, mit), (mit, mit), (apache, apache), ("", ""), (mit, ""), ("", ""), ("", "")]
