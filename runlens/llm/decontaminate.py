@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from runlens.llm.common import table, words_of
-from runlens.llm.ragged import groups
+from runlens.llm.ragged import text_groups
 from runlens.llm.shingles import shingle_hashes, word_hashes
 
 WORDS = 5
@@ -173,7 +173,7 @@ def contained_items(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id
     def search(index):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for start, texts in groups([t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()]):
+                for start, texts in text_groups(batch.column(1)):
                     rows = [(batch.column(0)[start + d].as_py(), i, a, b) for d, i, a, b in index.value.search(texts)]
                     if rows:
                         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)],
@@ -193,8 +193,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
     def keep(index):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                column = [t or b"" for t in batch.column(at).cast(pa.binary()).to_pylist()]
-                bad = {start + d for start, texts in groups(column) for d, *_ in index.value.search(texts)}
+                bad = {start + d for start, texts in text_groups(batch.column(at)) for d, *_ in index.value.search(texts)}
                 yield batch.filter(pa.array([i not in bad for i in range(batch.num_rows)], pa.bool_()))
 
         return run

@@ -49,7 +49,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from runlens.llm.common import checked, discard, free_name, staged, table, work_dir
-from runlens.llm.ragged import groups
+from runlens.llm.ragged import text_groups
 from runlens.llm.shingles import shingle_hashes, word_hashes
 
 WORDS = 5
@@ -212,14 +212,10 @@ def edit_distance(a: np.ndarray, b: np.ndarray, limit: int) -> int | None:
     return distance if distance <= limit else None
 
 
-def _column(batch: pa.RecordBatch, at: int) -> list[bytes]:
-    return [t or b"" for t in batch.column(at).cast(pa.binary()).to_pylist()]
-
-
 def _sketches(sketches: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, texts in groups(_column(batch, 1)):
+            for start, texts in text_groups(batch.column(1)):
                 words = word_hashes(texts)
                 some = [i for i, w in enumerate(words) if len(w)]
                 if not some:
@@ -238,7 +234,7 @@ def _sketches(sketches: int):
 
 def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for start, texts in groups(_column(batch, 1)):
+        for start, texts in text_groups(batch.column(1)):
             words = [(w >> np.uint64(32)).astype(np.uint32).view(np.int32) for w in word_hashes(texts)]
             offsets = pa.array(np.cumsum([0] + [len(w) for w in words], dtype=np.int32))
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, len(texts)),

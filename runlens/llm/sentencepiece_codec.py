@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from runlens.llm.common import table
-from runlens.llm.ragged import PUNCTUATION, Chunks, groups, hold
+from runlens.llm.ragged import PUNCTUATION, Chunks, hold, text_groups
 
 MARK = "▁"
 CACHE_CHUNKS = 300_000  # chunks a Python worker keeps
@@ -220,7 +220,7 @@ def encode_documents(docs: DataFrame, model: str, text_col: str = "text", with_t
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(model)
         for batch in batches:
-            for start, texts in groups([t or b"" for t in batch.column(text_at).cast(pa.binary()).to_pylist()]):
+            for start, texts in text_groups(batch.column(text_at)):
                 ids, counts = c.encode_texts(texts)
                 ends = np.cumsum(counts)
                 arrays = np.split(ids, ends[:-1])

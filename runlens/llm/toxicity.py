@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from runlens.llm.common import checked, staged, table, work_dir, words_of
-from runlens.llm.ragged import PUNCTUATION, Chunks, groups, hold
+from runlens.llm.ragged import PUNCTUATION, Chunks, hold, text_groups
 
 SLOTS = 1 << 21
 STEMS = range(4, 9)  # characters of the stems
@@ -65,14 +65,15 @@ def _chunk_slots(chunks: list[bytes]) -> list[bytes]:
     return [b"".join(x.tobytes() for x in _slots(words_of(c.decode()))) for c in chunks]
 
 
+_counted: dict = {}  # caches of learning and of scoring: a worker holds one of them
 _state: dict = {}
 
 
 def _counter() -> Chunks:
-    hold(_state)
-    if "count" not in _state:
-        _state["count"] = Chunks(_chunk_slots, np.int32, tails=PUNCTUATION, most=CACHE_CHUNKS)
-    return _state["count"]
+    hold(_counted)
+    if "count" not in _counted:
+        _counted["count"] = Chunks(_chunk_slots, np.int32, tails=PUNCTUATION, most=CACHE_CHUNKS)
+    return _counted["count"]
 
 
 def held_out(id_col: str) -> Column:
@@ -190,7 +191,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     count = _counter()
     for batch in batches:
         label = np.asarray(batch.column(1))
-        for start, lines in groups(batch.column(0).cast(pa.binary()).to_pylist()):
+        for start, lines in text_groups(batch.column(0)):
             slots, n = count(lines)
             of = np.repeat(label[start:start + len(lines)], n)
             for y in (0, 1):
@@ -205,7 +206,7 @@ def _histogram(model: Model):
     """Counts of word scores (to 0.01) in (text, y) rows labelled clean."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, texts in groups(batch.column(0).cast(pa.binary()).to_pylist()):
+            for _, texts in text_groups(batch.column(0)):
                 values, n = np.unique(np.round(np.concatenate(model.word_scores(texts)) * 100).astype(np.int32), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(values), pa.array(n)], names=["s", "n"])
 
@@ -235,7 +236,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, found = [], []
-            for _, texts in groups(batch.column(0).cast(pa.binary()).to_pylist()):
+            for _, texts in text_groups(batch.column(0)):
                 for scores in model.word_scores(texts):
                     n.append(len(scores))
                     found.append([s for _, _, s in segments(scores)])
@@ -269,7 +270,7 @@ def score_documents(docs: DataFrame, model: Model, text_col: str = "text") -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, texts in groups([t or b"" for t in batch.column(at).cast(pa.binary()).to_pylist()]):
+            for start, texts in text_groups(batch.column(at)):
                 evidence, passages = [], []
                 for scores in model.word_scores(texts):
                     found = segments(scores)

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import tracemalloc
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from runlens.llm import ragged, toxicity
 from runlens.llm import sentencepiece_codec as sp
 from runlens.llm import token_output as to
 from runlens.llm.common import table, work_dir
@@ -122,3 +125,28 @@ def test_orc_is_pruned_by_document(spark):
     to.write_tokens(docs, path, public_tokenizers.path("byte_bpe_50k.json"))
     one = to.read_tokens(spark, path).where(F.col("doc_id") == 17)
     assert one.count() == 1 and "EqualTo(doc_id,17)" in one._jdf.queryExecution().toString()
+
+
+@pytest.mark.parametrize("kind", [pa.string(), pa.large_string()])
+def test_a_text_column_is_taken_out_group_by_group(kind):
+    texts = [f"{i} " * (i % 900) for i in range(10_000)]
+    texts[::7], texts[5] = [None] * len(texts[::7]), "x" * 100_000
+    column = pa.array(["not read", *texts], kind).slice(1)
+    plain = [(t or "").encode() for t in texts]
+    assert list(ragged.text_groups(column, 50_000)) == list(ragged.groups(plain, 50_000))
+    assert list(ragged.text_groups(column.slice(0, 0))) == []
+    tracemalloc.start()
+    try:
+        assert sum(sum(map(len, g)) for _, g in ragged.text_groups(column, 200_000)) == sum(map(len, plain))
+        assert tracemalloc.get_traced_memory()[1] < sum(map(len, plain)) / 10
+    finally:
+        tracemalloc.stop()
+
+
+def test_a_worker_holds_one_cache_of_the_toxicity_stage():
+    class Scores:
+        value = np.zeros(toxicity.SLOTS, np.float32)
+
+    toxicity._counter()([b"some words of a line"])
+    toxicity.Model("m", Scores, 1.0, 1.0, []).word_scores([b"some words of a line"])
+    assert [len(x.known) for state in ragged._held for x in state.values() if isinstance(x, ragged.Chunks)] == [5]
