@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runlens.llm.common import checked, staged, table, work_dir, words_of
+from runlens.llm.common import checked, staged, table, work_dir
 from runlens.llm.ragged import PUNCTUATION, Chunks, hold, text_groups
 
 SLOTS = 1 << 21
@@ -49,20 +49,115 @@ ALPHA = 0.05
 CLASS_WIDTH = 2.0  # evidence classes: 0, then (0, 2], (2, 4], ... up to CLASSES
 CLASSES = 20
 CACHE_CHUNKS = 250_000  # chunks a Python worker keeps
-
-
-def features(word: str) -> list[str]:
-    """A word and its stems: inflected and compound forms share the evidence of their first characters."""
-    return [word, *(word[:k] + "-" for k in STEMS if k < len(word))]
-
-
-def _slots(words: list[str]) -> list[np.ndarray]:
-    return [np.asarray([zlib.crc32(f.encode()) % SLOTS for f in features(w)], np.int32) for w in words]
+HASHED_BYTES = 48  # bytes of a word that are hashed by array operations, all stems among them
+
+
+def _crc_table() -> np.ndarray:
+    """Table of zlib's crc32: entry b is the register after byte b alone."""
+    table = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        table = np.where(table & 1, table >> 1 ^ np.uint32(0xEDB88320), table >> 1).astype(np.uint32)
+    return table
+
+
+_CRC = _crc_table()
+_LETTERS = np.full(0x110000, -1, np.int8)  # filled as code points are met
+
+
+def _letters(points: np.ndarray) -> np.ndarray:
+    """1 for code points that are letters or digits, else 0; each is looked up once per worker."""
+    found = _LETTERS[points]
+    if (found < 0).any():
+        new = np.unique(points[found < 0])
+        _LETTERS[new] = [chr(c).isalnum() for c in new.tolist()]
+        found = _LETTERS[points]
+    return found
+
+
+def _after(register: np.ndarray, byte) -> np.ndarray:
+    """crc32 registers after one more byte."""
+    return _CRC[(register ^ byte) & np.uint32(255)] ^ register >> np.uint32(8)
+
+
+def _slot(register: np.ndarray) -> np.ndarray:
+    return (~register & np.uint32(SLOTS - 1)).astype(np.int32)
+
+
+def word_slots(chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Slots of the features of all words (``words_of``) of the chunks and the number of words of each chunk.
+
+    A row a word: the word's own slot, then those of its stems, which inflected and compound forms share (a "-" follows
+    the first characters), -1 where the word is no longer than the stem. All words are hashed together, byte by byte.
+    """
+    data = b"\n".join(chunks)
+    sizes = np.fromiter(map(len, chunks), np.int64, len(chunks))
+    if data.isascii():
+        data = data.lower()
+        point = np.frombuffer(data, np.uint8)
+        byte_at = np.arange(len(data) + 1)
+    else:
+        text = data.decode()
+        lower = text.lower()
+        if len(lower) == len(text):  # a chunk has as many characters as before
+            at = np.cumsum(sizes + 1) - 1
+            n_chars = np.concatenate(([0], np.cumsum(np.frombuffer(data, np.uint8) & 0xC0 != 0x80)))
+            sizes = n_chars[at] - n_chars[at - sizes]
+        else:
+            texts = [c.decode().lower() for c in chunks]
+            lower = "\n".join(texts)
+            sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+        data = lower.encode()
+        point = np.frombuffer(lower.encode("utf-32-le"), np.uint32)
+        byte_at = np.zeros(len(point) + 1, np.int64)
+        np.cumsum(1 + (point >= 0x80) + (point >= 0x800) + (point >= 0x10000), out=byte_at[1:])
+    letter = np.zeros(len(point) + 2, np.int8)
+    letter[1:-1] = _letters(point)
+    edges = np.flatnonzero(np.diff(letter))
+    start, end = edges[::2], edges[1::2]
+    begin = np.cumsum(sizes + 1) - sizes - 1
+    counts = np.diff(np.append(np.searchsorted(start, begin), len(start)))
+    slots = np.full((len(start), 1 + len(STEMS)), -1, np.int32)
+    if not len(start):
+        return slots, counts
+    buf = np.frombuffer(data, np.uint8)
+    # longest first: the words that have a further byte are always the first ones
+    order = np.argsort(~np.minimum(byte_at[end] - byte_at[start], HASHED_BYTES).astype(np.uint8), kind="stable")
+    start, end = start[order], end[order]
+    first, n_bytes = byte_at[start], byte_at[end] - byte_at[start]
+    have = len(start) - np.cumsum(np.bincount(np.minimum(n_bytes, HASHED_BYTES), minlength=HASHED_BYTES + 1))
+    found = np.full(slots.shape, -1, np.int32)
+    # bytes of each stem, 0 where the word is no longer
+    stems = [np.where(end - start > k, byte_at[np.minimum(start + k, end)] - first, 0) for k in STEMS]
+    wide = len(data) > len(point)
+    register = np.full(len(start), 0xFFFFFFFF, np.uint32)
+    for j in range(int(min(n_bytes[0], HASHED_BYTES))):
+        n = have[j]
+        register[:n] = _after(register[:n], buf[first[:n] + j])
+        for c, k in enumerate(STEMS, 1):
+            if k == j + 1 or wide and k <= j + 1 <= 4 * k:
+                at = np.flatnonzero(stems[c - 1][:n] == j + 1)
+                found[at, c] = _slot(_after(register[at], ord("-")))
+    found[:, 0] = _slot(register)
+    for i in np.flatnonzero(n_bytes > HASHED_BYTES).tolist():  # rare: words that go on
+        found[i, 0] = zlib.crc32(data[first[i] + HASHED_BYTES:first[i] + n_bytes[i]], int(~register[i])) % SLOTS
+    slots[order] = found
+    return slots, counts
+
+
+def _packed(values: np.ndarray, counts: np.ndarray) -> list[bytes]:
+    """Raw bytes of successive ``counts`` of ``values``."""
+    raw = values.tobytes()
+    ends = np.cumsum(counts) * values.itemsize
+    return [raw[a:b] for a, b in zip((ends - counts * values.itemsize).tolist(), ends.tolist())]
 
 
 def _chunk_slots(chunks: list[bytes]) -> list[bytes]:
     """All features' slots of a chunk's words."""
-    return [b"".join(x.tobytes() for x in _slots(words_of(c.decode()))) for c in chunks]
+    slots, counts = word_slots(chunks)
+    has = slots >= 0
+    before = np.concatenate(([0], np.cumsum(has.sum(axis=1))))
+    last = np.cumsum(counts)
+    return _packed(slots[has], before[last] - before[last - counts])
 
 
 _counted: dict = {}  # caches of learning and of scoring: a worker holds one of them
@@ -139,15 +234,11 @@ class Model:
     alpha: float = ALPHA
 
     def _chunk_scores(self, chunks: list[bytes]) -> list[bytes]:
-        table = self.scores.value
-        out = []
-        for c in chunks:
-            found = []
-            for slots in _slots(words_of(c.decode())):
-                x = table[slots]
-                found.append(x[np.abs(x).argmax()] - DRIFT)
-            out.append(np.asarray(found, np.float32).tobytes())
-        return out
+        slots, counts = word_slots(chunks)
+        x = self.scores.value[slots]
+        x[slots < 0] = 0
+        strongest = x[np.arange(len(x)), np.abs(x).argmax(axis=1)] - np.float32(DRIFT)
+        return _packed(strongest, counts)
 
     def word_scores(self, texts: list[bytes]) -> list[np.ndarray]:
         """Scores of each text's words; chunks are scored once per worker and model."""
@@ -188,14 +279,13 @@ def _monotone(ones: np.ndarray, counts: np.ndarray) -> list[float]:
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Feature slots per label of (line, toxic) rows, summed within the task."""
     total = np.zeros((2, SLOTS), np.int64)
+    flat = total.reshape(-1)
     count = _counter()
     for batch in batches:
-        label = np.asarray(batch.column(1))
+        label = np.asarray(batch.column(1), np.int32)
         for start, lines in text_groups(batch.column(0)):
             slots, n = count(lines)
-            of = np.repeat(label[start:start + len(lines)], n)
-            for y in (0, 1):
-                total[y] += np.bincount(slots[of == y], minlength=SLOTS)
+            np.add.at(flat, np.repeat(label[start:start + len(lines)] * np.int32(SLOTS), n) + slots, 1)
     at = np.flatnonzero(total.any(axis=0))
     if len(at):
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[1][at]), pa.array(total[0][at])],

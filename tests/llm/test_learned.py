@@ -5,15 +5,19 @@ from __future__ import annotations
 import math
 import random
 import re
+import sys
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from runlens.llm import lm_score, near_dedup, toxicity
 from runlens.llm.common import staged, table, work_dir
+from runlens.llm.common import words_of as plain_words
 
 SF_SMALL = "/root/testdata/sf0.001"
 SF_MID = "/root/testdata/sf0.01"
@@ -299,6 +303,62 @@ def test_segments_equal_their_definition():
         assert got == brute_segments(s)
 
 
+def word_features(word):
+    """The word and its stems, as slots."""
+    return [zlib.crc32(x.encode()) % toxicity.SLOTS for x in [word, *(word[:k] + "-" for k in toxicity.STEMS if k < len(word))]]
+
+
+def odd_chunks():
+    rng = random.Random(11)
+    signs = "aAbBzZ09_-.,' \n\t\x00éÉßΣσς漢字𝒳ﬁǅ²½٣\u0301"
+    drawn = ["".join(rng.choice(signs if rng.random() < .6 else "abcdefgh") for _ in range(rng.choice([0, 1, 3, 8, 12, 30, 80])))
+             for _ in range(3000)]
+    drawn += [x * n for x in ("x", "é", "𝒳", "ab漢") for n in range(1, 60)] + ["word", "", " .", "ΑΣ"]
+    return rng.sample(drawn, len(drawn))
+
+
+@pytest.mark.parametrize("more", [[], ["İstanbul'İ"]])  # a capital that becomes two characters
+@pytest.mark.parametrize("ascii_only", [False, True])
+def test_toxicity_slots_are_those_of_each_word(ascii_only, more):
+    chunks = [c for c in odd_chunks() + more if c.isascii() or not ascii_only]
+    slots, counts = toxicity.word_slots([c.encode() for c in chunks])
+    got = [[x for x in row if x >= 0] for row in slots.tolist()]
+    assert got == [word_features(w) for c in chunks for w in plain_words(c)]
+    assert counts.tolist() == [len(plain_words(c)) for c in chunks]
+    for few in ([], [b""], [b"", b" .", b"a", b""]):
+        assert toxicity.word_slots(few)[1].tolist() == [len(plain_words(c.decode())) for c in few]
+
+
+def test_toxicity_word_scores_and_counts_equal_their_definition():
+    value = np.random.default_rng(1).normal(0, 1, toxicity.SLOTS).astype(np.float32)
+    value[::3] = 0
+    chunks = [c.replace("Σ", "S") for c in odd_chunks()]  # whose small letter depends on the chunks beside it
+    texts = [" ".join(chunks[i:i + 9]) for i in range(0, len(chunks), 9)]
+    got = toxicity.Model("defined", SimpleNamespace(value=value), 1.0, 1.0, []).word_scores([t.encode() for t in texts])
+    assert [x.tolist() for x in got] == [[float(max((value[f] for f in word_features(w)), key=abs) - np.float32(toxicity.DRIFT))
+                                          for w in plain_words(t)] for t in texts]
+    label = [i % 3 % 2 for i in range(len(texts))]
+    want = Counter((f, y) for t, y in zip(texts, label) for w in plain_words(t) for f in word_features(w))
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(label, pa.int32())], names=["line", "y"])
+    rows = [r for b in toxicity._count(iter([batch.slice(0, 100), batch.slice(100)])) for r in b.to_pylist()]
+    assert {(r["slot"], y): n for r in rows for y, n in ((1, r["toxic"]), (0, r["clean"])) if n} == want
+
+
+def test_toxicity_makes_no_python_calls_a_word():
+    """Words are hashed and scored together: the calls do not grow with the words."""
+    texts = [" ".join(f"unseen{j}word{i}é" for i in range(500)).encode() for j in range(40)]
+    model = toxicity.Model("calls", SimpleNamespace(value=np.zeros(toxicity.SLOTS, np.float32)), 1.0, 1.0, [])
+    model.word_scores([b"first \xc3\xa9"])
+    for work in (model.word_scores, toxicity._counter()):
+        calls = Counter()
+        sys.setprofile(lambda frame, event, arg: calls.update([event]))
+        try:
+            work(texts)
+        finally:
+            sys.setprofile(None)
+        assert calls["call"] + calls["c_call"] < 20_000  # words
+
+
 def test_toxicity_held_out(spark):
     scored = toxicity.op8_toxicity(spark, "/root/testdata/sf0.1").join(table(spark, "/root/testdata/sf0.1", "labels"), "doc_id").where("held_out")
     by = {(r.toxic, r.predicted): r.n for r in scored.groupBy("toxic", "predicted").agg(F.count("*").alias("n")).collect()}
