@@ -12,6 +12,7 @@ from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -105,6 +106,79 @@ def test_words_of_a_block_equal_their_definition():
         at += n
 
 
+def block_batches(texts):
+    """Two blocks, the second begins inside a batch; every third text is held out."""
+    table_ = pa.table({"block": pa.array([int(i >= 3 * len(texts) // 4) for i in range(len(texts))], pa.int64()), "text": texts,
+                       "held_out": [i % 3 == 0 for i in range(len(texts))], "doc_id": pa.array(range(len(texts)), pa.int64())})
+    return table_.to_batches(max_chunksize=len(texts) // 2)
+
+
+def written_results(path, vocabulary, score):
+    """Results of the vocabulary's rows as the query writes them: ``score(word, gate)`` and 2 occurrences each."""
+    for block in {r["block"] for r in vocabulary}:
+        mine = [r for r in vocabulary if r["block"] == block and r["word"] != lm_score.REPEAT][::-1]
+        (path / "results" / f"block={block}").mkdir(parents=True)
+        pq.write_table(pa.table({"word": pa.array([r["word"] for r in mine], pa.binary()), "c": pa.array([2] * len(mine), pa.int64()), **{
+            s: pa.array([None if r[n] is None else score(r["word"], g) for r in mine], pa.float64())
+            for g, (s, n) in enumerate(zip(lm_score.S, lm_score.N))}}), path / "results" / f"block={block}" / "part.parquet")
+
+
+@pytest.mark.parametrize("held", [1, 1 << 21])
+def test_blocks_are_counted_and_added_up(tmp_path, monkeypatch, held):
+    """Held groups and blocks against the words one by one, however many tokens are held."""
+    monkeypatch.setattr(lm_score, "HELD_TOKENS", held)
+    monkeypatch.setattr(lm_score, "GROUP_BYTES", 40)
+    texts = ["The cat the  the CAT", "", "sat été\tcat", " x x x\x0by", "mat the mat", "q " * 30, "cat", "été the z"]
+    directions = np.random.default_rng(3).normal(size=(256, 3))
+    shared = SimpleNamespace(value=directions)
+    batches = block_batches(texts)
+    got = [r for b in lm_score._vocabulary(shared)(iter([b.select([0, 1, 2]) for b in batches])) for r in b.to_pylist()]
+    count, again, score = {}, {0: Counter(), 1: Counter()}, []
+    spelled = lambda w, g: -1.0 - g - len(w) / 8
+    for i, text in enumerate(texts):
+        pull, words = np.zeros(3), [w.encode() for w in words_of(text)]
+        score.append(0.0)
+        for j, w in enumerate(words):
+            g = 8 if j == 0 else sum((pull[k] >= 0) << k for k in range(3))
+            pull = pull + directions[np.frombuffer(w, np.uint8)].sum(axis=0)
+            cell = count.setdefault((int(i >= 6), w), [None] * 9)
+            cell[g] = (cell[g] or 0) + (i % 3 > 0)
+            same = [j > k and words[j - k] == words[j - k - 1] for k in range(3)]
+            context = same[1] + 2 * same[2]
+            again[int(i >= 6)][f"n{2 * context + same[0]}"] += i % 3 > 0
+            score[-1] += -0.5 - context if same[0] else -0.1 * context + spelled(w, g)
+    assert {(r["block"], r["word"]): [r[n] for n in lm_score.N] for r in got if r["word"] != lm_score.REPEAT} == {
+        k: v for k, v in count.items()}
+    assert {r["block"]: Counter({n: r[n] for n in lm_score.N if r[n]}) for r in got if r["word"] == lm_score.REPEAT} == {
+        k: +v for k, v in again.items()}
+    written_results(tmp_path, got, spelled)
+    repeated = np.array([[-0.1 * c for c in range(4)], [-0.5 - c for c in range(4)]])
+    rows = [r for b in lm_score._add_up(str(tmp_path), shared, 1.0, repeated)(iter(
+        [b.select([0, 1, 2, 3]) for b in batches])) for r in b.to_pylist()]
+    assert [r["doc_id"] for r in rows] == list(range(len(texts)))
+    for r, text, want in zip(rows, texts, score):
+        n = len(words_of(text))
+        assert (r["held_out"], r["n_tokens"], r["n_known"], r["n_bytes"]) == (r["doc_id"] % 3 == 0, n, n, len(text.encode()))
+        assert r["score"] == pytest.approx(want) and r["base_score"] == pytest.approx(n * (math.log10(3) - 1))
+
+
+def test_lm_makes_no_python_calls_a_word(tmp_path):
+    """Words are numbered together when they are counted and when results are added up: the calls do not grow with the words."""
+    shared = SimpleNamespace(value=np.random.default_rng(3).normal(size=(256, 3)))
+    batches = block_batches([" ".join(f"unseen{j}word{i}" for i in range(500)) for j in range(40)])
+    found = []
+    written_results(tmp_path, [r for b in lm_score._vocabulary(shared)(iter(batches)) for r in b.to_pylist()], lambda w, g: -1.0)
+    for kernel in (lm_score._vocabulary(shared), lm_score._add_up(str(tmp_path), shared, 1.0, np.zeros((2, 4)))):
+        calls = Counter()
+        sys.setprofile(lambda frame, event, arg: calls.update([event]))
+        try:
+            found.append(sum(b.num_rows for b in kernel(iter(batches))))
+        finally:
+            sys.setprofile(None)
+        assert calls["call"] + calls["c_call"] < 10_000  # half of the words
+    assert found == [20_000 + 4, 40]
+
+
 def test_scores_do_not_depend_on_files(spark):
     docs = table(spark, SF_SMALL, "documents").select("doc_id", "text")
     found = []
